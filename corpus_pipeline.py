@@ -1,11 +1,67 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: documents to packed training sequences.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it
+as Parquet in the shared folder and reads it again for the next stage.  All
+stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sliceworks.llm import op2_mixing, op5_exact, op7_jaccard, op9_language, op10_pack
+from sliceworks.llm.common import table, written
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null, no letter) go."""
+    model = op9_language.learned(docs)
+    found = op9_language.identify(docs, model, keep=tuple(docs.columns))
+    return found.where(F.col("lang_pred") != op9_language.NONE).select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text stays, that with the largest id."""
+    sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    stay = op5_exact.groups(docs).select(F.col("text_sha256").alias("sha"), "keep_id")
+    rows = docs.withColumn("sha", sha)
+    # a text has one row in ``stay``; rows that repeat its id as well are one
+    kept = rows.join(stay.hint("merge"), "sha").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return kept.dropDuplicates(["sha"]).select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links hold together the one with the smallest id stays."""
+    found = op7_jaccard.jaccard_join(docs.select("doc_id", "text"))
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn with the rates that bring the domains to their target weights."""
+    return op2_mixing.drawn(docs, table(spark, sf_dir, "labels"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with the sequence and the offset that they take."""
+    return op10_pack.pack(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("language", language),
+    ("exact dedup", exact),
+    ("near duplicates", near),
+    ("source mixing", mixing),
+    ("packing", packing),
+]
+
+#: No SQL: language ID, mixing and packing are beyond it.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -13,7 +13,7 @@ import pyarrow as pa
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_POW = np.ones(64, np.uint64)
+_POW = np.ones(1, np.uint64)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -40,7 +40,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> np.ndarray:
     global _POW
     if len(_POW) < n:
-        size = max(n, 2 * len(_POW))
+        size = max(n, 64, 2 * len(_POW))
         steps = np.full(size, _BASE, np.uint64)
         steps[0] = 1
         _POW = np.cumprod(steps, dtype=np.uint64)

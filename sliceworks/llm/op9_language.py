@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded_sample, fold, table
 from .hashing import buffers
@@ -125,14 +126,16 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     return Model.of(counts, bits) if len(counts) else None
 
 
-def _predict(shared):
+def _predict(shared, text: str, kept: list[str]):
+    kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            letters = batch.column(batch.schema.get_field_index("has_letter")).to_pylist()
+            letters = batch.column(batch.num_columns - 1).to_pylist()
             best, score, parts = [], [], []
-            for ok, raw in zip(letters, _texts(batch, "text")):
-                if not ok or model is None or not len(raw):
+            for ok, raw in zip(letters, _texts(batch, text)):
+                if not ok or model is None:
                     best.append(NONE), score.append(0.0), parts.append([])
                     continue
                 chosen, share = model.mixture(raw)
@@ -140,24 +143,27 @@ def _predict(shared):
                 best.append(model.langs[chosen[k]])
                 score.append(float(min(max(share[k], 0.0), 1.0)))
                 parts.append([{"lang": model.langs[i], "share": float(s)} for i, s in zip(chosen, share)])
-            kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
-            keep = [i for i, n in enumerate(batch.schema.names) if n not in ("text", "has_letter")]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + [pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(parts, kind)], names=[batch.schema.names[i] for i in keep] + ["lang_pred", "score", "languages"])
+            found = [pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(parts, kind)]
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in kept] + found, names=[*kept, "lang_pred", "score", "languages"])
 
     return run
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, lang_pred, score, languages (array of language and share) for every whole text.
+def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep``, lang_pred, score, languages (array of language and share) for every whole text.
 
     Null texts, texts without a letter and any text when nothing could be learned
     are ``und`` with score 0.  Equal shares go to the alphabetically first
-    language.  Repeated rows give repeated results; other columns are not read.
+    language.  Repeated rows give repeated results; columns of ``docs`` named as
+    the result's are not kept.
     """
+    kept = [c for c in keep if c not in ("lang_pred", "score", "languages")]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers a language
-    t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), t.alias("text"), t.rlike(r"\p{L}").alias("has_letter"))
-    return rows.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
+    rows = docs.select(*dict.fromkeys([*kept, text]), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("has letter"))
+    share = T.StructType([T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType())])
+    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("languages", T.ArrayType(share))]
+    out = T.StructType([*docs.select(*kept).schema.fields, *new])
+    return rows.mapInArrow(_predict(shared, text, kept), out)
 
 
 def learned(docs: DataFrame, part: int = 4, out: int = 2, **how) -> Model | None:

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from . import op3_chat, op5_exact, op8_topk
 from .op1_tokens import op1_token_counts
+from .op2_mixing import op2_source_mix
 from .op3_chat import op3_chat_format
 from .op4_toxicity import op4_toxicity
 from .op5_exact import op5_exact_dedup
 from .op6_secrets import op6_secret_scan
+from .op7_jaccard import op7_ngram_jaccard
 from .op8_topk import op8_exact_topk
 from .op9_language import op9_language_id
 from .op10_pack import op10_best_fit_pack
 
 
 def queries():
-    named = (op1_token_counts, op3_chat_format, op4_toxicity, op5_exact_dedup, op6_secret_scan, op8_exact_topk, op9_language_id, op10_best_fit_pack)
+    named = (op1_token_counts, op2_source_mix, op3_chat_format, op4_toxicity, op5_exact_dedup, op6_secret_scan, op7_ngram_jaccard, op8_exact_topk, op9_language_id, op10_best_fit_pack)
     return {f.__name__: f for f in named}
 
 
