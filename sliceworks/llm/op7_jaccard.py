@@ -233,7 +233,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = list(shingle_sets(*buffers(batch.column(1))))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([point(s).tobytes() for s in sets], pa.binary())], names=["rep", "text", "n", "point"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([point(s).tobytes() for s in sets], pa.binary())], names=["rep", "n", "point"])
 
 
 def _compare(percent: int):
@@ -246,11 +246,19 @@ def _compare(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of classes whose sets link."""
+def chosen(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) with an id among ``ids`` (rep), as (rep, text); few ids are broadcast, many are joined."""
+    few = ids.count() <= FEW
+    return rows.withColumnRenamed("doc_id", "rep").join(F.broadcast(ids) if few else ids, "rep")
+
+
+def verified(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of classes whose sets link, as a written table."""
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ids")
+    texts = chosen(rows, ids)
     ta, tb = (texts.select(F.col("rep").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_compare(percent), "a long, b long")
+    return written(both.mapInArrow(_compare(percent), "a long, b long").distinct(), "links")
 
 
 def _trees(percent: int):
@@ -331,13 +339,12 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     # every class with the smallest member of the lists that it shares most
     heads = lists.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last").select("key", "head")
     shared = lists.join(heads, "key")
-    counted = shared.where("rep <> head").groupBy("rep", "head").agg(F.count("*").alias("n"))
-    tried = written(counted.groupBy("rep").agg(F.max(F.struct("n", -F.col("head"))).alias("m")).select(F.col("rep").alias("a"), (-F.col("m")["col2"]).alias("b")), "tried")
-    involved = written(shared.select("rep").distinct(), "involved")
-    few = involved.count() <= FEW
-    members = rows.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "rep").join(F.broadcast(involved) if few else involved, "rep")
-    texts = written(members.mapInArrow(_points, "rep long, text string, n long, point binary"), "texts")
-    trees = jumped(verified(tried, texts, percent).select(F.col("a").alias("node"), F.col("b").alias("parent")))
+    counted = shared.where("rep <> head").groupBy("rep", "head").agg(F.count("*").alias("m"))
+    best = counted.groupBy("rep").agg(F.max(F.struct("m", (-F.col("head")).alias("head"))).alias("best")).select("rep", "best.m", (-F.col("best.head")).alias("head"))
+    # near copies share most of their first shingles; what this try misses the trees find
+    sizes = known.where("n > 0").groupBy("rep").agg(F.max("n").alias("n"))
+    tried = best.join(sizes, "rep").where(F.col("m") * 16 >= F.col("n")).select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    trees = jumped(verified(written(tried, "tried"), rows, percent).select(F.col("a").alias("node"), F.col("b").alias("parent")))
 
     # lists that still hold several components
     comp = F.coalesce("parent", "rep").alias("comp")
@@ -346,10 +353,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     members_of = [F.bit_xor(F.xxhash64(F.lit(seed), "rep")).alias(f"h{seed}") for seed in (21, 22)]
     each = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.min("rep").alias("low"), F.max("rep").alias("high"), *members_of)
     mixed = each.where("x < y").groupBy("m", "low", "high", "h21", "h22").agg(F.min("key").alias("key")).select("key")
-    open_lists = cells(placed.join(mixed, "key", "left_semi"), cell)
-    ready = open_lists.join(texts.select("rep", "n", "point"), "rep").select("key", "cell", "rep", "comp", "n", "point")
+    open_lists = written(placed.join(mixed, "key", "left_semi"), "open")
+    points = written(chosen(rows, written(open_lists.select("rep").distinct(), "involved")).mapInArrow(_points, "rep long, n long, point binary"), "points")
+    ready = cells(open_lists, cell).join(points, "rep").select("key", "cell", "rep", "comp", "n", "point")
     near = ready.repartition(4 * parts, "key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_trees(percent), "a long, b long").distinct()
-    links = verified(written(near, "near"), texts, percent)
+    links = verified(written(near, "near"), rows, percent)
     edges = links.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b"))).unionByName(ties)
     roots = components(edges)
     out = known.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
