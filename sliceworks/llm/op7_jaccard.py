@@ -35,7 +35,7 @@ PERCENT = 75
 ORDER_DOCS = 12_000
 ORDER_SHINGLES = 1 << 18
 #: Entries that a task gathers before it passes them on.
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 #: A longer list is dealt out to cells of about this many documents on either side.
 CELL = 2048
 #: Involved documents up to which their ids are broadcast.
@@ -80,7 +80,13 @@ def groups_of(n: int) -> int:
 def point(s: np.ndarray) -> np.ndarray:
     """Counts per group; the groups are the leading bits, so neighbours can be added up."""
     g = groups_of(len(s))
-    return np.bincount((s >> np.uint64(64 - g.bit_length() + 1)).astype(np.int64), minlength=g).astype(np.uint16)
+    counts = np.bincount((s >> np.uint64(64 - g.bit_length() + 1)).astype(np.int64), minlength=g)
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32)
+
+
+def unpacked(p: bytes, n: int) -> np.ndarray:
+    """A point from its bytes, one or four for each group."""
+    return np.frombuffer(p, np.uint8 if len(p) == groups_of(n) else np.uint32).astype(np.int32)
 
 
 def folded(p: np.ndarray, g: int) -> np.ndarray:
@@ -92,6 +98,7 @@ class CountTree:
 
     def __init__(self, points: list[np.ndarray], sizes: np.ndarray):
         g = min(len(p) for p in points)
+        points = [p.astype(np.int32) for p in points]
         flat = np.stack([folded(p, g) for p in points])
         # neighbours in a leaf: sizes alike, then the counts of the first groups alike
         self.order = np.lexsort((flat[:, 0], flat[:, : max(1, g // 8)].sum(axis=1), sizes.astype(np.int64) // 16))
@@ -262,28 +269,32 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def _trees(percent: int):
-    def one(rep, comp, sizes, points) -> tuple[np.ndarray, np.ndarray]:
+    def one(rep, comp, sizes, points, visitor) -> tuple[np.ndarray, np.ndarray]:
         tree = CountTree(points, sizes)
+        names, n = np.unique(comp, return_counts=True)
+        crowd = names[n.argmax()]
         a, b = [], []
-        for i in range(len(rep)):
+        # of two members of different components one is outside the largest
+        for i in np.flatnonzero(comp != crowd):
             near = tree.near(points[i], sizes[i], percent)
-            near = near[(rep[near] < rep[i]) & (comp[near] != comp[i])]
-            a.append(np.full(len(near), rep[i])), b.append(rep[near])
-        return np.concatenate(a), np.concatenate(b)
+            # two visitors have met in their own band
+            near = near[((rep[near] < rep[i]) | (comp[near] == crowd)) & (comp[near] != comp[i]) & (visitor[near] + visitor[i] < 2)]
+            a.append(np.maximum(rep[near], rep[i])), b.append(np.minimum(rep[near], rep[i]))
+        return (np.concatenate(a), np.concatenate(b)) if a else (rep[:0], rep[:0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows):
-            rep, comp, sizes, points = zip(*rows)
-            a, b = one(np.array(rep), np.array(comp), np.array(sizes), [np.frombuffer(p, np.uint16).astype(np.int32) for p in points])
+            rep, comp, sizes, points, visitor = zip(*rows)
+            a, b = one(np.array(rep), np.array(comp), np.array(sizes), [unpacked(p, n) for p, n in zip(points, sizes)], np.array(visitor))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         rows, now = [], None
         for batch in batches:
-            for key, cell, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-                if (key, cell) != now and rows:
+            for key, band, cell, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+                if (key, band, cell) != now and rows:
                     yield flush(rows)
                     rows = []
-                now = (key, cell)
+                now = (key, band, cell)
                 rows.append(row)
         if rows:
             yield flush(rows)
@@ -292,16 +303,16 @@ def _trees(percent: int):
 
 
 def cells(lists: DataFrame, cell: int = CELL) -> DataFrame:
-    """Lists (key, rep, comp) dealt to cells so that any two members of different components meet in one.
+    """Lists (of a key and band) dealt to cells so that any two members of different components meet in one.
 
     A list of up to ``cell`` members is one cell.  In a longer one, members are
     dealt to blocks by a hash, and every two blocks (and each with itself) are a
     cell.
     """
-    sizes = lists.groupBy("key").agg(F.count("*").alias("m"))
+    sizes = lists.groupBy("key", "band").agg(F.count("*").alias("m"))
     k = F.greatest(F.lit(1), F.ceil(F.col("m") / cell)).cast("int")
     own = F.pmod(F.xxhash64(F.lit(3), "rep"), F.col("k")).cast("int")
-    rows = lists.join(sizes, "key").withColumn("k", k).withColumn("own", own)
+    rows = lists.join(sizes, ["key", "band"]).withColumn("k", k).withColumn("own", own)
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
     rows = rows.withColumn("other", other)
     cell_of = F.least("own", "other") * F.col("k") + F.greatest("own", "other")
@@ -346,17 +357,22 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     tried = best.join(sizes, "rep").where(F.col("m") * 16 >= F.col("n")).select(F.col("rep").alias("a"), F.col("head").alias("b"))
     trees = jumped(verified(written(tried, "tried"), rows, percent).select(F.col("a").alias("node"), F.col("b").alias("parent")))
 
-    # lists that still hold several components
+    # lists that still hold several components, parted by size: a set meets those of its own band and of the next
     comp = F.coalesce("parent", "rep").alias("comp")
     placed = lists.join(trees.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", comp)
+    several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    band = F.floor(F.log("n") / float(np.log(100 / percent + 0.007))).cast("int")
+    sized = placed.join(several, "key", "left_semi").join(sizes, "rep").withColumn("band", band)
+    visits = F.array(F.struct(F.col("band").alias("band"), F.lit(0).alias("visitor")), F.struct((F.col("band") + 1).alias("band"), F.lit(1).alias("visitor")))
+    parted = sized.select("key", "rep", "comp", F.explode(visits).alias("v")).select("key", "v.band", "rep", "comp", "v.visitor")
     # of lists with the same members one is enough
-    members_of = [F.bit_xor(F.xxhash64(F.lit(seed), "rep")).alias(f"h{seed}") for seed in (21, 22)]
-    each = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.min("rep").alias("low"), F.max("rep").alias("high"), *members_of)
-    mixed = each.where("x < y").groupBy("m", "low", "high", "h21", "h22").agg(F.min("key").alias("key")).select("key")
-    open_lists = written(placed.join(mixed, "key", "left_semi"), "open")
+    members_of = [F.bit_xor(F.xxhash64(F.lit(seed), "rep", "visitor")).alias(f"h{seed}") for seed in (21, 22)]
+    each = parted.groupBy("key", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.min("visitor").alias("v"), *members_of)
+    mixed = each.where("x < y AND v = 0").groupBy("m", "band", "h21", "h22").agg(F.min("key").alias("key")).select("key", "band")
+    open_lists = written(parted.join(mixed, ["key", "band"], "left_semi"), "open")
     points = written(chosen(rows, written(open_lists.select("rep").distinct(), "involved")).mapInArrow(_points, "rep long, n long, point binary"), "points")
-    ready = cells(open_lists, cell).join(points, "rep").select("key", "cell", "rep", "comp", "n", "point")
-    near = ready.repartition(4 * parts, "key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_trees(percent), "a long, b long").distinct()
+    ready = cells(open_lists, cell).join(points, "rep").select("key", "band", "cell", "rep", "comp", "n", "point", "visitor")
+    near = ready.repartition(4 * parts, "key", "band", "cell").sortWithinPartitions("key", "band", "cell").mapInArrow(_trees(percent), "a long, b long").distinct()
     links = verified(written(near, "near"), rows, percent)
     edges = links.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b"))).unionByName(ties)
     roots = components(edges)
