@@ -69,3 +69,16 @@ def bounded_sample(rows: DataFrame, by: str, bound: int, strata: str | None = No
         if value is not None:
             keep = keep | ((F.col(strata) == F.lit(value)) & (share < bound / n))
     return rows.where(keep)
+
+
+#: Bytes of an Arrow batch, about: very long texts then come a few at a time.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose texts are to go to Python in batches bounded by bytes; another bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    if conf.get(name).rstrip("b") == str(64 << 20):  # as Spark sets it out
+        conf.set(name, str(BATCH_BYTES))
+    return df

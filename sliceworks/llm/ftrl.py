@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, written
+from .common import bounded_sample, small_batches, written
 from .hashing import ALNUM, buffers, chunks, mix, words
 
 BITS = 20
@@ -99,7 +99,7 @@ def fit(labelled: DataFrame, label: str, text: str = "text", doc_id: str = "doc_
     at, z, n = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
     for _ in range(s.epochs):
         state = spark.sparkContext.broadcast((at, z, n))
-        changed = sample.mapInArrow(_updates(state, s.alpha, s.beta, s.l1, s.l2, s.ones), "i long, dz double, dn double")
+        changed = small_batches(sample).mapInArrow(_updates(state, s.alpha, s.beta, s.l1, s.l2, s.ones), "i long, dz double, dn double")
         got = changed.groupBy("i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toPandas()  # at most 2**BITS + 1 rows
         full_z, full_n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
         full_z[at], full_n[at] = z, n

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 MARK = "\u2581"
 LIMIT = 4096
@@ -110,7 +110,7 @@ def token_counts(docs: DataFrame, text: str = "text", path: str | None = None) -
     path = model_path(path)
 
     count = F.pandas_udf(_counting(path), "long")
-    return docs.withColumn("n_tokens", count(F.coalesce(F.col(text), F.lit(""))))
+    return small_batches(docs).withColumn("n_tokens", count(F.coalesce(F.col(text), F.lit(""))))
 
 
 def _counting(path: str):

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 # Kinds, in the order of ties; patterns; least lengths.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -111,7 +111,7 @@ def secret_scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """
     kind = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, found array<struct<kind:string,start:int,end:int>>"
     scan = F.pandas_udf(_scan, kind)
-    return docs.select(F.col(doc_id).alias("doc_id"), scan(F.coalesce(F.col(text), F.lit(""))).alias("s")).select("doc_id", "s.*")
+    return small_batches(docs).select(F.col(doc_id).alias("doc_id"), scan(F.coalesce(F.col(text), F.lit(""))).alias("s")).select("doc_id", "s.*")
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

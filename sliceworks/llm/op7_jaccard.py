@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slots, table, written
+from .common import bounded_sample, slots, small_batches, table, written
 from .components import components, jumped
 from .hashing import SPACED, buffers, chunks, mix, words
 
@@ -139,7 +139,7 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def common_shingles(docs: DataFrame, bound: int = ORDER_DOCS) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several of about ``bound`` documents hold, sorted, and in how many; it shapes lists, not results."""
     some = bounded_sample(docs.where(F.col("doc_id").isNotNull()), "doc_id", bound).select("text")
-    sums = some.mapInArrow(_seen, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
+    sums = small_batches(some).mapInArrow(_seen, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
     got = sums.orderBy(F.desc("n"), "key").limit(ORDER_SHINGLES).toPandas()
     keys = got["key"].to_numpy(np.int64).view(np.uint64)
     at = np.argsort(keys)
@@ -265,7 +265,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataF
     texts = chosen(rows, ids)
     ta, tb = (texts.select(F.col("rep").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
-    return written(both.mapInArrow(_compare(percent), "a long, b long").distinct(), "links")
+    return written(small_batches(both).mapInArrow(_compare(percent), "a long, b long").distinct(), "links")
 
 
 def _trees(percent: int):
@@ -334,7 +334,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     common = spark.sparkContext.broadcast(common_shingles(rows, order_docs))  # at most ORDER_SHINGLES of them
     parts = slots(spark)
-    made = written(rows.mapInArrow(_entries(common, 8 * parts, percent), ENTRIES), "entries")
+    made = written(small_batches(rows).mapInArrow(_entries(common, 8 * parts, percent), ENTRIES), "entries")
 
     signs = made.where("bucket = -2").select("doc_id", "n", "s1", "s2")
     classes = signs.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
@@ -370,9 +370,9 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     each = parted.groupBy("key", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.min("visitor").alias("v"), *members_of)
     mixed = each.where("x < y AND v = 0").groupBy("m", "band", "h21", "h22").agg(F.min("key").alias("key")).select("key", "band")
     open_lists = written(parted.join(mixed, ["key", "band"], "left_semi"), "open")
-    points = written(chosen(rows, written(open_lists.select("rep").distinct(), "involved")).mapInArrow(_points, "rep long, n long, point binary"), "points")
+    points = written(small_batches(chosen(rows, written(open_lists.select("rep").distinct(), "involved"))).mapInArrow(_points, "rep long, n long, point binary"), "points")
     ready = cells(open_lists, cell).join(points, "rep").select("key", "band", "cell", "rep", "comp", "n", "point", "visitor")
-    near = ready.repartition(4 * parts, "key", "band", "cell").sortWithinPartitions("key", "band", "cell").mapInArrow(_trees(percent), "a long, b long").distinct()
+    near = small_batches(ready).repartition(4 * parts, "key", "band", "cell").sortWithinPartitions("key", "band", "cell").mapInArrow(_trees(percent), "a long, b long").distinct()
     links = verified(written(near, "near"), rows, percent)
     edges = links.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b"))).unionByName(ties)
     roots = components(edges)
