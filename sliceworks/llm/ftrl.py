@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, small_batches, written
 from .hashing import ALNUM, buffers, chunks, mix, words
 
-BITS = 20
+BITS = 18
 BIAS = 1 << BITS
 
 
@@ -100,11 +100,12 @@ def fit(labelled: DataFrame, label: str, text: str = "text", doc_id: str = "doc_
     for _ in range(s.epochs):
         state = spark.sparkContext.broadcast((at, z, n))
         changed = small_batches(sample).mapInArrow(_updates(state, s.alpha, s.beta, s.l1, s.l2, s.ones), "i long, dz double, dn double")
-        got = changed.groupBy("i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toPandas()  # at most 2**BITS + 1 rows
+        got = changed.groupBy("i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toArrow()  # at most 2**BITS + 1 rows
         full_z, full_n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
         full_z[at], full_n[at] = z, n
-        full_z[got["i"]] += got["dz"]
-        full_n[got["i"]] += got["dn"]
+        i = got["i"].to_numpy()
+        full_z[i] += got["dz"].to_numpy()
+        full_n[i] += got["dn"].to_numpy()
         at = np.flatnonzero(full_n)
         z, n = full_z[at], full_n[at]
         state.destroy()

@@ -38,6 +38,8 @@ ORDER_SHINGLES = 1 << 18
 FLUSH = 1_000_000
 #: A longer list is dealt out to cells of about this many documents on either side.
 CELL = 2048
+#: Members of one component in a list from which on its lists become one.
+CROWD = 8
 #: Involved documents up to which their ids are broadcast.
 FEW = 400_000
 #: Children of a tree's node.
@@ -269,54 +271,66 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def _trees(percent: int):
-    def one(rep, comp, sizes, points, visitor) -> tuple[np.ndarray, np.ndarray]:
-        tree = CountTree(points, sizes)
-        names, n = np.unique(comp, return_counts=True)
-        crowd = names[n.argmax()]
-        a, b = [], []
-        # of two members of different components one is outside the largest
-        for i in np.flatnonzero(comp != crowd):
-            near = tree.near(points[i], sizes[i], percent)
-            # two visitors have met in their own band
-            near = near[((rep[near] < rep[i]) | (comp[near] == crowd)) & (comp[near] != comp[i]) & (visitor[near] + visitor[i] < 2)]
-            a.append(np.maximum(rep[near], rep[i])), b.append(np.minimum(rep[near], rep[i]))
-        return (np.concatenate(a), np.concatenate(b)) if a else (rep[:0], rep[:0])
+    def one(across, rep, comp, sizes, points, visitor, in_crowd) -> tuple[np.ndarray, np.ndarray]:
+        asks = np.flatnonzero(in_crowd == 0)
+        held = np.flatnonzero(in_crowd == 1) if across else asks
+        a, b = [rep[:0]], [rep[:0]]
+        if len(asks) and len(held):
+            tree = CountTree([points[i] for i in held], sizes[held])
+            for i in asks:
+                near = held[tree.near(points[i], sizes[i], percent)]
+                # two visitors have met in their own band
+                near = near[(across | (rep[near] < rep[i])) & (comp[near] != comp[i]) & (visitor[near] + visitor[i] < 2)]
+                a.append(np.maximum(rep[near], rep[i])), b.append(np.minimum(rep[near], rep[i]))
+        return np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows):
-            rep, comp, sizes, points, visitor = zip(*rows)
-            a, b = one(np.array(rep), np.array(comp), np.array(sizes), [unpacked(p, n) for p, n in zip(points, sizes)], np.array(visitor))
+            rep, comp, sizes, points, visitor, in_crowd = zip(*rows)
+            a, b = one(now[3] >= 0, np.array(rep), np.array(comp), np.array(sizes), [unpacked(p, n) for p, n in zip(points, sizes)], np.array(visitor), np.array(in_crowd))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         rows, now = [], None
         for batch in batches:
-            for key, band, cell, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-                if (key, band, cell) != now and rows:
+            for *cell, rep, comp, n, p, visitor, in_crowd in zip(*(c.to_pylist() for c in batch.columns)):
+                if cell != now and rows:
                     yield flush(rows)
                     rows = []
-                now = (key, band, cell)
-                rows.append(row)
+                now = cell
+                rows.append((rep, comp, n, p, visitor, in_crowd))
         if rows:
             yield flush(rows)
 
     return run
 
 
+#: A list, one of its cells: a block of the crowd and one of the others, or (first number -1) two of the others.
+CELL_OF = ("list", "crowded", "band", "block", "other")
+
+
 def cells(lists: DataFrame, cell: int = CELL) -> DataFrame:
-    """Lists (of a key and band) dealt to cells so that any two members of different components meet in one.
+    """Lists dealt to cells, so that any two members of different components meet.
 
-    A list of up to ``cell`` members is one cell.  In a longer one, members are
-    dealt to blocks by a hash, and every two blocks (and each with itself) are a
-    cell.
+    The crowd, members of the one large component of a list, is dealt to blocks
+    of about ``cell``, all others as well.  Every block of the crowd meets every
+    block of the others, and every two blocks of the others meet; two of the
+    crowd need not.
     """
-    sizes = lists.groupBy("key", "band").agg(F.count("*").alias("m"))
-    k = F.greatest(F.lit(1), F.ceil(F.col("m") / cell)).cast("int")
-    own = F.pmod(F.xxhash64(F.lit(3), "rep"), F.col("k")).cast("int")
-    rows = lists.join(sizes, ["key", "band"]).withColumn("k", k).withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
-    rows = rows.withColumn("other", other)
-    cell_of = F.least("own", "other") * F.col("k") + F.greatest("own", "other")
-    return rows.withColumn("cell", cell_of).drop("m", "k", "own", "other")
+    key = ["list", "crowded", "band"]
+    sizes = lists.groupBy(*key).agg(F.ceil(F.sum("in_crowd") / cell).cast("int").alias("ki"), F.greatest(F.lit(1), F.ceil(F.sum(1 - F.col("in_crowd")) / cell)).cast("int").alias("kj"))
+    rows = lists.join(sizes, key)
+    inside = F.col("in_crowd") == 1
+    own = F.pmod(F.xxhash64(F.lit(3), "rep"), F.when(inside, F.greatest(F.lit(1), "ki")).otherwise(F.col("kj"))).cast("int")
+    rows = rows.withColumn("own", own)
+
+    def at(block, other):
+        return F.struct(block.cast("int").alias("block"), other.cast("int").alias("other"))
+
+    up_to_j = F.sequence(F.lit(0), F.col("kj") - 1)
+    to_others = F.transform(up_to_j, lambda j: at(F.col("own"), j))
+    to_crowd = F.transform(F.filter(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("ki") - 1)), lambda i: i < F.col("ki")), lambda i: at(i, F.col("own")))
+    among = F.transform(up_to_j, lambda o: at(F.lit(-1), F.least("own", o) * F.col("kj") + F.greatest("own", o)))
+    return rows.withColumn("cell", F.explode(F.when(inside, to_others).otherwise(F.concat(to_crowd, among)))).select("*", "cell.*").drop("cell", "ki", "kj", "own")
 
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, order_docs: int = ORDER_DOCS, cell: int = CELL) -> DataFrame:
@@ -369,10 +383,16 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     members_of = [F.bit_xor(F.xxhash64(F.lit(seed), "rep", "visitor")).alias(f"h{seed}") for seed in (21, 22)]
     each = parted.groupBy("key", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.min("visitor").alias("v"), *members_of)
     mixed = each.where("x < y AND v = 0").groupBy("m", "band", "h21", "h22").agg(F.min("key").alias("key")).select("key", "band")
-    open_lists = written(parted.join(mixed, ["key", "band"], "left_semi"), "open")
+    # where a component has many members in a list, its lists become one, and each member is compared once
+    per = parted.join(mixed, ["key", "band"], "left_semi").groupBy("key", "band", "comp").agg(F.count("*").alias("c"))
+    top = per.groupBy("key", "band").agg(F.max(F.struct("c", (-F.col("comp")).alias("comp"))).alias("top"))
+    crowd = F.when(F.col("top.c") >= CROWD, -F.col("top.comp"))
+    named = top.select("key", "band", crowd.isNotNull().alias("crowded"), F.coalesce(crowd, "key").alias("list"))
+    in_crowd = (F.col("crowded") & (F.col("comp") == F.col("list"))).cast("int").alias("in_crowd")
+    open_lists = written(parted.join(named, ["key", "band"]).select("list", "crowded", "band", "rep", "comp", "visitor", in_crowd).distinct(), "open")
     points = written(small_batches(chosen(rows, written(open_lists.select("rep").distinct(), "involved"))).mapInArrow(_points, "rep long, n long, point binary"), "points")
-    ready = cells(open_lists, cell).join(points, "rep").select("key", "band", "cell", "rep", "comp", "n", "point", "visitor")
-    near = small_batches(ready).repartition(4 * parts, "key", "band", "cell").sortWithinPartitions("key", "band", "cell").mapInArrow(_trees(percent), "a long, b long").distinct()
+    ready = cells(open_lists, cell).join(points, "rep").select(*CELL_OF, "rep", "comp", "n", "point", "visitor", "in_crowd")
+    near = small_batches(ready).repartition(4 * parts, *CELL_OF).sortWithinPartitions(*CELL_OF).mapInArrow(_trees(percent), "a long, b long").distinct()
     links = verified(written(near, "near"), rows, percent)
     edges = links.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b"))).unionByName(ties)
     roots = components(edges)
