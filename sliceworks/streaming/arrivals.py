@@ -1,0 +1,20 @@
+"""An addition: areas of slices as they arrive, one row per slice kept current."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import hist
+
+
+def arriving(spark: SparkSession, path: str, schema: str = "case_no int, x int, y int, z int, hu int, tissue int") -> DataFrame:
+    """Voxel files of a folder as a stream."""
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def area_stream(voxels: DataFrame, pixel_mm2: float, out: str, checkpoint: str):
+    """Each batch's areas, written under the batch's number, so that a repeated batch replaces itself."""
+    def sink(batch: DataFrame, number: int) -> None:
+        hist.areas(hist.slice_histogram(batch, "tissue"), pixel_mm2).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return voxels.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
