@@ -98,8 +98,9 @@ def folded(p: np.ndarray, g: int) -> np.ndarray:
 class CountTree:
     """An R-tree over points of counts, packed from the leaves up; a node has its children's largest counts and sizes."""
 
-    def __init__(self, points: list[np.ndarray], sizes: np.ndarray):
-        g = min(len(p) for p in points)
+    def __init__(self, points: list[np.ndarray], sizes: np.ndarray, g: int | None = None):
+        """``g``: groups, no more than any point has that is held or asked for."""
+        g = g or min(len(p) for p in points)
         points = [p.astype(np.int32) for p in points]
         flat = np.stack([folded(p, g) for p in points])
         # neighbours in a leaf: sizes alike, then the counts of the first groups alike
@@ -276,7 +277,7 @@ def _trees(percent: int):
         held = np.flatnonzero(in_crowd == 1) if across else asks
         a, b = [rep[:0]], [rep[:0]]
         if len(asks) and len(held):
-            tree = CountTree([points[i] for i in held], sizes[held])
+            tree = CountTree([points[i] for i in held], sizes[held], min(map(len, points)))
             for i in asks:
                 near = held[tree.near(points[i], sizes[i], percent)]
                 # two visitors have met in their own band

@@ -94,6 +94,18 @@ def test_op7_tree_misses_nothing(sets, q):
     assert {i for i, s in enumerate(hashed) if op7_jaccard.linked(mine, s)} <= near
 
 
+def test_op7_sets_of_many_sizes(spark):
+    """Points of different numbers of groups meet in one list."""
+    rnd, rows = random.Random(77), []
+    for n in (250, 256, 262, 300, 500, 520, 1000, 1030, 1300):
+        for k in range(14):
+            words = [f"w{i}" for i in range(n)]
+            for _ in range(rnd.choice([1, 8, 12, 16])):
+                words[rnd.randrange(n)] = f"x{rnd.randint(0, 9)}"
+            rows.append((len(rows), " ".join(words)))
+    assert_components(docs(spark, rows).repartition(4), rows)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000 + 7 * i % 50, 1000 + 7 * (i + 1) % 50) for i in range(50)] + [(5, 5)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
