@@ -34,7 +34,7 @@ class Settings:
     ones: float = 2.0
     parts: int = 8
     #: Labelled rows to learn from, about.
-    bound: int = 20_000
+    bound: int = 12_000
 
 
 _SECOND, _THIRD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -61,28 +61,36 @@ def _updates(state, alpha: float, beta: float, l1: float, l2: float, ones: float
         z[at0], n[at0] = z0, n0
         was_z, was_n = z.copy(), n.copy()
         for batch in batches:
-            labels = batch.column(0).to_numpy(zero_copy_only=False)
-            data, off = buffers(batch.column(1))
-            for lo, hi in chunks(off):
-                hashes, first = words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], ALNUM)
-                for k, y in enumerate(labels[lo:hi]):
-                    own = hashes[first[k] : first[k + 1]]
-                    i = np.unique(features(own, np.array([0, len(own)]))[0])
-                    root = np.sqrt(n[i])
-                    w = np.where(np.abs(z[i]) > l1, (np.sign(z[i]) * l1 - z[i]) / ((beta + root) / alpha + l2), 0.0)
-                    bias = -z[BIAS] / ((beta + np.sqrt(n[BIAS])) / alpha)
-                    g = (1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - y) * (ones if y else 1.0)
-                    grown = np.sqrt(n[i] + g * g)
-                    z[i] += g - (grown - root) / alpha * w
-                    n[i] += g * g
-                    z[BIAS] += g - (np.sqrt(n[BIAS] + g * g) - np.sqrt(n[BIAS])) / alpha * bias
-                    n[BIAS] += g * g
+            for y, own in zip(batch.column(0).to_pylist(), batch.column(1)):
+                i = np.frombuffer(own.as_buffer(), np.int32)
+                zi, ni = z[i], n[i]
+                root = np.sqrt(ni)
+                w = np.where(np.abs(zi) > l1, (np.sign(zi) * l1 - zi) / ((beta + root) / alpha + l2), 0.0)
+                bias = -z[BIAS] / ((beta + n[BIAS] ** 0.5) / alpha)
+                g = (1 / (1 + np.exp(-min(max(w.sum() + bias, -35), 35))) - y) * (ones if y else 1.0)
+                ni = ni + g * g
+                z[i] = zi + g - (np.sqrt(ni) - root) / alpha * w
+                n[i] = ni
+                z[BIAS] += g - ((n[BIAS] + g * g) ** 0.5 - n[BIAS] ** 0.5) / alpha * bias
+                n[BIAS] += g * g
         at = np.flatnonzero(n != was_n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(z[at] - was_z[at]), pa.array(n[at] - was_n[at])], names=["i", "dz", "dn"])
 
     return run
 
 
+def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's distinct features."""
+    for batch in batches:
+        data, off = buffers(batch.column(1))
+        found = []
+        for lo, hi in chunks(off):
+            hashes, first = words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], ALNUM)
+            for a, b in zip(first[:-1], first[1:]):
+                found.append(np.unique(features(hashes[a:b], np.array([0, b - a]))[0]).astype(np.int32).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["y", "features"])
+
+
 def fit(labelled: DataFrame, label: str, text: str = "text", doc_id: str = "doc_id", settings: Settings | None = None, what: str = "sample") -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets, weights, bias) learned from rows with a text and a label of 0 or 1; others are passed over.
 
@@ -94,8 +102,9 @@ def fit(labelled: DataFrame, label: str, text: str = "text", doc_id: str = "doc_
     # the parts depend on ids alone, the order within them as well
     part = F.pmod(F.xxhash64(F.lit(5), F.col(doc_id)), F.lit(s.parts)).cast("int")
     rows = rows.select(part.alias("part"), F.xxhash64(F.lit(6), F.col(doc_id)).alias("turn"), F.col(label).cast("double").alias("y"), F.col(text).alias("text"))
-    # about ``bound`` texts, dealt once; each epoch reads them again
-    sample = written(rows.repartition(s.parts, "part").sortWithinPartitions("part", "turn", "text").select("y", "text"), what)
+    # about ``bound`` texts, dealt once; each epoch reads their features again
+    dealt = small_batches(rows).repartition(s.parts, "part").sortWithinPartitions("part", "turn", "text").select("y", "text")
+    sample = written(dealt.mapInArrow(_prepared, "y double, features binary"), what)
     at, z, n = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
     for _ in range(s.epochs):
         state = spark.sparkContext.broadcast((at, z, n))

@@ -25,7 +25,7 @@ SPACED[[32, 9, 10, 11, 12, 13]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -95,7 +95,8 @@ def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None
     """The steps that lead from rates of 1 to the targets.
 
     ``targets``: shares of the domains.  ``budget``: their sum as a multiple of
-    all tokens; None takes the largest with which no domain need be repeated.
+    all tokens; None takes that with which the domain with the largest share is
+    used once, whole.
     ``most``: an upper bound of the rates.
     """
     weights = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS])
@@ -106,8 +107,8 @@ def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None
     if not tokens:
         return mix
     natural, square = sums[1 : 1 + k] / tokens, sums[1 + k :].reshape(k, k) / tokens
-    there = (weights > 0) & (natural > 0)
-    scale = budget if budget is not None else min(1.0, float((natural[there] / weights[there]).min(initial=1.0)))
+    main = int(weights.argmax())
+    scale = budget if budget is not None else float(natural[main] / weights[main])
     mix.targets = weights * scale
     # a rare domain's total counts as much as a frequent one's
     ease = 1 / np.sqrt(np.maximum(natural, 1e-4))

@@ -35,7 +35,7 @@ PERCENT = 75
 ORDER_DOCS = 12_000
 ORDER_SHINGLES = 1 << 18
 #: Entries that a task gathers before it passes them on.
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: A longer list is dealt out to cells of about this many documents on either side.
 CELL = 2048
 #: Members of one component in a list from which on its lists become one.
