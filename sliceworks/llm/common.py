@@ -72,7 +72,7 @@ def bounded_sample(rows: DataFrame, by: str, bound: int, strata: str | None = No
 
 
 #: Bytes of an Arrow batch, about: very long texts then come a few at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:

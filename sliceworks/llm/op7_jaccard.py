@@ -33,9 +33,9 @@ WORDS = 5
 PERCENT = 75
 #: Documents whose shingles give the order, about; and the most shingles that it ranks.
 ORDER_DOCS = 12_000
-ORDER_SHINGLES = 1 << 18
+ORDER_SHINGLES = 1 << 17
 #: Entries that a task gathers before it passes them on.
-FLUSH = 500_000
+FLUSH = 250_000
 #: A longer list is dealt out to cells of about this many documents on either side.
 CELL = 2048
 #: Members of one component in a list from which on its lists become one.
@@ -359,7 +359,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     ties = known.where("n > 0").join(rep_of.select("doc_id", F.col("rep").alias("least")), "doc_id").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
 
     local = made.where("bucket = -1").select("keys", "docs").mapInArrow(_unpacked, "key long, doc_id long")
-    across = made.where("bucket >= 0").select("bucket", "keys", "docs").repartition(parts, "bucket").select("keys", "docs").mapInArrow(_met, "key long, doc_id long")
+    across = made.where("bucket >= 0").select("bucket", "keys", "docs").repartition(2 * parts, "bucket").select("keys", "docs").mapInArrow(_met, "key long, doc_id long")
     lists = written(local.unionByName(across).join(rep_of, "doc_id").select("key", "rep").distinct(), "lists")
 
     # every class with the smallest member of the lists that it shares most
