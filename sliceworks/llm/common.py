@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +85,19 @@ def small_batches(df: DataFrame) -> DataFrame:
     if conf.get(name).rstrip("b") == str(64 << 20):  # as Spark sets it out
         conf.set(name, str(BATCH_BYTES))
     return df
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow`` or ``mapInPandas``, whose worker gives back at a task's end what the task has freed.
+
+    Spark keeps workers for later tasks; without this each holds on to its largest task so far.
+    """
+
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim:
+            trim(0)
+
+    return tidied

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, small_batches, written
+from .common import bounded_sample, small_batches, tidy, written
 from .hashing import ALNUM, buffers, chunks, mix, words
 
 BITS = 18
@@ -104,11 +104,11 @@ def fit(labelled: DataFrame, label: str, text: str = "text", doc_id: str = "doc_
     rows = rows.select(part.alias("part"), F.xxhash64(F.lit(6), F.col(doc_id)).alias("turn"), F.col(label).cast("double").alias("y"), F.col(text).alias("text"))
     # about ``bound`` texts, dealt once; each epoch reads their features again
     dealt = small_batches(rows).repartition(s.parts, "part").sortWithinPartitions("part", "turn", "text").select("y", "text")
-    sample = written(dealt.mapInArrow(_prepared, "y double, features binary"), what)
+    sample = written(dealt.mapInArrow(tidy(_prepared), "y double, features binary"), what)
     at, z, n = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
     for _ in range(s.epochs):
         state = spark.sparkContext.broadcast((at, z, n))
-        changed = small_batches(sample).mapInArrow(_updates(state, s.alpha, s.beta, s.l1, s.l2, s.ones), "i long, dz double, dn double")
+        changed = small_batches(sample).mapInArrow(tidy(_updates(state, s.alpha, s.beta, s.l1, s.l2, s.ones)), "i long, dz double, dn double")
         got = changed.groupBy("i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toArrow()  # at most 2**BITS + 1 rows
         full_z, full_n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
         full_z[at], full_n[at] = z, n

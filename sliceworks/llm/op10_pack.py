@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, written
+from .common import small_batches, table, tidy, written
 
 CAPACITY = 1024
 END = 2
@@ -104,7 +104,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
     """Every document's tokens and ``end``, cut to pieces; with the rank of a piece among its task's pieces of that length."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long" + ", ids array<int>" * keep_ids
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return small_batches(rows).mapInPandas(_pieces(tokenizer_path(path), capacity, end, keep_ids), schema)
+    return small_batches(rows).mapInPandas(tidy(_pieces(tokenizer_path(path), capacity, end, keep_ids)), schema)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

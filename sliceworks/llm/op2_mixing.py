@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, written
+from .common import small_batches, table, tidy, written
 from .ftrl import Settings, fit, sampled, scorer
 
 DOMAINS = ("good", "poor", "good_toxic", "poor_toxic")
@@ -86,7 +86,7 @@ def _totals(mix: Mix):
 
 def _sums(members: DataFrame, mix: Mix) -> np.ndarray:
     names = ["n", *(f"t{i}" for i in range(len(DOMAINS))), *(f"s{i}" for i in range(len(DOMAINS) ** 2))]
-    per_task = members.select("n_tokens", *DOMAINS).mapInArrow(_totals(mix), ", ".join(f"{c} double" for c in names))
+    per_task = members.select("n_tokens", *DOMAINS).mapInArrow(tidy(_totals(mix)), ", ".join(f"{c} double" for c in names))
     row = per_task.agg(*[F.sum(c).alias(c) for c in names]).first()
     return np.array([x or 0.0 for x in row])
 
@@ -133,7 +133,7 @@ def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = N
     shared = docs.sparkSession.sparkContext.broadcast(models)  # at most 2**BITS weights each
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS)
-    return written(small_batches(rows).mapInArrow(_memberships(shared), schema), "members"), models
+    return written(small_batches(rows).mapInArrow(tidy(_memberships(shared)), schema), "members"), models
 
 
 def _rated(mix, first: int):
@@ -157,7 +157,7 @@ def source_mix(docs: DataFrame, labels: DataFrame, settings: Settings | None = N
     members, models = members_of(docs, labels, settings)
     mix = docs.sparkSession.sparkContext.broadcast(fit_rates(members, models, **how))
     schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS) + ", domain string, rate double"
-    return small_batches(members).mapInArrow(_rated(mix, 2), schema)
+    return small_batches(members).mapInArrow(tidy(_rated(mix, 2)), schema)
 
 
 def _drawn(mix, at: int, doc: int):
@@ -181,7 +181,7 @@ def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None,
     mix = docs.sparkSession.sparkContext.broadcast(fit_rates(members, models, **how | {"most": 1.0}))
     chance = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
     rows = docs.select("*", chance.alias("chance of staying"))
-    return small_batches(rows).mapInArrow(_drawn(mix, docs.columns.index("text"), len(docs.columns)), docs.schema)
+    return small_batches(rows).mapInArrow(tidy(_drawn(mix, docs.columns.index("text"), len(docs.columns))), docs.schema)
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, small_batches, table
+from .common import fold, small_batches, table, tidy
 from .ftrl import Settings, fit, sampled, scorer
 
 
@@ -36,7 +36,7 @@ def toxicity(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text")
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as many weights as L1 leaves, at most 2**BITS
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    scored = small_batches(rows).mapInArrow(_scores(shared), "doc_id long, score double")
+    scored = small_batches(rows).mapInArrow(tidy(_scores(shared)), "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slots, small_batches, table
+from .common import slots, small_batches, table, tidy
 
 #: Bytes of text a bucket may have before it is dealt out again.
 BUCKET_BYTES = 64 << 20
@@ -147,9 +147,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket_b
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     bucket, n = buckets(rows, "text", bucket_bytes)
     dealt = rows.select(bucket.cast("long").alias("bucket"), F.xxhash64(F.lit(7), "text").alias("h"), F.col("text").cast("binary").alias("text"), "doc_id")
-    once = small_batches(dealt).mapInArrow(_local, "bucket long, h long, text binary, doc_id long, n long")
+    once = small_batches(dealt).mapInArrow(tidy(_local), "bucket long, h long, text binary, doc_id long, n long")
     placed = once.repartition(max(n, slots(docs.sparkSession)), "bucket").sortWithinPartitions("bucket")
-    return small_batches(placed).mapInArrow(_resolve, "text_sha256 string, keep_id long, group_size long")
+    return small_batches(placed).mapInArrow(tidy(_resolve), "text_sha256 string, keep_id long, group_size long")
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:

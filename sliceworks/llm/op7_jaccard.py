@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slots, small_batches, table, written
+from .common import bounded_sample, slots, small_batches, table, tidy, written
 from .components import components, jumped
 from .hashing import SPACED, buffers, chunks, mix, words
 
@@ -142,7 +142,7 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def common_shingles(docs: DataFrame, bound: int = ORDER_DOCS) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several of about ``bound`` documents hold, sorted, and in how many; it shapes lists, not results."""
     some = bounded_sample(docs.where(F.col("doc_id").isNotNull()), "doc_id", bound).select("text")
-    sums = small_batches(some).mapInArrow(_seen, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
+    sums = small_batches(some).mapInArrow(tidy(_seen), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
     got = sums.orderBy(F.desc("n"), "key").limit(ORDER_SHINGLES).toPandas()
     keys = got["key"].to_numpy(np.int64).view(np.uint64)
     at = np.argsort(keys)
@@ -268,7 +268,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataF
     texts = chosen(rows, ids)
     ta, tb = (texts.select(F.col("rep").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
-    return written(small_batches(both).mapInArrow(_compare(percent), "a long, b long").distinct(), "links")
+    return written(small_batches(both).mapInArrow(tidy(_compare(percent)), "a long, b long").distinct(), "links")
 
 
 def _trees(percent: int):
@@ -349,7 +349,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     common = spark.sparkContext.broadcast(common_shingles(rows, order_docs))  # at most ORDER_SHINGLES of them
     parts = slots(spark)
-    made = written(small_batches(rows).mapInArrow(_entries(common, 8 * parts, percent), ENTRIES), "entries")
+    made = written(small_batches(rows).mapInArrow(tidy(_entries(common, 8 * parts, percent)), ENTRIES), "entries")
 
     signs = made.where("bucket = -2").select("doc_id", "n", "s1", "s2")
     classes = signs.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
@@ -358,8 +358,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     # a repeated id with different texts ties its classes together
     ties = known.where("n > 0").join(rep_of.select("doc_id", F.col("rep").alias("least")), "doc_id").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
 
-    local = made.where("bucket = -1").select("keys", "docs").mapInArrow(_unpacked, "key long, doc_id long")
-    across = made.where("bucket >= 0").select("bucket", "keys", "docs").repartition(2 * parts, "bucket").select("keys", "docs").mapInArrow(_met, "key long, doc_id long")
+    local = made.where("bucket = -1").select("keys", "docs").mapInArrow(tidy(_unpacked), "key long, doc_id long")
+    across = made.where("bucket >= 0").select("bucket", "keys", "docs").repartition(2 * parts, "bucket").select("keys", "docs").mapInArrow(tidy(_met), "key long, doc_id long")
     lists = written(local.unionByName(across).join(rep_of, "doc_id").select("key", "rep").distinct(), "lists")
 
     # every class with the smallest member of the lists that it shares most
@@ -391,9 +391,9 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     named = top.select("key", "band", crowd.isNotNull().alias("crowded"), F.coalesce(crowd, "key").alias("list"))
     in_crowd = (F.col("crowded") & (F.col("comp") == F.col("list"))).cast("int").alias("in_crowd")
     open_lists = written(parted.join(named, ["key", "band"]).select("list", "crowded", "band", "rep", "comp", "visitor", in_crowd).distinct(), "open")
-    points = written(small_batches(chosen(rows, written(open_lists.select("rep").distinct(), "involved"))).mapInArrow(_points, "rep long, n long, point binary"), "points")
+    points = written(small_batches(chosen(rows, written(open_lists.select("rep").distinct(), "involved"))).mapInArrow(tidy(_points), "rep long, n long, point binary"), "points")
     ready = cells(open_lists, cell).join(points, "rep").select(*CELL_OF, "rep", "comp", "n", "point", "visitor", "in_crowd")
-    near = small_batches(ready).repartition(4 * parts, *CELL_OF).sortWithinPartitions(*CELL_OF).mapInArrow(_trees(percent), "a long, b long").distinct()
+    near = small_batches(ready).repartition(4 * parts, *CELL_OF).sortWithinPartitions(*CELL_OF).mapInArrow(tidy(_trees(percent)), "a long, b long").distinct()
     links = verified(written(near, "near"), rows, percent)
     edges = links.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b"))).unionByName(ties)
     roots = components(edges)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table, tidy, written
 
 SCALE = 64
 K = 20
@@ -139,7 +139,7 @@ def topk(vectors: DataFrame, k: int = K, every: int = EVERY, vec_id: str = "vec_
     for dim, part in probe.groupby("dim"):
         longest[dim] = (part["vec_id"].to_numpy(), _matrix(part["x"]))
     shared = spark.sparkContext.broadcast(longest)
-    q = asked.mapInPandas(_first(shared, k), "vec_id long, x array<long>, norm double, dim int, theta double")
+    q = asked.mapInPandas(tidy(_first(shared, k)), "vec_id long, x array<long>, norm double, dim int, theta double")
     # blocks of candidates of about one norm: ranges of the norm, and within a range a hash
     rows_c, rows_q = max(1, -(-n // candidates)), max(1, -(-(n // every + 1) // queries))
     ranges = max(1, min(64, rows_c))

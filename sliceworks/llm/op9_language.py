@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, fold, small_batches, table
+from .common import bounded_sample, fold, small_batches, table, tidy
 from .hashing import buffers
 
 BITS = 16
@@ -121,7 +121,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     """A model of about ``bound`` documents of each language, whole texts; None without any."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     rows = bounded_sample(rows, "doc_id", bound, "lang").select("lang", "text")
-    sums = small_batches(rows).mapInArrow(_gather(bits), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = small_batches(rows).mapInArrow(tidy(_gather(bits)), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = sums.toPandas()  # at most 2**bits rows a language
     return Model.of(counts, bits) if len(counts) else None
 
@@ -163,7 +163,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tup
     share = T.StructType([T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType())])
     new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("languages", T.ArrayType(share))]
     out = T.StructType([*docs.select(*kept).schema.fields, *new])
-    return small_batches(rows).mapInArrow(_predict(shared, text, kept), out)
+    return small_batches(rows).mapInArrow(tidy(_predict(shared, text, kept)), out)
 
 
 def learned(docs: DataFrame, part: int = 4, out: int = 2, **how) -> Model | None:
