@@ -88,11 +88,11 @@ def point(s: np.ndarray) -> np.ndarray:
 
 def unpacked(p: bytes, n: int) -> np.ndarray:
     """A point from its bytes, one or four for each group."""
-    return np.frombuffer(p, np.uint8 if len(p) == groups_of(n) else np.uint32).astype(np.int32)
+    return np.frombuffer(p, np.uint8 if len(p) == groups_of(n) else np.uint32)
 
 
 def folded(p: np.ndarray, g: int) -> np.ndarray:
-    return p.reshape(g, -1).sum(axis=1) if len(p) > g else p
+    return p.reshape(g, -1).sum(axis=1, dtype=np.int32) if len(p) > g else p.astype(np.int32, copy=False)
 
 
 class CountTree:
@@ -101,7 +101,6 @@ class CountTree:
     def __init__(self, points: list[np.ndarray], sizes: np.ndarray, g: int | None = None):
         """``g``: groups, no more than any point has that is held or asked for."""
         g = g or min(len(p) for p in points)
-        points = [p.astype(np.int32) for p in points]
         flat = np.stack([folded(p, g) for p in points])
         # neighbours in a leaf: sizes alike, then the counts of the first groups alike
         self.order = np.lexsort((flat[:, 0], flat[:, : max(1, g // 8)].sum(axis=1), sizes.astype(np.int64) // 16))
