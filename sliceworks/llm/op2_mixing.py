@@ -12,7 +12,7 @@ alone, so no rate is ever stored between steps.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +86,7 @@ def _totals(mix: Mix):
 
 def _sums(members: DataFrame, mix: Mix) -> np.ndarray:
     names = ["n", *(f"t{i}" for i in range(len(DOMAINS))), *(f"s{i}" for i in range(len(DOMAINS) ** 2))]
-    per_task = members.select("n_tokens", *DOMAINS).mapInArrow(tidy(_totals(mix)), ", ".join(f"{c} double" for c in names))
+    per_task = members.select("n_tokens", *DOMAINS).mapInArrow(tidy(_totals(replace(mix, models=[]))), ", ".join(f"{c} double" for c in names))
     row = per_task.agg(*[F.sum(c).alias(c) for c in names]).first()
     return np.array([x or 0.0 for x in row])
 
