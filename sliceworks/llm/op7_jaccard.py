@@ -11,8 +11,9 @@ gives a quarter of its set and one; the order puts shingles that a sample finds
 in many documents last, so that lists stay short.  Any order gives the same
 result.  Documents with equal sets are one class.  Each class is first compared
 with the smallest member of the lists it shares most, which joins most near
-copies; only lists that still hold different components get a tree, and only
-pairs of different components are verified.
+copies, then, where a list still holds several components, with a member of
+another one that a hash draws.  Only lists that hold different components after
+that get a tree, and only pairs of different components are verified.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ FLUSH = 250_000
 CELL = 2048
 #: Members of one component in a list from which on its lists become one.
 CROWD = 8
+#: Seeds of the draws by which components meet before the trees.
+DRAWS = (31, 32)
 #: Involved documents up to which their ids are broadcast.
 FEW = 400_000
 #: Children of a tree's node.
@@ -270,6 +273,18 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataF
     return written(small_batches(both).mapInArrow(tidy(_compare(percent)), "a long, b long").distinct(), "links")
 
 
+def drawn(placed: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
+    """Pairs (a, b): each class of lists (key, rep, comp) that hold several components with the drawn member of another one, one pair a class."""
+    several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    mixed = placed.join(several, "key", "left_semi")
+    least = F.min(F.struct(F.xxhash64(F.lit(seed), "rep").alias("h"), "rep", "comp")).alias("least")
+    heads = mixed.groupBy("key").agg(least).select("key", F.col("least.rep").alias("head"), F.col("least.comp").alias("other"))
+    counted = mixed.join(heads, "key").where("comp <> other").groupBy("rep", "head").agg(F.count("*").alias("m"))
+    best = counted.groupBy("rep").agg(F.max(F.struct("m", "head")).alias("best")).select("rep", "best.*")
+    tried = best.join(sizes, "rep").where(F.col("m") * 16 >= F.col("n"))
+    return tried.select(F.greatest("rep", "head").alias("a"), F.least("rep", "head").alias("b")).distinct()
+
+
 def _trees(percent: int):
     def one(across, rep, comp, sizes, points, visitor, in_crowd) -> tuple[np.ndarray, np.ndarray]:
         asks = np.flatnonzero(in_crowd == 0)
@@ -371,9 +386,17 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     tried = best.join(sizes, "rep").where(F.col("m") * 16 >= F.col("n")).select(F.col("rep").alias("a"), F.col("head").alias("b"))
     trees = jumped(verified(written(tried, "tried"), rows, percent).select(F.col("a").alias("node"), F.col("b").alias("parent")))
 
+    def with_comp() -> DataFrame:
+        return lists.join(trees.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("parent", "rep").alias("comp"))
+
+    # a late member of a large group would ask a tree for all of the group; one link to any of it is enough
+    for seed in DRAWS:
+        met = verified(written(drawn(with_comp(), sizes, seed), "drawn"), rows, percent)
+        edges = met.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b")))
+        trees = components(edges).withColumnRenamed("root", "parent")
+
     # lists that still hold several components, parted by size: a set meets those of its own band and of the next
-    comp = F.coalesce("parent", "rep").alias("comp")
-    placed = lists.join(trees.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", comp)
+    placed = with_comp()
     several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
     band = F.floor(F.log("n") / float(np.log(100 / percent + 0.007))).cast("int")
     sized = placed.join(several, "key", "left_semi").join(sizes, "rep").withColumn("band", band)
