@@ -3,10 +3,13 @@
 Classifiers learned from the labelled table give every document a posterior over
 domains (good or poor, toxic or not).  Each document gets a rate, not negative,
 such that the expected token totals of the domains, sum of rate * tokens *
-posterior, come as near to their targets as they can: least squares, solved by
-projected gradient steps.  A step needs one total per domain, summed over all
-documents.  A document's rate follows from its posterior and the steps' slopes
-alone, so no rate is ever stored between steps.
+posterior, come as near to their targets as they can: least squares with a slight
+pull of every rate to 1.  Its solution is a rate of 1 less the posterior times one
+slope per domain, projected on the bounds.  The slopes are found by steps scaled
+with the k x k matrix of the documents between the bounds; a step needs that matrix
+and one total per domain, summed over all documents.  The steps end when the
+residual is small, and the achieved totals come with the result.  A document's rate
+follows from its posterior and the slopes alone, so no rate is ever stored.
 """
 
 from __future__ import annotations
@@ -26,26 +29,35 @@ DOMAINS = ("good", "poor", "good_toxic", "poor_toxic")
 TARGETS = {"good": 0.90, "poor": 0.07, "good_toxic": 0.02, "poor_toxic": 0.01}
 #: Pull of every rate towards 1.
 PULL = 1e-3
-STEPS = 40
+#: Largest residual of a domain, relative to its target, at which the slopes stand still.
 STILL = 1e-6
+#: Passes after which the solve fails; it takes about 2 to 25.
+PASSES = 200
+#: Least share of a domain that weights and residuals count with.
+RARE = 1e-4
 
 
 @dataclass
 class Mix:
-    """Classifiers and the slopes of the steps; with them any document's rate can be told."""
+    """Classifiers and one slope per domain; with them any document's rate can be told.
+
+    ``targets`` and ``totals`` (achieved) are shares of all tokens; ``residual`` is that of the last step.
+    """
 
     models: list
-    slopes: list[np.ndarray]
-    step: float
+    slopes: np.ndarray
     most: float | None
     targets: np.ndarray
     totals: np.ndarray
+    residual: float = 0.0
+    passes: int = 0
 
     def rates(self, p: np.ndarray) -> np.ndarray:
-        r = np.ones(len(p))
-        for g in self.slopes:
-            r = np.clip(r - self.step * (p @ g + PULL * (r - 1)), 0, self.most)
-        return r
+        return np.clip(1 - p @ self.slopes, 0, self.most)
+
+    def achieved(self) -> dict[str, tuple[float, float]]:
+        """Per domain the target and the achieved total."""
+        return {d: (float(t), float(a)) for d, t, a in zip(DOMAINS, self.targets, self.totals)}
 
 
 def posteriors(score, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,61 +80,87 @@ def _matrix(batch: pa.RecordBatch, first: int) -> np.ndarray:
     return np.stack([batch.column(first + i).to_numpy() for i in range(len(DOMAINS))], axis=1)
 
 
+def _names() -> list[str]:
+    k = len(DOMAINS)
+    return ["n", "cost", *(f"r{i}" for i in range(k)), *(f"t{i}" for i in range(k)), *(f"s{i}" for i in range(k * k))]
+
+
 def _totals(mix: Mix):
-    """Per task the domains' totals at the present rates, and how the posteriors go together."""
+    """Per task the tokens, the cost of the rates, the domains' totals whole and at the present rates, and the matrix of documents between the bounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(DOMAINS)
-        total, square, tokens = np.zeros(k), np.zeros((k, k)), 0.0
+        k, most = len(DOMAINS), np.inf if mix.most is None else mix.most
+        cost, tokens = 0.0, 0.0
+        whole, total, square = np.zeros(k), np.zeros(k), np.zeros((k, k))
         for batch in batches:
             n, p = batch.column(0).to_numpy(), _matrix(batch, 1)
-            total += (n * mix.rates(p)) @ p
-            square += (p * n[:, None]).T @ p
+            u = 1 - p @ mix.slopes
+            r = np.clip(u, 0, mix.most)
+            cost += float((n * r) @ (u - r / 2))  # the integral of the projected rate
+            whole += n @ p
+            total += (n * r) @ p
+            square += (p * (n * ((u >= 0) & (u <= most)))[:, None]).T @ p
             tokens += n.sum()
-        yield pa.RecordBatch.from_arrays([pa.array([tokens]), *(pa.array([x]) for x in total), *(pa.array([x]) for x in square.ravel())], names=["n", *(f"t{i}" for i in range(k)), *(f"s{i}" for i in range(k * k))])
+        yield pa.RecordBatch.from_arrays([pa.array([float(x)]) for x in (tokens, cost, *whole, *total, *square.ravel())], names=_names())
 
     return run
 
 
 def _sums(members: DataFrame, mix: Mix) -> np.ndarray:
-    names = ["n", *(f"t{i}" for i in range(len(DOMAINS))), *(f"s{i}" for i in range(len(DOMAINS) ** 2))]
+    names = _names()
     per_task = members.select("n_tokens", *DOMAINS).mapInArrow(tidy(_totals(replace(mix, models=[]))), ", ".join(f"{c} double" for c in names))
     row = per_task.agg(*[F.sum(c).alias(c) for c in names]).first()
     return np.array([x or 0.0 for x in row])
 
 
 def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None = None, budget: float | None = None, most: float | None = None) -> Mix:
-    """The steps that lead from rates of 1 to the targets.
+    """The slopes that lead from rates of 1 to the least squares.
 
     ``targets``: shares of the domains.  ``budget``: their sum as a multiple of
     all tokens; None takes that with which the domain with the largest share is
     used once, whole.
     ``most``: an upper bound of the rates.
+    Where targets are out of reach the least squares still exist; ``achieved``
+    tells how near they come.  A solve that does not end raises.
     """
+    k = len(DOMAINS)
     weights = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS])
     weights = weights / weights.sum()
-    mix = Mix(models, [], 0.0, most, weights, np.zeros(len(DOMAINS)))
-    sums, k = _sums(members, mix), len(DOMAINS)
-    tokens = sums[0]
+    mix = Mix(models, np.zeros(k), most, weights, np.zeros(k))
+    first = _sums(members, mix)
+    tokens = first[0]
     if not tokens:
         return mix
-    natural, square = sums[1 : 1 + k] / tokens, sums[1 + k :].reshape(k, k) / tokens
+    natural = first[2 : 2 + k] / tokens
     main = int(weights.argmax())
     scale = budget if budget is not None else float(natural[main] / weights[main])
     mix.targets = weights * scale
     # a rare domain's total counts as much as a frequent one's
-    ease = 1 / np.sqrt(np.maximum(natural, 1e-4))
-    mix.step = 1 / (float(np.linalg.eigvalsh(square * ease[:, None] * ease[None, :]).max()) + PULL)
-    total = natural
-    for _ in range(STEPS):
-        mix.slopes.append((total - mix.targets) * ease**2)
-        new = _sums(members, mix)[1 : 1 + k] / tokens
-        still = np.abs(new - total).max() < STILL
-        total = new
-        if still:
-            break
-    mix.totals = total
-    return mix
+    pull = PULL * np.maximum(natural, RARE)
+
+    def at(slopes: np.ndarray, sums: np.ndarray | None = None) -> tuple[np.ndarray, float, np.ndarray, np.ndarray, np.ndarray]:
+        """The slopes with the potential, its descent (the residual), the totals and the matrix there; one pass."""
+        got = (_sums(members, replace(mix, slopes=slopes)) if sums is None else sums)[1:] / tokens
+        mix.passes += 1
+        total, square = got[1 + k : 1 + 2 * k], got[1 + 2 * k :].reshape(k, k)
+        potential = got[0] + mix.targets @ slopes + (pull * slopes**2).sum() / 2
+        return slopes, potential, total - mix.targets - pull * slopes, total, square
+
+    now = at(mix.slopes, first)
+    while True:
+        mix.slopes, potential, rest, mix.totals, square = now
+        mix.residual = float((np.abs(rest) / np.maximum(mix.targets, RARE)).max())
+        if mix.residual <= STILL:
+            return mix
+        # the potential is convex with this matrix as its curvature, so short enough steps along ``way`` descend
+        way, part = np.linalg.solve(square + np.diag(pull), rest), 1.0
+        while True:
+            if mix.passes >= PASSES:
+                raise RuntimeError(f"rates not settled after {PASSES} passes: residual {mix.residual:.1e}, at most {STILL:.0e}; {mix.achieved()}")
+            now = at(mix.slopes + part * way)
+            if now[1] <= potential - 1e-4 * part * float(rest @ way) + 1e-14 * abs(potential):
+                break
+            part /= 2
 
 
 def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> tuple[DataFrame, list]:

@@ -134,6 +134,33 @@ def test_op2_steps_reach_the_least_squares(spark):
     assert (r >= 0).all() and np.allclose(((n * r) @ p) / n.sum(), np.array([0.36, 0.36, 0.24, 0.24]), atol=0.01)
 
 
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_op2_settles(spark, most):
+    """Natural shares as the corpus has them; the totals are those of the least squares."""
+    rng = np.random.default_rng(4)
+    domain = rng.choice(4, 3000, p=[0.77, 0.11, 0.105, 0.015])
+    p = rng.dirichlet([0.3] * 4, 3000) * 0.1 + 0.9 * np.eye(4)[domain]
+    n = rng.integers(1, 400, 3000)
+    rows = [(i, int(n[i]), *map(float, p[i])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, " + ", ".join(f"{x} double" for x in op2_mixing.DOMAINS))
+    mix = op2_mixing.fit_rates(df, [], most=most)
+    r = mix.rates(p)
+    total, natural = ((n * r) @ p) / n.sum(), (n @ p) / n.sum()
+    assert np.allclose(mix.totals, total, rtol=1e-9) and mix.residual <= op2_mixing.STILL
+    assert np.allclose([a for _, a in mix.achieved().values()], total)
+    # no rate gains by a change: the slope of the least squares is 0 between the bounds, and points out of them elsewhere
+    g = p @ ((total - mix.targets) / natural) + op2_mixing.PULL * (r - 1)
+    inside = (r > 0) & (r < (most or np.inf))
+    assert np.abs(g[inside]).max(initial=0) < 1e-5 and (g[r == 0] > -1e-5).all() and (g[r == most] < 1e-5).all()
+
+
+def test_op2_totals_meet_targets(spark, middle):
+    """Each domain's own total, so that a rare one counts as well."""
+    members, models = op2_mixing.members_of(table(spark, middle, "documents"), table(spark, middle, "labels"))
+    mix = op2_mixing.fit_rates(members, models)
+    assert np.allclose(mix.totals, mix.targets, rtol=0.02)
+
+
 def test_op2_edges(spark):
     rows = docs(spark, [(1, None), (2, ""), (2, ""), (3, "some words"), (None, "x"), (4, "word " * 30000)]).withColumn("rate", F.lit(1))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
