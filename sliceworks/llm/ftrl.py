@@ -154,10 +154,13 @@ def scorer(models: list[tuple[np.ndarray, np.ndarray, float]]):
 
 
 def sampled(docs: DataFrame, labels: DataFrame, bound: int, doc_id: str = "doc_id") -> DataFrame:
-    """Texts and labels of about ``bound`` labelled documents, by a hash of their ids.
+    """Texts and labels of about ``bound`` labelled documents of ``docs``, by a hash of their ids.
 
-    Repeated labels of a document: the largest of each kind.  The ids are bounded
-    by ``bound``, so they are broadcast and no text is shuffled.
+    Labels of other documents do not count towards the bound.  Repeated labels
+    of a document: the largest of each kind.  The ids are bounded by ``bound``,
+    so they are broadcast and no text is shuffled.
     """
     once = labels.where(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    return docs.select(doc_id, "text").join(F.broadcast(bounded_sample(once, doc_id, bound)), doc_id)
+    here = docs.where(F.col(doc_id).isNotNull()).select(doc_id).distinct()
+    present = written(once.join(here, doc_id, "left_semi"), "present")
+    return docs.select(doc_id, "text").join(F.broadcast(bounded_sample(present, doc_id, bound)), doc_id)

@@ -14,6 +14,7 @@ follows from its posterior and the slopes alone, so no rate is ever stored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -33,6 +34,8 @@ PULL = 1e-3
 STILL = 1e-6
 #: Passes after which the solve fails; it takes about 2 to 25.
 PASSES = 200
+#: Part of its target that a domain of the drawn documents may miss without a warning.
+MISS = 0.05
 #: Least share of a domain that weights and residuals count with.
 RARE = 1e-4
 
@@ -60,6 +63,9 @@ class Mix:
         return {d: (float(t), float(a)) for d, t, a in zip(DOMAINS, self.targets, self.totals)}
 
 
+log = logging.getLogger(__name__)
+
+
 def posteriors(score, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Per text the posterior of each domain, and its words."""
     (good, toxic), n = score(column)
@@ -216,7 +222,11 @@ def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None,
     All columns stay.  The rates are told anew from each text, so nothing is joined.
     """
     members, models = members_of(docs, labels, settings)
-    mix = docs.sparkSession.sparkContext.broadcast(fit_rates(members, models, **how | {"most": 1.0}))
+    found = fit_rates(members, models, **how | {"most": 1.0})
+    far = (np.abs(found.totals - found.targets) > MISS * found.targets).any()
+    # the posteriors of a text sum to 1, so the totals sum to the share of tokens that stays
+    log.log(logging.WARNING if far else logging.INFO, "mixing keeps %.3f of all tokens; domains (target, achieved): %s", found.totals.sum(), found.achieved())
+    mix = docs.sparkSession.sparkContext.broadcast(found)
     chance = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
     rows = docs.select("*", chance.alias("chance of staying"))
     return small_batches(rows).mapInArrow(tidy(_drawn(mix, docs.columns.index("text"), len(docs.columns))), docs.schema)

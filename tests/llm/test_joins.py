@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sliceworks.llm import components, op2_mixing, op7_jaccard, op9_language
+from sliceworks.llm import components, ftrl, op2_mixing, op7_jaccard, op9_language
 from sliceworks.llm.common import table
 
 from .helpers import DOCS, docs
@@ -161,6 +161,23 @@ def test_op2_totals_meet_targets(spark, middle):
     assert np.allclose(mix.totals, mix.targets, rtol=0.02)
 
 
+def test_op2_learns_from_the_documents_present(spark):
+    """Labels of documents that earlier stages dropped do not use up the bound."""
+    labels = spark.range(4000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    got = ftrl.sampled(docs(spark, [(i, f"text {i}") for i in range(40)] + [(None, "x")]), labels, 40)
+    assert {r["doc_id"] for r in got.collect()} == set(range(40))
+
+
+def test_op2_clean_documents_stay(spark, middle, caplog):
+    docs_, labels = table(spark, middle, "documents"), table(spark, middle, "labels")
+    with caplog.at_level("INFO"):
+        kept = {r["doc_id"] for r in op2_mixing.drawn(docs_, labels).select("doc_id").collect()}
+    assert "mixing keeps" in caplog.text and len(kept) > 0.85 * docs_.count()
+    bad = labels.where("coalesce(quality, 0) <> 1 or coalesce(toxic, 1) <> 0").select("doc_id")
+    clean = {r["doc_id"] for r in labels.join(bad, "doc_id", "left_anti").join(docs_, "doc_id", "left_semi").select("doc_id").collect()}
+    assert clean and len(clean & kept) > 0.98 * len(clean)
+
+
 def test_op2_edges(spark):
     rows = docs(spark, [(1, None), (2, ""), (2, ""), (3, "some words"), (None, "x"), (4, "word " * 30000)]).withColumn("rate", F.lit(1))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
