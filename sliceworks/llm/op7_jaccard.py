@@ -351,6 +351,9 @@ def cells(lists: DataFrame, cell: int = CELL) -> DataFrame:
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, order_docs: int = ORDER_DOCS, cell: int = CELL) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id for every document.
 
+    Components only: pairs of one component are compared no further than joins
+    it, so neither the links nor their number is given.
+
     ``component_id``: the smallest doc_id reachable by links; ``class_id``: the
     smallest doc_id with the same set.  Words are what blanks and tab to carriage
     return leave, A-Z in small form; with fewer than five words the whole
