@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,27 +29,32 @@ def canonical(affine: list[float]) -> tuple[tuple[int, int, int], tuple[bool, bo
     return tuple(axes), tuple(flips)
 
 
-def bounding_boxes(voxels: DataFrame, label: str, shape: tuple[int, int, int], spacing: tuple[float, float, float], p: BoxParams, inclusive_end: bool = False) -> DataFrame:
+def bounding_boxes(voxels: DataFrame, label: str, shape: tuple[int, int, int] | None, spacing: tuple[float, float, float] | None, p: BoxParams, inclusive_end: bool = False, volumes: DataFrame | None = None) -> DataFrame:
     """x0, x1, y0, y1, z0, z1 per case, ends exclusive; without the labels the whole extent.
 
     As in the reference data the last index itself is the exclusive end;
-    ``inclusive_end`` adds it.
+    ``inclusive_end`` adds it.  ``volumes`` (case_no, nx, ny, nz, sx, sy, sz) takes the
+    place of one shape and spacing.
     """
     hit = F.col(label).isin(*p.roi)
     bounds = [f(F.when(hit, F.col(a))).alias(f"{a}_{n}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]
     found = voxels.groupBy("case_no").agg(*bounds)
+    if volumes is not None:
+        found = found.join(volumes, "case_no")
+    extent = [F.lit(shape[i]) if volumes is None else F.col(f"n{a}") for i, a in enumerate(AXES)]
+    pitch = [F.lit(float(spacing[i])) if volumes is None else F.col(f"s{a}") for i, a in enumerate(AXES)]
     out = []
     for i, a in enumerate(AXES):
         if not p.axes[i]:
-            out += [F.lit(0).alias(f"{a}0"), F.lit(shape[i]).alias(f"{a}1")]
+            out += [F.lit(0).alias(f"{a}0"), extent[i].alias(f"{a}1")]
             continue
-        m = math.ceil(p.margin_mm[i] / spacing[i])
-        inside = lambda c: F.greatest(F.lit(0), F.least(F.lit(shape[i]), c))  # noqa: E731, B023
-        out += [F.coalesce(inside(F.col(f"{a}_lo") - m), F.lit(0)).alias(f"{a}0"), F.coalesce(inside(F.col(f"{a}_hi") + m + int(inclusive_end)), F.lit(shape[i])).alias(f"{a}1")]
+        m = F.ceil(F.lit(float(p.margin_mm[i])) / pitch[i])
+        inside = lambda c: F.greatest(F.lit(0), F.least(extent[i], c))  # noqa: E731, B023
+        out += [F.coalesce(inside(F.col(f"{a}_lo") - m), F.lit(0)).alias(f"{a}0"), F.coalesce(inside(F.col(f"{a}_hi") + m + int(inclusive_end)), extent[i]).alias(f"{a}1")]
     # greatest() and least() pass over nulls, so cases without a hit are told apart here
     empty = F.col("z_lo").isNull()
-    whole = [F.when(empty, F.lit(v)).otherwise(F.col(n)).cast("int").alias(n) for a, s in zip(AXES, shape) for n, v in ((f"{a}0", 0), (f"{a}1", s))]
-    return found.select("case_no", F.col("z_lo"), *out).select("case_no", *whole)
+    whole = [F.when(empty, v).otherwise(F.col(n)).cast("int").alias(n) for a, s in zip(AXES, extent) for n, v in ((f"{a}0", F.lit(0)), (f"{a}1", s))]
+    return found.select("case_no", F.col("z_lo"), *([] if volumes is None else ["nx", "ny", "nz"]), *out).select("case_no", *whole)
 
 
 def cropped(voxels: DataFrame, boxes: DataFrame, shift: bool = True) -> DataFrame:

@@ -13,12 +13,20 @@ def slice_histogram(voxels: DataFrame, label: str) -> DataFrame:
     return voxels.groupBy("case_no", "z", F.col(label).cast("int").alias("label")).agg(F.count("*").alias("n"))
 
 
-def areas(hist: DataFrame, pixel_mm2: float, tissues: dict[int, str] | None = None) -> DataFrame:
-    """Whole mm2 per slice and tissue, halves to even, 0 where there is none."""
+def areas(hist: DataFrame, pixel_mm2: float | DataFrame, tissues: dict[int, str] | None = None) -> DataFrame:
+    """Whole mm2 per slice and tissue, halves to even, 0 where there is none.
+
+    ``pixel_mm2``: one area for all cases, or a table (case_no, sx, sy) of each case's own spacing.
+    """
     t = tissues or TISSUES
     sums = [F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(name) for k, name in t.items()]
     wide = hist.groupBy("case_no", "z").agg(*sums)
-    return wide.select("case_no", "z", *[F.rint(F.col(n).cast("double") * F.lit(float(pixel_mm2))).cast("long").alias(f"mm2_{n.lower()}") for n in t.values()])
+    if isinstance(pixel_mm2, DataFrame):
+        wide = wide.join(pixel_mm2.select("case_no", (F.col("sx") * F.col("sy")).alias("pixel")), "case_no")
+        pixel = F.col("pixel")
+    else:
+        pixel = F.lit(float(pixel_mm2))
+    return wide.select("case_no", "z", *[F.rint(F.col(n).cast("double") * pixel).cast("long").alias(f"mm2_{n.lower()}") for n in t.values()])
 
 
 def square_cm(mm2: Column) -> Column:

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+EXTENT = ("nx", "ny", "nz")
+
+
 def _steps(rank: int, corners: bool) -> list[tuple[int, ...]]:
     near = itertools.product((-1, 0, 1), repeat=rank)
     return [s for s in near if any(s) and (corners or sum(map(abs, s)) == 1)]
@@ -58,7 +61,13 @@ def _dense(pdf: pd.DataFrame, axes: list[str], shape: tuple[int, ...], column: s
 
 def _grouped(voxels: DataFrame, keys: list[str], run) -> DataFrame:
     schema = "case_no int, x int, y int, z int, mask boolean"
-    return voxels.select("case_no", "x", "y", "z", F.col("mask")).groupBy(*keys).applyInPandas(run, schema)
+    own = [c for c in EXTENT if c in voxels.columns]  # a case's own shape
+    return voxels.select("case_no", "x", "y", "z", "mask", *own).groupBy(*keys).applyInPandas(lambda pdf: run(pdf)[["case_no", "x", "y", "z", "mask"]], schema)
+
+
+def _shape(pdf: pd.DataFrame, shape: tuple[int, int, int] | None) -> tuple[int, ...]:
+    """The shape of all cases, or without one that of the case's columns nx, ny, nz."""
+    return shape or tuple(int(pdf[c].iloc[0]) for c in EXTENT)
 
 
 def without_small(voxels: DataFrame, shape: tuple[int, int, int], limit: float, unit: float, three_d: bool = False) -> DataFrame:
@@ -81,20 +90,20 @@ def largest(comp: np.ndarray) -> np.ndarray:
     return comp == names[n.argmax()] if len(names) else comp >= 0  # ties: the first in scan order
 
 
-def keep_largest(voxels: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+def keep_largest(voxels: DataFrame, shape: tuple[int, int, int] | None) -> DataFrame:
     """The largest component of a case's mask; faces connect."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = _dense(pdf, ["x", "y", "z"], shape, "mask")
+        mask = _dense(pdf, ["x", "y", "z"], _shape(pdf, shape), "mask")
         keep = mask if mask.all() else largest(labelled(mask, False))
         return pdf.assign(mask=keep[tuple(pdf[a].to_numpy() for a in "xyz")])
 
     return _grouped(voxels, ["case_no"], run)
 
 
-def fill_holes(voxels: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+def fill_holes(voxels: DataFrame, shape: tuple[int, int, int] | None) -> DataFrame:
     """Background that faces do not connect to the outside becomes mask."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = np.pad(_dense(pdf, ["x", "y", "z"], shape, "mask"), 1)
+        mask = np.pad(_dense(pdf, ["x", "y", "z"], _shape(pdf, shape), "mask"), 1)
         full = ~largest(labelled(~mask, False))[1:-1, 1:-1, 1:-1]
         return pdf.assign(mask=full[tuple(pdf[a].to_numpy() for a in "xyz")])
 

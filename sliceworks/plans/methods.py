@@ -11,7 +11,7 @@ from ..functions.labels import BOXES, METHODS, Method
 from ..operators import frame, grid, hist, levels, morph, voxel
 
 
-def tissue_and_levels(voxels: DataFrame, m: Method, shape, spacing) -> tuple[DataFrame, DataFrame]:
+def tissue_and_levels(voxels: DataFrame, m: Method, shape, spacing, volumes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Histograms of tissue and of vertebrae, after the method's masks and box."""
     vert = F.col("vert")
     if m.spine:
@@ -20,23 +20,32 @@ def tissue_and_levels(voxels: DataFrame, m: Method, shape, spacing) -> tuple[Dat
     if m.vertebral_bodies:
         rows = rows.withColumn("vert", voxel.within_bodies(F.col("vert"), F.col("vb"), m.readd_sacrum))
     if m.box:
-        rows = grid.cropped(rows, grid.bounding_boxes(rows, "vert", shape, spacing, BOXES[m.box]), shift=False)
+        rows = grid.cropped(rows, grid.bounding_boxes(rows, "vert", shape, spacing, BOXES[m.box], volumes=volumes), shift=False)
     tissue = voxel.with_psoas(F.col("tissue"), F.col("iliopsoas")) if m.psoas else F.col("tissue")
     rows = rows.withColumn("tissue", voxel.masked_tissue(tissue, F.col("hu"), m.tissue))
     if m.trunk:
-        trunk = morph.fill_holes(morph.keep_largest(rows.withColumn("mask", F.col("trunk") == 1), shape), shape)
+        whole = rows.withColumn("mask", F.col("trunk") == 1)
+        if volumes is None:
+            trunk = morph.fill_holes(morph.keep_largest(whole, shape), shape)
+        else:
+            extent = volumes.select("case_no", *morph.EXTENT)
+            trunk = morph.fill_holes(morph.keep_largest(whole.join(extent, "case_no"), None).join(extent, "case_no"), None)
         rows = rows.join(trunk, ["case_no", "x", "y", "z"]).withColumn("tissue", F.when(F.col("mask"), F.col("tissue")).otherwise(0)).drop("mask")
     return hist.slice_histogram(rows, "tissue"), hist.slice_histogram(rows, "vert")
 
 
-def run(voxels: DataFrame, method: str = "BodyCompositionFast", shape=None, spacing=None, min_voxels: int | None = None) -> dict[str, DataFrame]:
-    """raw: a row per slice.  l3_mean: a row per case, for the methods that have it."""
+def run(voxels: DataFrame, method: str = "BodyCompositionFast", shape=None, spacing=None, min_voxels: int | None = None, volumes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """raw: a row per slice.  l3_mean: a row per case, for the methods that have it.
+
+    ``volumes`` (case_no, nx, ny, nz, sx, sy, sz) has a row for every case and
+    takes the place of ``shape`` and ``spacing``, which hold for all cases.
+    """
     if method not in METHODS:
         raise ValueError(f"unknown method {method}; there are {sorted(METHODS)}")
     m = METHODS[method]
     p = m.levels if min_voxels is None else replace(m.levels, min_voxels=min_voxels)
-    tissue, vert = tissue_and_levels(voxels, m, shape, spacing)
-    raw = frame.combined(levels.level_table(vert, p), hist.areas(tissue, spacing[0] * spacing[1]))
+    tissue, vert = tissue_and_levels(voxels, m, shape, spacing, volumes)
+    raw = frame.combined(levels.level_table(vert, p), hist.areas(tissue, spacing[0] * spacing[1] if volumes is None else volumes))
     out = {"raw": raw}
     if m.l3_mean:
         out["l3_mean"] = frame.aggregated(frame.subset(raw, "level", "L3"), "mean", "level")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from sliceworks.functions.labels import BoxParams, LevelParams
 from sliceworks.operators import cases, frame, grid, hist, morph
-from sliceworks.sources import files
+from sliceworks.plans import methods
+from sliceworks.sources import files, synthetic
 
 
 @pytest.mark.parametrize("counts, level", [({0: 900, 15: 25, 16: 25}, 15), ({0: 900, 15: 19}, 0), ({0: 900, 19: 500, 17: 25}, 17), ({0: 900, 19: 500}, 19), ({0: 900, 19: 1, 17: 19}, 19), ({17: 10, 18: 10}, 17)])
@@ -55,6 +56,20 @@ def test_volume_round_trip(spark, tmp_path):
     assert (back == data).all() and np.allclose(a, affine) and grid.canonical(affine.ravel().tolist()) == ((0, 1, 2), (True, False, False))
 
 
+@pytest.mark.parametrize("name", ["BodyComposition", "BodyCompositionFast"])
+def test_methods_of_mixed_spacing(spark, middle, name):
+    """Cases of other shapes and spacings in one run equal runs of their own."""
+    v = synthetic.voxels(spark, middle).where("case_no < 2").where("case_no = 0 or (x < 4 and z < 16)")
+    kinds = {0: ((5, 10, 20), (1.5, 1.5, 5.0)), 1: ((4, 10, 16), (0.7, 0.9, 2.5))}
+    volumes = spark.createDataFrame([(c, *n, *s) for c, (n, s) in kinds.items()], "case_no int, nx int, ny int, nz int, sx double, sy double, sz double")
+    got = methods.run(v, name, min_voxels=12, volumes=volumes)["raw"]
+    for c, (n, s) in kinds.items():
+        want = methods.run(v.where(f"case_no = {c}"), name, n, s, 12)["raw"]
+        assert sorted(map(str, got.where(f"case_no = {c}").collect())) == sorted(map(str, want.collect()))
+    if name == "BodyComposition":
+        assert got.where("case_no = 1").count() == 16
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert {n for n in __spark_entry__.oracle_sql()} <= set(__spark_entry__.queries())
