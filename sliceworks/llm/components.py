@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+def renamed(parents: DataFrame, above: DataFrame) -> DataFrame:
+    """(node, parent) of ``parents``, whose roots move to those that ``above`` (node, parent) gives them, and ``above`` itself."""
+    up = above.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+    moved = parents.join(up, "parent", "left").select("node", F.coalesce("above", "parent").alias("parent"))
+    return moved.unionByName(above.select("node", "parent"))
+
+
 def jumped(parents: DataFrame) -> DataFrame:
     """(node, parent) with every parent a root; parents are smaller than their nodes, roots need no row."""
     while True:
@@ -29,12 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
     found = None
     while edges.limit(1).count():
         parents = jumped(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("parent")))
-        if found is None:
-            found = parents
-        else:
-            new = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-            moved = found.join(new, "parent", "left").select("node", F.coalesce("above", "parent").alias("parent"))
-            found = written(moved.unionByName(parents.join(found.select("node"), "node", "left_anti")), "roots")
+        # roots alone have edges still, so no node comes twice
+        found = parents if found is None else written(renamed(found, parents), "roots")
         pa, pb = (parents.select(F.col("node").alias(x), F.col("parent").alias(f"r{x}")) for x in "ab")
         up = edges.join(pa, "a", "left").join(pb, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
         edges = written(up.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")

@@ -1,19 +1,19 @@
 """Words of a batch of texts as 64-bit hashes, without a Python loop over words.
 
-A batch is the byte buffer of an Arrow string column and its offsets.  A word's
-hash is a polynomial over its bytes, modulo 2**64, then mixed; equal words get
-equal hashes on every executor.
+A batch is the byte buffer of an Arrow string column and its offsets.  A word is
+read eight bytes at a time and its hash is mixed after each of these steps; long
+words go through xxh3.  Equal words get equal hashes on every executor.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-_RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_POW = np.ones(1, np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes up to which a word is read by steps.
+BY_STEPS = 32
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -37,14 +37,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POW
-    if len(_POW) < n:
-        size = max(n, 64, 2 * len(_POW))
-        steps = np.full(size, _BASE, np.uint64)
-        steps[0] = 1
-        _POW = np.cumprod(steps, dtype=np.uint64)
-    return _POW
+def word_hashes(chars: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The hash of each word, given its first byte and its length; bytes in small form."""
+    padded = np.append(chars, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(chars) + 1, "<u8", padded, strides=(1,))
+    h = lengths.astype(np.uint64) * _STEP
+    at = np.arange(len(begin))
+    for done in range(0, BY_STEPS, 8):
+        at = at[lengths[at] > done]
+        if not len(at):
+            break
+        left = np.minimum(lengths[at] - done, 8).astype(np.uint64)
+        own = eight[begin[at] + done] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
+        h[at] = mix((h[at] ^ own) * _STEP)
+    for i in np.flatnonzero(lengths > BY_STEPS):
+        h[i] = xxhash.xxh3_64_intdigest(chars[begin[i] : begin[i] + lengths[i]].tobytes())
+    return h
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -76,9 +84,7 @@ def words(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.nd
     chars = _LOWER[data[at]]
     begin = np.flatnonzero(start[at])
     lengths = np.diff(np.append(begin, len(chars)))
-    place = np.arange(len(chars)) - np.repeat(begin, lengths)
-    value = _BYTE[chars] * _powers(int(lengths.max()))[place]
-    return mix(np.add.reduceat(value, begin) + lengths.astype(np.uint64)), first
+    return word_hashes(chars, begin, lengths), first
 
 
 def chunks(off: np.ndarray):

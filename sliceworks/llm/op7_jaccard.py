@@ -3,17 +3,20 @@
 A document is the set of its 5-word shingles.  Hashed into groups it is a point
 of counts; the overlap of two documents is at most the sum of the smaller of
 their counts, and of a document and a tree node at most that with the node's
-largest counts.
+largest counts.  All pairs that are ever compared come out of such trees.
 
 The corpus does not fit one tree, so trees are built over lists.  Two sets that
 link share one of their first shingles, whatever the order of shingles, if each
 gives a quarter of its set and one; the order puts shingles that a sample finds
 in many documents last, so that lists stay short.  Any order gives the same
-result.  Documents with equal sets are one class.  Each class is first compared
-with the smallest member of the lists it shares most, which joins most near
-copies, then, where a list still holds several components, with a member of
-another one that a hash draws.  Only lists that hold different components after
-that get a tree, and only pairs of different components are verified.
+result.  Documents with equal sets are one class.
+
+Components need no pair inside a component that is known already, so the trees
+are asked three times.  First each class goes to one of its lists, drawn by a
+hash, and trees over parts of these lists join most near copies; the smallest
+members of what they join meet again until no list has several parts.  Then all
+lists that still hold several components are asked for one pair of any two
+components, and at last those of them that had more for all pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, slots, small_batches, table, tidy, written
-from .components import components, jumped
+from .components import components, renamed
 from .hashing import SPACED, buffers, chunks, mix, words
 
 WORDS = 5
@@ -37,12 +40,13 @@ ORDER_DOCS = 12_000
 ORDER_SHINGLES = 1 << 17
 #: Entries that a task gathers before it passes them on.
 FLUSH = 250_000
-#: A longer list is dealt out to cells of about this many documents on either side.
+#: In the first trees a list is dealt out to parts of about this many documents; a tree takes so many bytes of sets.
+PART = 512
+PART_BYTES = 32 << 20
+#: Later, a longer list is dealt out to cells of about this many documents on either side.
 CELL = 2048
 #: Members of one component in a list from which on its lists become one.
 CROWD = 8
-#: Seeds of the draws by which components meet before the trees.
-DRAWS = (31, 32)
 #: Involved documents up to which their ids are broadcast.
 FEW = 400_000
 #: Children of a tree's node.
@@ -116,7 +120,7 @@ class CountTree:
         self.g = g
 
     def near(self, p: np.ndarray, size: int, percent: int = PERCENT) -> np.ndarray:
-        """Places (in the given order) whose overlap with the point may suffice."""
+        """Places (in the given order) whose overlap with the point may suffice, those with the largest bound first."""
         p = folded(p, self.g)
         at = np.arange(len(self.levels[-1][0]))
         for k in range(len(self.levels) - 1, -1, -1):
@@ -124,11 +128,12 @@ class CountTree:
             fits = (100 * small[at] <= (10000 * size) // percent + 100) & (100 * large[at] >= percent * size)
             at = at[fits]
             bound = np.minimum(top[at], p).sum(axis=1)
-            at = at[bound * (100 + percent) >= percent * (size + small[at])]
+            stay = bound * (100 + percent) >= percent * (size + small[at])
+            at, bound = at[stay], bound[stay]
             if k:
                 at = (at[:, None] * FAN + np.arange(FAN)).ravel()
                 at = at[at < len(self.levels[k - 1][0])]
-        return self.order[at]
+        return self.order[at[np.argsort(-bound, kind="stable")]]
 
 
 # --- the order of shingles
@@ -166,18 +171,31 @@ def first_ones(s: np.ndarray, common: tuple[np.ndarray, np.ndarray], percent: in
     return np.concatenate([rare, rest[np.lexsort((rest, count))][: n - len(rare)]])
 
 
+def names_of(sets: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit name for each set; equal sets have equal names."""
+    filled = [s for s in sets if len(s)]
+    out = np.zeros(len(sets), np.uint64)
+    if filled:
+        flat, n = np.concatenate(filled), np.array([len(s) for s in filled])
+        begin = np.append(0, np.cumsum(n)[:-1])
+        two = mix(np.add.reduceat(mix(flat * _SHORT), begin) + n.astype(np.uint64))
+        out[[i for i, s in enumerate(sets) if len(s)]] = mix(np.add.reduceat(flat, begin) ^ two)
+    return out.view(np.int64)
+
+
 # --- one pass over the texts
-ENTRIES = "bucket int, keys binary, docs binary, doc_id long, n long, s1 long, s2 long"
+#: Rows of bucket -2: a document, the size, name and point of its set.  Others: lists.
+ENTRIES = "bucket int, keys binary, sets binary, doc_id long, n long, name long, point binary"
 
 
 def _entries(shared, n_buckets: int, percent: int):
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sets", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("name", pa.int64()), ("point", pa.binary())])
 
-    def packed(keys: list, docs: list) -> Iterator[pa.RecordBatch]:
+    def packed(keys: list, names: list) -> Iterator[pa.RecordBatch]:
         """Lists with several members here go out whole (bucket -1); each list's smallest member goes to its bucket."""
         if not keys:
             return
-        k, d = np.concatenate(keys), np.concatenate(docs)
+        k, d = np.concatenate(keys), np.concatenate(names)
         order = np.lexsort((d, k))
         k, d = k[order], d[order]
         begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
@@ -189,35 +207,35 @@ def _entries(shared, n_buckets: int, percent: int):
         rows += [(b, k[x:y].tobytes(), d[x:y].tobytes()) for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
         b, ks, ds = zip(*rows)
         none = pa.nulls(len(b), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(ks, pa.binary()), pa.array(ds, pa.binary()), none, none, none, none], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(ks, pa.binary()), pa.array(ds, pa.binary()), none, none, none, pa.nulls(len(b), pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
-        keys, docs, held, met = [], [], 0, set()
+        keys, names, held, met = [], [], 0, set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            signs = []
-            for doc, s in zip(ids, shingle_sets(*buffers(batch.column(1)))):
-                sign = (len(s), int(s.sum(dtype=np.uint64).view(np.int64)), int(mix(s * _SHORT).sum(dtype=np.uint64).view(np.int64)))
-                signs.append(sign)
-                if len(s) > 1 and doc is not None and sign not in met:
-                    met.add(sign)
+            sets = list(shingle_sets(*buffers(batch.column(1))))
+            own_names = names_of(sets)
+            points = []
+            for doc, s, name in zip(ids, sets, own_names.tolist()):
+                points.append(point(s).tobytes() if len(s) > 1 else None)
+                if len(s) > 1 and doc is not None and name not in met:
+                    met.add(name)
                     own = first_ones(s, common, percent)
-                    keys.append(own), docs.append(np.full(len(own), doc, np.int64))
+                    keys.append(own), names.append(np.full(len(own), name, np.int64))
                     held += len(own)
-            n, s1, s2 = zip(*signs) if signs else ((), (), ())
-            void = pa.nulls(len(ids), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([-2] * len(ids), pa.int32()), void, void, pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64())], schema=schema)
+            void, n = pa.nulls(len(ids), pa.binary()), [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array([-2] * len(ids), pa.int32()), void, void, pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(own_names), pa.array(points, pa.binary())], schema=schema)
             if held > FLUSH:
-                yield from packed(keys, docs)
-                keys, docs, held, met = [], [], 0, set()
-        yield from packed(keys, docs)
+                yield from packed(keys, names)
+                keys, names, held, met = [], [], 0, set()
+        yield from packed(keys, names)
 
     return run
 
 
 def _pairs_out(k: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(d)], names=["key", "doc_id"])
+    return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(d)], names=["key", "name"])
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,100 +245,177 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a part of the keys, those that several tasks have."""
-    keys, docs = [], []
-    for batch in batches:
-        for k, d in zip(batch.column(0), batch.column(1)):
-            keys.append(np.frombuffer(k.as_buffer(), np.uint64)), docs.append(np.frombuffer(d.as_buffer(), np.int64))
-    if keys:
-        k, d = np.concatenate(keys), np.concatenate(docs)
-        order = np.argsort(k, kind="stable")
+    """Of each bucket of keys the lists with several members; a list of one task alone has gone out whole."""
+
+    def several() -> pa.RecordBatch:
+        k, d = np.concatenate(keys), np.concatenate(names)
+        order = np.lexsort((d, k))
         k, d = k[order], d[order]
+        new = np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]))
+        k, d = k[new], d[new]
         again = k[1:] == k[:-1]
         shared = np.append(again, False) | np.append(False, again)
-        yield _pairs_out(k[shared], d[shared])
-
+        return _pairs_out(k[shared], d[shared])
 
-# --- comparison
-def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keys, names, now = [], [], None
     for batch in batches:
-        sets = list(shingle_sets(*buffers(batch.column(1))))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([point(s).tobytes() for s in sets], pa.binary())], names=["rep", "n", "point"])
-
+        for bucket, k, d in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            if bucket != now and keys:
+                yield several()
+                keys, names = [], []
+            now = bucket
+            keys.append(np.frombuffer(k.as_buffer(), np.uint64)), names.append(np.frombuffer(d.as_buffer(), np.int64))
+    if keys:
+        yield several()
+
+
+# --- the first trees
+def _joined(percent: int):
+    """Of each part (rows of one number, in order) the members that links within the part tie to a smaller one."""
+
+    def part(names: list[int], sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+        if len(sets) < 2:
+            return [], []
+        points, sizes = [point(s) for s in sets], np.array([len(s) for s in sets])
+        tree = CountTree(points, sizes)
+        root = np.arange(len(sets))
+        for i in range(1, len(sets)):
+            near = tree.near(points[i], len(sets[i]), percent)
+            near = near[near < i]
+            while len(near := near[root[near] != root[i]]):
+                j, near = near[0], near[1:]
+                if linked(sets[i], sets[j], percent):
+                    root[root == max(root[i], root[j])] = min(root[i], root[j])  # names are in order
+        moved = np.flatnonzero(root != np.arange(len(sets)))
+        return [names[i] for i in moved], [names[root[i]] for i in moved]
 
-def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            node, parent = part(names, sets)
+            return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(parent, pa.int64())], names=["node", "parent"])
+
+        names, sets, now, held = [], [], None, 0
         for batch in batches:
-            left, right = (shingle_sets(*buffers(batch.column(i))) for i in (2, 3))
-            ok = pa.array([linked(x, y, percent) for x, y in zip(left, right)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(ok)
+            own = list(shingle_sets(*buffers(batch.column(2))))
+            for at, name, is_of, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), names_of(own).tolist(), own):
+                if at != now or held > PART_BYTES:
+                    yield out()
+                    names, sets, held = [], [], 0
+                now = at
+                # a row that repeats an id may have another text, a repeated row comes again
+                if is_of == name and name not in names[-1:]:
+                    names.append(name), sets.append(s)
+                    held += s.nbytes
+        yield out()
 
     return run
 
 
 def chosen(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows (doc_id, text) with an id among ``ids`` (rep), as (rep, text); few ids are broadcast, many are joined."""
+    """The rows (doc_id, text) with an id among ``ids`` (rep, ...); few ids are broadcast, many are joined."""
     few = ids.count() <= FEW
     return rows.withColumnRenamed("doc_id", "rep").join(F.broadcast(ids) if few else ids, "rep")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+def first_joined(lists: DataFrame, classes: DataFrame, rows: DataFrame, percent: int, part: int = PART) -> DataFrame:
+    """(node, parent): most classes of a component tied to the smallest name among them, by trees over one list of each.
+
+    A class has one list and one part of it, so what its part's tree ties it to is a root.
+    """
+    spark, parts = rows.sparkSession, 4 * slots(rows.sparkSession)
+    list_of = lists.groupBy("name").agg(F.min(F.struct(F.xxhash64(F.lit(31), "key").alias("h"), "key")).alias("least")).select("name", "least.key")
+    todo, found, turn = list_of.join(classes, "name").select("name", "rep", "key", band().alias("band")), None, 0
+    while True:
+        many = todo.groupBy("key", "band").agg(F.count("*").alias("m")).where("m > 1")
+        own = F.pmod(F.xxhash64(F.lit(41 + turn), "name"), F.ceil(F.col("m") / part))
+        dealt = written(todo.join(many, ["key", "band"]).select("name", "rep", "key", "band", "m", F.xxhash64("key", "band", own).alias("part")), "dealt")
+        texts = chosen(rows, dealt.select("rep", "name", "part")).select("part", "name", "text")
+        by_part = small_batches(texts).repartition(parts, "part").sortWithinPartitions("part", "name")
+        tied = written(by_part.mapInArrow(tidy(_joined(percent)), "node long, parent long"), "tied")
+        found = tied if found is None else renamed(found, tied)
+        # the smallest members of what is tied meet those of the list's other parts
+        left = dealt.where(F.col("m") > part).join(tied.select(F.col("node").alias("name")), "name", "left_anti").select("name", "rep", "key", "band")
+        if 2 * (n_left := left.count()) > dealt.where(F.col("m") > part).count() or not n_left:
+            return written(found, "first") if turn else found
+        todo, turn = left, turn + 1
+
+
+# --- comparison
+def _compare(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [list(shingle_sets(*buffers(batch.column(i)))) for i in (2, 3)]
+            # a row that repeats an id may have another text
+            own = [names_of(sets) == batch.column(i).to_numpy() for i, sets in enumerate(sides)]
+            ok = [bool(p and q) and linked(x, y, percent) for p, q, x, y in zip(*own, *sides)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of classes whose sets link, as a written table."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ids")
-    texts = chosen(rows, ids)
-    ta, tb = (texts.select(F.col("rep").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    texts = chosen(rows, written(classes.join(named, "name").select("rep", "name"), "ids"))
+    ta, tb = (texts.select(F.col("name").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
     return written(small_batches(both).mapInArrow(tidy(_compare(percent)), "a long, b long").distinct(), "links")
 
 
-def drawn(placed: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
-    """Pairs (a, b): each class of lists (key, rep, comp) that hold several components with the drawn member of another one, one pair a class."""
-    several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    mixed = placed.join(several, "key", "left_semi")
-    least = F.min(F.struct(F.xxhash64(F.lit(seed), "rep").alias("h"), "rep", "comp")).alias("least")
-    heads = mixed.groupBy("key").agg(least).select("key", F.col("least.rep").alias("head"), F.col("least.comp").alias("other"))
-    counted = mixed.join(heads, "key").where("comp <> other").groupBy("rep", "head").agg(F.count("*").alias("m"))
-    best = counted.groupBy("rep").agg(F.max(F.struct("m", "head")).alias("best")).select("rep", "best.*")
-    tried = best.join(sizes, "rep").where(F.col("m") * 16 >= F.col("n"))
-    return tried.select(F.greatest("rep", "head").alias("a"), F.least("rep", "head").alias("b")).distinct()
+def _trees(percent: int, forest: bool):
+    """Pairs of a cell that the bounds let pass, of different components.
 
+    With ``forest`` one pair for any two components that may meet, the best of
+    its member, and the cell itself (a and b null) if it had others.
+    """
 
-def _trees(percent: int):
-    def one(across, rep, comp, sizes, points, visitor, in_crowd) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(across, name, comp, sizes, points, visitor, in_crowd) -> tuple[list[int], list[int], bool]:
         asks = np.flatnonzero(in_crowd == 0)
         held = np.flatnonzero(in_crowd == 1) if across else asks
-        a, b = [rep[:0]], [rep[:0]]
+        a, b, more = [], [], False
         if len(asks) and len(held):
             tree = CountTree([points[i] for i in held], sizes[held], min(map(len, points)))
+            tied = comp.copy()
             for i in asks:
                 near = held[tree.near(points[i], sizes[i], percent)]
                 # two visitors have met in their own band
-                near = near[(across | (rep[near] < rep[i])) & (comp[near] != comp[i]) & (visitor[near] + visitor[i] < 2)]
-                a.append(np.maximum(rep[near], rep[i])), b.append(np.minimum(rep[near], rep[i]))
-        return np.concatenate(a), np.concatenate(b)
+                near = near[(across | (name[near] < name[i])) & (comp[near] != comp[i]) & (visitor[near] + visitor[i] < 2)]
+                n, taken = len(near), len(a)
+                while forest and len(near := near[tied[near] != tied[i]]):
+                    a.append(max(name[i], name[near[0]])), b.append(min(name[i], name[near[0]]))
+                    tied[tied == tied[near[0]]] = tied[i]
+                if not forest:
+                    a.extend(np.maximum(name[near], name[i])), b.extend(np.minimum(name[near], name[i]))
+                more |= len(a) - taken < n
+        return a, b, more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows):
-            rep, comp, sizes, points, visitor, in_crowd = zip(*rows)
-            a, b = one(now[3] >= 0, np.array(rep), np.array(comp), np.array(sizes), [unpacked(p, n) for p, n in zip(points, sizes)], np.array(visitor), np.array(in_crowd))
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        def flush():
+            name, comp, sizes, points, visitor, in_crowd = zip(*rows)
+            a, b, more = pairs(now[3] >= 0, np.array(name), np.array(comp), np.array(sizes), [unpacked(p, n) for p, n in zip(points, sizes)], np.array(visitor), np.array(in_crowd))
+            if more:
+                a, b = [*a, None], [*b, None]
+            cell = [pa.array([x] * len(a), t) for x, t in zip(now, kinds)]
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *cell], names=["a", "b", *CELL_OF])
 
         rows, now = [], None
         for batch in batches:
-            for *cell, rep, comp, n, p, visitor, in_crowd in zip(*(c.to_pylist() for c in batch.columns)):
+            kinds = [c.type for c in batch.columns[: len(CELL_OF)]]
+            for *cell, name, comp, n, p, visitor, in_crowd in zip(*(c.to_pylist() for c in batch.columns)):
                 if cell != now and rows:
-                    yield flush(rows)
+                    yield flush()
                     rows = []
                 now = cell
-                rows.append((rep, comp, n, p, visitor, in_crowd))
+                rows.append((name, comp, n, p, visitor, in_crowd))
         if rows:
-            yield flush(rows)
+            yield flush()
 
     return run
 
 
 #: A list, one of its cells: a block of the crowd and one of the others, or (first number -1) two of the others.
 CELL_OF = ("list", "crowded", "band", "block", "other")
+CELL_TYPES = "list long, crowded boolean, band int, block int, other int"
 
 
 def cells(lists: DataFrame, cell: int = CELL) -> DataFrame:
@@ -335,7 +430,7 @@ def cells(lists: DataFrame, cell: int = CELL) -> DataFrame:
     sizes = lists.groupBy(*key).agg(F.ceil(F.sum("in_crowd") / cell).cast("int").alias("ki"), F.greatest(F.lit(1), F.ceil(F.sum(1 - F.col("in_crowd")) / cell)).cast("int").alias("kj"))
     rows = lists.join(sizes, key)
     inside = F.col("in_crowd") == 1
-    own = F.pmod(F.xxhash64(F.lit(3), "rep"), F.when(inside, F.greatest(F.lit(1), "ki")).otherwise(F.col("kj"))).cast("int")
+    own = F.pmod(F.xxhash64(F.lit(3), "name"), F.when(inside, F.greatest(F.lit(1), "ki")).otherwise(F.col("kj"))).cast("int")
     rows = rows.withColumn("own", own)
 
     def at(block, other):
@@ -348,82 +443,135 @@ def cells(lists: DataFrame, cell: int = CELL) -> DataFrame:
     return rows.withColumn("cell", F.explode(F.when(inside, to_others).otherwise(F.concat(to_crowd, among)))).select("*", "cell.*").drop("cell", "ki", "kj", "own")
 
 
-def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, order_docs: int = ORDER_DOCS, cell: int = CELL) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id for every document.
+def band() -> F.Column:
+    """The size band of a set of n; a set links with sets of its own band and of the next ones on either side."""
+    return F.floor(F.log("n") / float(np.log(100 / PERCENT + 0.007))).cast("int")
 
-    Components only: pairs of one component are compared no further than joins
-    it, so neither the links nor their number is given.
 
-    ``component_id``: the smallest doc_id reachable by links; ``class_id``: the
-    smallest doc_id with the same set.  Words are what blanks and tab to carriage
-    return leave, A-Z in small form; with fewer than five words the whole
-    sequence is one shingle; null, empty and blank texts have none and link with
-    nothing.  Rows that repeat an id are linked through their own sets and each
-    return a row; a row with a null id joins only the class of its own set and
-    links with nothing else.  Other columns are not read.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    common = spark.sparkContext.broadcast(common_shingles(rows, order_docs))  # at most ORDER_SHINGLES of them
-    parts = slots(spark)
-    made = written(small_batches(rows).mapInArrow(tidy(_entries(common, 8 * parts, percent)), ENTRIES), "entries")
+def open_lists(lists: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Lists (list, crowded, band, name, comp, visitor, in_crowd) that still hold several components, as a written table.
 
-    signs = made.where("bucket = -2").select("doc_id", "n", "s1", "s2")
-    classes = signs.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    known = written(signs.join(classes.hint("merge"), ["n", "s1", "s2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "classes")
-    rep_of = known.where("n > 0").groupBy("doc_id").agg(F.min("rep").alias("rep"))
-    # a repeated id with different texts ties its classes together
-    ties = known.where("n > 0").join(rep_of.select("doc_id", F.col("rep").alias("least")), "doc_id").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-
-    local = made.where("bucket = -1").select("keys", "docs").mapInArrow(tidy(_unpacked), "key long, doc_id long")
-    across = made.where("bucket >= 0").select("bucket", "keys", "docs").repartition(2 * parts, "bucket").select("keys", "docs").mapInArrow(tidy(_met), "key long, doc_id long")
-    lists = written(local.unionByName(across).join(rep_of, "doc_id").select("key", "rep").distinct(), "lists")
-
-    # every class with the smallest member of the lists that it shares most
-    heads = lists.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last").select("key", "head")
-    shared = lists.join(heads, "key")
-    counted = shared.where("rep <> head").groupBy("rep", "head").agg(F.count("*").alias("m"))
-    best = counted.groupBy("rep").agg(F.max(F.struct("m", (-F.col("head")).alias("head"))).alias("best")).select("rep", "best.m", (-F.col("best.head")).alias("head"))
-    # near copies share most of their first shingles; what this try misses the trees find
-    sizes = known.where("n > 0").groupBy("rep").agg(F.max("n").alias("n"))
-    tried = best.join(sizes, "rep").where(F.col("m") * 16 >= F.col("n")).select(F.col("rep").alias("a"), F.col("head").alias("b"))
-    trees = jumped(verified(written(tried, "tried"), rows, percent).select(F.col("a").alias("node"), F.col("b").alias("parent")))
-
-    def with_comp() -> DataFrame:
-        return lists.join(trees.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("parent", "rep").alias("comp"))
-
-    # a late member of a large group would ask a tree for all of the group; one link to any of it is enough
-    for seed in DRAWS:
-        met = verified(written(drawn(with_comp(), sizes, seed), "drawn"), rows, percent)
-        edges = met.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b")))
-        trees = components(edges).withColumnRenamed("root", "parent")
-
-    # lists that still hold several components, parted by size: a set meets those of its own band and of the next
-    placed = with_comp()
+    Lists are parted by size: a set meets those of its own band and of the next.
+    Of lists with the same members one stays.  Where a component has many members
+    in a list, its lists become one, so that each member is compared once.
+    """
+    placed = lists.withColumn("comp", F.col("name"))
+    if comps is not None:
+        placed = lists.join(comps.withColumnRenamed("node", "name"), "name", "left").select("key", "name", F.coalesce("parent", "name").alias("comp"))
     several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    band = F.floor(F.log("n") / float(np.log(100 / percent + 0.007))).cast("int")
-    sized = placed.join(several, "key", "left_semi").join(sizes, "rep").withColumn("band", band)
+    sized = placed.join(several, "key", "left_semi").join(classes.select("name", "n"), "name").withColumn("band", band())
     visits = F.array(F.struct(F.col("band").alias("band"), F.lit(0).alias("visitor")), F.struct((F.col("band") + 1).alias("band"), F.lit(1).alias("visitor")))
-    parted = sized.select("key", "rep", "comp", F.explode(visits).alias("v")).select("key", "v.band", "rep", "comp", "v.visitor")
-    # of lists with the same members one is enough
-    members_of = [F.bit_xor(F.xxhash64(F.lit(seed), "rep", "visitor")).alias(f"h{seed}") for seed in (21, 22)]
+    parted = sized.select("key", "name", "comp", F.explode(visits).alias("v")).select("key", "v.band", "name", "comp", "v.visitor")
+    members_of = [F.bit_xor(F.xxhash64(F.lit(seed), "name", "visitor")).alias(f"h{seed}") for seed in (21, 22)]
     each = parted.groupBy("key", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.min("visitor").alias("v"), *members_of)
     mixed = each.where("x < y AND v = 0").groupBy("m", "band", "h21", "h22").agg(F.min("key").alias("key")).select("key", "band")
-    # where a component has many members in a list, its lists become one, and each member is compared once
+    if comps is None:
+        alone = parted.join(mixed, ["key", "band"], "left_semi")
+        return written(alone.select(F.col("key").alias("list"), F.lit(False).alias("crowded"), "band", "name", "comp", "visitor", F.lit(0).alias("in_crowd")), "open")
     per = parted.join(mixed, ["key", "band"], "left_semi").groupBy("key", "band", "comp").agg(F.count("*").alias("c"))
     top = per.groupBy("key", "band").agg(F.max(F.struct("c", (-F.col("comp")).alias("comp"))).alias("top"))
     crowd = F.when(F.col("top.c") >= CROWD, -F.col("top.comp"))
     named = top.select("key", "band", crowd.isNotNull().alias("crowded"), F.coalesce(crowd, "key").alias("list"))
     in_crowd = (F.col("crowded") & (F.col("comp") == F.col("list"))).cast("int").alias("in_crowd")
-    open_lists = written(parted.join(named, ["key", "band"]).select("list", "crowded", "band", "rep", "comp", "visitor", in_crowd).distinct(), "open")
-    points = written(small_batches(chosen(rows, written(open_lists.select("rep").distinct(), "involved"))).mapInArrow(tidy(_points), "rep long, n long, point binary"), "points")
-    ready = cells(open_lists, cell).join(points, "rep").select(*CELL_OF, "rep", "comp", "n", "point", "visitor", "in_crowd")
-    near = small_batches(ready).repartition(4 * parts, *CELL_OF).sortWithinPartitions(*CELL_OF).mapInArrow(tidy(_trees(percent)), "a long, b long").distinct()
-    links = verified(written(near, "near"), rows, percent)
-    edges = links.unionByName(trees.select(F.col("node").alias("a"), F.col("parent").alias("b"))).unionByName(ties)
-    roots = components(edges)
-    out = known.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("component_id"), F.col("rep").alias("class_id"))
+    return written(parted.join(named, ["key", "band"]).select("list", "crowded", "band", "name", "comp", "visitor", in_crowd).distinct(), "open")
+
+
+def candidates(dealt: DataFrame, points: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """What the trees of the cells give, as a written table: pairs (a, b), and with ``forest`` cells that had more of them."""
+    parts = 4 * slots(dealt.sparkSession)
+    ready = dealt.join(points, "name").select(*CELL_OF, "name", "comp", "n", "point", "visitor", "in_crowd")
+    by_cell = small_batches(ready).repartition(parts, *CELL_OF).sortWithinPartitions(*CELL_OF)
+    return written(by_cell.mapInArrow(tidy(_trees(percent, forest)), f"a long, b long, {CELL_TYPES}"), "near")
+
+
+def prepared(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Written tables of one pass over the texts: the rows, sets (doc_id, n, name, point), classes (name, rep, n) and lists (key, name) with several classes."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    common = spark.sparkContext.broadcast(common_shingles(rows, order_docs))  # at most ORDER_SHINGLES of them
+    parts = slots(spark)
+    made = written(small_batches(rows).mapInArrow(tidy(_entries(common, 8 * parts, percent)), ENTRIES), "entries")
+    common.destroy()
+    sets = made.where("bucket = -2").select("doc_id", "n", "name", "point")
+    classes = written(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
+    local = made.where("bucket = -1").select("keys", "sets").mapInArrow(tidy(_unpacked), "key long, name long")
+    across = made.where("bucket >= 0").select("bucket", "keys", "sets").repartition(2 * parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_met), "key long, name long")
+    return rows, sets, classes, written(local.unionByName(across).distinct(), "lists")
+
+
+def points_of(names: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(name, n, point) of the classes with these names, as a written table."""
+    some = classes.join(names.select("name").distinct(), "name").select("name", F.col("rep").alias("doc_id"))
+    few = some.count() <= FEW
+    return written(sets.where("point IS NOT NULL").join(F.broadcast(some) if few else some, ["name", "doc_id"]).select("name", "n", "point"), "points")
+
+
+def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, order_docs: int = ORDER_DOCS, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all links (a, b) between class representatives, a > b, and the membership (doc_id, n_shingles, class_id).
+
+    A family of m near copies has up to m * m / 2 links, and all are compared and
+    returned; ``jaccard_join`` gives components without that.  Texts, sets and
+    rows count as there.
+    """
+    rows, sets, classes, lists = prepared(docs, doc_id, text, percent, order_docs)
+    everything = open_lists(lists, classes, None)
+    near = candidates(cells(everything, cell), points_of(everything, sets, classes), percent, forest=False)
+    links = verified(near.select("a", "b").distinct(), classes, rows, percent)
+    reps = classes.select("name", "rep")
+    a, b = (reps.select(F.col("name").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab")
+    # a repeated id may stand for several classes
+    named = links.join(a, "a").join(b, "b").select(F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b")).where("a <> b").distinct()
+    members = sets.join(reps.hint("merge"), "name", "left")
+    return named, members.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"))
+
+
+def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, order_docs: int = ORDER_DOCS, cell: int = CELL, part: int = PART) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id for every document.
+
+    Components only: pairs of one component are compared no further than joins
+    it; ``jaccard_links`` gives the links.
+
+    ``component_id``: the smallest doc_id reachable by links; ``class_id``: the
+    smallest doc_id with the same set.  Words are what blanks and tab to carriage
+    return leave, A-Z in small form; with fewer than five words the whole
+    sequence is one shingle; null, empty and blank texts have none and link with
+    nothing.  An id is one document: rows that repeat it each return a row and
+    are linked through each one's own set, and all of them are in one component
+    (but for those without words).  A row with a null id joins only the class of
+    its own set and links with nothing else.  An empty table gives no rows; other
+    columns are not read.
+    """
+    rows, sets, classes, lists = prepared(docs, doc_id, text, percent, order_docs)
+    first = first_joined(lists, classes, rows, percent, part)
+
+    def with_links(known: DataFrame, links: DataFrame) -> DataFrame:
+        up = [known.select(F.col("node").alias(x), F.col("parent").alias(f"r{x}")) for x in "ab"]
+        edges = links.join(up[0], "a", "left").join(up[1], "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+        return written(renamed(known, components(edges).withColumnRenamed("root", "parent")), "comps")
+
+    still = open_lists(lists, classes, first)
+    points = points_of(still, sets, classes)
+    near = candidates(cells(still, cell), points, percent, forest=True)
+    tried = near.where("a IS NOT NULL").select("a", "b").distinct()
+    comps = with_links(first, verified(tried, classes, rows, percent))
+
+    more = near.where("a IS NULL").select(*CELL_OF).distinct()
+    if more.limit(1).count():
+        now = comps.select(F.col("node").alias("name"), "parent")
+        dealt = cells(still, cell).join(more, [*CELL_OF], "left_semi").join(now, "name", "left").withColumn("comp", F.coalesce("parent", "comp")).drop("parent")
+        rest = candidates(dealt, points, percent, forest=False).select("a", "b").distinct()
+        comps = with_links(comps, verified(rest.join(tried, ["a", "b"], "left_anti"), classes, rows, percent))
+
+    # an id that is repeated with different texts ties its classes together
+    several = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("name").alias("b"), F.max("name").alias("x")).where("b < x").select("doc_id", "b")
+    ties = sets.where("n > 0").join(several, "doc_id").select(F.col("name").alias("a"), "b").where("a <> b")
+    if ties.limit(1).count():
+        comps = with_links(comps, ties)
+    in_comp = classes.join(comps.withColumnRenamed("node", "name"), "name", "left").select("name", "rep", F.coalesce("parent", "name").alias("root"))
+    least = in_comp.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = in_comp.join(least, "root").select("name", "rep", "component_id")
+    out = sets.join(ids.hint("merge"), "name", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("rep", "doc_id").alias("class_id"))
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ def families(seed, n_families=6, members=25, length=40):
     return rows
 
 
-@pytest.mark.parametrize("how", [{}, {"cell": 4}, {"order_docs": 20}])
+@pytest.mark.parametrize("how", [{}, {"cell": 4, "part": 3}, {"order_docs": 20, "part": 5}])
 def test_op7_about_the_threshold(spark, how):
     rows = families(len(how))
     assert_components(docs(spark, rows).repartition(5).withColumn("component_id", F.lit(1)), rows, **how)
@@ -106,6 +106,54 @@ def test_op7_sets_of_many_sizes(spark):
     assert_components(docs(spark, rows).repartition(4), rows)
 
 
+def test_op7_links_equal_brute_force(spark):
+    rows = families(5, n_families=3, members=12)
+    class_of = {}
+    for d, t in sorted(rows):
+        class_of.setdefault(shingles(t), d)
+    sets = [(d, s) for s, d in class_of.items() if s]
+    want = {(max(d, e), min(d, e)) for i, (d, a) in enumerate(sets) for e, b in sets[:i] if 100 * len(a & b) >= 75 * len(a | b)}
+    links, members = op7_jaccard.jaccard_links(docs(spark, rows).repartition(4), cell=6)
+    assert {(r["a"], r["b"]) for r in links.collect()} == want and want
+    assert {r["doc_id"]: r["class_id"] for r in members.collect()} == {d: class_of[shingles(t)] if shingles(t) else d for d, t in rows}
+
+
+def test_op7_links_come_from_trees(spark, monkeypatch):
+    """Without what the trees give no two classes are joined."""
+    monkeypatch.setattr(op7_jaccard.CountTree, "near", lambda self, p, size, percent=75: np.zeros(0, np.int64))
+    rows = [(i, " ".join(["all", "of", "them", "share", "this", f"w{i % 3}"] + ["long text here"] * 9)) for i in range(6)]
+    assert not list(op7_jaccard._joined(75)(iter([])))[0].num_rows
+    import pyarrow as pa
+
+    from sliceworks.llm.hashing import buffers
+
+    sets = list(op7_jaccard.shingle_sets(*buffers(pa.array([t for _, t in rows[:3]]))))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 1]), pa.array(op7_jaccard.names_of(sets)), pa.array([t for _, t in rows[:3]])], names=["part", "name", "text"])
+    assert sum(b.num_rows for b in op7_jaccard._joined(75)(iter([batch]))) == 0
+    monkeypatch.undo()
+    assert sum(b.num_rows for b in op7_jaccard._joined(20)(iter([batch]))) == 2
+
+
+def test_op7_words_of_one_polynomial_hash(spark):
+    """A word of the Thue-Morse sequence and its complement have one hash under every odd base."""
+    rows = []
+    for n in (16, 256, 1024, 4096):
+        word = "a"
+        while len(word) < n:
+            word += word.translate(str.maketrans("ab", "ba"))
+        other = word.translate(str.maketrans("ab", "ba"))
+        rows += [(2 * n, f"one two three {word} five six"), (2 * n + 1, f"one two three {other} five six"), (2 * n + 2, word), (2 * n + 3, other)]
+    assert_components(docs(spark, rows), rows)
+
+
+def test_op7_repeated_id_with_another_text(spark):
+    """Each text of a repeated id finds its own near copies."""
+    first, second = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, first), (9, first), (9, second), (4, second + " end"), (7, first + " end"), (8, "something else that is no copy at all")]
+    got = {(r["doc_id"], r["component_id"]) for r in op7_jaccard.jaccard_join(docs(spark, rows)).collect()}
+    assert got == {(1, 1), (9, 1), (4, 1), (7, 1), (8, 8)}
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000 + 7 * i % 50, 1000 + 7 * (i + 1) % 50) for i in range(50)] + [(5, 5)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
