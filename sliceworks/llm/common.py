@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,33 +21,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests in local mode) a folder of our own takes its place.
+    The cluster names it in ``spark.checkpoint.dir``.  Only in local mode, where
+    driver and executors are one process, a folder of our own may take its place;
+    elsewhere a missing folder is an error, as executors do not see each other's disks.
     """
     sc = spark.sparkContext
-    conf = sc.getConf().get("spark.checkpoint.dir")
+    conf = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if conf:
         return conf
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sliceworks-"))
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sliceworks-"))
     return sc.getCheckpointDir()
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+#: Paths written since the innermost ``scratch`` began.
+_made: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes within go at the end; what was computed from them must be written outside by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, what: str, stays: bool = False) -> DataFrame:
     """``df`` as a table written in the shared folder and read again.
 
     This cuts the lineage: a lost executor costs no recomputation, and both
-    readers of a table see the same rows.  The files go when the session ends.
+    readers of a table see the same rows.  The files go at the end of the
+    innermost ``scratch`` (unless the table ``stays``) or with the session, as
+    results are lazy and read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    if _made and not stays:
+        _made[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, df: DataFrame) -> str:
+    """``name``, made longer until no column of ``df`` has it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(column: str) -> Column:
+    """The column of this name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def slots(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,8 +2,9 @@
 
 The labelled sample is dealt to a fixed number of parts.  In each epoch every
 part runs the online updates from the common state, and what the parts changed
-is averaged, coordinate by coordinate, over those parts that met it.  The state
-has at most 2**BITS coordinates, whatever the corpus holds.
+is averaged, coordinate by coordinate, over those parts that met it.  Several
+labels are learned in the same passes.  The state has at most 2**BITS
+coordinates a label, whatever the corpus holds.
 """
 
 from __future__ import annotations
@@ -53,28 +54,37 @@ def features(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(parts) >> shift).astype(np.int64), np.concatenate(owners)
 
 
-def _updates(state, alpha: float, beta: float, l1: float, l2: float, ones: float):
+def one_pass(rows: list[tuple[float, np.ndarray]], z: np.ndarray, n: np.ndarray, s: Settings) -> None:
+    """The online updates of (label, features) rows, in place; the last coordinate is the bias."""
+    for y, i in rows:
+        zi, ni = z[i], n[i]
+        root = np.sqrt(ni)
+        w = np.where(np.abs(zi) > s.l1, (np.sign(zi) * s.l1 - zi) / ((s.beta + root) / s.alpha + s.l2), 0.0)
+        bias = -z[BIAS] / ((s.beta + n[BIAS] ** 0.5) / s.alpha)
+        g = (1 / (1 + np.exp(-min(max(w.sum() + bias, -35), 35))) - y) * (s.ones if y else 1.0)
+        ni = ni + g * g
+        z[i] = zi + g - (np.sqrt(ni) - root) / s.alpha * w
+        n[i] = ni
+        z[BIAS] += g - ((n[BIAS] + g * g) ** 0.5 - n[BIAS] ** 0.5) / s.alpha * bias
+        n[BIAS] += g * g
+
+
+def _updates(states, settings: Settings):
+    """What a part changes, per label (by its place), coordinate and epoch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = np.zeros(BIAS + 1)
-        n = np.zeros(BIAS + 1)
-        at0, z0, n0 = state.value
-        z[at0], n[at0] = z0, n0
-        was_z, was_n = z.copy(), n.copy()
+        now = []
+        for at, z0, n0 in states.value:
+            z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
+            z[at], n[at] = z0, n0
+            now.append((z, n, z.copy(), n.copy()))
         for batch in batches:
-            for y, own in zip(batch.column(0).to_pylist(), batch.column(1)):
-                i = np.frombuffer(own.as_buffer(), np.int32)
-                zi, ni = z[i], n[i]
-                root = np.sqrt(ni)
-                w = np.where(np.abs(zi) > l1, (np.sign(zi) * l1 - zi) / ((beta + root) / alpha + l2), 0.0)
-                bias = -z[BIAS] / ((beta + n[BIAS] ** 0.5) / alpha)
-                g = (1 / (1 + np.exp(-min(max(w.sum() + bias, -35), 35))) - y) * (ones if y else 1.0)
-                ni = ni + g * g
-                z[i] = zi + g - (np.sqrt(ni) - root) / alpha * w
-                n[i] = ni
-                z[BIAS] += g - ((n[BIAS] + g * g) ** 0.5 - n[BIAS] ** 0.5) / alpha * bias
-                n[BIAS] += g * g
-        at = np.flatnonzero(n != was_n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(z[at] - was_z[at]), pa.array(n[at] - was_n[at])], names=["i", "dz", "dn"])
+            own = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(batch.num_columns - 1)]
+            for k, (z, n, _, _) in enumerate(now):
+                one_pass([(y, i) for y, i in zip(batch.column(k).to_pylist(), own) if y is not None], z, n, settings)
+        for k, (z, n, was_z, was_n) in enumerate(now):
+            at = np.flatnonzero(n != was_n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at), pa.array(z[at] - was_z[at]), pa.array(n[at] - was_n[at])], names=["k", "i", "dz", "dn"])
 
     return run
 
@@ -82,47 +92,58 @@ def _updates(state, alpha: float, beta: float, l1: float, l2: float, ones: float
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's distinct features."""
     for batch in batches:
-        data, off = buffers(batch.column(1))
+        data, off = buffers(batch.column(batch.num_columns - 1))
         found = []
         for lo, hi in chunks(off):
             hashes, first = words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], ALNUM)
             for a, b in zip(first[:-1], first[1:]):
                 found.append(np.unique(features(hashes[a:b], np.array([0, b - a]))[0]).astype(np.int32).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["y", "features"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary())], names=[*batch.schema.names[:-1], "features"])
+
+
+def weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
+    """What L1 leaves of the coordinates, 0 elsewhere."""
+    return np.where(np.abs(z) > s.l1, (np.sign(z) * s.l1 - z) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2), 0.0)
 
 
-def fit(labelled: DataFrame, label: str, text: str = "text", doc_id: str = "doc_id", settings: Settings | None = None, what: str = "sample") -> tuple[np.ndarray, np.ndarray, float]:
-    """(buckets, weights, bias) learned from rows with a text and a label of 0 or 1; others are passed over.
+def fit(labelled: DataFrame, labels: tuple[str, ...], text: str = "text", doc_id: str = "doc_id", settings: Settings | None = None, what: str = "sample") -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(buckets, weights, bias) of each label, learned from rows with a text and a label of 0 or 1; others are passed over.
 
     Without any such row all scores are one half.  ``labelled`` is bounded by the caller (``sampled``).
     """
     s = settings or Settings()
     spark = labelled.sparkSession
-    rows = labelled.where(F.col(label).isin(0, 1) & F.col(text).isNotNull())
+    ys = [F.when(F.col(label).isin(0, 1), F.col(label)).cast("double").alias(f"y{k}") for k, label in enumerate(labels)]
+    names = [f"y{k}" for k in range(len(labels))]
     # the parts depend on ids alone, the order within them as well
     part = F.pmod(F.xxhash64(F.lit(5), F.col(doc_id)), F.lit(s.parts)).cast("int")
-    rows = rows.select(part.alias("part"), F.xxhash64(F.lit(6), F.col(doc_id)).alias("turn"), F.col(label).cast("double").alias("y"), F.col(text).alias("text"))
+    rows = labelled.where(F.col(text).isNotNull()).select(part.alias("part"), F.xxhash64(F.lit(6), F.col(doc_id)).alias("turn"), *ys, F.col(text).alias("text"))
+    rows = rows.where(F.coalesce(*names).isNotNull())
     # about ``bound`` texts, dealt once; each epoch reads their features again
-    dealt = small_batches(rows).repartition(s.parts, "part").sortWithinPartitions("part", "turn", "text").select("y", "text")
-    sample = written(dealt.mapInArrow(tidy(_prepared), "y double, features binary"), what)
-    at, z, n = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    dealt = small_batches(rows).repartition(s.parts, "part").sortWithinPartitions("part", "turn", "text").select(*names, "text")
+    sample = written(dealt.mapInArrow(tidy(_prepared), ", ".join(f"{c} double" for c in names) + ", features binary"), what)
+    states = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0)) for _ in labels]
     for _ in range(s.epochs):
-        state = spark.sparkContext.broadcast((at, z, n))
-        changed = small_batches(sample).mapInArrow(tidy(_updates(state, s.alpha, s.beta, s.l1, s.l2, s.ones)), "i long, dz double, dn double")
-        got = changed.groupBy("i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toArrow()  # at most 2**BITS + 1 rows
-        full_z, full_n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-        full_z[at], full_n[at] = z, n
-        i = got["i"].to_numpy()
-        full_z[i] += got["dz"].to_numpy()
-        full_n[i] += got["dn"].to_numpy()
-        at = np.flatnonzero(full_n)
-        z, n = full_z[at], full_n[at]
-        state.destroy()
-    bias = at == BIAS
-    b = float((-z[bias] / ((s.beta + np.sqrt(n[bias])) / s.alpha)).sum())
-    kept = (np.abs(z) > s.l1) & ~bias
-    w = (np.sign(z[kept]) * s.l1 - z[kept]) / ((s.beta + np.sqrt(n[kept])) / s.alpha + s.l2)
-    return at[kept], w, b
+        shared = spark.sparkContext.broadcast(states)
+        changed = small_batches(sample).mapInArrow(tidy(_updates(shared, s)), "k int, i long, dz double, dn double")
+        got = changed.groupBy("k", "i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toArrow()  # at most 2**BITS + 1 rows a label
+        shared.destroy()
+        own, i, dz, dn = (got[c].to_numpy() for c in ("k", "i", "dz", "dn"))
+        for k, (at, z, n) in enumerate(states):
+            full_z, full_n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
+            full_z[at], full_n[at] = z, n
+            mine = own == k
+            full_z[i[mine]] += dz[mine]
+            full_n[i[mine]] += dn[mine]
+            at = np.flatnonzero(full_n)
+            states[k] = (at, full_z[at], full_n[at])
+    found = []
+    for at, z, n in states:
+        bias = at == BIAS
+        b = float((-z[bias] / ((s.beta + np.sqrt(n[bias])) / s.alpha)).sum())
+        w = np.where(bias, 0.0, weights(z, n, s))
+        found.append((at[w != 0], w[w != 0], b))
+    return found
 
 
 def scorer(models: list[tuple[np.ndarray, np.ndarray, float]]):

@@ -32,11 +32,17 @@ def tokenizer_path(path: str | None = None) -> str:
     return path or public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: How ``tokenizers`` splits texts before its byte-level merges.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class Ids:
     """Token ids as ``tokenizers`` gives them for the file at ``path``.
 
-    The file's ranks and merges also drive ``tiktoken``, which is several times
-    faster and gives the same ids; texts with a special string go through
+    ``tiktoken`` gives the same ids several times faster where the file is a plain
+    byte-level one: split by ``SPLIT``, nothing normalised, and merges in the order
+    of their results' ids, each of which is made by one merge.  That is read from
+    the file; any other file, and texts with a special string, go through
     ``tokenizers`` itself.
     """
 
@@ -48,11 +54,27 @@ class Ids:
 
         self.slow = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.slow.get_added_tokens_decoder().values()]
-        vocab = json.loads(open(path, encoding="utf-8").read())["model"]["vocab"]
-        byte = self.byte_of()
-        ranks = {bytes(byte[c] for c in word): i for word, i in vocab.items() if word not in self.specials}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.fast = None
+        if self.plain(file):
+            byte = self.byte_of()
+            ranks = {bytes(byte[c] for c in word): i for word, i in file["model"]["vocab"].items() if word not in self.specials}
+            self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def plain(self, file: dict) -> bool:
+        model, split, byte = file["model"], file.get("pre_tokenizer") or {}, self.byte_of()
+        if model.get("type") != "BPE" or file.get("normalizer") or file.get("truncation") or file.get("padding"):
+            return False
+        if any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+            return False
+        if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+            return False
+        words = {w: i for w, i in model["vocab"].items() if w not in self.specials}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [words.get(a + b) for a, b in pairs]
+        single = sum(len(w) == 1 for w in words)
+        return None not in made and made == sorted(set(made)) and single == 256 and len(words) == single + len(made) and all(c in byte for w in words for c in w)
 
     @staticmethod
     def byte_of() -> dict[str, int]:
@@ -63,7 +85,7 @@ class Ids:
         return named | {chr(256 + i): b for i, b in enumerate(rest)}
 
     def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.specials):
+        if self.fast is None or any(s in text for s in self.specials):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32, copy=False)
 

@@ -21,8 +21,10 @@ from .common import small_batches, table
 
 MARK = "\u2581"
 LIMIT = 4096
-#: Distinct merged pre-tokens that a worker remembers before it starts anew.
+#: Distinct merged pre-tokens that a worker remembers before it starts anew, and the characters up to which it
+#: remembers one; so a worker's memory is bounded by about 400,000 strings of 64 characters.
 MEMO = 400_000
+MEMO_CHARS = 64
 
 
 def model_path(path: str | None = None) -> str:
@@ -65,6 +67,8 @@ class Counter(dict):
 
     def __missing__(self, pre: str) -> int:
         n = self.merged(pre)
+        if len(pre) > MEMO_CHARS:
+            return n
         if len(self) + len(self.tails) > len(self.whole) + MEMO:
             self.reset()
         self[pre] = n
@@ -83,7 +87,9 @@ class Counter(dict):
         """Tokens of what follows a line end: no mark before it."""
         n = self.tails.get(line)
         if n is None:
-            n = self.tails[line] = len(self.encoder.encode("\n" + line)) - self.mark - self.line_end
+            n = len(self.encoder.encode("\n" + line)) - self.mark - self.line_end
+            if len(line) <= MEMO_CHARS:
+                self.tails[line] = n
         return n
 
     def count(self, text: str) -> int:

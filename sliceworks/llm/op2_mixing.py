@@ -72,11 +72,12 @@ def posteriors(score, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([good * (1 - toxic), (1 - good) * (1 - toxic), good * toxic, (1 - good) * toxic], axis=1), n
 
 
-def _memberships(models):
+def _memberships(models, counted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(models.value)
         for batch in batches:
             p, n = posteriors(score, batch.column(1))
+            n = batch.column(2).fill_null(0).to_numpy() if counted else n
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *map(pa.array, p.T)], names=["doc_id", "n_tokens", *DOMAINS])
 
     return run
@@ -169,15 +170,21 @@ def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None
             part /= 2
 
 
-def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> tuple[DataFrame, list]:
-    """(doc_id, n_tokens, one column per domain) for every document, and the classifiers."""
+def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None) -> tuple[DataFrame, list]:
+    """(doc_id, n_tokens, one column per domain) for every document, and the classifiers.
+
+    ``tokens``: a column of ``docs`` with each document's tokens; None counts words.
+    """
     s = settings or Settings()
     known = written(sampled(docs, labels, s.bound), "labelled")  # about ``bound`` texts
-    models = [fit(known, target, settings=s, what=f"{target}-sample") for target in ("quality", "toxic")]
+    models = fit(known, ("quality", "toxic"), settings=s)
     shared = docs.sparkSession.sparkContext.broadcast(models)  # at most 2**BITS weights each
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    count = F.col(tokens).cast("long") if tokens else F.lit(None).cast("long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), count.alias("n_tokens"))
     schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS)
-    return written(small_batches(rows).mapInArrow(tidy(_memberships(shared)), schema), "members"), models
+    members = written(small_batches(rows).mapInArrow(tidy(_memberships(shared, tokens is not None)), schema), "members")
+    shared.destroy()
+    return members, models
 
 
 def _rated(mix, first: int):
@@ -190,15 +197,15 @@ def _rated(mix, first: int):
     return run
 
 
-def source_mix(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, **how) -> DataFrame:
-    """doc_id, n_tokens (words), a posterior per domain, the likeliest domain and the rate, for every document.
+def source_mix(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, **how) -> DataFrame:
+    """doc_id, n_tokens (of the column ``tokens``, or words), a posterior per domain, the likeliest domain and the rate, for every document.
 
     Null and empty texts have no tokens and the posterior of a text without
     features.  Documents with equal posteriors have equal rates, so repeated rows
     repeat.  Without labels all posteriors are alike; an empty table gives no
     rows.  Other columns are not read.
     """
-    members, models = members_of(docs, labels, settings)
+    members, models = members_of(docs, labels, settings, tokens)
     mix = docs.sparkSession.sparkContext.broadcast(fit_rates(members, models, **how))
     schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS) + ", domain string, rate double"
     return small_batches(members).mapInArrow(tidy(_rated(mix, 2)), schema)
@@ -216,20 +223,25 @@ def _drawn(mix, at: int, doc: int):
     return run
 
 
-def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, **how) -> DataFrame:
+def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, **how) -> DataFrame:
     """The documents that stay when each is kept with its rate (at most 1) as its chance, by a hash of its id.
 
-    All columns stay.  The rates are told anew from each text, so nothing is joined.
+    All columns stay, whatever their names.  The rates are told anew from each
+    text, so nothing is joined.  Where nothing could be learned all stay.
     """
-    members, models = members_of(docs, labels, settings)
+    members, models = members_of(docs, labels, settings, tokens)
+    if not any(len(at) for at, _, _ in models):
+        log.warning("no labels to learn from: mixing keeps all documents")
+        return docs
     found = fit_rates(members, models, **how | {"most": 1.0})
     far = (np.abs(found.totals - found.targets) > MISS * found.targets).any()
     # the posteriors of a text sum to 1, so the totals sum to the share of tokens that stays
     log.log(logging.WARNING if far else logging.INFO, "mixing keeps %.3f of all tokens; domains (target, achieved): %s", found.totals.sum(), found.achieved())
     mix = docs.sparkSession.sparkContext.broadcast(found)
     chance = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.select("*", chance.alias("chance of staying"))
-    return small_batches(rows).mapInArrow(tidy(_drawn(mix, docs.columns.index("text"), len(docs.columns))), docs.schema)
+    rows = docs.select("*", chance.alias("chance")).toDF(*(f"c{i}" for i in range(len(docs.columns) + 1)))
+    kept = small_batches(rows).mapInArrow(tidy(_drawn(mix, docs.columns.index("text"), len(docs.columns))), rows.drop(rows.columns[-1]).schema)
+    return kept.toDF(*docs.columns)
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

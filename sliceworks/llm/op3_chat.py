@@ -1,13 +1,15 @@
 """Chat formatting: a declarative template and a state machine over roles.
 
 DataFrame functions only.  A conversation becomes an array of segments, each
-with a loss flag, and their concatenation.  Control strings inside texts are
+with a loss flag, and their concatenation.  The template's marks inside texts are
 broken up by a backslash after their first character; backslashes are doubled
-before, so the escape can be undone.
+before, so the escape can be undone.  Escape and reading follow from the
+template alone; one whose marks could be mistaken for each other is refused.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,15 +48,35 @@ class Template:
     #: States in which a conversation may end.
     ends: tuple[str, ...] = ("user", "assistant")
 
-
-#: A first character that begins one of the template's control strings.
-CONTROL = r"([<\[])(?=/?s>|</?(?:SYS|ROLE)>>|/(?:SYS|ROLE)>>|\|>|/?INST\])"
-TURN = r"(?s)<<SYS>>.*?<</SYS>>|\[INST\].*?\[/INST\]|<s>.*?</s>|<<ROLE>>.*?<</ROLE>>"
-
-
-def escaped(text: Column) -> Column:
+    def __post_init__(self):
+        marks = self.marks()
+        opens = [kind.opens for kind in (*self.turns.values(), self.other)]
+        if len(set(opens)) < len(opens):
+            raise ValueError("two roles open alike")
+        for m in marks:
+            if len(m) < 2 or "\\" in m:
+                raise ValueError(f"a mark has two characters or more and no backslash: {m!r}")
+            for other in marks:
+                for k in range(m == other, len(m)):
+                    if m[k:].startswith(other) or other.startswith(m[k:]):
+                        raise ValueError(f"marks overlap: {m!r}, {other!r}")
+
+    def marks(self) -> list[str]:
+        kinds = (*self.turns.values(), self.other)
+        return list(dict.fromkeys([*(m for kind in kinds for m in (kind.opens, kind.closes)), self.names]))
+
+    def control(self) -> str:
+        """Pattern of the first character of every mark."""
+        return "(" + "|".join(f"{re.escape(m[0])}(?={re.escape(m[1:])})" for m in self.marks()) + ")"
+
+    def turn(self) -> str:
+        """Pattern of a turn with its marks."""
+        return "(?s)" + "|".join(f"{re.escape(kind.opens)}.*?{re.escape(kind.closes)}" for kind in (*self.turns.values(), self.other))
+
+
+def escaped(text: Column, template: Template) -> Column:
     doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    return F.regexp_replace(doubled, CONTROL, r"$1\\")
+    return F.regexp_replace(doubled, template.control(), r"$1\\")
 
 
 def unescaped(text: Column) -> Column:
@@ -68,11 +90,12 @@ def format_chat(rows: DataFrame, template: Template | None = None, conv_id: str
     the template's moves and end in one of its end states; other conversations
     are formatted as well.  Null roles and texts count as empty, null turns come
     first, equal turns are ordered by role, then text; a null conv_id is a
-    conversation of its own.  Repeated rows are repeated turns.
+    conversation of its own.  Repeated rows are repeated turns.  An empty table
+    gives no rows; other columns are not read.
     """
     t = template or Template()
     who = F.coalesce(F.col(role), F.lit(""))
-    opens = F.concat(F.lit(t.other.opens), escaped(who), F.lit(t.names))
+    opens = F.concat(F.lit(t.other.opens), escaped(who, t), F.lit(t.names))
     closes, loss = F.lit(t.other.closes), F.lit(t.other.loss)
     for name, kind in t.turns.items():
         is_it = who == F.lit(name)
@@ -82,7 +105,7 @@ def format_chat(rows: DataFrame, template: Template | None = None, conv_id: str
     content = F.coalesce(F.col(text), F.lit(""))
     one = F.struct(
         F.col(turn).alias("turn"), who.alias("role"), content.alias("plain"),
-        opens.alias("opens"), escaped(content).alias("content"), closes.alias("closes"), loss.alias("loss"),
+        opens.alias("opens"), escaped(content, t).alias("content"), closes.alias("closes"), loss.alias("loss"),
     )
     steps = F.create_map(*[F.lit(x) for a, b, c in t.moves for x in (f"{a}\n{b}", c)])
     off = F.lit(False)
@@ -103,7 +126,7 @@ def format_chat(rows: DataFrame, template: Template | None = None, conv_id: str
 def read_back(formatted: Column, template: Template | None = None) -> Column:
     """Array of (role, text) that a formatted conversation holds."""
     t = template or Template()
-    turns = F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0))
+    turns = F.regexp_extract_all(formatted, F.lit(t.turn()), F.lit(0))
 
     def parse(x: Column) -> Column:
         n, k = len(t.other.opens), len(t.other.closes)
@@ -120,10 +143,12 @@ def read_back(formatted: Column, template: Template | None = None) -> Column:
     return F.transform(turns, parse)
 
 
+#: The conversation that the query adds.
 EXTRA = "SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the output: turns as read back from ``formatted``, loss from the flagged ``segments``."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     chats = format_chat(rows.unionByName(spark.sql(EXTRA)))
     turns = read_back(F.col("formatted"))
@@ -145,7 +170,7 @@ WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
 esc AS (
-  SELECT *, length(t2) + length(regexp_extract_all(t2, '[<\[](?:/?s>|</?(?:SYS|ROLE)>>|/(?:SYS|ROLE)>>|\|>|/?INST\])')) AS n_text,
+  SELECT *, length(t2) + length(regexp_extract_all(t2, '</?s>|<</?(?:SYS|ROLE)>>|<\|>|\[/?INST\]')) AS n_text,
          CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 20 + length(role) END AS n_marks
   FROM (SELECT *, replace(text, '\', '\\') AS t2 FROM rows)),
 moves AS (

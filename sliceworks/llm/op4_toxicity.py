@@ -25,7 +25,7 @@ def _scores(shared):
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None):
     """The compact model: buckets, weights, bias."""
     s = settings or Settings()
-    return fit(sampled(docs, labels, s.bound), "toxic", settings=s, what="toxic-sample")
+    return fit(sampled(docs, labels, s.bound), ("toxic",), settings=s, what="toxic-sample")[0]
 
 
 def toxicity(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,7 +3,8 @@
 Texts are dealt to buckets by a hash.  The sizes of all buckets are measured
 first; a bucket larger than a table may be is dealt out again by another hash,
 and what is still too large again, so that one shuffle then puts every text in
-its final bucket (Spark's shuffle files are the spill files).  Before it, each
+its final bucket (Spark's shuffle files are the spill files; a partition holds
+many buckets, sorted).  Before it, each
 task keeps one of equal texts, so copies of one text, however many, meet as a few
 rows.  Each bucket then goes through an open-addressing table that compares
 complete contents.
@@ -19,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slots, small_batches, table, tidy
+from .common import slots, small_batches, table, tidy, written
 
 #: Bytes of text a bucket may have before it is dealt out again.
 BUCKET_BYTES = 64 << 20
-#: Buckets of the first deal, at most.
+#: Buckets of a deal, at most; as many large ones are broadcast, more are joined.
 MOST_BUCKETS = 1 << 16
 #: Times that a bucket is dealt out again; what is still too large has one text again and again.
 DEPTH = 3
@@ -108,47 +109,39 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(t)
 
 
-def _deal(text: Column, level: int, n: Column | int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(1000 + level), text), F.lit(n) if isinstance(n, int) else n)
+def _deal(level: int, n: Column | int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(1000 + level), "text"), F.lit(n) if isinstance(n, int) else n)
 
 
-def buckets(docs: DataFrame, text: str, bucket_bytes: int = BUCKET_BYTES, depth: int = DEPTH) -> tuple[Column, int]:
-    """The final bucket of a text as an expression, and how many there are.
+def buckets(rows: DataFrame, bucket_bytes: int = BUCKET_BYTES, depth: int = DEPTH) -> DataFrame:
+    """``rows`` with the final bucket of each text.
 
-    Only buckets that are too large are named to the driver: at most as many as
-    the corpus has times the bucket size, and each only with its number.
+    Too large buckets are a table (bucket, fan), at most as many as the corpus
+    has times the bucket size; a new bucket's number is a hash of the old one and
+    the new deal.
     """
-    size = F.octet_length(text).cast("long")
-    total = docs.agg(F.sum(size)).first()[0] or 0
+    size = F.octet_length("text").cast("long")
+    total = rows.agg(F.sum(size)).first()[0] or 0
     first = int(min(MOST_BUCKETS, max(1, -(-2 * total // bucket_bytes))))
-    bucket, n_all = _deal(F.col(text), 0, first), first
-    suspects: list[int] | None = None
+    dealt = rows.withColumn("bucket", _deal(0, first).cast("long")).withColumn("moved", F.lit(True))
     for level in range(1, depth + 1):
-        rows = docs.select(bucket.alias("bucket"), size.alias("size"))
-        if suspects is not None:
-            rows = rows.where(F.col("bucket") >= suspects[0])
-        large = rows.groupBy("bucket").agg(F.sum("size").alias("size")).where(F.col("size") > bucket_bytes).collect()
-        if not large:
+        sizes = dealt.where("moved").groupBy("bucket").agg(F.sum(size).alias("size")).where(F.col("size") > bucket_bytes)
+        fan = F.least(F.lit(MOST_BUCKETS), F.ceil(2 * F.col("size") / bucket_bytes)).cast("long").alias("fan")
+        large = written(sizes.select("bucket", fan), "large-buckets")
+        if not (n := large.count()):
             break
-        begin, moved = n_all, bucket
-        spread = {}
-        for b, bytes_ in sorted((r[0], r[1]) for r in large):
-            spread[b] = (n_all, int(min(MOST_BUCKETS, -(-2 * bytes_ // bucket_bytes))))
-            n_all += spread[b][1]
-        lo = F.create_map(*[F.lit(x) for b, (at, _) in spread.items() for x in (b, at)])
-        fan = F.create_map(*[F.lit(x) for b, (_, k) in spread.items() for x in (b, k)])
-        moved = F.when(F.element_at(fan, bucket).isNotNull(), F.element_at(lo, bucket) + _deal(F.col(text), level, F.element_at(fan, bucket))).otherwise(bucket)
-        bucket, suspects = moved.cast("long"), [begin]
-    return bucket, n_all
+        again = dealt.join(F.broadcast(large) if n <= MOST_BUCKETS else large, "bucket", "left")
+        anew = F.xxhash64(F.lit(level), "bucket", _deal(level, F.col("fan")))
+        dealt = again.select(*rows.columns, F.when(F.col("fan").isNotNull(), anew).otherwise(F.col("bucket")).alias("bucket"), F.col("fan").isNotNull().alias("moved"))
+    return dealt.drop("moved")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per distinct text: text_sha256, keep_id (the largest id), group_size."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    bucket, n = buckets(rows, "text", bucket_bytes)
-    dealt = rows.select(bucket.cast("long").alias("bucket"), F.xxhash64(F.lit(7), "text").alias("h"), F.col("text").cast("binary").alias("text"), "doc_id")
+    dealt = buckets(rows, bucket_bytes).select("bucket", F.xxhash64(F.lit(7), "text").alias("h"), F.col("text").cast("binary").alias("text"), "doc_id")
     once = small_batches(dealt).mapInArrow(tidy(_local), "bucket long, h long, text binary, doc_id long, n long")
-    placed = once.repartition(max(n, slots(docs.sparkSession)), "bucket").sortWithinPartitions("bucket")
+    placed = once.repartition(2 * slots(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
     return small_batches(placed).mapInArrow(tidy(_resolve), "text_sha256 string, keep_id long, group_size long")
 
 

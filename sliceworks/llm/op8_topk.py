@@ -1,11 +1,13 @@
 """Exact top-k inner products by norm buckets.
 
-Candidates are grouped by length (norm).  The longest ones, a bounded number,
-give every query a first threshold.  A block then holds candidates of one norm
-bucket: with its longest vector the threshold becomes a cosine.  A query whose
-cosine exceeds 1 skips the block; else the block is pruned by length where the
-cosine is low, or by the query's largest coordinate where it is high, and what
-is left is verified by products.
+Candidates are grouped by length (norm).  The longest ones and a sample, both of
+bounded number, give every query a first threshold.  A block holds candidates of
+one norm bucket: with its longest vector the threshold becomes a cosine.  Queries
+are grouped by the length they need, threshold over norm, so that a table of
+groups and blocks tells which of them meet at all before any vector is copied.
+A query whose cosine exceeds 1 skips the block; else the block is pruned by
+length where the cosine is low, or by the query's largest coordinate where it is
+high, and what is left is verified by products.
 """
 
 from __future__ import annotations
@@ -14,17 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, tidy, written
+from .common import bounded_sample, table, tidy, written
 
 SCALE = 64
 K = 20
 #: The stated query set: ids divisible by this.
 EVERY = 20
-#: Longest vectors that give the first thresholds; they are broadcast.
+#: Longest vectors, and others about, that give the first thresholds; they are broadcast.
 PROBE = 2048
+#: Query groups up to which their needs are broadcast.
+FEW = 1 << 20
 #: Queries and candidates of a cell, about.
 QUERIES, CANDIDATES = 2048, 4096
 #: From this cosine on a block is pruned by a coordinate rather than by length.
@@ -121,6 +125,22 @@ def _cells(k: int):
     return run
 
 
+def parted(rows: DataFrame, by: Column, size: int, ranges: int = 64) -> DataFrame:
+    """``rows`` with a ``part``: ranges of ``by``, and in each as many parts by a hash as its rows need to have about ``size``."""
+    rows = rows.withColumn("by", by)
+    edges = sorted(set(rows.approxQuantile("by", [i / ranges for i in range(1, ranges)], 0.005)))
+    at = F.lit(0)
+    for e in edges:
+        at = at + (F.col("by") >= e).cast("int")
+    rows = rows.withColumn("range", at)
+    counts = {r[0]: r[1] for r in rows.groupBy("range").count().collect()}  # at most ``ranges`` rows
+    parts = [-(-counts.get(i, 0) // size) for i in range(len(edges) + 1)]
+    begin = F.array(*map(F.lit, [0, *map(int, np.cumsum(parts)[:-1])]))
+    many = F.array(*map(F.lit, [max(1, n) for n in parts]))
+    own = F.pmod(F.xxhash64(F.lit(1), "vec_id"), many[F.col("range")])
+    return rows.withColumn("part", begin[F.col("range")] + own).drop("by", "range")
+
+
 def topk(vectors: DataFrame, k: int = K, every: int = EVERY, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE, queries: int = QUERIES, candidates: int = CANDIDATES) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest products for each query.
 
@@ -133,28 +153,25 @@ def topk(vectors: DataFrame, k: int = K, every: int = EVERY, vec_id: str = "vec_
     spark = vectors.sparkSession
     all_rows = written(quantised(vectors, vec_id, embedding, scale), "vectors")
     asked = all_rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("x", "norm", "dim")).alias("q")).select("vec_id", "q.*")
-    n = all_rows.count()
-    longest: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    probe = all_rows.orderBy(F.desc("norm"), "vec_id").limit(PROBE).toPandas()  # at most PROBE vectors
-    for dim, part in probe.groupby("dim"):
-        longest[dim] = (part["vec_id"].to_numpy(), _matrix(part["x"]))
-    shared = spark.sparkContext.broadcast(longest)
-    q = asked.mapInPandas(tidy(_first(shared, k)), "vec_id long, x array<long>, norm double, dim int, theta double")
-    # blocks of candidates of about one norm: ranges of the norm, and within a range a hash
-    rows_c, rows_q = max(1, -(-n // candidates)), max(1, -(-(n // every + 1) // queries))
-    ranges = max(1, min(64, rows_c))
-    edges = all_rows.approxQuantile("norm", [i / ranges for i in range(1, ranges)], 0.005) if ranges > 1 else []
-    bucket = F.lit(0)
-    for e in sorted(set(edges)):
-        bucket = bucket + (F.col("norm") >= e).cast("int")
-    per = max(1, -(-rows_c // ranges)) * 2
-    c = all_rows.withColumn("block", bucket * per + F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(per)))
-    c = c.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(rows_q - 1))))
-    n_blocks = (len(set(edges)) + 1) * per
-    q = q.withColumn("group", F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(rows_q)).cast("int"))
-    q = q.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+    longest = all_rows.orderBy(F.desc("norm"), "vec_id").limit(PROBE).toPandas()  # at most PROBE vectors
+    others = bounded_sample(all_rows, "vec_id", PROBE).toPandas()  # about as many
+    # a repeated vector counts once for a threshold only if it is the same row
+    probe = pd.concat([longest, others[~others["vec_id"].isin(longest["vec_id"])]])
+    shared = spark.sparkContext.broadcast({dim: (part["vec_id"].to_numpy(), _matrix(part["x"])) for dim, part in probe.groupby("dim")})
+    with_theta = written(asked.mapInPandas(tidy(_first(shared, k)), "vec_id long, x array<long>, norm double, dim int, theta double"), "queries")
+    shared.destroy()
+    c = parted(all_rows, F.col("norm"), candidates).withColumnRenamed("part", "block")
+    # what the longest vector of a block must have to give the query its threshold
+    need = F.when((F.col("theta") > 0) & (F.col("norm") > 0), F.col("theta") / F.col("norm")).otherwise(0.0)
+    q = parted(with_theta.withColumn("need", need), F.col("need"), queries).withColumnRenamed("part", "group")
+    blocks = c.groupBy("dim", "block").agg(F.max("norm").alias("top"))
+    groups = q.groupBy("dim", "group").agg(F.min("need").alias("least"))
+    few = groups.count() <= FEW
+    meet = written(blocks.join(F.broadcast(groups) if few else groups, "dim").where(F.col("top") >= F.col("least") * (1 - 1e-9)).select("dim", "group", "block"), "meetings")
     keys = ["dim", "group", "block"]
-    found = q.select(*keys, "vec_id", "x", "norm", "theta").groupBy(*keys).cogroup(c.select(*keys, "vec_id", "x", "norm").groupBy(*keys)).applyInPandas(_cells(k), "query_id long, vec_id long, score long")
+    qs = q.select("dim", "group", "vec_id", "x", "norm", "theta").join(meet, ["dim", "group"]).groupBy(*keys)
+    cs = c.select("dim", "block", "vec_id", "x", "norm").join(meet, ["dim", "block"]).groupBy(*keys)
+    found = qs.cogroup(cs).applyInPandas(_cells(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -2,9 +2,11 @@
 
 Learned from labelled documents: per language the frequencies of hashed byte
 n-grams.  A document's n-gram counts are then explained as a mixture of the
-languages' distributions.  Expectation-maximisation finds the proportions; the
-language whose removal costs less likelihood than the penalty leaves the set,
-until none does (a penalised likelihood over language sets).
+languages' distributions.  Expectation-maximisation finds the proportions.  The
+language with the smallest proportion is tried without: if that costs less
+likelihood than the penalty it leaves the set and the next is tried, else the
+set stands (a penalised likelihood over language sets, searched from all
+languages down).
 """
 
 from __future__ import annotations

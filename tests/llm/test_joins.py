@@ -202,6 +202,51 @@ def test_op2_settles(spark, most):
     assert np.abs(g[inside]).max(initial=0) < 1e-5 and (g[r == 0] > -1e-5).all() and (g[r == most] < 1e-5).all()
 
 
+def test_op2_equals_plain_projected_gradient(spark):
+    """The totals and the rates of documents against projected gradient over explicit rates."""
+    rng = np.random.default_rng(11)
+    p, n = rng.dirichlet([0.4] * 4, 150), rng.integers(1, 50, 150)
+    rows = [(i, int(n[i]), *map(float, p[i])) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, " + ", ".join(f"{x} double" for x in op2_mixing.DOMAINS))
+    mix = op2_mixing.fit_rates(df, [], {"good": 0.5, "poor": 0.3, "good_toxic": 0.15, "poor_toxic": 0.05}, most=1.0)
+    share, natural = n / n.sum(), (n @ p) / n.sum()
+    r = np.ones(150)
+    for _ in range(60_000):
+        r = np.clip(r - 0.15 * (p @ (((share * r) @ p - mix.targets) / natural) + op2_mixing.PULL * (r - 1)), 0, 1)
+    assert np.abs((share * r) @ p - mix.totals).max() < 1e-5 and np.abs(r - mix.rates(p)).max() < 1e-3
+
+
+def test_op2_posteriors_are_plain_logistic(spark):
+    import math
+
+    import pyarrow as pa
+
+    from sliceworks.llm.hashing import ALNUM, buffers, words
+
+    texts = ["the quick brown fox", "", "Some words, some more words - and the rest", "x"]
+    own = [sorted(set(ftrl.features(*words(*buffers(pa.array([t])), ALNUM))[0].tolist())) for t in texts]
+    every = np.unique(np.concatenate([np.array(o, np.int64) for o in own]))
+    rng = np.random.default_rng(3)
+    models = [(every, rng.normal(size=len(every)), 0.3), (every, rng.normal(size=len(every)), -0.2)]
+    got, n = op2_mixing.posteriors(ftrl.scorer(models), pa.array(texts))
+    assert n.tolist() == [4, 0, 8, 1]
+    for o, row in zip(own, got):
+        good, toxic = (1 / (1 + math.exp(-(b + sum(w[np.searchsorted(at, i)] for i in o)))) for at, w, b in models)
+        assert np.allclose(row, [good * (1 - toxic), (1 - good) * (1 - toxic), good * toxic, (1 - good) * toxic], atol=1e-6)
+
+
+def test_op2_takes_token_counts(spark, middle):
+    """With a column of tokens its totals meet the targets."""
+    from sliceworks.llm import op1_tokens
+
+    counted = op1_tokens.token_counts(table(spark, middle, "documents"))
+    got = op2_mixing.source_mix(counted, table(spark, middle, "labels"), tokens="n_tokens").toPandas()
+    n, p = got["n_tokens"].to_numpy(), got[list(op2_mixing.DOMAINS)].to_numpy()
+    total = (n * got["rate"].to_numpy()) @ p
+    assert np.abs(total / total.sum() - [0.9, 0.07, 0.02, 0.01]).max() < 0.01
+    assert dict(zip(got["doc_id"], n)) == {r["doc_id"]: r["n_tokens"] for r in counted.select("doc_id", "n_tokens").collect()}
+
+
 def test_op2_totals_meet_targets(spark, middle):
     """Each domain's own total, so that a rare one counts as well."""
     members, models = op2_mixing.members_of(table(spark, middle, "documents"), table(spark, middle, "labels"))
@@ -261,12 +306,26 @@ def test_pipeline_stages(spark, middle):
 
 def test_pipeline_edges(spark, tmp_path):
     rows = [(1, None), (2, ""), (3, "12 34"), (4, "the same words here"), (5, "the same words here"), (5, "the same words here"), (None, "the same words here"), (None, "other words"), (6, "word " * 30000)]
-    full = docs(spark, [(*r, "en") for r in rows]).withColumn("sha", F.lit("mine"))
+    full = docs(spark, [(*r, "en") for r in rows])
+    for name in ("sha", "keep_id", "KEEP_ID_", "lang_pred", "score", "languages", "n_tokens", "component_id", "name", "bucket", "a.b"):
+        full = full.withColumn(name, F.lit(f"my {name}"))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     none.write.parquet(str(tmp_path / "labels.parquet"))
     for table_ in (full, full.limit(0)):
         table_.write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
         got = corpus_pipeline.run(spark, str(tmp_path)).collect()
         assert (len(got) > 0) == (table_.count() > 0)
-    stage = corpus_pipeline.exact(spark, full, "").collect()
-    assert sorted((r["doc_id"] or 0) for r in stage if r["text"]) == [0, 3, 5, 6]
+    stages = [corpus_pipeline.language, corpus_pipeline.exact, corpus_pipeline.near, corpus_pipeline.mixing]
+    for stage, want in zip(stages, ([0, 0, 4, 5, 5, 6], [0, 2, 3, 5, 6], None, None)):
+        found = stage(spark, full, str(tmp_path))
+        assert found.columns == full.columns
+        got = found.collect()
+        assert want is None or sorted((r["doc_id"] or 0) for r in got) == want
+        assert got and all(r[c] == f"my {c}" for r in got for c in full.columns[5:])
+
+
+def test_pipeline_near_takes_an_id_as_one_document(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (3, text + " more"), (3, "another text that is no copy of any other"), (None, text), (4, "and one that stands alone in this table")]
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near(spark, docs(spark, rows), "").collect()]
+    assert sorted(got, key=str) == sorted([rows[0], rows[3], rows[4]], key=str)
