@@ -41,7 +41,7 @@ _made: list[list[str]] = []
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``written`` makes within go at the end; what was computed from them must be written outside by then."""
+    """Tables that ``written`` makes within go at the end, but for those that stay; what else was computed from them must be written by then."""
     _made.append([])
     try:
         yield
@@ -56,15 +56,15 @@ def written(df: DataFrame, what: str, stays: bool = False) -> DataFrame:
 
     This cuts the lineage: a lost executor costs no recomputation, and both
     readers of a table see the same rows.  The files go at the end of the
-    innermost ``scratch`` (unless the table ``stays``) or with the session, as
-    results are lazy and read them.
+    innermost ``scratch`` (of the one around it if the table ``stays``) or with
+    the session, as results are lazy and read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    if _made and not stays:
-        _made[-1].append(path)
+    if len(_made) > stays:
+        _made[-1 - stays].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

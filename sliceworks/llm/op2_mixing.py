@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, tidy, written
+from .common import scratch, small_batches, table, tidy, written
 from .ftrl import Settings, fit, sampled, scorer
 
 DOMAINS = ("good", "poor", "good_toxic", "poor_toxic")
@@ -176,14 +176,15 @@ def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = N
     ``tokens``: a column of ``docs`` with each document's tokens; None counts words.
     """
     s = settings or Settings()
-    known = written(sampled(docs, labels, s.bound), "labelled")  # about ``bound`` texts
-    models = fit(known, ("quality", "toxic"), settings=s)
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # at most 2**BITS weights each
-    count = F.col(tokens).cast("long") if tokens else F.lit(None).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), count.alias("n_tokens"))
-    schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS)
-    members = written(small_batches(rows).mapInArrow(tidy(_memberships(shared, tokens is not None)), schema), "members")
-    shared.destroy()
+    with scratch(docs.sparkSession):
+        known = written(sampled(docs, labels, s.bound), "labelled")  # about ``bound`` texts
+        models = fit(known, ("quality", "toxic"), settings=s)
+        shared = docs.sparkSession.sparkContext.broadcast(models)  # at most 2**BITS weights each
+        count = F.col(tokens).cast("long") if tokens else F.lit(None).cast("long")
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), count.alias("n_tokens"))
+        schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS)
+        members = written(small_batches(rows).mapInArrow(tidy(_memberships(shared, tokens is not None)), schema), "members", stays=True)
+        shared.destroy()
     return members, models
 
 
@@ -229,11 +230,12 @@ def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None,
     All columns stay, whatever their names.  The rates are told anew from each
     text, so nothing is joined.  Where nothing could be learned all stay.
     """
-    members, models = members_of(docs, labels, settings, tokens)
-    if not any(len(at) for at, _, _ in models):
-        log.warning("no labels to learn from: mixing keeps all documents")
-        return docs
-    found = fit_rates(members, models, **how | {"most": 1.0})
+    with scratch(docs.sparkSession):
+        members, models = members_of(docs, labels, settings, tokens)
+        if not any(len(at) for at, _, _ in models):
+            log.warning("no labels to learn from: mixing keeps all documents")
+            return docs
+        found = fit_rates(members, models, **how | {"most": 1.0})
     far = (np.abs(found.totals - found.targets) > MISS * found.targets).any()
     # the posteriors of a text sum to 1, so the totals sum to the share of tokens that stays
     log.log(logging.WARNING if far else logging.INFO, "mixing keeps %.3f of all tokens; domains (target, achieved): %s", found.totals.sum(), found.achieved())

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, small_batches, table, tidy
+from .common import fold, scratch, small_batches, table, tidy
 from .ftrl import Settings, fit, sampled, scorer
 
 
@@ -25,7 +25,8 @@ def _scores(shared):
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None):
     """The compact model: buckets, weights, bias."""
     s = settings or Settings()
-    return fit(sampled(docs, labels, s.bound), ("toxic",), settings=s, what="toxic-sample")[0]
+    with scratch(docs.sparkSession):
+        return fit(sampled(docs, labels, s.bound), ("toxic",), settings=s, what="toxic-sample")[0]
 
 
 def toxicity(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slots, small_batches, table, tidy, written
+from .common import bounded_sample, scratch, slots, small_batches, table, tidy, written
 from .components import components, renamed
 from .hashing import SPACED, buffers, chunks, mix, words
 
@@ -541,6 +541,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     its own set and links with nothing else.  An empty table gives no rows; other
     columns are not read.
     """
+    with scratch(docs.sparkSession):
+        return written(_components(docs, doc_id, text, percent, order_docs, cell, part), "components", stays=True)
+
+
+def _components(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs: int, cell: int, part: int) -> DataFrame:
     rows, sets, classes, lists = prepared(docs, doc_id, text, percent, order_docs)
     first = first_joined(lists, classes, rows, percent, part)
 
