@@ -10,8 +10,8 @@ TISSUES = {1: "SAT", 2: "VAT", 3: "SM", 4: "PSOAS", 5: "IMAT"}
 SAT, VAT, SM, PSOAS, IMAT = 1, 2, 3, 4, 5
 SACRUM = 19
 #: Numbers of the two spine models, by vertebra.
-TSEG_SPINE = {43: 1, 42: 2, 41: 3, 40: 4, 39: 5, 38: 6, 37: 7, 36: 8, 35: 9, 34: 10, 33: 11, 32: 12, 31: 13, 30: 14, 29: 15, 28: 16, 27: 17, 26: 19, 25: 19}
-STANFORD_SPINE = {8 + i: 1 + i for i in range(17)}
+SPINE_A = {43: 1, 42: 2, 41: 3, 40: 4, 39: 5, 38: 6, 37: 7, 36: 8, 35: 9, 34: 10, 33: 11, 32: 12, 31: 13, 30: 14, 29: 15, 28: 16, 27: 17, 26: 19, 25: 19}
+SPINE_B = {8 + i: 1 + i for i in range(17)}
 PSOAS_SOURCE = (88, 89)
 
 
@@ -23,7 +23,13 @@ class TissueParams:
     sm: tuple[int, int] = (-29, 150)
     vat: tuple[int, int] = (-190, -30)
     sat: tuple[int, int] = (-190, -30)
-    clip: tuple[int, int] = (-1024, 3071)
+    #: Intensities are clipped to this range before, if given, and filtered by the median of this kernel.
+    clip: tuple[int, int] | None = None
+    median: tuple[int, int] | None = None
+    #: By range name: mm2 under which a 2-D component of what the range marks is passed over.
+    least_mm2: dict[str, float] = field(default_factory=dict)
+    #: The same in 3-D, in mm3.
+    least_mm3: dict[str, float] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -37,16 +43,16 @@ class LevelParams:
 
 @dataclass(frozen=True)
 class BoxParams:
-    """Labels that span the box, axes it limits, and margins in mm (x, y, z)."""
+    """Labels that span the box; per side (x low, x high, y low, ...) whether it limits, and its margin in mm."""
 
     roi: tuple[int, ...] = (15,)
-    axes: tuple[bool, bool, bool] = (False, False, True)
-    margin_mm: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    sides: tuple[bool, ...] = (False, False, False, False, True, True)
+    margin_mm: tuple[float, ...] = (0.0,) * 6
 
 
-#: Boxes by name.
+# Boxes by name.
 BOXES = {
-    "SpineCranioCaudal": BoxParams(tuple(range(1, 22)), margin_mm=(-20.0, -20.0, -20.0)),
+    "SpineCranioCaudal": BoxParams(tuple(range(1, 22)), margin_mm=(0.0, 0.0, 0.0, 0.0, -20.0, -20.0)),
     "L3CranioCaudal": BoxParams((15,)),
     "L234CranioCaudal": BoxParams((14, 15, 16)),
 }
@@ -68,9 +74,9 @@ class Method:
 
 
 METHODS = {
-    "BodyComposition": Method(trunk=True),
-    "BodyCompositionFast": Method(box="L234CranioCaudal", l3_mean=True),
-    "SarcopeniaTotalSegmentator": Method(spine=TSEG_SPINE, vertebral_bodies=True, readd_sacrum=True, trunk=True, psoas=True),
-    "SarcopeniaTotalSegmentatorFast": Method(spine=TSEG_SPINE, box="L234CranioCaudal", l3_mean=True),
-    "SarcopeniaStanford": Method(spine=STANFORD_SPINE, vertebral_bodies=True, trunk=True),
+    "whole_trunk": Method(trunk=True),
+    "lumbar_quick": Method(box="L234CranioCaudal", l3_mean=True),
+    "muscle_a": Method(spine=SPINE_A, vertebral_bodies=True, readd_sacrum=True, trunk=True, psoas=True),
+    "muscle_a_quick": Method(spine=SPINE_A, box="L234CranioCaudal", l3_mean=True),
+    "muscle_b": Method(spine=SPINE_B, vertebral_bodies=True, trunk=True),
 }

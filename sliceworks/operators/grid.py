@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import BoxParams
@@ -29,32 +29,46 @@ def canonical(affine: list[float]) -> tuple[tuple[int, int, int], tuple[bool, bo
     return tuple(axes), tuple(flips)
 
 
-def bounding_boxes(voxels: DataFrame, label: str, shape: tuple[int, int, int] | None, spacing: tuple[float, float, float] | None, p: BoxParams, inclusive_end: bool = False, volumes: DataFrame | None = None) -> DataFrame:
-    """x0, x1, y0, y1, z0, z1 per case, ends exclusive; without the labels the whole extent.
+def bounding_boxes(found: DataFrame, p: BoxParams, inclusive_end: bool = False) -> DataFrame:
+    """x0, x1, y0, y1, z0, z1 and error per case, ends exclusive; without the labels the whole extent.
 
-    As in the reference data the last index itself is the exclusive end;
-    ``inclusive_end`` adds it.  ``volumes`` (case_no, nx, ny, nz, sx, sy, sz) takes the
-    place of one shape and spacing.
+    ``found``: case_no, the labels' first and last places (x_lo, x_hi, ...) and
+    each case's own nx, ny, nz, sx, sy, sz.  The last place itself is the
+    exclusive end; ``inclusive_end`` adds it.  A box without a voxel has an error.
     """
-    hit = F.col(label).isin(*p.roi)
-    bounds = [f(F.when(hit, F.col(a))).alias(f"{a}_{n}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]
-    found = voxels.groupBy("case_no").agg(*bounds)
-    if volumes is not None:
-        found = found.join(volumes, "case_no")
-    extent = [F.lit(shape[i]) if volumes is None else F.col(f"n{a}") for i, a in enumerate(AXES)]
-    pitch = [F.lit(float(spacing[i])) if volumes is None else F.col(f"s{a}") for i, a in enumerate(AXES)]
     out = []
     for i, a in enumerate(AXES):
-        if not p.axes[i]:
-            out += [F.lit(0).alias(f"{a}0"), extent[i].alias(f"{a}1")]
-            continue
-        m = F.ceil(F.lit(float(p.margin_mm[i])) / pitch[i])
-        inside = lambda c: F.greatest(F.lit(0), F.least(extent[i], c))  # noqa: E731, B023
-        out += [F.coalesce(inside(F.col(f"{a}_lo") - m), F.lit(0)).alias(f"{a}0"), F.coalesce(inside(F.col(f"{a}_hi") + m + int(inclusive_end)), extent[i]).alias(f"{a}1")]
-    # greatest() and least() pass over nulls, so cases without a hit are told apart here
-    empty = F.col("z_lo").isNull()
-    whole = [F.when(empty, v).otherwise(F.col(n)).cast("int").alias(n) for a, s in zip(AXES, extent) for n, v in ((f"{a}0", F.lit(0)), (f"{a}1", s))]
-    return found.select("case_no", F.col("z_lo"), *([] if volumes is None else ["nx", "ny", "nz"]), *out).select("case_no", *whole)
+        extent = F.col(f"n{a}")
+        inside = lambda c, extent=extent: F.greatest(F.lit(0), F.least(extent, c))
+        low, high = (F.ceil(F.lit(float(m)) / F.col(f"s{a}")) for m in p.margin_mm[2 * i : 2 * i + 2])
+        lo = inside(F.col(f"{a}_lo") - low) if p.sides[2 * i] else F.lit(0)
+        hi = inside(F.col(f"{a}_hi") + high + int(inclusive_end)) if p.sides[2 * i + 1] else extent
+        # greatest() and least() pass over nulls, so cases without a hit are told apart here
+        out += [F.when(F.col("z_lo").isNull(), v).otherwise(c).cast("int").alias(f"{a}{k}") for k, c, v in ((0, lo, F.lit(0)), (1, hi, extent))]
+    empty = (F.col("x1") <= F.col("x0")) | (F.col("y1") <= F.col("y0")) | (F.col("z1") <= F.col("z0"))
+    return found.select("case_no", *out).withColumn("error", F.when(empty, F.lit("the box holds no voxel")))
+
+
+def bounds(voxels: DataFrame, label: str, p: BoxParams, volumes: DataFrame) -> DataFrame:
+    """What ``bounding_boxes`` wants, of voxel rows and a table volumes (case_no, nx, ny, nz, sx, sy, sz)."""
+    hit = F.col(label).isin(*p.roi)
+    ends = [f(F.when(hit, F.col(a))).alias(f"{a}_{n}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]
+    return voxels.groupBy("case_no").agg(*ends).join(volumes, "case_no")
+
+
+def same_grid(a: DataFrame, b: DataFrame, rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
+    """case_no and error (null if there is none) of the cases of both tables (case_no, shape, spacing, affine arrays).
+
+    Shapes must be equal, spacings and affines close: |a - b| <= atol + rtol * |b|.
+    """
+    def close(c: str) -> Column:
+        pairs = F.arrays_zip(F.col(f"a.{c}").alias("p"), F.col(f"b.{c}").alias("q"))
+        near = F.forall(pairs, lambda x: F.abs(x["p"] - x["q"]) <= F.lit(atol) + F.lit(rtol) * F.abs(x["q"]))
+        return (F.size(f"a.{c}") == F.size(f"b.{c}")) & F.coalesce(near, F.lit(False))
+
+    both = a.alias("a").join(b.alias("b"), "case_no")
+    error = F.when(~close("affine"), F.lit("affines differ")).when(F.col("a.shape") != F.col("b.shape"), F.lit("shapes differ")).when(~close("spacing"), F.lit("spacings differ"))
+    return both.select("case_no", error.alias("error"))
 
 
 def cropped(voxels: DataFrame, boxes: DataFrame, shift: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,27 +16,75 @@ def spans(levels: DataFrame) -> DataFrame:
     return levels.where("level <> 0").groupBy("case_no").agg(F.min("z").alias("z0"), F.max("z").alias("z1"))
 
 
-def _in_span(hist: DataFrame, span: DataFrame) -> DataFrame:
-    return hist.join(span, "case_no").where("z BETWEEN z0 AND z1")
+class Windows:
+    """Running sums of each label along a case's slices; a window's counts are the difference of two of them."""
+
+    def __init__(self, z: np.ndarray, label: np.ndarray, n: np.ndarray, z0: int, z1: int, p: LevelParams):
+        inside = (z >= z0) & (z <= z1)
+        self.labels, place = np.unique(label[inside], return_inverse=True)
+        counts = np.zeros((z1 - z0 + 2, len(self.labels)), np.int64)
+        np.add.at(counts, (z[inside] - z0 + 1, place), n[inside])
+        self.sums, self.z0, self.z1, self.p = counts.cumsum(axis=0), z0, z1, p
+
+    def dominant(self, at: np.ndarray, w: int) -> np.ndarray:
+        """The dominating label within w slices of each place (as ``hist.packed`` has it)."""
+        lo, hi = np.maximum(at - w, self.z0) - self.z0, np.minimum(at + w, self.z1) - self.z0 + 1
+        n = self.sums[hi] - self.sums[lo]
+        score = np.where((self.labels == 0) | (n < self.p.min_voxels), 0, n)
+        score = np.where(np.isin(self.labels, self.p.deprioritise), 1, score)
+        packed = np.where(n > 0, score * 256 + 255 - self.labels, -1)
+        return 255 - packed.max(axis=1) % 256
+
+
+def _by_case(hist: DataFrame, levels: DataFrame, run) -> DataFrame:
+    """``run`` gets a case's histogram, a few labels a slice, and its levels in order; it returns the new levels and where they are."""
+    def one(both: pd.DataFrame) -> pd.DataFrame:
+        is_own = both["label"].isna().to_numpy()
+        h, own = both[~is_own].astype({"label": "int64", "n": "int64"}), both[is_own].astype({"level": "int64"}).sort_values("z")
+        z, level = run(h, own["z"].to_numpy(), own["level"].to_numpy())
+        return pd.DataFrame({"case_no": both["case_no"].iloc[0], "z": z, "level": level})
+
+    kind = levels.schema["case_no"].dataType.simpleString()
+    rows = hist.select("case_no", "z", "label", "n", F.lit(None).cast("int").alias("level"))
+    own = levels.select("case_no", "z", F.lit(None).cast("int").alias("label"), F.lit(None).cast("long").alias("n"), "level")
+    return rows.unionByName(own).groupBy("case_no").applyInPandas(one, f"case_no {kind}, z int, level int")
+
+
+def _span_filled(h: pd.DataFrame, z: np.ndarray, level: np.ndarray, p: LevelParams) -> tuple[np.ndarray, np.ndarray]:
+    if not level.any():
+        return z[:0], level[:0]
+    z0, z1 = int(z[level != 0].min()), int(z[level != 0].max())
+    z, level = z[(z >= z0) & (z <= z1)], level[(z >= z0) & (z <= z1)].copy()
+    gaps, w = np.flatnonzero(level == 0), 1
+    if p.fill and len(gaps):
+        windows = Windows(h["z"].to_numpy(), h["label"].to_numpy(), h["n"].to_numpy(), z0, z1, p)
+        while len(gaps) and w <= z1 - z0:
+            level[gaps] = windows.dominant(z[gaps], w)
+            gaps, w = gaps[level[gaps] == 0], w + 1
+    return z, level
+
+
+def _monotonic(h: pd.DataFrame, z: np.ndarray, level: np.ndarray, p: LevelParams) -> tuple[np.ndarray, np.ndarray]:
+    level = level.copy()
+    if len(level) > 1:
+        windows = Windows(h["z"].to_numpy(), h["label"].to_numpy(), h["n"].to_numpy(), int(z[0]), int(z[-1]), p)
+        for w in range(1, p.window + 1):
+            flags = np.append(0, np.cumsum(np.append(False, level[1:] > level[:-1])))
+            at = np.arange(len(level))
+            near = np.flatnonzero(flags[np.minimum(at + w + 1, len(level))] > flags[np.maximum(at - w, 0)])
+            if not len(near):
+                break  # no flag, so no later round changes anything
+            level[near] = windows.dominant(z[near], w)
+    return z, level
 
 
 def filled(hist: DataFrame, levels: DataFrame, p: LevelParams) -> DataFrame:
     """Levels within the span; a slice without one takes that of the smallest window in which one dominates.
 
-    Only undefined slices meet the histogram, so the work follows their number.
+    A window costs one difference of running sums for each label, so the work
+    follows the gaps and the windows they need.  Cases without a level have no row.
     """
-    span = spans(levels)
-    own = levels.join(span, "case_no").where("z BETWEEN z0 AND z1")
-    if not p.fill:
-        return own.select("case_no", "z", "level")
-    gaps = own.where("level = 0").select("case_no", F.col("z").alias("gap"), (F.col("z1") - F.col("z0")).alias("w_max"))
-    near = _in_span(hist, span).select("case_no", "z", "label", "n").join(gaps, "case_no")
-    reach = F.greatest(F.lit(1), F.abs(F.col("z") - F.col("gap")))
-    grown = near.where(reach <= F.col("w_max")).withColumn("w", F.explode(F.sequence(reach, F.col("w_max"))))
-    sums = grown.groupBy("case_no", "gap", "w", "label").agg(F.sum("n").alias("n"))
-    best = dominant(sums, p, ("case_no", "gap", "w")).where("level <> 0")
-    found = best.groupBy("case_no", "gap").agg(F.min(F.col("w") * 256 + F.col("level")).alias("p")).select("case_no", F.col("gap").alias("z"), (F.col("p") % 256).cast("int").alias("new"))
-    return own.join(found, ["case_no", "z"], "left").select("case_no", "z", F.when(F.col("level") == 0, F.coalesce("new", F.lit(0))).otherwise(F.col("level")).alias("level"))
+    return _by_case(hist, levels, lambda h, z, level: _span_filled(h, z, level, p))
 
 
 def non_monotonic(levels: DataFrame) -> DataFrame:
@@ -43,30 +93,20 @@ def non_monotonic(levels: DataFrame) -> DataFrame:
     return levels.withColumn("before", before).where("level > before").select("case_no", "z", "level", "before")
 
 
-FOLD = """aggregate(sequence(1, {w}), levels, (st, w) -> transform(st, (v, i) ->
-  if(exists(sequence(greatest(1, i - w), least(size(st) - 1, i + w)), j -> st[j] > st[j - 1]), candidates[w - 1][i], v)))"""
-
-
 def monotonic(hist: DataFrame, levels: DataFrame, p: LevelParams) -> DataFrame:
-    """Around each flag of a round, slices take the label that dominates the round's window.
-
-    The labels of all windows are found once, from the histogram; the rounds are
-    a fold over a case's arrays, one row a case.
-    """
+    """Around each flag of a round, slices take the label that dominates the round's window."""
     if not p.monotonic:
         return levels
-    span = levels.groupBy("case_no").agg(F.min("z").alias("z0"), F.max("z").alias("z1"))
-    near = _in_span(hist, span)
-    wide = near.withColumn("w", F.explode(F.sequence(F.lit(1), F.lit(p.window))))
-    wide = wide.withColumn("at", F.explode(F.sequence(F.greatest("z0", F.col("z") - F.col("w")), F.least("z1", F.col("z") + F.col("w")))))
-    sums = wide.groupBy("case_no", "at", "w", "label").agg(F.sum("n").alias("n"))
-    best = dominant(sums, p, ("case_no", "at", "w"))
-    per_w = best.groupBy("case_no", "w").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "level"))), lambda s: s["level"]).alias("c"))
-    cand = per_w.groupBy("case_no").agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "c"))), lambda s: s["c"]).alias("candidates"))
-    own = levels.groupBy("case_no").agg(F.sort_array(F.collect_list(F.struct("z", "level"))).alias("rows"))
-    case = own.join(cand, "case_no").select("case_no", F.transform("rows", lambda r: r["z"]).alias("zs"), F.transform("rows", lambda r: r["level"]).alias("levels"), "candidates")
-    done = case.select("case_no", "zs", F.expr(f"if(size(levels) < 2, levels, {FOLD.format(w=p.window)})").alias("new"))
-    return done.select("case_no", F.explode(F.arrays_zip("zs", "new")).alias("r")).select("case_no", F.col("r.zs").alias("z"), F.col("r.new").alias("level"))
+    return _by_case(hist, levels, lambda h, z, level: _monotonic(h, z, level, p))
+
+
+def settled(hist: DataFrame, levels: DataFrame, p: LevelParams) -> DataFrame:
+    """``filled``, then ``monotonic``, in one pass over a case."""
+    def run(h: pd.DataFrame, z: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        z, level = _span_filled(h, z, level, p)
+        return _monotonic(h, z, level, p) if p.monotonic else (z, level)
+
+    return _by_case(hist, levels, run)
 
 
 def center_slices(hist: DataFrame, levels: DataFrame) -> DataFrame:
@@ -84,9 +124,18 @@ def centroid_slices(hist: DataFrame, levels: DataFrame) -> DataFrame:
 
 
 def level_table(hist: DataFrame, p: LevelParams) -> DataFrame:
-    """case_no, z, level, center, centroid for every slice of the histogram; 0 where undefined."""
+    """case_no, z, level, center, centroid for every slice of the histogram; 0 where undefined.
+
+    A case without any level has rows of zeros here; ``without_levels`` names such cases.
+    """
     base = dominant(hist, p)
-    levels = monotonic(hist, filled(hist, base, p), p)
-    whole = base.select("case_no", "z").join(levels, ["case_no", "z"], "left").select("case_no", "z", F.coalesce("level", F.lit(0)).alias("level"))
+    whole = base.select("case_no", "z").join(settled(hist, base, p), ["case_no", "z"], "left").select("case_no", "z", F.coalesce("level", F.lit(0)).alias("level"))
     with_c = whole.join(center_slices(hist, whole), ["case_no", "z"], "left").join(centroid_slices(hist, whole), ["case_no", "z"], "left")
     return with_c.select("case_no", "z", "level", F.coalesce("center", F.lit(0)).alias("center"), F.coalesce("centroid", F.lit(0)).alias("centroid"))
+
+
+def without_levels(hist: DataFrame, p: LevelParams) -> DataFrame:
+    """case_no and error of the cases in which no slice has a level."""
+    base = dominant(hist, p)
+    none = base.groupBy("case_no").agg(F.max("level").alias("top")).where("top = 0")
+    return none.select("case_no", F.lit("no vertebral level found").alias("error"))

@@ -1,8 +1,9 @@
 """Connected components of masks: size filters, largest component, holes.
 
-Components need neighbours of neighbours, which no built-in operator follows; a
-group is one slice (2-D) or one case (3-D) and is labelled by NumPy, with
-minimum labels spreading until they stand still.
+Components need neighbours of neighbours, which no built-in operator follows.  A
+slice is labelled by NumPy, in a map.  In 3-D the pieces of neighbouring slices
+that touch are edges; only pieces and edges of a case, never its voxels, meet to
+be joined.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-EXTENT = ("nx", "ny", "nz")
+from .slices import KEY, mapped, packed, plane, with_planes
 
 
 def _steps(rank: int, corners: bool) -> list[tuple[int, ...]]:
@@ -23,6 +23,19 @@ def _steps(rank: int, corners: bool) -> list[tuple[int, ...]]:
     return [s for s in near if any(s) and (corners or sum(map(abs, s)) == 1)]
 
 
+def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest that edges (a, b) lead to."""
+    up = np.arange(n)
+    a, b = np.append(a, b), np.append(b, a)
+    while True:
+        low = up.copy()
+        np.minimum.at(low, a, up[b])
+        low = low[low]
+        if (low == up).all():
+            return up
+        up = low
+
+
 def labelled(mask: np.ndarray, corners: bool) -> np.ndarray:
     """Components of a mask, each named by its first place in C order; -1 outside."""
     at = np.argwhere(mask)
@@ -36,75 +49,116 @@ def labelled(mask: np.ndarray, corners: bool) -> np.ndarray:
         to = at + s
         ok = ((to >= 0) & (to < mask.shape)).all(axis=1)
         j = place[tuple(to[ok].T)]
-        i = np.flatnonzero(ok)[j >= 0]
-        a.append(i), b.append(j[j >= 0])
-    a, b = np.concatenate(a), np.concatenate(b)
-    up = np.arange(len(at))
-    while True:
-        low = up.copy()
-        np.minimum.at(low, a, up[b])
-        low = low[low]
-        if (low == up).all():
-            break
-        up = low
-    flat = np.flatnonzero(mask.ravel())
-    out[mask] = flat[up]
+        a.append(np.flatnonzero(ok)[j >= 0]), b.append(j[j >= 0])
+    out[mask] = np.flatnonzero(mask.ravel())[joined(len(at), np.concatenate(a), np.concatenate(b))]
     return out
 
 
-def _dense(pdf: pd.DataFrame, axes: list[str], shape: tuple[int, ...], column: str) -> np.ndarray:
-    a = np.zeros(shape, bool)
-    sel = pdf[pdf[column].to_numpy(bool)]
-    a[tuple(sel[c].to_numpy() for c in axes)] = True
-    return a
-
-
-def _grouped(voxels: DataFrame, keys: list[str], run) -> DataFrame:
-    schema = "case_no int, x int, y int, z int, mask boolean"
-    own = [c for c in EXTENT if c in voxels.columns]  # a case's own shape
-    return voxels.select("case_no", "x", "y", "z", "mask", *own).groupBy(*keys).applyInPandas(lambda pdf: run(pdf)[["case_no", "x", "y", "z", "mask"]], schema)
-
-
-def _shape(pdf: pd.DataFrame, shape: tuple[int, int, int] | None) -> tuple[int, ...]:
-    """The shape of all cases, or without one that of the case's columns nx, ny, nz."""
-    return shape or tuple(int(pdf[c].iloc[0]) for c in EXTENT)
-
-
-def without_small(voxels: DataFrame, shape: tuple[int, int, int], limit: float, unit: float, three_d: bool = False) -> DataFrame:
-    """Drops components smaller than limit / unit voxels; corners connect.  No limit: nothing changes."""
-    axes = ["x", "y", "z"] if three_d else ["x", "y"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        comp = labelled(_dense(pdf, axes, shape[: len(axes)], "mask"), True)
-        names, n = np.unique(comp[comp >= 0], return_counts=True)
-        keep = np.isin(comp, names[n >= limit / unit])
-        return pdf.assign(mask=keep[tuple(pdf[a].to_numpy() for a in axes)])
-
-    if limit <= 0:
-        return voxels.select("case_no", "x", "y", "z", "mask")
-    return _grouped(voxels, ["case_no"] if three_d else ["case_no", "z"], run)
-
-
-def largest(comp: np.ndarray) -> np.ndarray:
+def large_ones(mask: np.ndarray, least: float) -> np.ndarray:
+    """A slice's mask without components under ``least`` voxels; corners connect."""
+    comp = labelled(mask, True)
     names, n = np.unique(comp[comp >= 0], return_counts=True)
-    return comp == names[n.argmax()] if len(names) else comp >= 0  # ties: the first in scan order
+    return np.isin(comp, names[n >= least])
+
+
+# --- three dimensions
+def pieces(slices: DataFrame, mask: str, corners: bool, inverted: bool = False) -> DataFrame:
+    """Slices with ``comp`` (the piece of each voxel, -1 outside) and ``pieces``: size, first place and whether it meets the slice's border."""
+    kind = slices.schema["case_no"].dataType.simpleString()
+
+    def cut(row):
+        on = (plane(getattr(row, mask), row) > 0) != inverted
+        comp = labelled(on, corners)
+        names, index, n = np.unique(comp[on], return_inverse=True, return_counts=True)
+        out = np.full(on.shape, -1, "<i4")
+        out[on] = index
+        rim = set(np.concatenate([out[0], out[-1], out[:, 0], out[:, -1]]).tolist())
+        yield row.case_no, row.z, row.nx, row.ny, out.tobytes(), [(i, int(c), int(f), i in rim) for i, (c, f) in enumerate(zip(n, names))]
+
+    return mapped(slices.select(*KEY, "nx", "ny", mask), cut, f"case_no {kind}, z int, nx int, ny int, comp binary, pieces array<struct<piece:int,n:bigint,first:bigint,border:boolean>>")
+
+
+def touching(cut: DataFrame, corners: bool) -> DataFrame:
+    """case_no, z, a, b: piece a of slice z touches piece b of slice z + 1."""
+    kind = cut.schema["case_no"].dataType.simpleString()
+    above = cut.select("case_no", (F.col("z") - 1).alias("z"), F.col("comp").alias("above"))
+    both = cut.select(*KEY, "nx", "ny", "comp").join(above, [*KEY])
+
+    def meet(row):
+        one, two = (np.frombuffer(c, "<i4").reshape(row.nx, row.ny) for c in (row.comp, row.above))
+        found = set()
+        for dx, dy in itertools.product((-1, 0, 1), repeat=2) if corners else [(0, 0)]:
+            a = one[max(0, dx) : row.nx + min(0, dx), max(0, dy) : row.ny + min(0, dy)]
+            b = two[max(0, -dx) : row.nx + min(0, -dx), max(0, -dy) : row.ny + min(0, -dy)]
+            ok = (a >= 0) & (b >= 0)
+            found.update(map(tuple, np.unique(np.stack([a[ok], b[ok]], axis=1), axis=0).tolist()))
+        for a, b in found:
+            yield row.case_no, row.z, a, b
+
+    return mapped(both, meet, f"case_no {kind}, z int, a int, b int")
+
+
+def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool = False) -> DataFrame:
+    """``slices`` with the mask of the pieces that ``choose`` takes; it gets a case's roots, sizes and first places by piece, and the voxel's volume.
+
+    ``inverted``: pieces are those of the background, a frame of one voxel about
+    the volume belongs to it, and the mask is what is not taken.
+    """
+    cut = pieces(slices, mask, corners, inverted)
+    kind = cut.schema["case_no"].dataType.simpleString()
+
+    def one(both: pd.DataFrame) -> pd.DataFrame:
+        is_edge = both["b"].notna().to_numpy()
+        nodes, edges = both[~is_edge], both[is_edge].astype({"b": "int64"})
+        place = pd.Series(np.arange(len(nodes)), index=pd.MultiIndex.from_arrays([nodes["z"], nodes["piece"]]))
+        a = b = np.zeros(0, np.int64)
+        if len(edges):
+            a = place.reindex(pd.MultiIndex.from_arrays([edges["z"], edges["piece"]])).to_numpy()
+            b = place.reindex(pd.MultiIndex.from_arrays([edges["z"] + 1, edges["b"]])).to_numpy()
+        z, n = nodes["z"].to_numpy(), nodes["n"].to_numpy()
+        nx, ny, depth, bottom, unit = (nodes[c].iloc[0] for c in ("nx", "ny", "depth", "bottom", "unit"))
+        first = nodes["first"].to_numpy() * depth + (z - bottom)
+        if inverted:
+            rim = np.flatnonzero(nodes["border"].to_numpy(bool) | (z == bottom) | (z == bottom + depth - 1))
+            a, b = np.append(a, rim), np.append(b, np.full(len(rim), len(n)))
+            n, first = np.append(n, (nx + 2) * (ny + 2) * (depth + 2) - nx * ny * depth), np.append(first, -1)
+        root = joined(len(n), a.astype(np.int64), b.astype(np.int64))
+        size = np.bincount(root, n, len(n))[root]
+        least = np.full(len(n), np.iinfo(np.int64).max)
+        np.minimum.at(least, root, first)
+        return nodes.loc[choose(root, size, least[root], unit)[: len(nodes)], ["case_no", "z", "piece"]]
+
+    extent = slices.groupBy("case_no").agg(F.min("z").alias("bottom"), (F.max("z") - F.min("z") + 1).alias("depth"), F.first(F.col("sx") * F.col("sy") * F.col("sz")).alias("unit"))
+    nodes = cut.select(*KEY, "nx", "ny", F.explode("pieces").alias("p")).select(*KEY, "nx", "ny", "p.*").join(extent, "case_no")
+    edges = touching(cut, corners).select(*KEY, F.col("a").alias("piece"), "b")
+    kept = nodes.unionByName(edges, allowMissingColumns=True).groupBy("case_no").applyInPandas(one, f"case_no {kind}, z int, piece int")
+    per = kept.groupBy(*KEY).agg(F.collect_list("piece").alias("kept"))
+
+    def paint(row):
+        yield row.case_no, row.z, packed(np.isin(np.frombuffer(row.comp, "<i4"), row.kept if row.kept is not None else []) != inverted)
+
+    painted = mapped(cut.select(*KEY, "comp").join(per, [*KEY], "left"), paint, f"case_no {kind}, z int, {mask} binary")
+    return slices.drop(mask).join(painted, [*KEY]).select(*slices.columns)
+
+
+def _first_largest(root: np.ndarray, size: np.ndarray, first: np.ndarray, _) -> np.ndarray:
+    return root == root[np.lexsort((first, -size))[0]]  # ties: the first in scan order
+
+
+def without_small(slices: DataFrame, mask: str, limit: float, three_d: bool = False) -> DataFrame:
+    """Drops components of the mask under ``limit`` mm2 (3-D: mm3) by each case's spacing; corners connect.  No limit: nothing changes."""
+    if limit <= 0:
+        return slices
+    if three_d:
+        return _chosen(slices, mask, True, lambda root, size, first, unit: size >= limit / unit)
+    return with_planes(slices, lambda row: {mask: large_ones(plane(getattr(row, mask), row) > 0, limit / (row.sx * row.sy))}, (mask,))
 
 
-def keep_largest(voxels: DataFrame, shape: tuple[int, int, int] | None) -> DataFrame:
+def keep_largest(slices: DataFrame, mask: str) -> DataFrame:
     """The largest component of a case's mask; faces connect."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = _dense(pdf, ["x", "y", "z"], _shape(pdf, shape), "mask")
-        keep = mask if mask.all() else largest(labelled(mask, False))
-        return pdf.assign(mask=keep[tuple(pdf[a].to_numpy() for a in "xyz")])
-
-    return _grouped(voxels, ["case_no"], run)
-
+    return _chosen(slices, mask, False, _first_largest)
 
-def fill_holes(voxels: DataFrame, shape: tuple[int, int, int] | None) -> DataFrame:
-    """Background that faces do not connect to the outside becomes mask."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = np.pad(_dense(pdf, ["x", "y", "z"], _shape(pdf, shape), "mask"), 1)
-        full = ~largest(labelled(~mask, False))[1:-1, 1:-1, 1:-1]
-        return pdf.assign(mask=full[tuple(pdf[a].to_numpy() for a in "xyz")])
 
-    return _grouped(voxels, ["case_no"], run)
+def fill_holes(slices: DataFrame, mask: str) -> DataFrame:
+    """All but the largest part of the background, the volume's surroundings included, becomes mask; faces connect."""
+    return _chosen(slices, mask, False, _first_largest, inverted=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.labels import IMAT, PSOAS, PSOAS_SOURCE, SACRUM, SAT, SM, VAT, TissueParams
@@ -43,21 +43,3 @@ def within_bodies(vert: Column, vb: Column, readd_sacrum: bool = True) -> Column
     """0 outside the vertebral bodies, but for the sacrum."""
     keep = vb == 1
     return F.when(keep | (vert == SACRUM) if readd_sacrum else keep, vert).otherwise(0)
-
-
-def median_filtered(voxels: DataFrame, shape: tuple[int, int], kernel: tuple[int, int] = (3, 3)) -> DataFrame:
-    """hu_median: the median of the kernel in the slice, borders reflected (edge voxel repeated).
-
-    Each voxel goes to the places that it is a neighbour of, so a group has as
-    many rows as the kernel has places.
-    """
-    def reflected(at: Column, n: int) -> Column:
-        return F.when(at < 0, -at - 1).when(at >= n, F.lit(2 * n - 1) - at).otherwise(at)
-
-    hx, hy = kernel[0] // 2, kernel[1] // 2
-    offsets = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in range(-hx, hx + 1) for j in range(-hy, hy + 1)]))
-    wanted = voxels.select("case_no", "x", "y", "z", offsets.alias("o")).select("case_no", "z", "x", "y", reflected(F.col("x") + F.col("o.dx"), shape[0]).alias("nx"), reflected(F.col("y") + F.col("o.dy"), shape[1]).alias("ny"))
-    near = voxels.select("case_no", "z", F.col("x").alias("nx"), F.col("y").alias("ny"), "hu")
-    half = (kernel[0] * kernel[1]) // 2
-    middle = F.element_at(F.sort_array(F.collect_list("hu")), half + 1)
-    return wanted.join(near, ["case_no", "z", "nx", "ny"]).groupBy("case_no", "x", "y", "z").agg(middle.alias("hu_median"))

@@ -1,57 +1,159 @@
-"""The registered methods as lazy plans over one voxel relation."""
+"""The registered methods as lazy plans over slice rows."""
 
 from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.labels import BOXES, METHODS, Method
-from ..operators import frame, grid, hist, levels, morph, voxel
+from ..functions.labels import BOXES, IMAT, METHODS, PSOAS, PSOAS_SOURCE, SACRUM, SAT, SM, VAT, Method, TissueParams
+from ..operators import frame, grid, hist, levels, morph, slices
+from ..operators.slices import plane, with_planes
+from ..sources import files
 
+#: Volumes that a method reads besides hu, tissue and vert.
+EXTRA = {"vertebral_bodies": "vb", "trunk": "trunk", "psoas": "iliopsoas"}
 
-def tissue_and_levels(voxels: DataFrame, m: Method, shape, spacing, volumes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Histograms of tissue and of vertebrae, after the method's masks and box."""
-    vert = F.col("vert")
-    if m.spine:
-        vert = voxel.remapped(vert, m.spine)
-    rows = voxels.withColumn("vert", vert)
-    if m.vertebral_bodies:
-        rows = rows.withColumn("vert", voxel.within_bodies(F.col("vert"), F.col("vb"), m.readd_sacrum))
-    if m.box:
-        rows = grid.cropped(rows, grid.bounding_boxes(rows, "vert", shape, spacing, BOXES[m.box], volumes=volumes), shift=False)
-    tissue = voxel.with_psoas(F.col("tissue"), F.col("iliopsoas")) if m.psoas else F.col("tissue")
-    rows = rows.withColumn("tissue", voxel.masked_tissue(tissue, F.col("hu"), m.tissue))
-    if m.trunk:
-        whole = rows.withColumn("mask", F.col("trunk") == 1)
-        if volumes is None:
-            trunk = morph.fill_holes(morph.keep_largest(whole, shape), shape)
-        else:
-            extent = volumes.select("case_no", *morph.EXTENT)
-            trunk = morph.fill_holes(morph.keep_largest(whole.join(extent, "case_no"), None).join(extent, "case_no"), None)
-        rows = rows.join(trunk, ["case_no", "x", "y", "z"]).withColumn("tissue", F.when(F.col("mask"), F.col("tissue")).otherwise(0)).drop("mask")
-    return hist.slice_histogram(rows, "tissue"), hist.slice_histogram(rows, "vert")
 
+def needed(method: str) -> tuple[str, ...]:
+    """The volumes that the method reads."""
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method}; there are {sorted(METHODS)}")
+    return ("hu", "tissue", "vert", *(v for k, v in EXTRA.items() if getattr(METHODS[method], k)))
+
+
+def vertebrae(rows: DataFrame, m: Method) -> DataFrame:
+    """The vertebra labels in our numbers, inside the vertebral bodies where the method says so."""
+    if not (m.spine or m.vertebral_bodies):
+        return rows
+    table = np.zeros(1 << 16, np.int16)
+    for old, new in (m.spine or {}).items():
+        table[old] = new
+
+    def run(row):
+        vert = plane(row.vert, row)
+        if m.spine:
+            vert = table[vert.astype(np.uint16)]
+        if m.vertebral_bodies:
+            vert = np.where((plane(row.vb, row) == 1) | ((vert == SACRUM) & m.readd_sacrum), vert, 0)
+        return {"vert": vert}
+
+    return with_planes(rows, run, ("vert",))
+
+
+def tissues(rows: DataFrame, m: Method) -> DataFrame:
+    """Tissue after psoas, intensity ranges and their size filters; muscle in the fat range becomes IMAT."""
+    p: TissueParams = m.tissue
+
+    def marked(name: str, hu: np.ndarray, tissue: np.ndarray) -> np.ndarray:
+        low, high = getattr(p, name)
+        inside = (hu >= low) & (hu <= high)
+        labels = {"imat": (), "sm": (SM, PSOAS), "vat": (VAT,), "sat": (SAT,)}[name]
+        return np.isin(tissue, labels) & ~inside if labels else inside
+
+    def applied(name: str, mask: np.ndarray, tissue: np.ndarray) -> np.ndarray:
+        if name == "imat":
+            return np.where(mask & np.isin(tissue, (SM, PSOAS)), IMAT, tissue)
+        return np.where(mask, 0, tissue)
+
+    def small(name: str, mask: np.ndarray, row) -> np.ndarray:
+        least = p.least_mm2.get(name, 0)
+        return morph.large_ones(mask, least / (row.sx * row.sy)) if least > 0 else mask
+
+    def begin(row):
+        hu, tissue = plane(row.hu, row), plane(row.tissue, row)
+        if p.clip:
+            hu = np.clip(hu, *p.clip)
+        if m.psoas:
+            tissue = np.where(np.isin(plane(row.iliopsoas, row), PSOAS_SOURCE), PSOAS, tissue)
+        return {"hu": hu, "tissue": tissue}
 
-def run(voxels: DataFrame, method: str = "BodyCompositionFast", shape=None, spacing=None, min_voxels: int | None = None, volumes: DataFrame | None = None) -> dict[str, DataFrame]:
-    """raw: a row per slice.  l3_mean: a row per case, for the methods that have it.
+    rows = with_planes(rows, begin, ("hu", "tissue"))
+    if p.median:
+        rows = slices.median_filtered(rows, to="hu", kernel=p.median)
+    if not any(p.least_mm3.get(n, 0) > 0 for n in ("imat", "sm", "vat", "sat")):
+        def every(row):
+            hu, tissue = plane(row.hu, row), plane(row.tissue, row)
+            for name in ("imat", "sm", "vat", "sat"):
+                tissue = applied(name, small(name, marked(name, hu, tissue), row), tissue)
+            return {"tissue": tissue}
 
-    ``volumes`` (case_no, nx, ny, nz, sx, sy, sz) has a row for every case and
-    takes the place of ``shape`` and ``spacing``, which hold for all cases.
+        return with_planes(rows, every, ("tissue",))
+    kept = rows.columns
+    for name in ("imat", "sm", "vat", "sat"):
+        rows = with_planes(rows, lambda row, n=name: {"marked": small(n, marked(n, plane(row.hu, row), plane(row.tissue, row)), row)}, ("marked",))
+        rows = morph.without_small(rows, "marked", p.least_mm3.get(name, 0), three_d=True)
+        rows = with_planes(rows, lambda row, n=name: {"tissue": applied(n, plane(row.marked, row) > 0, plane(row.tissue, row))}, ("tissue",)).select(*kept)
+    return rows
+
+
+def trunk_of(rows: DataFrame) -> DataFrame:
+    """The trunk as one body without holes."""
+    whole = with_planes(rows, lambda row: {"trunk": plane(row.trunk, row) == 1}, ("trunk",))
+    return morph.fill_holes(morph.keep_largest(whole, "trunk"), "trunk")
+
+
+def run(rows: DataFrame, method: str = "lumbar_quick", min_voxels: int | None = None, tissue: TissueParams | None = None) -> dict[str, DataFrame]:
+    """Results of slice rows with the volumes that the method needs, each case by its own shape and spacing.
+
+    raw: a row per slice.  l3_mean: a row per case, for the methods that have it.
+    errors: case_no and error of the cases whose box is empty or in which no slice
+    has a level; they have no other rows.
     """
-    if method not in METHODS:
-        raise ValueError(f"unknown method {method}; there are {sorted(METHODS)}")
-    m = METHODS[method]
+    wanted, m = needed(method), METHODS[method]
+    m = replace(m, tissue=tissue or m.tissue)
     p = m.levels if min_voxels is None else replace(m.levels, min_voxels=min_voxels)
-    tissue, vert = tissue_and_levels(voxels, m, shape, spacing, volumes)
-    raw = frame.combined(levels.level_table(vert, p), hist.areas(tissue, spacing[0] * spacing[1] if volumes is None else volumes))
-    out = {"raw": raw}
+    rows = vertebrae(rows.select(*slices.KEY, *slices.META, *wanted, *(["has"] if "has" in rows.columns else [])), m)
+    errors = []
+    if m.box:
+        boxes = grid.bounding_boxes(slices.bounds(rows, "vert", BOXES[m.box].roi), BOXES[m.box])
+        errors.append(boxes.where("error IS NOT NULL").select("case_no", "error"))
+        rows = slices.cropped(rows, boxes)
+    if m.trunk:
+        # the histogram of vertebrae does not need the trunk
+        both = tissues(rows, m).drop("trunk").join(trunk_of(rows.select(*slices.KEY, *slices.META, "trunk")).select(*slices.KEY, "trunk"), [*slices.KEY])
+        masked = with_planes(both, lambda row: {"tissue": np.where(plane(row.trunk, row) > 0, plane(row.tissue, row), 0)}, ("tissue",))
+    else:
+        masked = tissues(rows, m)
+    counted = slices.histogram(rows, "vert")
+    none = levels.without_levels(counted, p)
+    errors.append(none)
+    pixels = rows.groupBy("case_no").agg(F.first("sx").alias("sx"), F.first("sy").alias("sy"))
+    raw = frame.combined(levels.level_table(counted, p), hist.areas(slices.histogram(masked, "tissue"), pixels)).join(none, "case_no", "left_anti")
+    out = {"raw": raw, "errors": errors[0] if len(errors) == 1 else errors[0].unionByName(errors[1])}
     if m.l3_mean:
         out["l3_mean"] = frame.aggregated(frame.subset(raw, "level", "L3"), "mean", "level")
     return out
 
 
-def modelled(slices: DataFrame, predict, schema: str) -> DataFrame:
-    """A pluggable model: ``predict`` gets a case's slices as pandas and returns its label slices."""
-    return slices.groupBy("case_id").applyInPandas(predict, schema)
+def run_files(spark: SparkSession, image: str, labels: dict[str, str], method: str = "lumbar_quick", **how) -> dict[str, DataFrame]:
+    """``run`` over files: ``image`` and, for every other volume that the method needs, a folder or pattern of NIfTI files.
+
+    A case is a file name up to its first dot; files of one case must lie on one
+    grid.  Files that cannot be read, cases that lack a volume and cases of
+    different grids are rows of errors, the others go on.
+    """
+    wanted = needed(method)
+    if missing := set(wanted[1:]) - set(labels):
+        raise ValueError(f"the method needs {sorted(missing)}")
+    tables = {"hu": files.volumes(spark, image, "hu")} | {n: files.volumes(spark, labels[n], n) for n in wanted[1:]}
+    unread = [t.where("error IS NOT NULL").select(F.col("case_id").alias("case_no"), F.concat(F.lit(f"{n}: "), "error").alias("error")) for n, t in tables.items()]
+    good = {n: t.where("error IS NULL") for n, t in tables.items()}
+    grids = {n: t.groupBy(F.col("case_id").alias("case_no")).agg(F.first(F.array("nx", "ny", "nz")).alias("shape"), F.first(F.col("spacing").cast("array<double>")).alias("spacing"), F.first("affine").alias("affine")) for n, t in good.items()}
+    bad = [grid.same_grid(grids["hu"], grids[n]).where("error IS NOT NULL").select("case_no", F.concat(F.lit(f"{n}: "), "error").alias("error")) for n in wanted[1:]]
+    bad += [grids["hu"].join(grids[n], "case_no", "left_anti").select("case_no", F.lit(f"{n}: no volume").alias("error")) for n in wanted[1:]]
+    errors = unread[0]
+    for e in (*unread[1:], *bad):
+        errors = errors.unionByName(e)
+    rows = good["hu"].select(F.col("case_id").alias("case_no"), "z", "nx", "ny", *[F.col("spacing")[i].cast("double").alias(c) for i, c in enumerate(("sx", "sy", "sz"))], F.col("data").alias("hu"))
+    for n in wanted[1:]:
+        rows = rows.join(good[n].select(F.col("case_id").alias("case_no"), "z", F.col("data").alias(n)), ["case_no", "z"])
+    found = run(rows.join(errors.select("case_no").distinct(), "case_no", "left_anti"), method, **how)
+    return found | {"errors": errors.unionByName(found["errors"])}
+
+
+def modelled(rows: DataFrame, predict, made: str) -> DataFrame:
+    """A pluggable model: ``predict`` gets a slice (x, y) of intensities and returns its labels, the volume ``made``."""
+    return with_planes(rows, lambda row: {made: predict(plane(row.hu, row))}, (made,))

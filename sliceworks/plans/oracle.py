@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.labels import STANFORD_SPINE, TISSUES, TSEG_SPINE, VERTEBRAE
+from ..functions.labels import SPINE_A, SPINE_B, TISSUES, VERTEBRAE
 from ..sources.synthetic import MIN_VOXELS, SQL
 
 KEY = "case_no, x, y, z"
@@ -100,6 +100,34 @@ BOX = f"""box AS (SELECT case_no, CASE WHEN min(z) FILTER (vert = 15) IS NULL TH
   CASE WHEN min(z) FILTER (vert = 15) IS NULL THEN 10 ELSE greatest(0, least(10, max(y) FILTER (vert = 15) + 2)) END AS y1,
   CASE WHEN min(z) FILTER (vert = 15) IS NULL THEN 0 ELSE greatest(0, least(20, min(z) FILTER (vert = 15) - 2)) END AS z0,
   CASE WHEN min(z) FILTER (vert = 15) IS NULL THEN 20 ELSE greatest(0, least(20, max(z) FILTER (vert = 15) + 2)) END AS z1 FROM voxels GROUP BY case_no)"""
+#: What the frame of one voxel about a volume reaches through the background; ``body`` stops it.
+FLOOD = """flood AS (SELECT DISTINCT case_no, -1 AS x, -1 AS y, -1 AS z FROM voxels UNION
+  SELECT f.case_no, f.x + d.dx, f.y + d.dy, f.z + d.dz FROM flood f JOIN (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(dx, dy, dz) ON true
+  LEFT JOIN body b ON b.case_no = f.case_no AND b.x = f.x + d.dx AND b.y = f.y + d.dy AND b.z = f.z + d.dz
+  WHERE b.case_no IS NULL AND f.x + d.dx BETWEEN -1 AND 5 AND f.y + d.dy BETWEEN -1 AND 10 AND f.z + d.dz BETWEEN -1 AND 20)"""
+LARGEST = f"SELECT case_no, {PLACE} FROM (SELECT *, max(n * 1000 - c) OVER (PARTITION BY case_no) AS best FROM (SELECT *, count(*) OVER (PARTITION BY case_no, c) AS n FROM comp)) WHERE n * 1000 - c = best"
+TRUNK = f"{_reach('trunk = 1', FACES)}, body AS ({LARGEST}), {FLOOD}"
+INSIDE = "NOT EXISTS (SELECT 1 FROM flood f WHERE f.case_no = v.case_no AND f.x = v.x AND f.y = v.y AND f.z = v.z)"
+
+
+def _method(vert: str, trunk: bool, tissue: str = "tissue", l3: bool = False) -> str:
+    """A whole method: vertebrae and tissue as given, the trunk's inside or the box of L2 to L4."""
+    base = SQL.replace("voxels AS", "every AS", 1)
+    same = f"voxels AS (SELECT * REPLACE ({vert} AS vert, {tissue} AS tissue) FROM every)"
+    if trunk:
+        parts = f"WITH RECURSIVE {base}, {same}, {TRUNK}, inside AS (SELECT v.*, {INSIDE} AS within FROM voxels v)"
+        csa = CSA.replace(f"SELECT *, {MASK} AS t FROM voxels", f"SELECT *, CASE WHEN within THEN {MASK} ELSE 0 END AS t FROM inside")
+    else:
+        parts = f"""WITH {base}, own AS (SELECT * REPLACE ({vert} AS vert, {tissue} AS tissue) FROM every),
+b AS (SELECT case_no, coalesce(min(z) FILTER (vert IN (14, 15, 16)), 0) AS b0, coalesce(max(z) FILTER (vert IN (14, 15, 16)), 20) AS b1 FROM own GROUP BY 1),
+voxels AS (SELECT own.* FROM own JOIN b ON b.case_no = own.case_no AND z >= b0 AND z < b1)"""
+        csa = CSA
+    whole = f"{parts}, {VERT}, {DOM}, {SPAN}, {CAND}, {FILLED},\n{FIXED},\n{LEVELS}, {_center('lv')}, {TABLE}, {NAMED}, {csa}, {FRAME}, levelled AS (SELECT * FROM frame WHERE case_no IN (SELECT case_no FROM span))"
+    if l3:
+        return f"{whole}, l3 AS (SELECT * FROM levelled WHERE level = 'L3') {_aggregated('mean', 'level', 'l3')}"
+    return f"{whole} SELECT * EXCLUDE (tag) FROM levelled"
+
+
 SUBSET = "SELECT case_no, slice, level, center, centroid, " + CM + " FROM frame"
 HAVE = "(SELECT o_custkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1 HAVING count(DISTINCT o_orderpriority) = 2)"
 
@@ -113,8 +141,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "flagship_l3_mean": f"{simple} SELECT case_no, level, {mean} FROM fl WHERE level = 'L3' GROUP BY ALL",
         "remap_labels": f"{BASE} SELECT {KEY}, {_case('tissue', {1: 7, 2: 7, 4: 3}, '0')} AS label FROM voxels",
-        "remap_tseg": f"{BASE} SELECT {KEY}, {_case('event_id % 50', TSEG_SPINE, '0')} AS label FROM voxels",
-        "remap_stanford": f"{BASE} SELECT {KEY}, {_case('event_id % 30', STANFORD_SPINE, '0')} AS label FROM voxels",
+        "remap_spine_a": f"{BASE} SELECT {KEY}, {_case('event_id % 50', SPINE_A, '0')} AS label FROM voxels",
+        "remap_spine_b": f"{BASE} SELECT {KEY}, {_case('event_id % 30', SPINE_B, '0')} AS label FROM voxels",
         "hu_filter": f"{BASE} SELECT {KEY}, hu FROM voxels WHERE hu BETWEEN -29 AND 150",
         "hu_clip": f"{BASE} SELECT {KEY}, greatest(-100, least(120, hu)) AS hu FROM voxels",
         "hu_median_filter": f"""{BASE} SELECT v.case_no, v.x, v.y, v.z, list_sort(list(n.hu))[5] AS hu_median
@@ -152,15 +180,25 @@ SELECT v.case_no, x, y, z - z0 AS z, hu FROM voxels v JOIN b ON b.case_no = v.ca
         "size_filter_2d": _sized("tissue = 4", NEAR2, 3),
         "size_filter_3d": _sized("tissue = 4", NEAR3, 5),
         "keep_largest": f"{RECURSIVE}, {_reach('tissue = 3', FACES)} SELECT case_no, {PLACE} FROM (SELECT *, max(n * 1000 - c) OVER (PARTITION BY case_no) AS best FROM (SELECT *, count(*) OVER (PARTITION BY case_no, c) AS n FROM comp)) WHERE n * 1000 - c = best",
+        "fill_holes": f"{RECURSIVE}, body AS (SELECT {KEY} FROM voxels WHERE hu > -170), {FLOOD} SELECT {KEY} FROM voxels v WHERE {INSIDE}",
+        "trunk_restrict": f"{RECURSIVE}, {TRUNK} SELECT {KEY}, CASE WHEN {INSIDE} THEN tissue ELSE 0 END AS tissue FROM voxels v",
+        "bbox_spine": f"""{BASE}, e AS (SELECT case_no, greatest(0, least(20, min(z) FILTER (vert > 0) + 4)) AS lo, greatest(0, least(20, max(z) FILTER (vert > 0) - 4)) AS hi, min(z) FILTER (vert > 0) AS hit FROM voxels GROUP BY 1)
+SELECT case_no, 0 AS x0, 5 AS x1, 0 AS y0, 10 AS y1, CASE WHEN hit IS NULL THEN 0 ELSE lo END AS z0, CASE WHEN hit IS NULL THEN 20 ELSE hi END AS z1,
+ CASE WHEN hit IS NOT NULL AND hi <= lo THEN 'the box holds no voxel' END AS error FROM e""",
+        "method_lumbar_quick": _method("vert", False, l3=True),
+        "method_whole_trunk": _method("vert", True),
+        "method_muscle_a": _method("CASE WHEN vert NOT IN (18, 20, 21) AND (vb = 1 OR vert = 19) THEN vert ELSE 0 END", True, "CASE WHEN iliopsoas IN (88, 89) THEN 4 ELSE tissue END"),
+        "method_muscle_a_quick": _method("CASE WHEN vert IN (18, 20, 21) THEN 0 ELSE vert END", False, l3=True),
+        "method_muscle_b": _method("CASE WHEN vert <= 17 AND vb = 1 THEN vert ELSE 0 END", True),
         "case_filter": f"SELECT page_id, split_part({base_name}, '.', 1) AS case_id, regexp_replace(url, '[^A-Za-z0-9_]+', '', 'g') AS slug FROM pages WHERE regexp_matches({base_name}, '^(?:[0-9]*[02468])') AND NOT starts_with({base_name}, '.')",
         "require_inputs": f"SELECT c_custkey AS case_id FROM customer WHERE c_custkey IN {HAVE}",
         "skip_completed": f"SELECT c_custkey AS case_id FROM customer WHERE c_custkey NOT IN {HAVE}",
-        "case_funnel": f"""WITH h AS (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'))
-SELECT 'all' AS step, count(*) AS n FROM customer UNION ALL SELECT 'matching', count(*) FROM customer WHERE c_custkey % 3 = 0
+        "case_funnel": f"""WITH h AS (SELECT c_custkey FROM customer WHERE left(CAST(c_custkey AS VARCHAR), 1) IN ('1', '2') AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'))
+SELECT 'all' AS step, count(*) AS n FROM customer UNION ALL SELECT 'matching', count(*) FROM customer WHERE left(CAST(c_custkey AS VARCHAR), 1) IN ('1', '2')
 UNION ALL SELECT 'inputs', count(*) FROM h UNION ALL SELECT 'open', count(*) FROM h WHERE c_custkey NOT IN {HAVE}""",
-        "metadata_left_join": f"SELECT e.case_no, pat_sex, pat_weight FROM (SELECT DISTINCT CAST(floor(event_id / 1000.0) AS INT) AS case_no FROM events) e LEFT JOIN {META} m ON m.case_no = e.case_no AND m.case_no % 2 = 0",
+        "metadata_left_join": f"SELECT e.case_no, pat_sex, pat_weight FROM (SELECT DISTINCT CAST(floor(event_id / 1000.0) AS INT) AS case_no FROM events) e LEFT JOIN {META} m ON m.case_no = e.case_no",
         "metadata_pivot": "SELECT o_custkey AS case_id, " + ", ".join(f"arg_max(o_orderpriority, o_orderkey) FILTER (o_orderstatus = '{k}') AS \"{k}\"" for k in "FOP") + " FROM orders GROUP BY 1",
-        "metadata_merge": "SELECT c_custkey AS case_id, CASE WHEN c_custkey % 2 = 0 AND c_custkey % 4 <> 0 THEN 'new ' || c_name ELSE c_name END AS sex, CASE WHEN c_custkey % 2 = 0 THEN coalesce(nullif(c_mktsegment, ''), 'old') ELSE 'old' END AS size FROM customer",
+        "metadata_merge": "SELECT c_custkey AS case_id, CASE WHEN o AND c_custkey % 4 <> 0 THEN 'new ' || c_name ELSE c_name END AS sex, CASE WHEN o THEN coalesce(nullif(c_mktsegment, ''), 'old') ELSE 'old' END AS size FROM (SELECT *, c_custkey IN (SELECT o_custkey FROM orders) AS o FROM customer)",
         "patient_id_parse": """SELECT c_custkey, case_id, CASE WHEN m THEN nullif(regexp_extract(case_id, r, 1), '') ELSE '' END AS pat_prefix,
 CASE WHEN m THEN nullif(regexp_extract(case_id, r, 2), '') ELSE case_id END AS pat_id, CASE WHEN m THEN nullif(regexp_extract(case_id, r, 3), '') ELSE '' END AS pat_suffix
 FROM (SELECT *, regexp_matches(case_id, r) AS m FROM (SELECT c_custkey, '^([a-zA-Z0-9]+)-([a-zA-Z0-9]+)?-?([a-zA-Z0-9]+)?' AS r,

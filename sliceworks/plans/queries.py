@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import BOXES, STANFORD_SPINE, TSEG_SPINE, BoxParams, LevelParams, TissueParams
-from ..operators import cases, frame, grid, hist, levels, morph, voxel
+from ..functions.labels import BOXES, METHODS, SPINE_A, SPINE_B, BoxParams, LevelParams, TissueParams
+from ..operators import cases, frame, grid, hist, levels, morph, slices, voxel
 from ..sources.synthetic import MIN_VOXELS, SHAPE, SPACING, voxels
 from . import methods
 
@@ -15,6 +15,17 @@ PIXEL = SPACING[0] * SPACING[1]
 KEY = ["case_no", "x", "y", "z"]
 
 
+def _slices(s, d, *columns, **made):
+    """Slice rows of the relation's columns, and of others made from them."""
+    return slices.stacked(voxels(s, d).withColumns({k: v.cast("int") for k, v in made.items()}), (*columns, *made), SHAPE, SPACING)
+
+
+def _volumes(s, d):
+    """Each case with the relation's one shape and spacing."""
+    grid_of = [F.lit(v).alias(c) for c, v in zip(("nx", "ny", "nz", "sx", "sy", "sz"), (*SHAPE, *SPACING))]
+    return voxels(s, d).select("case_no").distinct().select("case_no", *grid_of)
+
+
 def _vert(s, d):
     return hist.slice_histogram(voxels(s, d), "vert")
 
@@ -49,8 +60,8 @@ def _remap(column, mapping):
 
 
 remap_labels = _remap(lambda v: F.col("tissue"), {1: 7, 2: 7, 4: 3})
-remap_tseg = _remap(lambda v: F.col("event_id") % 50, TSEG_SPINE)
-remap_stanford = _remap(lambda v: F.col("event_id") % 30, STANFORD_SPINE)
+remap_spine_a = _remap(lambda v: F.col("event_id") % 50, SPINE_A)
+remap_spine_b = _remap(lambda v: F.col("event_id") % 30, SPINE_B)
 
 
 def hu_filter(s, d):
@@ -62,7 +73,7 @@ def hu_clip(s, d):
 
 
 def hu_median_filter(s, d):
-    return voxel.median_filtered(voxels(s, d), SHAPE[:2])
+    return slices.unstacked(slices.median_filtered(_slices(s, d, "hu")), ("hu_median",))
 
 
 def overlay_psoas(s, d):
@@ -149,16 +160,23 @@ aggregate_by_center, aggregate_by_centroid = _aggregate("mean", "center"), _aggr
 aggregate_tag = _aggregate("mean", "tag", lambda f: frame.tagged(f, {"L3": "mid", "L2": "near", "L4": "near"}))
 aggregate_case = _aggregate("mean", None)
 
-BOX = BoxParams((15,), (True, True, True), (0.0, 2.0, 6.0))
+BOX = BoxParams((15,), (True,) * 6, (0.0, 0.0, 2.0, 2.0, 6.0, 6.0))
+
+
+def _boxes(s, d, box):
+    return grid.bounding_boxes(grid.bounds(voxels(s, d), "vert", box, _volumes(s, d)), box)
 
 
 def bbox_create(s, d):
-    return grid.bounding_boxes(voxels(s, d), "vert", SHAPE, SPACING, BOX)
+    return _boxes(s, d, BOX).drop("error")
 
 
 def bbox_apply(s, d):
-    v = voxels(s, d)
-    return grid.cropped(v, grid.bounding_boxes(v, "vert", SHAPE, SPACING, BOXES["L234CranioCaudal"])).select(*KEY, "hu")
+    return grid.cropped(voxels(s, d), _boxes(s, d, BOXES["L234CranioCaudal"])).select(*KEY, "hu")
+
+
+def bbox_spine(s, d):
+    return _boxes(s, d, BOXES["SpineCranioCaudal"])
 
 
 def bbox_affine(s, d):
@@ -171,30 +189,30 @@ def reorient(s, d):
     return grid.reoriented(voxels(s, d).select(*KEY, "hu"), SHAPE, (1, 0, 2), (False, True, True))
 
 
-def _kept(df):
-    return df.where("mask").select("case_no", "x", "y", "z")
+def _kept(rows):
+    return slices.unstacked(rows, ("mask",)).where("mask > 0").select("case_no", "x", "y", "z")
 
 
 def size_filter_2d(s, d):
-    return _kept(morph.without_small(voxels(s, d).withColumn("mask", F.col("tissue") == 4), SHAPE, 6.75, PIXEL))
+    return _kept(morph.without_small(_slices(s, d, mask=F.col("tissue") == 4), "mask", 6.75))
 
 
 def size_filter_3d(s, d):
-    return _kept(morph.without_small(voxels(s, d).withColumn("mask", F.col("tissue") == 4), SHAPE, 56.25, PIXEL * SPACING[2], True))
+    return _kept(morph.without_small(_slices(s, d, mask=F.col("tissue") == 4), "mask", 56.25, True))
 
 
 def keep_largest(s, d):
-    return _kept(morph.keep_largest(voxels(s, d).withColumn("mask", F.col("tissue") == 3), SHAPE))
+    return _kept(morph.keep_largest(_slices(s, d, mask=F.col("tissue") == 3), "mask"))
 
 
 def fill_holes(s, d):
-    return _kept(morph.fill_holes(voxels(s, d).withColumn("mask", F.col("hu") > -170), SHAPE))
+    return _kept(morph.fill_holes(_slices(s, d, mask=F.col("hu") > -170), "mask"))
 
 
 def trunk_restrict(s, d):
-    v = voxels(s, d)
-    trunk = morph.fill_holes(morph.keep_largest(v.withColumn("mask", F.col("trunk") == 1), SHAPE), SHAPE)
-    return v.join(trunk, KEY).select(*KEY, F.when(F.col("mask"), F.col("tissue")).otherwise(0).alias("tissue"))
+    rows = _slices(s, d, "tissue", "trunk")
+    whole = rows.drop("trunk").join(methods.trunk_of(rows.drop("tissue")).select("case_no", "z", "trunk"), ["case_no", "z"])
+    return slices.unstacked(whole, ("tissue", "trunk")).select(*KEY, F.when(F.col("trunk") > 0, F.col("tissue")).otherwise(0).alias("tissue"))
 
 
 # --- cases
@@ -228,14 +246,14 @@ def skip_completed(s, d):
 
 def case_funnel(s, d):
     c = _customers(s, d)
-    named = c.where("case_id % 3 = 0")
+    named = cases.matching(c.withColumn("path", F.concat(F.lit("scans/"), F.col("case_id").cast("string"), F.lit(".nii.gz"))), "path", "[12]").select("case_id")
     have = cases.with_required(named, _listing(s, d), NEEDED[:1])
     return cases.funnel({"all": c, "matching": named, "inputs": have, "open": cases.not_completed(have, _listing(s, d), NEEDED)})
 
 
 def metadata_left_join(s, d):
     have = s.read.parquet(f"{d}/events.parquet").select((F.col("event_id") / 1000.0).cast("int").alias("case_no")).distinct()
-    return have.join(_meta(s, d).where("case_no % 2 = 0"), "case_no", "left")
+    return have.join(_meta(s, d), "case_no", "left")
 
 
 def metadata_pivot(s, d):
@@ -246,7 +264,8 @@ def metadata_pivot(s, d):
 
 def metadata_merge(s, d):
     r = s.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("case_id"), F.col("c_name").alias("sex"), F.col("c_mktsegment").alias("size"))
-    last = r.where("case_id % 2 = 0").select("case_id", F.when(F.col("case_id") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("new "), "sex")).alias("sex"), "size")
+    orders = s.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias("case_id")).distinct()  # some have no last slice
+    last = r.join(orders, "case_id").select("case_id", F.when(F.col("case_id") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("new "), "sex")).alias("sex"), "size")
     return cases.merged_metadata(r.withColumn("size", F.lit("old")), last, ["sex", "size"])
 
 
@@ -273,19 +292,27 @@ def dicom_select(s, d):
 
 
 # --- whole methods
-def method_fast(s, d):
-    return methods.run(voxels(s, d), "BodyCompositionFast", SHAPE, SPACING, MIN_VOXELS)["l3_mean"].drop("tag")
+def _method(name, what="raw"):
+    """The method over the relation, whose vertebrae take the numbers of the method's own spine model before."""
+    def q(s, d):
+        spine = METHODS[name].spine or {}
+        vert = {"vert": voxel.remapped(F.col("vert"), {ours: theirs for theirs, ours in spine.items()})} if spine else {}
+        return methods.run(_slices(s, d, *(c for c in methods.needed(name) if c not in vert), **vert), name, MIN_VOXELS)[what].drop("tag")
+
+    return q
+
 
+method_lumbar_quick, method_whole_trunk = _method("lumbar_quick", "l3_mean"), _method("whole_trunk")
+method_muscle_a, method_muscle_a_quick, method_muscle_b = _method("muscle_a"), _method("muscle_a_quick", "l3_mean"), _method("muscle_b")
 
-def method_full(s, d):
-    return methods.run(voxels(s, d), "BodyComposition", SHAPE, SPACING, MIN_VOXELS)["raw"].drop("tag")
 
-NAMES = """flagship_l3_mean remap_labels remap_tseg remap_stanford hu_filter hu_clip hu_median_filter overlay_psoas tissue_mask
+NAMES = """flagship_l3_mean remap_labels remap_spine_a remap_spine_b hu_filter hu_clip hu_median_filter overlay_psoas tissue_mask
 reduce_to_vb csa dominant_level windowed_counts level_span fill_levels non_monotonic correct_monotonic center_slice centroid_slice
 level_names combine export_with_metadata subset_l3 subset_all subset_lumbar aggregate_mean aggregate_median aggregate_sum
 aggregate_by_center aggregate_by_centroid aggregate_tag aggregate_case bbox_create bbox_apply bbox_affine reorient size_filter_2d
 size_filter_3d keep_largest fill_holes trunk_restrict case_filter require_inputs skip_completed case_funnel metadata_left_join
-metadata_pivot metadata_merge patient_id_parse date_reformat dicom_select method_fast method_full""".split()
+metadata_pivot metadata_merge patient_id_parse date_reformat dicom_select bbox_spine method_lumbar_quick method_whole_trunk
+method_muscle_a method_muscle_a_quick method_muscle_b""".split()
 
 
 def queries() -> dict:
