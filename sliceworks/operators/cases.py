@@ -101,6 +101,12 @@ def funnel(steps: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def latest(rows: DataFrame, key: list[str], version: str) -> DataFrame:
-    """The newest row of each key, for appends that are repeated."""
-    return rows.withColumn("rn", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc(version)))).where("rn = 1").drop("rn")
+def path_of(template: str, case: Column) -> Column:
+    """The template with the case in place of ``{case}``."""
+    parts = template.split("{case}")
+    return F.concat(*[x for i, part in enumerate(parts) for x in ([case] if i else []) + [F.lit(part)]])
+
+
+def date_errors(rows: DataFrame, text: str, case: str = "case_id") -> DataFrame:
+    """case and error of the rows whose date is given and is none."""
+    return rows.where(F.col(text).isNotNull() & scan_date(F.col(text)).isNull()).select(case, F.concat(F.lit("no date: "), text).alias("error"))

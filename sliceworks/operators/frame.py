@@ -94,3 +94,9 @@ def numbered(frame: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     return frame.withColumn("rn", F.row_number().over(Window.partitionBy("case_no").orderBy(F.desc("slice"))))
+
+
+def ordered(frame: DataFrame, ref: str) -> DataFrame:
+    """By case, then by the ref's place from head to foot, names that are no vertebra first."""
+    places = F.create_map(*[F.lit(x) for k, v in VERTEBRAE.items() for x in (v, k)])
+    return frame.orderBy("case_no", F.coalesce(F.element_at(places, F.col(ref)), F.lit(0)), ref)

@@ -80,7 +80,7 @@ def _reach(mask: str, near: str, by_slice: bool = False) -> str:
     return f"""m AS (SELECT {KEY}, x * 200 + y * 20 + z AS p FROM voxels WHERE {mask}),
 e AS (SELECT a.case_no, a.p AS a, b.p AS b FROM m a JOIN m b ON a.case_no = b.case_no AND {near}),
 reach AS (SELECT case_no, p AS a, p AS b FROM m UNION SELECT r.case_no, r.a, e.b FROM reach r JOIN e ON e.case_no = r.case_no AND e.a = r.b),
-comp AS (SELECT case_no, a AS p, min(b) AS c FROM reach GROUP BY ALL)"""
+comp AS MATERIALIZED (SELECT case_no, a AS p, min(b) AS c FROM reach GROUP BY ALL)"""
 
 
 NEAR2 = "a.z = b.z AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1"
@@ -106,21 +106,21 @@ FLOOD = """flood AS (SELECT DISTINCT case_no, -1 AS x, -1 AS y, -1 AS z FROM vox
   LEFT JOIN body b ON b.case_no = f.case_no AND b.x = f.x + d.dx AND b.y = f.y + d.dy AND b.z = f.z + d.dz
   WHERE b.case_no IS NULL AND f.x + d.dx BETWEEN -1 AND 5 AND f.y + d.dy BETWEEN -1 AND 10 AND f.z + d.dz BETWEEN -1 AND 20)"""
 LARGEST = f"SELECT case_no, {PLACE} FROM (SELECT *, max(n * 1000 - c) OVER (PARTITION BY case_no) AS best FROM (SELECT *, count(*) OVER (PARTITION BY case_no, c) AS n FROM comp)) WHERE n * 1000 - c = best"
-TRUNK = f"{_reach('trunk = 1', FACES)}, body AS ({LARGEST}), {FLOOD}"
+TRUNK = f"{_reach('trunk = 1', FACES)}, body AS MATERIALIZED ({LARGEST}), {FLOOD}"
 INSIDE = "NOT EXISTS (SELECT 1 FROM flood f WHERE f.case_no = v.case_no AND f.x = v.x AND f.y = v.y AND f.z = v.z)"
 
 
 def _method(vert: str, trunk: bool, tissue: str = "tissue", l3: bool = False) -> str:
     """A whole method: vertebrae and tissue as given, the trunk's inside or the box of L2 to L4."""
     base = SQL.replace("voxels AS", "every AS", 1)
-    same = f"voxels AS (SELECT * REPLACE ({vert} AS vert, {tissue} AS tissue) FROM every)"
+    same = f"voxels AS MATERIALIZED (SELECT * REPLACE ({vert} AS vert, {tissue} AS tissue) FROM every)"
     if trunk:
-        parts = f"WITH RECURSIVE {base}, {same}, {TRUNK}, inside AS (SELECT v.*, {INSIDE} AS within FROM voxels v)"
+        parts = f"WITH RECURSIVE {base}, {same}, {TRUNK}, inside AS MATERIALIZED (SELECT v.*, f.case_no IS NULL AS within FROM voxels v LEFT JOIN flood f ON f.case_no = v.case_no AND f.x = v.x AND f.y = v.y AND f.z = v.z)"
         csa = CSA.replace(f"SELECT *, {MASK} AS t FROM voxels", f"SELECT *, CASE WHEN within THEN {MASK} ELSE 0 END AS t FROM inside")
     else:
         parts = f"""WITH {base}, own AS (SELECT * REPLACE ({vert} AS vert, {tissue} AS tissue) FROM every),
 b AS (SELECT case_no, coalesce(min(z) FILTER (vert IN (14, 15, 16)), 0) AS b0, coalesce(max(z) FILTER (vert IN (14, 15, 16)), 20) AS b1 FROM own GROUP BY 1),
-voxels AS (SELECT own.* FROM own JOIN b ON b.case_no = own.case_no AND z >= b0 AND z < b1)"""
+voxels AS MATERIALIZED (SELECT own.* FROM own JOIN b ON b.case_no = own.case_no AND z >= b0 AND z < b1)"""
         csa = CSA
     whole = f"{parts}, {VERT}, {DOM}, {SPAN}, {CAND}, {FILLED},\n{FIXED},\n{LEVELS}, {_center('lv')}, {TABLE}, {NAMED}, {csa}, {FRAME}, levelled AS (SELECT * FROM frame WHERE case_no IN (SELECT case_no FROM span))"
     if l3:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import os
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cases import base_name, case_id
+from ..operators.grid import canonical
 
 # Data types of the format.
 TYPES = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u2"}
@@ -27,8 +30,18 @@ def directory(spark: SparkSession, path: str) -> DataFrame:
     return files.where(~base_name(F.col("path")).startswith(".")).select("path", case_id(F.col("path")).alias("case_id"))
 
 
+def inputs(spark: SparkSession, path: str) -> DataFrame:
+    """path and case_id of a case list (.json), a volume (.nii, .nii.gz) or a folder; anything else is refused."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    if name.endswith(".json"):
+        return datalist(spark, path)
+    if "." in name and not name.endswith((".nii", ".nii.gz")):
+        raise ValueError(f"neither a case list, a volume nor a folder: {path}")
+    return directory(spark, path)
+
+
 def datalist(spark: SparkSession, path: str) -> DataFrame:
-    """Cases of a JSON list: {'testing'|'imagesTs': [{'image'}]}, a list of names, or of {'image'}."""
+    """Cases of a JSON list: {'testing'|'imagesTs': [{'image'}]}, a list of names, or of {'image'}; files that are missing are left out."""
     text = spark.read.text(path, wholetext=True).first()[0]
     data = json.loads(text)
     if isinstance(data, dict):
@@ -38,40 +51,98 @@ def datalist(spark: SparkSession, path: str) -> DataFrame:
         data = found[0]
     names = [d if isinstance(d, str) else d["image"] for d in data]
     folder = path.rsplit("/", 1)[0]
-    rows = [(n if "/" == n[:1] else f"{folder}/{n}",) for n in names]
-    return spark.createDataFrame(rows, "path string").select("path", case_id(F.col("path")).alias("case_id"))
+    full = [n if "/" == n[:1] or "://" in n else f"{folder}/{n}" for n in names]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    places = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in dict.fromkeys(p.rsplit("/", 1)[0] for p in full)]
+    there = [p.toString() for p in places if p.getFileSystem(conf).exists(p)]
+    listed = spark.createDataFrame([(p,) for p in full], "path string")
+    if not there:
+        return listed.limit(0).select("path", case_id(F.col("path")).alias("case_id"))
+    # a folder is listed once, however many of its files the list names
+    plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
+    seen = spark.read.format("binaryFile").load(there).select(plain(F.col("path")).alias("plain"))
+    kept = listed.withColumn("plain", plain(F.col("path"))).join(seen, "plain", "left_semi")
+    return kept.select("path", case_id(F.col("path")).alias("case_id"))
 
 
 def metadata_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """case_id, line, k, v of key,value files; lines without a value are left out."""
+    """case_id, line, k, v of key,value files: the first two fields of each line, quoted or not; lines without a second are left out."""
     lines = spark.read.text(path, wholetext=True).select(case_id(F.col("_metadata.file_path")).alias("case_id"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
-    parts = F.split("text", ",", 2)
-    return lines.where(F.size(parts) == 2).select("case_id", "line", parts[0].alias("k"), parts[1].alias("v"))
+    fields = F.from_csv("text", "k string, v string, rest string", {"mode": "PERMISSIVE"})
+    return lines.where(F.col("text").contains(",")).select("case_id", "line", fields.alias("f")).select("case_id", "line", "f.k", F.coalesce("f.v", F.lit("")).alias("v"))
+
+
+def series_folders(spark: SparkSession, path: str) -> DataFrame:
+    """dir and n of every folder below the path that holds more than one file, hidden ones not counted."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").where(~base_name(F.col("path")).startswith("."))
+    folders = files.select(F.regexp_replace("path", "/[^/]*$", "").alias("dir"))
+    return folders.groupBy("dir").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def rotation(b: float, c: float, d: float) -> np.ndarray:
+    """The rotation of a unit quaternion whose first part follows from the others."""
+    a = max(0.0, 1.0 - (b * b + c * c + d * d)) ** 0.5
+    return np.array([
+        [a * a + b * b - c * c - d * d, 2 * (b * c - a * d), 2 * (b * d + a * c)],
+        [2 * (b * c + a * d), a * a + c * c - b * b - d * d, 2 * (c * d - a * b)],
+        [2 * (b * d - a * c), 2 * (c * d + a * b), a * a + d * d - b * b - c * c],
+    ])
 
 
 def decode(content: bytes) -> tuple[np.ndarray, np.ndarray, tuple[float, ...]]:
-    """Volume (x, y, z), affine and spacing of a file, packed or not, of either byte order."""
+    """Volume (x, y, z), affine and spacing of a file, packed or not, of either byte order.
+
+    The affine is the sform, else the qform, else the spacing alone.  A slope of 0
+    or one that is no number means unscaled values; scaled ones are cut to whole
+    numbers.  More than one volume in a file is an error.
+    """
     raw = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
     order = "<" if struct.unpack("<i", raw[:4])[0] == 348 else ">"
     if struct.unpack(order + "i", raw[:4])[0] != 348:
         raise ValueError("no NIfTI-1 header")
     dims = struct.unpack(order + "8h", raw[40:56])
+    if dims[0] < 3 or any(n > 1 for n in dims[4 : dims[0] + 1]):
+        raise ValueError(f"not one volume of three dimensions: {dims[1 : dims[0] + 1]}")
     code = struct.unpack(order + "h", raw[70:72])[0]
+    if code not in TYPES:
+        raise ValueError(f"data type {code} is not read")
     zooms = struct.unpack(order + "8f", raw[76:108])
     offset = int(struct.unpack(order + "f", raw[108:112])[0])
     slope, inter = struct.unpack(order + "2f", raw[112:120])
     affine = np.eye(4)
-    if struct.unpack(order + "h", raw[254:256])[0] > 0:
+    qform, sform = struct.unpack(order + "2h", raw[252:256])
+    if sform > 0:
         affine[:3] = np.array(struct.unpack(order + "12f", raw[280:328])).reshape(3, 4)
+    elif qform > 0:
+        b, c, d, *shift = struct.unpack(order + "6f", raw[256:280])
+        side = -1.0 if zooms[0] < 0 else 1.0
+        affine[:3, :3] = rotation(b, c, d) * np.array([zooms[1], zooms[2], side * zooms[3]])
+        affine[:3, 3] = shift
     else:
         affine[[0, 1, 2], [0, 1, 2]] = zooms[1:4]
     shape = dims[1:4]
     data = np.frombuffer(raw, order + TYPES[code], int(np.prod(shape)), offset).reshape(shape, order="F")
-    if slope not in (0.0, 1.0) or inter != 0.0:
-        data = np.trunc(data * (slope or 1.0) + inter)
+    if np.isfinite(slope) and slope != 0.0 and (slope != 1.0 or inter != 0.0):
+        data = np.trunc(data * slope + (inter if np.isfinite(inter) else 0.0))
+    if data.dtype.kind == "f" and not np.isfinite(data).all():
+        raise ValueError("values that are no numbers")
     return data, affine, zooms[1:4]
 
 
+def oriented(data: np.ndarray, affine: np.ndarray, spacing: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray, tuple[float, ...]]:
+    """The volume with axes to right, anterior, superior, and its affine and spacing; oblique ones are refused."""
+    axes, flips = canonical(affine.ravel().tolist())
+    turned, origin = data.transpose(axes), affine[:3, 3].copy()
+    new = np.eye(4)
+    for i, (a, flip) in enumerate(zip(axes, flips)):
+        new[:3, i] = -affine[:3, a] if flip else affine[:3, a]
+        if flip:
+            turned = np.flip(turned, i)
+            origin = origin + affine[:3, a] * (data.shape[a] - 1)
+    new[:3, 3] = origin
+    return turned, new, tuple(spacing[a] for a in axes)
+
+
 def encode(data: np.ndarray, affine: np.ndarray, spacing: tuple[float, ...]) -> bytes:
     """A packed single-file volume."""
     head = bytearray(352)
@@ -90,7 +161,7 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for case, volume, content in zip(batch["case_id"], batch["volume"], batch["content"]):
             try:
-                data, affine, spacing = decode(content)
+                data, affine, spacing = oriented(*decode(content))
                 if data.min(initial=0) < -32768 or data.max(initial=0) > 32767:
                     raise ValueError("values beyond 16 bits")
                 rows = [(case, volume, z, *data.shape, list(map(float, spacing)), affine.ravel().tolist(), np.ascontiguousarray(data[:, :, z]).astype("<i2").tobytes(), None) for z in range(data.shape[2])]
@@ -100,7 +171,7 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def volumes(spark: SparkSession, path: str, volume: str = "image") -> DataFrame:
-    """One row per slice, 16-bit little-endian; a file that cannot be read gives one row with its error."""
+    """One row per slice, to right, anterior, superior, 16-bit little-endian; a file that cannot be read gives one row with its error."""
     files = spark.read.format("binaryFile").load(path)
     rows = files.select(case_id(F.col("path")).alias("case_id"), F.lit(volume).alias("volume"), "content")
     return rows.mapInPandas(_slices, SLICES)
@@ -118,13 +189,44 @@ def voxels_of(slices: DataFrame, value: str = "hu") -> DataFrame:
     return good.mapInPandas(run, f"case_id string, x int, y int, z int, {value} smallint")
 
 
-def write_slices(slices: DataFrame, path: str, mode: str = "overwrite") -> None:
-    slices.write.mode(mode).partitionBy("volume").parquet(path)
+def write_slices(slices: DataFrame, path: str) -> None:
+    """A folder for each volume and case; other cases there stay as they are."""
+    writer = slices.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("volume", "case_id").parquet(path)
+
+
+def write_frame(frame: DataFrame, path: str, key: str = "case_no") -> None:
+    """CSV with a header, a folder for each case: cases written again replace their rows, others stay.
+
+    Rejects are written alike: case, error.
+    """
+    frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy(key).csv(path)
 
 
-def write_frame(frame: DataFrame, path: str, append: bool = False) -> None:
-    """CSV with a header; ``append`` adds to what is there."""
-    frame.write.mode("append" if append else "overwrite").option("header", True).csv(path)
+def unpivoted(metadata: DataFrame, keys: list[str], case: str = "case_id") -> DataFrame:
+    """(case, k, v), a row for each key that a case has; what ``cases.pivoted`` undoes."""
+    rows = metadata.select(case, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).cast("string").alias("v")) for k in keys])).alias("p"))
+    return rows.select(case, "p.*").where("v IS NOT NULL")
+
+
+def write_volumes(packed: DataFrame, path: str) -> None:
+    """Each row's content (case_id, volume, content) as a file ``volume/case_id.nii.gz`` below the path, by its executor."""
+    target = path.rstrip("/")
+    if "://" in target and not target.startswith("file://"):
+        raise ValueError("volumes are written to a mounted folder that all executors share")
+    folder = target.removeprefix("file://")
+
+    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for case, volume, content in zip(batch["case_id"], batch["volume"], batch["content"]):
+                os.makedirs(f"{folder}/{volume}", exist_ok=True)
+                temporary = f"{folder}/{volume}/.{case}.{uuid.uuid4().hex}"
+                with open(temporary, "wb") as f:
+                    f.write(content)
+                os.replace(temporary, f"{folder}/{volume}/{case}.nii.gz")  # a task that runs twice leaves one whole file
+            yield batch[["case_id"]]
+
+    packed.select("case_id", "volume", "content").mapInPandas(put, "case_id string").count()
 
 
 def packed_volumes(slices: DataFrame) -> DataFrame:

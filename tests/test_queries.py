@@ -28,6 +28,5 @@ def test_equals_sql(spark, middle, con, name):
     pd.testing.assert_frame_equal(got.astype(object).where(got.notna(), None), want.astype(object).where(want.notna(), None), check_dtype=False)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
-def test_runs(spark, middle, name):
-    assert queries()[name](spark, middle).count() > 0
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
