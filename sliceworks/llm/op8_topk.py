@@ -128,7 +128,8 @@ def _cells(k: int):
 def parted(rows: DataFrame, by: Column, size: int, ranges: int = 64) -> DataFrame:
     """``rows`` with a ``part``: ranges of ``by``, and in each as many parts by a hash as its rows need to have about ``size``."""
     rows = rows.withColumn("by", by)
-    edges = sorted(set(rows.approxQuantile("by", [i / ranges for i in range(1, ranges)], 0.005)))
+    ranges = int(min(ranges, max(1, -(-rows.count() // size))))  # no more ranges than parts
+    edges = sorted(set(rows.approxQuantile("by", [i / ranges for i in range(1, ranges)], 0.005))) if ranges > 1 else []
     at = F.lit(0)
     for e in edges:
         at = at + (F.col("by") >= e).cast("int")
