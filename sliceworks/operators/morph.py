@@ -1,9 +1,9 @@
 """Connected components of masks: size filters, largest component, holes.
 
 Components need neighbours of neighbours, which no built-in operator follows.  A
-slice is labelled by NumPy, in a map.  In 3-D the pieces of neighbouring slices
-that touch are edges; only pieces and edges of a case, never its voxels, meet to
-be joined.
+slice is labelled by NumPy, in a map.  In 3-D slabs of slices give pieces and, as
+edges, which of neighbouring slices touch; only pieces and edges of a case, never
+its voxels, meet to be joined.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .slices import KEY, mapped, packed, plane, with_planes
+from .slices import KEY, plane, with_planes
 
 
 def _steps(rank: int, corners: bool) -> list[tuple[int, ...]]:
@@ -62,40 +62,56 @@ def large_ones(mask: np.ndarray, least: float) -> np.ndarray:
 
 
 # --- three dimensions
-def pieces(slices: DataFrame, mask: str, corners: bool, inverted: bool = False) -> DataFrame:
-    """Slices with ``comp`` (the piece of each voxel, -1 outside) and ``pieces``: size, first place and whether it meets the slice's border."""
-    kind = slices.schema["case_no"].dataType.simpleString()
+#: Slices of a slab, the unit in which pieces and where they touch are found.
+SLAB = 16
 
-    def cut(row):
-        on = (plane(getattr(row, mask), row) > 0) != inverted
-        comp = labelled(on, corners)
-        names, index, n = np.unique(comp[on], return_inverse=True, return_counts=True)
-        out = np.full(on.shape, -1, "<i4")
-        out[on] = index
-        rim = set(np.concatenate([out[0], out[-1], out[:, 0], out[:, -1]]).tolist())
-        yield row.case_no, row.z, row.nx, row.ny, out.tobytes(), [(i, int(c), int(f), i in rim) for i, (c, f) in enumerate(zip(n, names))]
 
-    return mapped(slices.select(*KEY, "nx", "ny", mask), cut, f"case_no {kind}, z int, nx int, ny int, comp binary, pieces array<struct<piece:int,n:bigint,first:bigint,border:boolean>>")
+def _cut(on: np.ndarray, corners: bool) -> np.ndarray:
+    """The number of each voxel's piece in its slice, by first place; -1 outside."""
+    comp = labelled(on, corners)
+    return np.where(on, np.searchsorted(np.unique(comp[on]), comp), -1)
 
 
-def touching(cut: DataFrame, corners: bool) -> DataFrame:
-    """case_no, z, a, b: piece a of slice z touches piece b of slice z + 1."""
-    kind = cut.schema["case_no"].dataType.simpleString()
-    above = cut.select("case_no", (F.col("z") - 1).alias("z"), F.col("comp").alias("above"))
-    both = cut.select(*KEY, "nx", "ny", "comp").join(above, [*KEY])
+def _meet(one: np.ndarray, two: np.ndarray, corners: bool) -> np.ndarray:
+    """Pairs of the pieces of two neighbouring slices that touch."""
+    found = [np.zeros((0, 2), np.int64)]
+    (nx, ny), near = one.shape, (-1, 0, 1) if corners else (0,)
+    for dx, dy in itertools.product(near, repeat=2):
+        a = one[max(0, dx) : nx + min(0, dx), max(0, dy) : ny + min(0, dy)]
+        b = two[max(0, -dx) : nx + min(0, -dx), max(0, -dy) : ny + min(0, -dy)]
+        ok = (a >= 0) & (b >= 0)
+        found.append(np.stack([a[ok], b[ok]], axis=1))
+    return np.unique(np.concatenate(found), axis=0)
 
-    def meet(row):
-        one, two = (np.frombuffer(c, "<i4").reshape(row.nx, row.ny) for c in (row.comp, row.above))
-        found = set()
-        for dx, dy in itertools.product((-1, 0, 1), repeat=2) if corners else [(0, 0)]:
-            a = one[max(0, dx) : row.nx + min(0, dx), max(0, dy) : row.ny + min(0, dy)]
-            b = two[max(0, -dx) : row.nx + min(0, -dx), max(0, -dy) : row.ny + min(0, -dy)]
-            ok = (a >= 0) & (b >= 0)
-            found.update(map(tuple, np.unique(np.stack([a[ok], b[ok]], axis=1), axis=0).tolist()))
-        for a, b in found:
-            yield row.case_no, row.z, a, b
 
-    return mapped(both, meet, f"case_no {kind}, z int, a int, b int")
+def pieces(slices: DataFrame, mask: str, corners: bool, inverted: bool = False) -> DataFrame:
+    """A row per slice (no piece), per piece of it (size ``n``, first place, whether it meets the border) and per piece ``above`` that it touches.
+
+    A slab's first slice also goes to the slab below it, so a task holds SLAB + 1
+    slices of a mask, whatever the scan.
+    """
+    kind = slices.schema["case_no"].dataType.simpleString()
+    slab = F.floor(F.col("z") / SLAB)
+    copies = F.when(F.col("z") % SLAB == 0, F.array(slab, slab - 1)).otherwise(F.array(slab))
+    rows = slices.select(*KEY, "nx", "ny", (F.col("sx") * F.col("sy") * F.col("sz")).alias("unit"), F.col(mask).alias("mask"), F.explode(copies).alias("slab"))
+    names = ["case_no", "z", "nx", "ny", "unit", "piece", "n", "first", "border", "above"]
+
+    def one(part: pd.DataFrame) -> pd.DataFrame:
+        out, last = [], None
+        for row in part.sort_values("z").itertuples(index=False):
+            comp = _cut((plane(row.mask, row) > 0) != inverted, corners)
+            if last is not None and last[0].z + 1 == row.z:
+                out += [(row.case_no, last[0].z, row.nx, row.ny, row.unit, a, None, None, None, b) for a, b in _meet(last[1], comp, corners).tolist()]
+            last = row, comp
+            if row.z // SLAB != row.slab:  # the next slab tells of this slice
+                continue
+            out.append((row.case_no, row.z, row.nx, row.ny, row.unit, None, None, None, None, None))
+            rim = set(np.concatenate([comp[0], comp[-1], comp[:, 0], comp[:, -1]]).tolist())
+            found, first, n = np.unique(comp, return_index=True, return_counts=True)
+            out += [(row.case_no, row.z, row.nx, row.ny, row.unit, i, m, f, i in rim, None) for i, f, m in zip(found.tolist(), first.tolist(), n.tolist()) if i >= 0]
+        return pd.DataFrame(out, columns=names).astype({c: "Int64" for c in ("piece", "n", "first", "above")})
+
+    return rows.groupBy("case_no", "slab").applyInPandas(one, f"case_no {kind}, z int, nx int, ny int, unit double, piece int, n long, first long, border boolean, above int")
 
 
 def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool = False) -> DataFrame:
@@ -104,20 +120,21 @@ def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool
     ``inverted``: pieces are those of the background, a frame of one voxel about
     the volume belongs to it, and the mask is what is not taken.
     """
-    cut = pieces(slices, mask, corners, inverted)
-    kind = cut.schema["case_no"].dataType.simpleString()
+    kind = slices.schema["case_no"].dataType.simpleString()
 
-    def one(both: pd.DataFrame) -> pd.DataFrame:
-        is_edge = both["b"].notna().to_numpy()
-        nodes, edges = both[~is_edge], both[is_edge].astype({"b": "int64"})
-        place = pd.Series(np.arange(len(nodes)), index=pd.MultiIndex.from_arrays([nodes["z"], nodes["piece"]]))
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        bottom, depth = rows["z"].min(), rows["z"].max() - rows["z"].min() + 1
+        nx, ny, unit = (rows[c].iloc[0] for c in ("nx", "ny", "unit"))
+        nodes, edges = rows[rows["n"].notna()], rows[rows["above"].notna()]
+        if not len(nodes):
+            return nodes[["case_no", "z", "piece"]]
+        place = pd.Series(np.arange(len(nodes)), index=pd.MultiIndex.from_arrays([nodes["z"], nodes["piece"].astype("int64")]))
         a = b = np.zeros(0, np.int64)
         if len(edges):
-            a = place.reindex(pd.MultiIndex.from_arrays([edges["z"], edges["piece"]])).to_numpy()
-            b = place.reindex(pd.MultiIndex.from_arrays([edges["z"] + 1, edges["b"]])).to_numpy()
-        z, n = nodes["z"].to_numpy(), nodes["n"].to_numpy()
-        nx, ny, depth, bottom, unit = (nodes[c].iloc[0] for c in ("nx", "ny", "depth", "bottom", "unit"))
-        first = nodes["first"].to_numpy() * depth + (z - bottom)
+            a = place.reindex(pd.MultiIndex.from_arrays([edges["z"], edges["piece"].astype("int64")])).to_numpy()
+            b = place.reindex(pd.MultiIndex.from_arrays([edges["z"] + 1, edges["above"].astype("int64")])).to_numpy()
+        z, n = nodes["z"].to_numpy(), nodes["n"].to_numpy(np.int64)
+        first = nodes["first"].to_numpy(np.int64) * depth + (z - bottom)
         if inverted:
             rim = np.flatnonzero(nodes["border"].to_numpy(bool) | (z == bottom) | (z == bottom + depth - 1))
             a, b = np.append(a, rim), np.append(b, np.full(len(rim), len(n)))
@@ -126,19 +143,17 @@ def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool
         size = np.bincount(root, n, len(n))[root]
         least = np.full(len(n), np.iinfo(np.int64).max)
         np.minimum.at(least, root, first)
-        return nodes.loc[choose(root, size, least[root], unit)[: len(nodes)], ["case_no", "z", "piece"]]
+        return nodes.loc[choose(root, size, least[root], unit)[: len(nodes)], ["case_no", "z", "piece"]].astype({"piece": "int32"})
 
-    extent = slices.groupBy("case_no").agg(F.min("z").alias("bottom"), (F.max("z") - F.min("z") + 1).alias("depth"), F.first(F.col("sx") * F.col("sy") * F.col("sz")).alias("unit"))
-    nodes = cut.select(*KEY, "nx", "ny", F.explode("pieces").alias("p")).select(*KEY, "nx", "ny", "p.*").join(extent, "case_no")
-    edges = touching(cut, corners).select(*KEY, F.col("a").alias("piece"), "b")
-    kept = nodes.unionByName(edges, allowMissingColumns=True).groupBy("case_no").applyInPandas(one, f"case_no {kind}, z int, piece int")
-    per = kept.groupBy(*KEY).agg(F.collect_list("piece").alias("kept"))
+    kept = pieces(slices, mask, corners, inverted).groupBy("case_no").applyInPandas(one, f"case_no {kind}, z int, piece int")
+    per = kept.groupBy(*KEY).agg(F.collect_list("piece").alias("kept_pieces"))
 
     def paint(row):
-        yield row.case_no, row.z, packed(np.isin(np.frombuffer(row.comp, "<i4"), row.kept if row.kept is not None else []) != inverted)
+        comp = _cut((plane(getattr(row, mask), row) > 0) != inverted, corners)
+        return {mask: np.isin(comp, row.kept_pieces if row.kept_pieces is not None else []) != inverted}
 
-    painted = mapped(cut.select(*KEY, "comp").join(per, [*KEY], "left"), paint, f"case_no {kind}, z int, {mask} binary")
-    return slices.drop(mask).join(painted, [*KEY]).select(*slices.columns)
+    # the slices are cut once more: cheaper than to carry every voxel's piece through a join
+    return with_planes(slices.join(per, [*KEY], "left"), paint, (mask,)).select(*slices.columns)
 
 
 def _first_largest(root: np.ndarray, size: np.ndarray, first: np.ndarray, _) -> np.ndarray:

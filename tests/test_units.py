@@ -48,9 +48,9 @@ def test_holes(spark):
 
 
 def test_pieces_equal_whole_volumes(spark):
-    """Components by pieces of slices against labels of whole random volumes, cases of other sizes and spacings."""
+    """Components by pieces of slices against labels of whole random volumes of up to three slabs, cases of other sizes and spacings."""
     rng = np.random.default_rng(5)
-    kinds = {c: (int(rng.integers(3, 9)), int(rng.integers(3, 9)), int(rng.integers(1, 9)), 1.0 + c % 2, 1.0, 2.0) for c in range(6)}
+    kinds = {c: (int(rng.integers(3, 9)), int(rng.integers(3, 9)), int(rng.integers(1, 40)), 1.0 + c % 2, 1.0, 2.0) for c in range(6)}
     cubes = {c: rng.random(k[:3]) < (0.3, 0.45, 0.6)[c % 3] for c, k in kinds.items()}
     rows = [(c, x, y, z, int(v)) for c, cube in cubes.items() for (x, y, z), v in np.ndenumerate(cube)]
     volumes = spark.createDataFrame([(c, *k) for c, k in kinds.items()], "case_no int, nx int, ny int, nz int, sx double, sy double, sz double")
