@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .slices import KEY, plane, with_planes
+from .slices import KEY, plane, spread, with_planes
 
 
 def _steps(rank: int, corners: bool) -> list[tuple[int, ...]]:
@@ -66,11 +66,6 @@ def large_ones(mask: np.ndarray, least: float) -> np.ndarray:
 SLAB = 16
 
 
-def _spread(rows: DataFrame, *key: str) -> DataFrame:
-    """Rows by key over all shuffle partitions: small slices cost much time a byte, so that partitions merged by bytes would leave cores idle."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
-
-
 def _cut(on: np.ndarray, corners: bool) -> np.ndarray:
     """The number of each voxel's piece in its slice, by first place; -1 outside."""
     comp = labelled(on, corners)
@@ -116,7 +111,7 @@ def pieces(slices: DataFrame, mask: str, corners: bool, inverted: bool = False)
             out += [(row.case_no, row.z, row.nx, row.ny, row.unit, i, m, f, i in rim, None) for i, f, m in zip(found.tolist(), first.tolist(), n.tolist()) if i >= 0]
         return pd.DataFrame(out, columns=names).astype({c: "Int64" for c in ("piece", "n", "first", "above")})
 
-    return _spread(rows, "case_no", "slab").groupBy("case_no", "slab").applyInPandas(one, f"case_no {kind}, z int, nx int, ny int, unit double, piece int, n long, first long, border boolean, above int")
+    return spread(rows, "case_no", "slab").groupBy("case_no", "slab").applyInPandas(one, f"case_no {kind}, z int, nx int, ny int, unit double, piece int, n long, first long, border boolean, above int")
 
 
 def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool = False) -> DataFrame:
@@ -158,7 +153,7 @@ def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool
         return {mask: np.isin(comp, row.kept_pieces if row.kept_pieces is not None else []) != inverted}
 
     # the slices are cut once more: cheaper than to carry every voxel's piece through a join
-    return with_planes(_spread(slices, *KEY).join(per, [*KEY], "left"), paint, (mask,)).select(*slices.columns)
+    return with_planes(spread(slices, *KEY).join(per, [*KEY], "left"), paint, (mask,)).select(*slices.columns)
 
 
 def _first_largest(root: np.ndarray, size: np.ndarray, first: np.ndarray, _) -> np.ndarray:

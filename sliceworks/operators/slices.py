@@ -30,6 +30,11 @@ def packed(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).astype(TYPE).tobytes()
 
 
+def spread(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows by key over all shuffle partitions: small slices cost much time a byte, so that partitions merged by bytes would leave cores idle."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+
+
 def mapped(slices: DataFrame, run: Callable[..., Iterable[tuple]], schema: str) -> DataFrame:
     """Rows that ``run`` makes of each slice (a named tuple)."""
     names = [c.split()[0] for c in schema.split(", ")]
@@ -62,7 +67,7 @@ def stacked(voxels: DataFrame, columns: tuple[str, ...], shape: tuple[int, int,
     (case_no, nx, ny, nz, sx, sy, sz).
     """
     kind = voxels.schema["case_no"].dataType.simpleString()
-    rows = voxels.groupBy(*KEY).agg(*[F.collect_list(F.col(c).cast("int")).alias(c) for c in ("x", "y", *columns)])
+    rows = spread(voxels, *KEY).groupBy(*KEY).agg(*[F.collect_list(F.col(c).cast("int")).alias(c) for c in ("x", "y", *columns)])
     if volumes is None:
         rows = rows.select("*", *[F.lit(n).cast("int").alias(c) for c, n in zip(META, shape[:2])], *[F.lit(float(v)).alias(c) for c, v in zip(META[2:], spacing)])
     else:
