@@ -8,7 +8,7 @@ import json
 import os
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -195,6 +195,29 @@ def write_slices(slices: DataFrame, path: str) -> None:
     writer.partitionBy("volume", "case_id").parquet(path)
 
 
+def stored(spark: SparkSession, path: str, volume: str) -> DataFrame:
+    """The slice rows of a volume below ``path``, none if nothing is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [c.split()[0] for c in SLICES.split(", ")]
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], SLICES)
+    return spark.read.schema(SLICES).parquet(path).where(F.col("volume") == volume).select(*names)
+
+
+def reused(rows: DataFrame, path: str, volume: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The slice rows of ``volume`` for the cases of ``rows``: what is stored at ``path``, and what ``make`` makes of the others' rows, stored there too.
+
+    ``make`` gets no row of a case that is stored, so a model runs once a case;
+    cases stored with an error are made again.  Runs at once; a run that fails
+    leaves only whole cases behind, which the next one reuses.
+    """
+    spark = rows.sparkSession
+    there = stored(spark, path, volume).where("error IS NULL").select("case_id").distinct()
+    made = make(rows.join(there, "case_id", "left_anti"))
+    write_slices(made.withColumn("volume", F.lit(volume)), path)
+    return stored(spark, path, volume).join(rows.select("case_id").distinct(), "case_id", "left_semi")
+
+
 def write_frame(frame: DataFrame, path: str, key: str = "case_no") -> None:
     """CSV with a header, a folder for each case: cases written again replace their rows, others stay.
 

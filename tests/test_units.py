@@ -130,6 +130,26 @@ def test_a_model_plugs_in(spark):
     assert {(r["x"], r["y"]) for r in slices.unstacked(got, ("label",)).where("label = 1").collect()} == {(1, 1), (1, 2)}
 
 
+def test_stored_volumes_are_reused(spark, tmp_path):
+    for case in ("1", "2"):
+        (tmp_path / f"{case}.nii.gz").write_bytes(files.encode(np.full((2, 2, 3), int(case), "<i2"), np.eye(4), (1.0, 1.0, 1.0)))
+    (tmp_path / "3.nii.gz").write_bytes(b"no volume")
+    rows, out = files.volumes(spark, str(tmp_path / "*.nii.gz")), str(tmp_path / "made")
+
+    def plus(n):
+        return lambda df: slices.with_planes(df.where("error IS NULL"), lambda row: {"data": slices.plane(row.data, row) + n}, ("data",)).unionByName(df.where("error IS NOT NULL"))
+
+    def values(df):
+        return {(r["case_id"], r["z"], np.frombuffer(r["data"], "<i2")[0]) for r in df.where("error IS NULL").collect()}
+
+    first = files.reused(rows.where("case_id <> '2'"), out, "label", plus(10))
+    assert values(first) == {("1", z, 11) for z in range(3)} and [r["case_id"] for r in first.where("error IS NOT NULL").collect()] == ["3"]
+    assert values(files.reused(rows, out, "label", plus(20))) == {("1", z, 11) for z in range(3)} | {("2", z, 22) for z in range(3)}
+    assert values(files.reused(rows.where("case_id = '2'"), out, "label", plus(30))) == {("2", z, 22) for z in range(3)}
+    assert values(files.reused(rows, out, "other", plus(0))) == {("1", z, 1) for z in range(3)} | {("2", z, 2) for z in range(3)}
+    assert files.stored(spark, out, "label").where("error IS NOT NULL").count() == 1  # made again, still no volume
+
+
 def header(data, order="<", slope=1.0, inter=0.0, sform=None, qform=None, zooms=(1.0, 1.0, 1.0), dims=None, qfac=1.0):
     head = bytearray(352)
     struct.pack_into(order + "i", head, 0, 348)
