@@ -44,6 +44,7 @@ NODES = 50_000
 ROOT = b""
 
 NODE = pa.schema([("base", pa.int64()), ("key", pa.binary()), ("parent", pa.binary()), ("depth", pa.int32()), ("chars", pa.int64()), ("above", pa.int64()), ("n", pa.int64()), ("first", pa.int64()), ("ends", pa.list_(pa.int64()))])
+TURN = pa.schema([("conv_id", pa.int64()), ("depth", pa.int32()), ("role", pa.string()), ("text", pa.string()), ("key", pa.binary()), ("parent", pa.binary())])
 NODE_DDL = "base long, key binary, parent binary, depth int, chars long, above long, n long, first long, ends array<long>"
 
 
@@ -73,7 +74,7 @@ def _rebuilt(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, Iter
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names, rows, size = ["conv_id", "depth", "role", "text", "key", "parent"], [], 0
+    rows, size = [], 0
     for _, conv, turns in _rebuilt(batches):
         key = ROOT
         for depth, (role, text) in enumerate(turns, 1):
@@ -81,10 +82,10 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((conv, depth, role, text, key, parent))
             size += len(text) + 100
             if size > 1 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), TURN)], schema=TURN)
                 rows, size = [], 0
     if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), TURN)], schema=TURN)
 
 
 def _tries(most: int):
