@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -35,36 +36,48 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-#: Paths written since the innermost ``scratch`` began.
-_made: list[list[str]] = []
+class _Made(threading.local):
+    """Paths written since each open ``scratch`` of this thread began, the innermost last."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_made = _Made()
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``written`` makes within go at the end, but for those that stay; what else was computed from them must be written by then."""
-    _made.append([])
+    """Tables that ``written`` makes within, in this thread, go at the end, but for those that stay; what else was computed from them must be written by then."""
+    _made.open.append([])
     try:
         yield
     finally:
-        for path in _made.pop():
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        for path in _made.open.pop():
+            removed(spark, path)
 
 
-def written(df: DataFrame, what: str, stays: bool = False) -> DataFrame:
+def written(df: DataFrame, what: str, stays: bool = False, paths: list[str] | None = None) -> DataFrame:
     """``df`` as a table written in the shared folder and read again.
 
     This cuts the lineage: a lost executor costs no recomputation, and both
     readers of a table see the same rows.  The files go at the end of the
     innermost ``scratch`` (of the one around it if the table ``stays``) or with
-    the session, as results are lazy and read them.
+    the session, as results are lazy and read them.  ``paths`` gets the table's.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    if len(_made) > stays:
-        _made[-1 - stays].append(path)
+    if len(_made.open) > stays:
+        _made.open[-1 - stays].append(path)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,9 +1,10 @@
 """Logistic regression by FTRL-proximal over hashed word n-grams and skip-grams.
 
-The labelled sample is dealt to a fixed number of parts.  In each epoch every
-part runs the online updates from the common state, and what the parts changed
-is averaged, coordinate by coordinate, over those parts that met it.  Several
-labels are learned in the same passes.  The state has at most 2**BITS
+The labelled sample is dealt to a fixed number of parts by a hash of the ids.  In
+each epoch every part, a group of its own, runs the online updates from the common
+state in one order, and what the parts changed is averaged, coordinate by
+coordinate, over those parts that met it, in fixed point.  So the result depends on
+the rows alone, not on files, partitions or cores.  Several labels are learned in the same passes.  The state has at most 2**BITS
 coordinates a label, whatever the corpus holds.
 """
 
@@ -22,6 +23,8 @@ from .hashing import ALNUM, buffers, chunks, mix, words
 
 BITS = 18
 BIAS = 1 << BITS
+#: Steps of the fixed point in which changes are averaged.
+FINE = float(1 << 40)
 
 
 @dataclass(frozen=True)
@@ -72,19 +75,17 @@ def one_pass(rows: list[tuple[float, np.ndarray]], z: np.ndarray, n: np.ndarray,
 def _updates(states, settings: Settings):
     """What a part changes, per label (by its place), coordinate and epoch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = []
-        for at, z0, n0 in states.value:
+    def run(part: pa.Table) -> pa.Table:
+        found, rows = [], sorted(part.drop_columns("part").to_pylist(), key=lambda r: (r["turn"], r["features"]))
+        own = [np.frombuffer(r["features"], np.int32) for r in rows]
+        for k, (at, z0, n0) in enumerate(states.value):
             z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
             z[at], n[at] = z0, n0
-            now.append((z, n, z.copy(), n.copy()))
-        for batch in batches:
-            own = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(batch.num_columns - 1)]
-            for k, (z, n, _, _) in enumerate(now):
-                one_pass([(y, i) for y, i in zip(batch.column(k).to_pylist(), own) if y is not None], z, n, settings)
-        for k, (z, n, was_z, was_n) in enumerate(now):
+            was_z, was_n = z.copy(), n.copy()
+            one_pass([(r[f"y{k}"], i) for r, i in zip(rows, own) if r[f"y{k}"] is not None], z, n, settings)
             at = np.flatnonzero(n != was_n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at), pa.array(z[at] - was_z[at]), pa.array(n[at] - was_n[at])], names=["k", "i", "dz", "dn"])
+            found.append(pa.table({"k": pa.array(np.full(len(at), k, np.int32)), "i": at, "dz": z[at] - was_z[at], "dn": n[at] - was_n[at]}))
+        return pa.concat_tables(found)
 
     return run
 
@@ -119,14 +120,16 @@ def fit(labelled: DataFrame, labels: tuple[str, ...], text: str = "text", doc_id
     part = F.pmod(F.xxhash64(F.lit(5), F.col(doc_id)), F.lit(s.parts)).cast("int")
     rows = labelled.where(F.col(text).isNotNull()).select(part.alias("part"), F.xxhash64(F.lit(6), F.col(doc_id)).alias("turn"), *ys, F.col(text).alias("text"))
     rows = rows.where(F.coalesce(*names).isNotNull())
-    # about ``bound`` texts, dealt once; each epoch reads their features again
-    dealt = small_batches(rows).repartition(s.parts, "part").sortWithinPartitions("part", "turn", "text").select(*names, "text")
-    sample = written(dealt.mapInArrow(tidy(_prepared), ", ".join(f"{c} double" for c in names) + ", features binary"), what)
+    # about ``bound`` texts; each epoch reads their features again, a part of about bound / parts rows in a task
+    dealt = small_batches(rows.select("part", "turn", *names, "text"))
+    sample = written(dealt.mapInArrow(tidy(_prepared), "part int, turn long, " + ", ".join(f"{c} double" for c in names) + ", features binary"), what)
     states = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0)) for _ in labels]
     for _ in range(s.epochs):
         shared = spark.sparkContext.broadcast(states)
-        changed = small_batches(sample).mapInArrow(tidy(_updates(shared, s)), "k int, i long, dz double, dn double")
-        got = changed.groupBy("k", "i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toArrow()  # at most 2**BITS + 1 rows a label
+        changed = sample.groupBy("part").applyInArrow(_updates(shared, s), "k int, i long, dz double, dn double")
+        # whole numbers add up alike in any order
+        mean = [(F.sum(F.rint(F.col(c) * FINE).cast("long")) / F.count("*") / FINE).alias(c) for c in ("dz", "dn")]
+        got = changed.groupBy("k", "i").agg(*mean).toArrow()  # at most 2**BITS + 1 rows a label
         shared.destroy()
         own, i, dz, dn = (got[c].to_numpy() for c in ("k", "i", "dz", "dn"))
         for k, (at, z, n) in enumerate(states):

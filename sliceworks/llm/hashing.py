@@ -37,11 +37,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(chars: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The hash of each word, given its first byte and its length; bytes in small form."""
+def word_hashes(chars: np.ndarray, begin: np.ndarray, lengths: np.ndarray, key: int = 0) -> np.ndarray:
+    """The hash of each word, given its first byte and its length; bytes in small form.
+
+    Without the ``key`` nobody can tell which words have one hash.
+    """
     padded = np.append(chars, np.zeros(8, np.uint8))
     eight = np.ndarray(len(chars) + 1, "<u8", padded, strides=(1,))
     h = lengths.astype(np.uint64) * _STEP
+    if key:
+        h = mix(h + np.uint64(key))
     at = np.arange(len(begin))
     for done in range(0, BY_STEPS, 8):
         at = at[lengths[at] > done]
@@ -51,7 +56,7 @@ def word_hashes(chars: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np
         own = eight[begin[at] + done] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
         h[at] = mix((h[at] ^ own) * _STEP)
     for i in np.flatnonzero(lengths > BY_STEPS):
-        h[i] = xxhash.xxh3_64_intdigest(chars[begin[i] : begin[i] + lengths[i]].tobytes())
+        h[i] = xxhash.xxh3_64_intdigest(chars[begin[i] : begin[i] + lengths[i]].tobytes(), key)
     return h
 
 
@@ -67,7 +72,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def words(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, off: np.ndarray, is_word: np.ndarray, key: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text the index of its first word (one more at the end)."""
     at = is_word[data]
     before = np.zeros(len(data), bool)
@@ -84,7 +89,7 @@ def words(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.nd
     chars = _LOWER[data[at]]
     begin = np.flatnonzero(start[at])
     lengths = np.diff(np.append(begin, len(chars)))
-    return word_hashes(chars, begin, lengths), first
+    return word_hashes(chars, begin, lengths, key), first
 
 
 def chunks(off: np.ndarray):

@@ -21,6 +21,7 @@ components, and at last those of them that had more for all pairs.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,10 +57,10 @@ _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x
 _SHORT = np.uint64(0xE7037ED1A0B428DB)
 
 
-def shingle_sets(data: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
-    """For each text the sorted hashes of its distinct shingles."""
+def shingle_sets(data: np.ndarray, off: np.ndarray, key: int = 0) -> Iterator[np.ndarray]:
+    """For each text the sorted hashes of its distinct shingles, under the key."""
     for lo, hi in chunks(off):
-        w, first = words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], SPACED)
+        w, first = words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], SPACED, key)
         n = len(w) - WORDS + 1
         h = mix(sum(w[k : k + n] * _MULT[k] for k in range(WORDS))) if n > 0 else w[:0]
         for a, b in zip(first[:-1], first[1:]):
@@ -137,19 +138,22 @@ class CountTree:
 
 
 # --- the order of shingles
-def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    every = []
-    for batch in batches:
-        every += shingle_sets(*buffers(batch.column(0)))
-    if every:
-        keys, n = np.unique(np.concatenate(every), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+def _seen(key: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = []
+        for batch in batches:
+            every += shingle_sets(*buffers(batch.column(0)), key)
+        if every:
+            keys, n = np.unique(np.concatenate(every), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
+    return run
 
-def common_shingles(docs: DataFrame, bound: int = ORDER_DOCS) -> tuple[np.ndarray, np.ndarray]:
+
+def common_shingles(docs: DataFrame, bound: int = ORDER_DOCS, key: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several of about ``bound`` documents hold, sorted, and in how many; it shapes lists, not results."""
     some = bounded_sample(docs.where(F.col("doc_id").isNotNull()), "doc_id", bound).select("text")
-    sums = small_batches(some).mapInArrow(tidy(_seen), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
+    sums = small_batches(some).mapInArrow(tidy(_seen(key)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
     got = sums.orderBy(F.desc("n"), "key").limit(ORDER_SHINGLES).toPandas()
     keys = got["key"].to_numpy(np.int64).view(np.uint64)
     at = np.argsort(keys)
@@ -185,11 +189,11 @@ def names_of(sets: list[np.ndarray]) -> np.ndarray:
 
 # --- one pass over the texts
 #: Rows of bucket -2: a document, the size, name and point of its set.  Others: lists.
-ENTRIES = "bucket int, keys binary, sets binary, doc_id long, n long, name long, point binary"
+ENTRIES = "bucket int, keys binary, sets binary, doc_id long, n long, name long, proof long, point binary"
 
 
-def _entries(shared, n_buckets: int, percent: int):
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sets", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("name", pa.int64()), ("point", pa.binary())])
+def _entries(shared, n_buckets: int, percent: int, key: int, second: int):
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sets", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("name", pa.int64()), ("proof", pa.int64()), ("point", pa.binary())])
 
     def packed(keys: list, names: list) -> Iterator[pa.RecordBatch]:
         """Lists with several members here go out whole (bucket -1); each list's smallest member goes to its bucket."""
@@ -207,15 +211,16 @@ def _entries(shared, n_buckets: int, percent: int):
         rows += [(b, k[x:y].tobytes(), d[x:y].tobytes()) for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
         b, ks, ds = zip(*rows)
         none = pa.nulls(len(b), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(ks, pa.binary()), pa.array(ds, pa.binary()), none, none, none, pa.nulls(len(b), pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(ks, pa.binary()), pa.array(ds, pa.binary()), none, none, none, none, pa.nulls(len(b), pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
         keys, names, held, met = [], [], 0, set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            sets = list(shingle_sets(*buffers(batch.column(1))))
-            own_names = names_of(sets)
+            texts = buffers(batch.column(1))
+            sets = list(shingle_sets(*texts, key))
+            own_names, proofs = names_of(sets), names_of(list(shingle_sets(*texts, second)))
             points = []
             for doc, s, name in zip(ids, sets, own_names.tolist()):
                 points.append(point(s).tobytes() if len(s) > 1 else None)
@@ -225,7 +230,7 @@ def _entries(shared, n_buckets: int, percent: int):
                     keys.append(own), names.append(np.full(len(own), name, np.int64))
                     held += len(own)
             void, n = pa.nulls(len(ids), pa.binary()), [len(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array([-2] * len(ids), pa.int32()), void, void, pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(own_names), pa.array(points, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([-2] * len(ids), pa.int32()), void, void, pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(own_names), pa.array(proofs), pa.array(points, pa.binary())], schema=schema)
             if held > FLUSH:
                 yield from packed(keys, names)
                 keys, names, held, met = [], [], 0, set()
@@ -270,7 +275,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # --- the first trees
-def _joined(percent: int):
+def _joined(percent: int, key: int):
     """Of each part (rows of one number, in order) the members that links within the part tie to a smaller one."""
 
     def part(names: list[int], sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
@@ -296,7 +301,7 @@ def _joined(percent: int):
 
         names, sets, now, held = [], [], None, 0
         for batch in batches:
-            own = list(shingle_sets(*buffers(batch.column(2))))
+            own = list(shingle_sets(*buffers(batch.column(2)), key))
             for at, name, is_of, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), names_of(own).tolist(), own):
                 if at != now or held > PART_BYTES:
                     yield out()
@@ -317,7 +322,7 @@ def chosen(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.withColumnRenamed("doc_id", "rep").join(F.broadcast(ids) if few else ids, "rep")
 
 
-def first_joined(lists: DataFrame, classes: DataFrame, rows: DataFrame, percent: int, part: int = PART) -> DataFrame:
+def first_joined(lists: DataFrame, classes: DataFrame, rows: DataFrame, percent: int, key: int, part: int = PART) -> DataFrame:
     """(node, parent): most classes of a component tied to the smallest name among them, by trees over one list of each.
 
     A class has one list and one part of it, so what its part's tree ties it to is a root.
@@ -331,7 +336,7 @@ def first_joined(lists: DataFrame, classes: DataFrame, rows: DataFrame, percent:
         dealt = written(todo.join(many, ["key", "band"]).select("name", "rep", "key", "band", "m", F.xxhash64("key", "band", own).alias("part")), "dealt")
         texts = chosen(rows, dealt.select("rep", "name", "part")).select("part", "name", "text")
         by_part = small_batches(texts).repartition(parts, "part").sortWithinPartitions("part", "name")
-        tied = written(by_part.mapInArrow(tidy(_joined(percent)), "node long, parent long"), "tied")
+        tied = written(by_part.mapInArrow(tidy(_joined(percent, key)), "node long, parent long"), "tied")
         found = tied if found is None else renamed(found, tied)
         # the smallest members of what is tied meet those of the list's other parts
         left = dealt.where(F.col("m") > part).join(tied.select(F.col("node").alias("name")), "name", "left_anti").select("name", "rep", "key", "band")
@@ -341,10 +346,10 @@ def first_joined(lists: DataFrame, classes: DataFrame, rows: DataFrame, percent:
 
 
 # --- comparison
-def _compare(percent: int):
+def _compare(percent: int, key: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [list(shingle_sets(*buffers(batch.column(i)))) for i in (2, 3)]
+            sides = [list(shingle_sets(*buffers(batch.column(i)), key)) for i in (2, 3)]
             # a row that repeats an id may have another text
             own = [names_of(sets) == batch.column(i).to_numpy() for i, sets in enumerate(sides)]
             ok = [bool(p and q) and linked(x, y, percent) for p, q, x, y in zip(*own, *sides)]
@@ -353,13 +358,13 @@ def _compare(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int, key: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets link, as a written table."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     texts = chosen(rows, written(classes.join(named, "name").select("rep", "name"), "ids"))
     ta, tb = (texts.select(F.col("name").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
-    return written(small_batches(both).mapInArrow(tidy(_compare(percent)), "a long, b long").distinct(), "links")
+    return written(small_batches(both).mapInArrow(tidy(_compare(percent, key)), "a long, b long").distinct(), "links")
 
 
 def _trees(percent: int, forest: bool):
@@ -484,19 +489,31 @@ def candidates(dealt: DataFrame, points: DataFrame, percent: int, forest: bool)
     return written(by_cell.mapInArrow(tidy(_trees(percent, forest)), f"a long, b long, {CELL_TYPES}"), "near")
 
 
-def prepared(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Written tables of one pass over the texts: the rows, sets (doc_id, n, name, point), classes (name, rep, n) and lists (key, name) with several classes."""
+def prepared(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs: int, keys: Iterator[int] | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
+    """Written tables of one pass over the texts, and the key of the hashes: the rows, sets (doc_id, n, name, point), classes (name, rep, n) and lists (key, name) with several classes.
+
+    Words are hashed under a key drawn for the call, so no text can be made to
+    look like another.  Each set also has a name under a second key; where sets of
+    one name differ in it, two hashes were equal by chance, and all is done again
+    under other keys.
+    """
     spark = docs.sparkSession
+    keys = keys or iter(lambda: secrets.randbits(63) | 1, None)
+    key, second = next(keys), next(keys)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    common = spark.sparkContext.broadcast(common_shingles(rows, order_docs))  # at most ORDER_SHINGLES of them
+    common = spark.sparkContext.broadcast(common_shingles(rows, order_docs, key))  # at most ORDER_SHINGLES of them
     parts = slots(spark)
-    made = written(small_batches(rows).mapInArrow(tidy(_entries(common, 8 * parts, percent)), ENTRIES), "entries")
+    made = written(small_batches(rows).mapInArrow(tidy(_entries(common, 8 * parts, percent, key, second)), ENTRIES), "entries")
     common.destroy()
     sets = made.where("bucket = -2").select("doc_id", "n", "name", "point")
-    classes = written(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
+    alike = made.where("bucket = -2 AND n > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("proof").alias("p"), F.max("proof").alias("q"))
+    classes = written(alike, "classes")
+    if classes.where("p <> q").limit(1).count():
+        return prepared(docs, doc_id, text, percent, order_docs, keys)
+    classes = classes.select("name", "rep", "n")
     local = made.where("bucket = -1").select("keys", "sets").mapInArrow(tidy(_unpacked), "key long, name long")
     across = made.where("bucket >= 0").select("bucket", "keys", "sets").repartition(2 * parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_met), "key long, name long")
-    return rows, sets, classes, written(local.unionByName(across).distinct(), "lists")
+    return rows, sets, classes, written(local.unionByName(across).distinct(), "lists"), key
 
 
 def points_of(names: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -513,10 +530,10 @@ def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     returned; ``jaccard_join`` gives components without that.  Texts, sets and
     rows count as there.
     """
-    rows, sets, classes, lists = prepared(docs, doc_id, text, percent, order_docs)
+    rows, sets, classes, lists, key = prepared(docs, doc_id, text, percent, order_docs)
     everything = open_lists(lists, classes, None)
     near = candidates(cells(everything, cell), points_of(everything, sets, classes), percent, forest=False)
-    links = verified(near.select("a", "b").distinct(), classes, rows, percent)
+    links = verified(near.select("a", "b").distinct(), classes, rows, percent, key)
     reps = classes.select("name", "rep")
     a, b = (reps.select(F.col("name").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab")
     # a repeated id may stand for several classes
@@ -546,8 +563,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
 
 
 def _components(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs: int, cell: int, part: int) -> DataFrame:
-    rows, sets, classes, lists = prepared(docs, doc_id, text, percent, order_docs)
-    first = first_joined(lists, classes, rows, percent, part)
+    rows, sets, classes, lists, key = prepared(docs, doc_id, text, percent, order_docs)
+    first = first_joined(lists, classes, rows, percent, key, part)
 
     def with_links(known: DataFrame, links: DataFrame) -> DataFrame:
         up = [known.select(F.col("node").alias(x), F.col("parent").alias(f"r{x}")) for x in "ab"]
@@ -558,14 +575,14 @@ def _components(docs: DataFrame, doc_id: str, text: str, percent: int, order_doc
     points = points_of(still, sets, classes)
     near = candidates(cells(still, cell), points, percent, forest=True)
     tried = near.where("a IS NOT NULL").select("a", "b").distinct()
-    comps = with_links(first, verified(tried, classes, rows, percent))
+    comps = with_links(first, verified(tried, classes, rows, percent, key))
 
     more = near.where("a IS NULL").select(*CELL_OF).distinct()
     if more.limit(1).count():
         now = comps.select(F.col("node").alias("name"), "parent")
         dealt = cells(still, cell).join(more, [*CELL_OF], "left_semi").join(now, "name", "left").withColumn("comp", F.coalesce("parent", "comp")).drop("parent")
         rest = candidates(dealt, points, percent, forest=False).select("a", "b").distinct()
-        comps = with_links(comps, verified(rest.join(tried, ["a", "b"], "left_anti"), classes, rows, percent))
+        comps = with_links(comps, verified(rest.join(tried, ["a", "b"], "left_anti"), classes, rows, percent, key))
 
     # an id that is repeated with different texts ties its classes together
     several = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("name").alias("b"), F.max("name").alias("x")).where("b < x").select("doc_id", "b")

@@ -122,16 +122,16 @@ def test_op7_links_come_from_trees(spark, monkeypatch):
     """Without what the trees give no two classes are joined."""
     monkeypatch.setattr(op7_jaccard.CountTree, "near", lambda self, p, size, percent=75: np.zeros(0, np.int64))
     rows = [(i, " ".join(["all", "of", "them", "share", "this", f"w{i % 3}"] + ["long text here"] * 9)) for i in range(6)]
-    assert not list(op7_jaccard._joined(75)(iter([])))[0].num_rows
+    assert not list(op7_jaccard._joined(75, 0)(iter([])))[0].num_rows
     import pyarrow as pa
 
     from sliceworks.llm.hashing import buffers
 
     sets = list(op7_jaccard.shingle_sets(*buffers(pa.array([t for _, t in rows[:3]]))))
     batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 1]), pa.array(op7_jaccard.names_of(sets)), pa.array([t for _, t in rows[:3]])], names=["part", "name", "text"])
-    assert sum(b.num_rows for b in op7_jaccard._joined(75)(iter([batch]))) == 0
+    assert sum(b.num_rows for b in op7_jaccard._joined(75, 0)(iter([batch]))) == 0
     monkeypatch.undo()
-    assert sum(b.num_rows for b in op7_jaccard._joined(20)(iter([batch]))) == 2
+    assert sum(b.num_rows for b in op7_jaccard._joined(20, 0)(iter([batch]))) == 2
 
 
 def test_op7_words_of_one_polynomial_hash(spark):
