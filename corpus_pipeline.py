@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sliceworks.llm import op2_mixing, op5_exact, op7_jaccard, op9_language, op10_pack
-from sliceworks.llm.common import free, quoted, scratch, table, written
+from sliceworks.llm.common import free, quoted, removed, scratch, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,8 +88,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, paths = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        with scratch(spark):  # a stage's own tables go when its result is written
-            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"), stays=True)
+        with scratch(spark):  # a stage's own tables go when its result is written, its input as well
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"), stays=True, paths=paths)
+        for path in paths[-2:-1]:
+            removed(spark, path)
     return docs
