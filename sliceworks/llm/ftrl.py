@@ -75,21 +75,28 @@ def one_pass(rows: list[tuple[float, np.ndarray]], z: np.ndarray, n: np.ndarray,
 def _updates(states, settings: Settings):
     """What a part changes, per label (by its place), coordinate and epoch."""
 
-    def run(part: pa.Table) -> pa.Table:
-        found, rows = [], sorted(part.drop_columns("part").to_pylist(), key=lambda r: (r["turn"], r["features"]))
-        own = [np.frombuffer(r["features"], np.int32) for r in rows]
-        for k, (at, z0, n0) in enumerate(states.value):
-            z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-            z[at], n[at] = z0, n0
-            was_z, was_n = z.copy(), n.copy()
-            one_pass([(r[f"y{k}"], i) for r, i in zip(rows, own) if r[f"y{k}"] is not None], z, n, settings)
-            at = np.flatnonzero(n != was_n)
-            found.append(pa.table({"k": pa.array(np.full(len(at), k, np.int32)), "i": at, "dz": z[at] - was_z[at], "dn": n[at] - was_n[at]}))
-        return pa.concat_tables(found)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in range(batch.num_rows):
+                *ys, rows = (c[part] for c in batch.columns)
+                own = [np.frombuffer(x.as_buffer(), np.int32) for x in rows.values]
+                for k, (at, z0, n0) in enumerate(states.value):
+                    z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
+                    z[at], n[at] = z0, n0
+                    was_z, was_n = z.copy(), n.copy()
+                    one_pass([(y, i) for y, i in zip(ys[k].as_py(), own) if y is not None], z, n, settings)
+                    at = np.flatnonzero(n != was_n)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at), pa.array(z[at] - was_z[at]), pa.array(n[at] - was_n[at])], names=["k", "i", "dz", "dn"])
 
     return run
 
 
+def _whole(part: pa.Table) -> pa.Table:
+    """A part as one row: its labels and features in the order of the updates."""
+    rows = sorted(part.drop_columns("part").to_pylist(), key=lambda r: (r["turn"], r["features"]))
+    return pa.table({c: pa.array([[r[c] for r in rows]], t) for c, t in (*((y, pa.list_(pa.float64())) for y in part.column_names[2:-1]), ("features", pa.list_(pa.binary())))})
+
+
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's distinct features."""
     for batch in batches:
@@ -120,13 +127,14 @@ def fit(labelled: DataFrame, labels: tuple[str, ...], text: str = "text", doc_id
     part = F.pmod(F.xxhash64(F.lit(5), F.col(doc_id)), F.lit(s.parts)).cast("int")
     rows = labelled.where(F.col(text).isNotNull()).select(part.alias("part"), F.xxhash64(F.lit(6), F.col(doc_id)).alias("turn"), *ys, F.col(text).alias("text"))
     rows = rows.where(F.coalesce(*names).isNotNull())
-    # about ``bound`` texts; each epoch reads their features again, a part of about bound / parts rows in a task
+    # about ``bound`` texts, dealt once: a part of about bound / parts of them is a row, which every epoch reads again
     dealt = small_batches(rows.select("part", "turn", *names, "text"))
-    sample = written(dealt.mapInArrow(tidy(_prepared), "part int, turn long, " + ", ".join(f"{c} double" for c in names) + ", features binary"), what)
+    found = dealt.mapInArrow(tidy(_prepared), "part int, turn long, " + ", ".join(f"{c} double" for c in names) + ", features binary")
+    sample = written(found.groupBy("part").applyInArrow(_whole, ", ".join(f"{c} array<double>" for c in names) + ", features array<binary>"), what)
     states = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0)) for _ in labels]
     for _ in range(s.epochs):
         shared = spark.sparkContext.broadcast(states)
-        changed = sample.groupBy("part").applyInArrow(_updates(shared, s), "k int, i long, dz double, dn double")
+        changed = sample.mapInArrow(tidy(_updates(shared, s)), "k int, i long, dz double, dn double")
         # whole numbers add up alike in any order
         mean = [(F.sum(F.rint(F.col(c) * FINE).cast("long")) / F.count("*") / FINE).alias(c) for c in ("dz", "dn")]
         got = changed.groupBy("k", "i").agg(*mean).toArrow()  # at most 2**BITS + 1 rows a label
