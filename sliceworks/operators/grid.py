@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +19,27 @@ def reoriented(voxels: DataFrame, shape: tuple[int, int, int], axes: tuple[int,
 
 
 def canonical(affine: list[float]) -> tuple[tuple[int, int, int], tuple[bool, bool, bool]]:
-    """Axes and flips that bring a file's 4 x 4 affine (by rows) to right, anterior, superior; oblique ones are refused."""
-    axes, flips = [], []
-    for r in range(3):
-        row = affine[4 * r : 4 * r + 3]
-        c = max(range(3), key=lambda i: abs(row[i]))
-        if any(i != c and abs(row[i]) > 1e-6 * abs(row[c]) for i in range(3)):
-            raise ValueError("oblique affine")
-        axes.append(c), flips.append(row[c] < 0)
+    """Axes and flips that bring a file's 4 x 4 affine (by rows) nearest to right, anterior, superior; tilted ones as well.
+
+    The affine without its spacing is taken to the nearest rotation.  The file's axis
+    that points most clearly in one direction takes that one, then the next axis
+    the clearest of the directions that are left; so every axis has its own.  An
+    affine that makes a plane or a line of the volume is an error.
+    """
+    m = np.asarray(affine, float).reshape(4, 4)[:3, :3]
+    length = np.sqrt((m**2).sum(axis=0))
+    if not np.isfinite(m).all() or not length.all():
+        raise ValueError("an affine without three directions")
+    u, size, v = np.linalg.svd(m / length)
+    if size[-1] <= size[0] * 3 * np.finfo(float).eps:
+        raise ValueError("an affine without three directions")
+    nearest = u @ v
+    axes, flips = [0] * 3, [False] * 3
+    free = [0, 1, 2]
+    for c in np.argsort(-np.abs(nearest).max(axis=0), kind="stable"):
+        r = max(free, key=lambda row: abs(nearest[row, c]))
+        free.remove(r)
+        axes[r], flips[r] = int(c), bool(nearest[r, c] < 0)
     return tuple(axes), tuple(flips)
 
 

@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-import gzip
+import functools
 import io
 import json
 import os
-import struct
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cases import base_name, case_id
-from ..operators.grid import canonical
+from . import nifti
 
-# Data types of the format.
-TYPES = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u2"}
-CODES = {v: k for k, v in TYPES.items()}
 SLICES = "case_id string, volume string, z int, nx int, ny int, nz int, spacing array<float>, affine array<double>, data binary, error string"
+ROW = pa.schema([("case_id", pa.string()), ("volume", pa.string()), *((c, pa.int32()) for c in ("z", "nx", "ny", "nz")), ("spacing", pa.list_(pa.float32())), ("affine", pa.list_(pa.float64())), ("data", pa.binary()), ("error", pa.string())])
+#: Bytes of slices in a batch, about.
+BATCH_BYTES = 4 << 20
 
 
 def directory(spark: SparkSession, path: str) -> DataFrame:
@@ -79,102 +79,80 @@ def series_folders(spark: SparkSession, path: str) -> DataFrame:
     return folders.groupBy("dir").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def rotation(b: float, c: float, d: float) -> np.ndarray:
-    """The rotation of a unit quaternion whose first part follows from the others."""
-    a = max(0.0, 1.0 - (b * b + c * c + d * d)) ** 0.5
-    return np.array([
-        [a * a + b * b - c * c - d * d, 2 * (b * c - a * d), 2 * (b * d + a * c)],
-        [2 * (b * c + a * d), a * a + c * c - b * b - d * d, 2 * (c * d - a * b)],
-        [2 * (b * d - a * c), 2 * (c * d + a * b), a * a + d * d - b * b - c * c],
-    ])
+#: The whole volume of a file as stored, its affine and spacing; and back.
+decode, encode = nifti.volume, nifti.encoded
 
 
-def decode(content: bytes) -> tuple[np.ndarray, np.ndarray, tuple[float, ...]]:
-    """Volume (x, y, z), affine and spacing of a file, packed or not, of either byte order.
-
-    The affine is the sform, else the qform, else the spacing alone.  A slope of 0
-    or one that is no number means unscaled values; scaled ones are cut to whole
-    numbers.  More than one volume in a file is an error.
-    """
-    raw = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-    order = "<" if struct.unpack("<i", raw[:4])[0] == 348 else ">"
-    if struct.unpack(order + "i", raw[:4])[0] != 348:
-        raise ValueError("no NIfTI-1 header")
-    dims = struct.unpack(order + "8h", raw[40:56])
-    if dims[0] < 3 or any(n > 1 for n in dims[4 : dims[0] + 1]):
-        raise ValueError(f"not one volume of three dimensions: {dims[1 : dims[0] + 1]}")
-    code = struct.unpack(order + "h", raw[70:72])[0]
-    if code not in TYPES:
-        raise ValueError(f"data type {code} is not read")
-    zooms = struct.unpack(order + "8f", raw[76:108])
-    offset = int(struct.unpack(order + "f", raw[108:112])[0])
-    slope, inter = struct.unpack(order + "2f", raw[112:120])
-    affine = np.eye(4)
-    qform, sform = struct.unpack(order + "2h", raw[252:256])
-    if sform > 0:
-        affine[:3] = np.array(struct.unpack(order + "12f", raw[280:328])).reshape(3, 4)
-    elif qform > 0:
-        b, c, d, *shift = struct.unpack(order + "6f", raw[256:280])
-        side = -1.0 if zooms[0] < 0 else 1.0
-        affine[:3, :3] = rotation(b, c, d) * np.array([zooms[1], zooms[2], side * zooms[3]])
-        affine[:3, 3] = shift
-    else:
-        affine[[0, 1, 2], [0, 1, 2]] = zooms[1:4]
-    shape = dims[1:4]
-    data = np.frombuffer(raw, order + TYPES[code], int(np.prod(shape)), offset).reshape(shape, order="F")
-    if np.isfinite(slope) and slope != 0.0 and (slope != 1.0 or inter != 0.0):
-        data = np.trunc(data * slope + (inter if np.isfinite(inter) else 0.0))
-    if data.dtype.kind == "f" and not np.isfinite(data).all():
-        raise ValueError("values that are no numbers")
-    return data, affine, zooms[1:4]
+def oriented(data: np.ndarray, affine: np.ndarray, spacing: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray, tuple[float, ...]]:
+    """The volume with axes to the right, anterior, superior (a view), and its affine and spacing; tilted ones go to the nearest axes."""
+    h = nifti.Header(data.dtype.str, data.shape, 0, 1.0, 0.0, np.asarray(affine, float), tuple(spacing))
+    axes, flips = h.turned()
+    _, turned, step = h.grid()
+    return np.flip(data.transpose(axes), [i for i, f in enumerate(flips) if f]), turned, step
 
 
-def oriented(data: np.ndarray, affine: np.ndarray, spacing: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray, tuple[float, ...]]:
-    """The volume with axes to right, anterior, superior, and its affine and spacing; oblique ones are refused."""
-    axes, flips = canonical(affine.ravel().tolist())
-    turned, origin = data.transpose(axes), affine[:3, 3].copy()
-    new = np.eye(4)
-    for i, (a, flip) in enumerate(zip(axes, flips)):
-        new[:3, i] = -affine[:3, a] if flip else affine[:3, a]
-        if flip:
-            turned = np.flip(turned, i)
-            origin = origin + affine[:3, a] * (data.shape[a] - 1)
-    new[:3, 3] = origin
-    return turned, new, tuple(spacing[a] for a in axes)
-
-
-def encode(data: np.ndarray, affine: np.ndarray, spacing: tuple[float, ...]) -> bytes:
-    """A packed single-file volume."""
-    head = bytearray(352)
-    struct.pack_into("<i", head, 0, 348)
-    struct.pack_into("<8h", head, 40, 3, *data.shape, 1, 1, 1, 1)
-    struct.pack_into("<2h", head, 70, CODES[data.dtype.str[1:]], data.dtype.itemsize * 8)
-    struct.pack_into("<8f", head, 76, 1.0, *spacing, 0, 0, 0, 0)
-    struct.pack_into("<3f", head, 108, 352.0, 1.0, 0.0)
-    struct.pack_into("<2h", head, 252, 0, 1)
-    struct.pack_into("<12f", head, 280, *np.asarray(affine)[:3].ravel())
-    head[344:348] = b"n+1\x00"
-    return gzip.compress(bytes(head) + data.tobytes(order="F"), mtime=0)
-
-
-def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files (case_id, volume, content) as slice rows, one slice in hand at a time."""
     for batch in batches:
-        for case, volume, content in zip(batch["case_id"], batch["volume"], batch["content"]):
-            try:
-                data, affine, spacing = oriented(*decode(content))
-                if data.min(initial=0) < -32768 or data.max(initial=0) > 32767:
-                    raise ValueError("values beyond 16 bits")
-                rows = [(case, volume, z, *data.shape, list(map(float, spacing)), affine.ravel().tolist(), np.ascontiguousarray(data[:, :, z]).astype("<i2").tobytes(), None) for z in range(data.shape[2])]
-            except Exception as e:  # one bad file is one row, not a failed job
-                rows = [(case, volume, None, None, None, None, None, None, None, str(e))]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SLICES.split(", ")]).astype({k: "Int32" for k in ("z", "nx", "ny", "nz")})
+        for case, volume, content in zip(*(batch.column(i) for i in range(3))):
+            packed = content.as_buffer() if content.is_valid else b""
+            yield from slice_batches(case.as_py(), volume.as_py(), lambda packed=packed: pa.BufferReader(packed))
+
+
+def slice_batches(case: str, volume: str, opened: Callable, **how) -> Iterator[pa.RecordBatch]:
+    """Slice rows of one file; a fault is a row of its own, after the slices that came before it."""
+    rows, held, meta = [], 0, None
+    try:
+        for h, z, plane in nifti.slices_of(opened, **how):
+            if meta is None:
+                shape, affine, spacing = h.grid()
+                meta = (*shape, list(map(float, spacing)), affine.ravel().tolist())
+            rows.append((case, volume, z, *meta, np.ascontiguousarray(plane).tobytes(), None))
+            held += plane.nbytes
+            if held > BATCH_BYTES:
+                yield _batch(rows)
+                rows, held = [], 0
+    except Exception as e:  # one bad file is one row, not a failed job
+        rows.append((case, volume, *(None,) * 7, str(e) or type(e).__name__))
+    if rows:
+        yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ROW)], schema=ROW)
 
 
 def volumes(spark: SparkSession, path: str, volume: str = "image") -> DataFrame:
-    """One row per slice, to right, anterior, superior, 16-bit little-endian; a file that cannot be read gives one row with its error."""
+    """One row per slice, to the right, anterior, superior, 16-bit little-endian.
+
+    A file that cannot be read gives a row with its error; one that ends early
+    also the slices before that.  Works on every store that Spark reads; in a
+    worker are the packed file and one slice (a slab of them, where the stored
+    planes are not slices).  ``source.VolumeSource`` reads from a mounted folder,
+    without the packed file in memory.
+    """
     files = spark.read.format("binaryFile").load(path)
-    rows = files.select(case_id(F.col("path")).alias("case_id"), F.lit(volume).alias("volume"), "content")
-    return rows.mapInPandas(_slices, SLICES)
+    rows = files.where(~base_name(F.col("path")).startswith(".")).select(case_id(F.col("path")).alias("case_id"), F.lit(volume).alias("volume"), "content")
+    return rows.mapInArrow(_slices, SLICES)
+
+
+def from_array(spark: SparkSession, data: np.ndarray, affine: np.ndarray, case: str = "tmp", volume: str = "image", spacing: tuple[float, ...] | None = None, slab: int = 64) -> DataFrame:
+    """An array (x, y, z) and its affine as slice rows, turned as files are; a slab of ``slab`` slices at a time goes to Spark.
+
+    Without ``spacing`` the affine's own.  Values are cut to whole numbers; such
+    as 16 bits do not hold are an error.
+    """
+    data, affine = np.asarray(data), np.asarray(affine, float)
+    if data.ndim != 3 or not data.size:
+        raise ValueError(f"not one volume of three dimensions: {data.shape}")
+    view, turned, step = oriented(data, affine, tuple(spacing or np.sqrt((affine[:3, :3] ** 2).sum(axis=0))))
+    h = nifti.Header(data.dtype.str, data.shape, 0, 1.0, 0.0, affine, step)
+    meta = (*view.shape, list(map(float, step)), turned.ravel().tolist())
+    parts = []
+    for first in range(0, view.shape[2], slab):
+        planes = [(z, np.ascontiguousarray(nifti.whole(view[:, :, z], h)).tobytes()) for z in range(first, min(view.shape[2], first + slab))]
+        parts.append(spark.createDataFrame(pa.Table.from_batches([_batch([(case, volume, z, *meta, plane, None) for z, plane in planes])]), SLICES))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def voxels_of(slices: DataFrame, value: str = "hu") -> DataFrame:
