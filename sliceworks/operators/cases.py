@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 MIN_SLICES = 30
@@ -17,10 +19,15 @@ def case_id(path: Column) -> Column:
     return F.substring_index(base_name(path), ".", 1)
 
 
+def named_like(path: Column, pattern: str) -> Column:
+    """Whether the file name begins with the pattern and is not hidden."""
+    name = base_name(path)
+    return name.rlike(f"^(?:{pattern})") & ~name.startswith(".")
+
+
 def matching(cases: DataFrame, path: str, pattern: str) -> DataFrame:
     """Cases whose file name begins with the pattern, hidden files left out."""
-    name = base_name(F.col(path))
-    return cases.where(name.rlike(f"^(?:{pattern})") & ~name.startswith("."))
+    return cases.where(named_like(F.col(path), pattern))
 
 
 def with_required(cases: DataFrame, listing: DataFrame, needed: list[str], key: str = "case_id") -> DataFrame:
@@ -48,6 +55,10 @@ def patient_id(case: Column) -> list[Column]:
     return [F.when(fits, part(1)).otherwise(F.lit("")).alias("pat_prefix"), F.when(fits, part(2)).otherwise(case).alias("pat_id"), F.when(fits, part(3)).otherwise(F.lit("")).alias("pat_suffix")]
 
 
+# Keys of metadata files, and the columns they become.
+METADATA = {"AcquisitionDate": "scan_date", "PatientSex": "pat_sex", "PatientSize": "pat_size", "PatientWeight": "pat_weight"}
+
+
 def scan_date(text: Column) -> Column:
     """yyyymmdd as yyyy-mm-dd; null if it is no date."""
     return F.date_format(F.try_to_timestamp(text, F.lit("yyyyMMdd")), "yyyy-MM-dd")
@@ -92,19 +103,40 @@ def header_flags(image_type: Column, orientation: Column) -> list[Column]:
     return [primary.alias("is_primary"), F.coalesce(axial, F.lit(False)).alias("is_axial")]
 
 
-def funnel(steps: dict[str, DataFrame]) -> DataFrame:
-    """How many cases each step leaves."""
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("step"), "n") for name, df in steps.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def path_of(template: str, case: Column) -> Column:
-    """The template with the case in place of ``{case}``."""
-    parts = template.split("{case}")
-    return F.concat(*[x for i, part in enumerate(parts) for x in ([case] if i else []) + [F.lit(part)]])
+def counted(cases: DataFrame, steps: dict[str, Column]) -> DataFrame:
+    """step and n: how many cases each step leaves of those that the steps before it left; one pass over the cases."""
+    left, kept = F.lit(True), {}
+    for name, condition in steps.items():
+        left = left & F.coalesce(condition, F.lit(False))
+        kept[name] = left
+    one = cases.agg(*[F.count_if(c).alias(name) for name, c in kept.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("step"), F.col(n).alias("n")) for n in kept])).alias("s")).select("s.*")
+
+
+def observed(cases: DataFrame, steps: dict[str, Column], name: str = "funnel") -> tuple[DataFrame, Observation]:
+    """The cases that all steps leave, and an observation of the counters: they come with whatever action runs on the cases first."""
+    seen, left = Observation(name), F.lit(True)
+    counts = []
+    for step, condition in steps.items():
+        left = left & F.coalesce(condition, F.lit(False))
+        counts.append(F.count_if(left).alias(step))
+    return cases.observe(seen, *counts).where(left), seen
+
+
+def have(listing: DataFrame, sets: dict[str, list[str]], key: str = "case_id") -> DataFrame:
+    """Per key of a listing (key, item) a flag for each set of items: whether all of it is there; one pass over the listing."""
+    every = sorted({i for items in sets.values() for i in items})
+    flags = [(F.count_distinct(F.when(F.col("item").isin(items), F.col("item"))) == len(set(items))).alias(name) for name, items in sets.items()]
+    return listing.where(F.col("item").isin(every)).groupBy(key).agg(*flags)
+
+
+def path_of(template: str, case: Column, **values: Column | str) -> Column:
+    """The template with the case in place of ``{case}``, and values in place of other names, such as ``{method}``, ``{filter}`` or ``{timestamp}``."""
+    known = {"case": case} | {k: v if isinstance(v, Column) else F.lit(v) for k, v in values.items()}
+    parts = re.split(r"\{(\w+)\}", template)
+    if unknown := set(parts[1::2]) - set(known):
+        raise ValueError(f"no value for {sorted(unknown)}")
+    return F.concat(*[known[x] if i % 2 else F.lit(x) for i, x in enumerate(parts)])
 
 
 def date_errors(rows: DataFrame, text: str, case: str = "case_id") -> DataFrame:

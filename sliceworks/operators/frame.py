@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import TISSUES, VERTEBRAE
+from .cases import METADATA, patient_id, scan_date
 
 REFS = ("level", "center", "centroid", "tag")
 MEASURES = tuple(f"mm2_{n.lower()}" for n in TISSUES.values())
@@ -89,6 +90,26 @@ def with_metadata(frame: DataFrame, metadata: DataFrame) -> DataFrame:
     return frame.join(metadata, "case_no", "left")
 
 
+#: What a case is, in front of its rows.
+CASE = ("case_id", "case_timestamp", "pat_id", "pat_prefix", "pat_suffix", "pat_sex", "pat_size", "pat_weight", "scan_date", "scan_slicethickness")
+
+
+def case_columns(thickness: DataFrame, given: DataFrame) -> DataFrame:
+    """The ten columns for each case: case_no, and of ``thickness`` (case_no, scan_slicethickness) and ``given`` (case_id and the keys of ``cases.METADATA``) what there is; ids come from the case's name.
+
+    The time is one for all, that of the run.
+    """
+    both = thickness.join(given.withColumnRenamed("case_id", "case_no"), "case_no", "left")
+    rest = [F.col(k).alias(c) for k, c in METADATA.items() if c != "scan_date"]
+    made = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("case_timestamp")
+    return both.select("case_no", F.col("case_no").alias("case_id"), made, *patient_id(F.col("case_no")), *rest, scan_date(F.col("AcquisitionDate")).alias("scan_date"), "scan_slicethickness")
+
+
+def described(frame: DataFrame, about: DataFrame) -> DataFrame:
+    """The frame with the case's columns in front, on all of its rows."""
+    return frame.join(about, "case_no", "left").select("case_no", *CASE, *[c for c in frame.columns if c != "case_no"])
+
+
 def numbered(frame: DataFrame) -> DataFrame:
     """Rows from head to foot: rn counts the slices of a case downwards."""
     from pyspark.sql import Window

@@ -1,9 +1,10 @@
 """Connected components of masks: size filters, largest component, holes.
 
 Components need neighbours of neighbours, which no built-in operator follows.  A
-slice is labelled by NumPy, in a map.  In 3-D slabs of slices give pieces and, as
-edges, which of neighbouring slices touch; only pieces and edges of a case, never
-its voxels, meet to be joined.
+slice is labelled by NumPy, in a map.  In 3-D slabs of slices give pieces, joined
+within the slab, and what touches across its seam; only the seams' edges, never
+pieces or voxels, meet to be joined (``components``), and what is decided of a
+component comes from sums by tables.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..stages import Stages
+from .components import joined, roots
 from .slices import KEY, plane, spread, with_planes
 
 
@@ -23,19 +26,6 @@ def _steps(rank: int, corners: bool) -> list[tuple[int, ...]]:
     return [s for s in near if any(s) and (corners or sum(map(abs, s)) == 1)]
 
 
-def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest that edges (a, b) lead to."""
-    up = np.arange(n)
-    a, b = np.append(a, b), np.append(b, a)
-    while True:
-        low = up.copy()
-        np.minimum.at(low, a, up[b])
-        low = low[low]
-        if (low == up).all():
-            return up
-        up = low
-
-
 def labelled(mask: np.ndarray, corners: bool) -> np.ndarray:
     """Components of a mask, each named by its first place in C order; -1 outside."""
     at = np.argwhere(mask)
@@ -85,95 +75,107 @@ def _meet(one: np.ndarray, two: np.ndarray, corners: bool) -> np.ndarray:
 
 
 def pieces(slices: DataFrame, mask: str, corners: bool, inverted: bool = False) -> DataFrame:
-    """A row per slice (no piece), per piece of it (size ``n``, first place, whether it meets the border) and per piece ``above`` that it touches.
+    """A row per piece of a slice: its size ``n``, first place, whether it meets the border, and the ``node`` of its slab that it belongs to.
 
-    A slab's first slice also goes to the slab below it, so a task holds SLAB + 1
-    slices of a mask, whatever the scan.
+    Pieces that touch within a slab are one node.  A slab's first slice also goes
+    to the slab below it: rows with ``seam`` tell which piece (of the slice above
+    the seam) touches the node.  So a task holds SLAB + 1 slices of a mask,
+    whatever the scan, and only seams are left to be joined.  Slices without the
+    mask have no piece.
     """
     kind = slices.schema["case_no"].dataType.simpleString()
     slab = F.floor(F.col("z") / SLAB)
     copies = F.when(F.col("z") % SLAB == 0, F.array(slab, slab - 1)).otherwise(F.array(slab))
-    rows = slices.select(*KEY, "nx", "ny", (F.col("sx") * F.col("sy") * F.col("sz")).alias("unit"), F.col(mask).alias("mask"), F.explode(copies).alias("slab"))
-    names = ["case_no", "z", "nx", "ny", "unit", "piece", "n", "first", "border", "above"]
+    rows = slices.where(F.col(mask).isNotNull()).select(*KEY, "nx", "ny", F.col(mask).alias("mask"), F.explode(copies).alias("slab"))
+    names = ["case_no", "z", "piece", "node", "seam", "n", "first", "border"]
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
-        out, last = [], None
+        case, slab = part["case_no"].iloc[0], int(part["slab"].iloc[0])
+        own, tied, seams, last, n_nodes = [], [], np.zeros((0, 2), np.int64), None, 0
         for row in part.sort_values("z").itertuples(index=False):
             comp = _cut((plane(row.mask, row) > 0) != inverted, corners)
-            if last is not None and last[0].z + 1 == row.z:
-                out += [(row.case_no, last[0].z, row.nx, row.ny, row.unit, a, None, None, None, b) for a, b in _meet(last[1], comp, corners).tolist()]
-            last = row, comp
-            if row.z // SLAB != row.slab:  # the next slab tells of this slice
-                continue
-            out.append((row.case_no, row.z, row.nx, row.ny, row.unit, None, None, None, None, None))
-            rim = set(np.concatenate([comp[0], comp[-1], comp[:, 0], comp[:, -1]]).tolist())
+            touch = _meet(last[1], comp, corners) if last is not None and last[0] + 1 == row.z else np.zeros((0, 2), np.int64)
+            if row.z // SLAB != slab:  # the next slab tells of this slice
+                seams = touch + (last[2], 0) if len(touch) else touch
+                seam_z = row.z
+                break
             found, first, n = np.unique(comp, return_index=True, return_counts=True)
-            out += [(row.case_no, row.z, row.nx, row.ny, row.unit, i, m, f, i in rim, None) for i, f, m in zip(found.tolist(), first.tolist(), n.tolist()) if i >= 0]
-        return pd.DataFrame(out, columns=names).astype({c: "Int64" for c in ("piece", "n", "first", "above")})
-
-    return spread(rows, "case_no", "slab").groupBy("case_no", "slab").applyInPandas(one, f"case_no {kind}, z int, nx int, ny int, unit double, piece int, n long, first long, border boolean, above int")
-
-
-def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool = False) -> DataFrame:
-    """``slices`` with the mask of the pieces that ``choose`` takes; it gets a case's roots, sizes and first places by piece, and the voxel's volume.
-
-    ``inverted``: pieces are those of the background, a frame of one voxel about
-    the volume belongs to it, and the mask is what is not taken.
+            first, n = first[found >= 0], n[found >= 0]
+            rim = np.isin(np.arange(len(n)), np.concatenate([comp[0], comp[-1], comp[:, 0], comp[:, -1]]))
+            own.append(pd.DataFrame({"z": row.z, "piece": np.arange(len(n)), "n": n, "first": first, "border": rim}))
+            if len(touch):
+                tied.append(touch + (last[2], n_nodes))
+            last = row.z, comp, n_nodes
+            n_nodes += len(n)
+        edges = np.concatenate(tied) if tied else np.zeros((0, 2), np.int64)
+        node = joined(n_nodes, edges[:, 0], edges[:, 1]) + (slab << 32)
+        out = [pd.concat(own, ignore_index=True).assign(node=node, seam=False)] if own else []
+        if len(seams):
+            out.append(pd.DataFrame({"z": seam_z, "piece": seams[:, 1], "node": node[seams[:, 0]], "seam": True, "n": 0, "first": 0, "border": False}))
+        return pd.concat(out, ignore_index=True).assign(case_no=case)[names] if out else pd.DataFrame(columns=names)
+
+    return spread(rows, "case_no", "slab").groupBy("case_no", "slab").applyInPandas(one, f"case_no {kind}, z int, piece int, node long, seam boolean, n long, first long, border boolean")
+
+
+def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool = False, stages: Stages | None = None, cut: bool = True) -> DataFrame:
+    """``slices`` with the mask of the components that ``choose`` takes.
+
+    ``choose`` gets components (case_no, root, n, first, rim) and a row per case
+    (case_no, nx, ny, depth, unit), and gives (case_no, root).  ``inverted``: the
+    components are the background's, and the mask is what is not taken.  ``cut``:
+    the slices become a table first, as they are read twice; not needed for what
+    is one.
     """
-    kind = slices.schema["case_no"].dataType.simpleString()
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        bottom, depth = rows["z"].min(), rows["z"].max() - rows["z"].min() + 1
-        nx, ny, unit = (rows[c].iloc[0] for c in ("nx", "ny", "unit"))
-        nodes, edges = rows[rows["n"].notna()], rows[rows["above"].notna()]
-        if not len(nodes):
-            return nodes[["case_no", "z", "piece"]]
-        place = pd.Series(np.arange(len(nodes)), index=pd.MultiIndex.from_arrays([nodes["z"], nodes["piece"].astype("int64")]))
-        a = b = np.zeros(0, np.int64)
-        if len(edges):
-            a = place.reindex(pd.MultiIndex.from_arrays([edges["z"], edges["piece"].astype("int64")])).to_numpy()
-            b = place.reindex(pd.MultiIndex.from_arrays([edges["z"] + 1, edges["above"].astype("int64")])).to_numpy()
-        z, n = nodes["z"].to_numpy(), nodes["n"].to_numpy(np.int64)
-        first = nodes["first"].to_numpy(np.int64) * depth + (z - bottom)
-        if inverted:
-            rim = np.flatnonzero(nodes["border"].to_numpy(bool) | (z == bottom) | (z == bottom + depth - 1))
-            a, b = np.append(a, rim), np.append(b, np.full(len(rim), len(n)))
-            n, first = np.append(n, (nx + 2) * (ny + 2) * (depth + 2) - nx * ny * depth), np.append(first, -1)
-        root = joined(len(n), a.astype(np.int64), b.astype(np.int64))
-        size = np.bincount(root, n, len(n))[root]
-        least = np.full(len(n), np.iinfo(np.int64).max)
-        np.minimum.at(least, root, first)
-        return nodes.loc[choose(root, size, least[root], unit)[: len(nodes)], ["case_no", "z", "piece"]].astype({"piece": "int32"})
-
-    kept = pieces(slices, mask, corners, inverted).groupBy("case_no").applyInPandas(one, f"case_no {kind}, z int, piece int")
-    per = kept.groupBy(*KEY).agg(F.collect_list("piece").alias("kept_pieces"))
+    stages = stages or Stages(slices.sparkSession, "components")
+    rows = stages.cut(slices, "slices") if cut else slices
+    found = stages.cut(pieces(rows, mask, corners, inverted), "pieces")
+    own = found.where("NOT seam").drop("seam")
+    seams = found.where("seam").select("case_no", "z", "piece", F.col("node").alias("a"))
+    edges = stages.cut(seams.join(own.select("case_no", "z", "piece", F.col("node").alias("b")), ["case_no", "z", "piece"]).select("case_no", "a", "b").distinct(), "seams")
+    named = own.join(roots(edges, stages), ["case_no", "node"], "left").withColumn("root", F.coalesce("root", "node"))
+    cases = rows.groupBy("case_no").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"), F.min("z").alias("bottom"), F.max("z").alias("top"), F.first(F.col("sx") * F.col("sy") * F.col("sz")).alias("unit"))
+    rim = F.col("border") | (F.col("z") == F.col("bottom")) | (F.col("z") == F.col("top"))
+    # places are compared in scan order: by the place in the slice, then by the slice
+    comps = named.join(cases.select("case_no", "bottom", "top"), "case_no").groupBy("case_no", "root").agg(F.sum("n").alias("n"), F.min(F.struct("first", "z")).alias("first"), F.max(rim).alias("rim"))
+    taken = choose(comps, cases.withColumn("depth", F.col("top") - F.col("bottom") + 1))
+    per = named.join(taken.select("case_no", "root"), ["case_no", "root"], "left_semi").groupBy(*KEY).agg(F.collect_list("piece").alias("kept_pieces"))
 
     def paint(row):
         comp = _cut((plane(getattr(row, mask), row) > 0) != inverted, corners)
         return {mask: np.isin(comp, row.kept_pieces if row.kept_pieces is not None else []) != inverted}
 
     # the slices are cut once more: cheaper than to carry every voxel's piece through a join
-    return with_planes(spread(slices, *KEY).join(per, [*KEY], "left"), paint, (mask,)).select(*slices.columns)
+    return with_planes(spread(rows, *KEY).join(per, [*KEY], "left"), paint, (mask,)).select(*slices.columns)
+
+
+def _first_largest(comps: DataFrame, cases: DataFrame) -> DataFrame:
+    best = comps.groupBy("case_no").agg(F.max(F.struct("n", (-F.col("first.first")).alias("f"), (-F.col("first.z")).alias("z"), "root")).alias("best"))  # ties: the first in scan order
+    return best.select("case_no", F.col("best.root").alias("root"))
 
 
-def _first_largest(root: np.ndarray, size: np.ndarray, first: np.ndarray, _) -> np.ndarray:
-    return root == root[np.lexsort((first, -size))[0]]  # ties: the first in scan order
+def _surroundings(comps: DataFrame, cases: DataFrame) -> DataFrame:
+    """The background's largest part; a frame of one voxel about the volume joins all that meets the border, and wins ties."""
+    outside = comps.where("rim").groupBy("case_no").agg(F.sum("n").alias("met"))
+    frame = (F.col("nx") + 2).cast("long") * (F.col("ny") + 2) * (F.col("depth") + 2) - F.col("nx").cast("long") * F.col("ny") * F.col("depth")
+    whole = cases.join(outside, "case_no", "left").select("case_no", (frame + F.coalesce("met", F.lit(0))).alias("outside"))
+    inner = _first_largest(comps.where("NOT rim"), cases).join(comps, ["case_no", "root"]).join(whole, "case_no").where(F.col("n") > F.col("outside")).select("case_no", "root")
+    return comps.where("rim").join(inner, "case_no", "left_anti").select("case_no", "root").unionByName(inner)
 
 
-def without_small(slices: DataFrame, mask: str, limit: float, three_d: bool = False) -> DataFrame:
+def without_small(slices: DataFrame, mask: str, limit: float, three_d: bool = False, **how) -> DataFrame:
     """Drops components of the mask under ``limit`` mm2 (3-D: mm3) by each case's spacing; corners connect.  No limit: nothing changes."""
     if limit <= 0:
         return slices
     if three_d:
-        return _chosen(slices, mask, True, lambda root, size, first, unit: size >= limit / unit)
+        return _chosen(slices, mask, True, lambda comps, cases: comps.join(cases.select("case_no", "unit"), "case_no").where(F.col("n") >= F.lit(float(limit)) / F.col("unit")), **how)
     return with_planes(slices, lambda row: {mask: large_ones(plane(getattr(row, mask), row) > 0, limit / (row.sx * row.sy))}, (mask,))
 
 
-def keep_largest(slices: DataFrame, mask: str) -> DataFrame:
-    """The largest component of a case's mask; faces connect."""
-    return _chosen(slices, mask, False, _first_largest)
+def keep_largest(slices: DataFrame, mask: str, **how) -> DataFrame:
+    """The largest component of a case's mask; faces connect.  ``how``: ``stages`` and ``cut``, where the tables between go."""
+    return _chosen(slices, mask, False, _first_largest, **how)
 
 
-def fill_holes(slices: DataFrame, mask: str) -> DataFrame:
+def fill_holes(slices: DataFrame, mask: str, **how) -> DataFrame:
     """All but the largest part of the background, the volume's surroundings included, becomes mask; faces connect."""
-    return _chosen(slices, mask, False, _first_largest, inverted=True)
+    return _chosen(slices, mask, False, _surroundings, inverted=True, **how)

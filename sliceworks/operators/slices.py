@@ -4,7 +4,8 @@ A row is one slice of a case: case_no (of any type), z, nx, ny, the spacing sx,
 sy, sz in mm, and one binary column for each volume, 16-bit little-endian with y
 running fastest.  Slice-wise work is a map without a shuffle; volumes of a case
 meet by a join on (case_no, z).  ``has`` marks the voxels that exist; without it
-all do.
+all do.  Rows with a column ``fault`` (``guarded``) carry what went wrong with
+them from step to step instead of failing the job.
 """
 
 from __future__ import annotations
@@ -26,6 +27,15 @@ def plane(data: bytes, row) -> np.ndarray:
     return np.frombuffer(data, TYPE).reshape(row.nx, row.ny)
 
 
+def guarded(rows: DataFrame) -> DataFrame:
+    """``rows`` with a column ``fault``, null so far: later steps write there why a slice could not be worked on, and pass it over from then on."""
+    return rows if "fault" in rows.columns else rows.withColumn("fault", F.lit(None).cast("string"))
+
+
+def fault_of(e: Exception) -> str:
+    return str(e) or type(e).__name__
+
+
 def packed(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).astype(TYPE).tobytes()
 
@@ -57,7 +67,17 @@ def with_planes(slices: DataFrame, run: Callable[..., dict[str, np.ndarray]], ma
         new = run(row)
         yield (*(getattr(row, c) for c in kept), *(packed(new[c]) for c in made))
 
-    return mapped(slices, each, schema)
+    def safe(row):
+        fault = row.fault
+        if fault is None:
+            try:
+                yield from each(row)
+                return
+            except Exception as e:  # a fault of one slice is a row, not a failed job
+                fault = fault_of(e)
+        yield (*(fault if c == "fault" else getattr(row, c) for c in kept), *(None,) * len(made))
+
+    return mapped(slices, safe if "fault" in kept else each, schema)
 
 
 def stacked(voxels: DataFrame, columns: tuple[str, ...], shape: tuple[int, int, int] | None = None, spacing: tuple[float, float, float] | None = None, volumes: DataFrame | None = None) -> DataFrame:
@@ -117,6 +137,27 @@ def histogram(slices: DataFrame, column: str) -> DataFrame:
     return mapped(slices.select(*KEY, column, *(["has"] if has else [])), count, f"case_no {kind}, z int, label int, n long")
 
 
+def histograms(slices: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """case_no, z, volume, label, n, sx, sy, fault of several volumes in one pass; a faulty slice is one row without counts."""
+    kind = slices.schema["case_no"].dataType.simpleString()
+    rows = guarded(slices)
+    has = ["has"] if "has" in rows.columns else []
+
+    def count(row):
+        fault, found = row.fault, []
+        try:
+            for c in columns if fault is None else ():
+                values = np.frombuffer(getattr(row, c), TYPE)
+                if has:
+                    values = values[np.frombuffer(row.has, TYPE) > 0]
+                found += [(row.case_no, row.z, c, int(label), int(n), row.sx, row.sy, None) for label, n in zip(*np.unique(values, return_counts=True))]
+        except Exception as e:
+            fault = fault_of(e)
+        yield from found if fault is None else [(row.case_no, row.z, None, None, None, row.sx, row.sy, fault)]
+
+    return mapped(rows.select(*KEY, "sx", "sy", "fault", *columns, *has), count, f"case_no {kind}, z int, volume string, label int, n long, sx double, sy double, fault string")
+
+
 def median_filtered(slices: DataFrame, column: str = "hu", to: str = "hu_median", kernel: tuple[int, int] = (3, 3)) -> DataFrame:
     """The median of the kernel in the slice, borders reflected (edge voxel repeated)."""
     def run(row):
@@ -131,10 +172,15 @@ def median_filtered(slices: DataFrame, column: str = "hu", to: str = "hu_median"
 
 def bounds(slices: DataFrame, column: str, roi: tuple[int, ...]) -> DataFrame:
     """x_lo, x_hi, y_lo, y_hi, z_lo, z_hi of the labels and nx, ny, nz, sx, sy, sz, per case; null bounds without them."""
-    kind = slices.schema["case_no"].dataType.simpleString()
+    kind, safe = slices.schema["case_no"].dataType.simpleString(), "fault" in slices.columns
 
     def edge(row):
-        hit = np.isin(plane(getattr(row, column), row), roi)
+        try:
+            hit = np.isin(plane(getattr(row, column), row), roi)
+        except Exception:
+            if not safe:
+                raise
+            hit = np.zeros((1, 1), bool)  # the slice's own fault is told where it is counted
         x, y = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
         found = (int(x[0]), int(x[-1]), int(y[0]), int(y[-1]), row.z, row.z) if len(x) else (None,) * 6
         yield (row.case_no, row.z, *found, *(getattr(row, c) for c in META))
@@ -146,14 +192,34 @@ def bounds(slices: DataFrame, column: str, roi: tuple[int, ...]) -> DataFrame:
     return per.groupBy("case_no").agg(*ends, *[F.first(c).alias(c) for c in META], (F.max("z") + 1).alias("nz"))
 
 
+def shifted(affine, x: int, y: int, z: int) -> list[float]:
+    """A 4 x 4 affine (by rows) whose first voxel is the one at (x, y, z)."""
+    out = [float(v) for v in affine]
+    for r in range(3):
+        out[4 * r + 3] += out[4 * r] * x + out[4 * r + 1] * y + out[4 * r + 2] * z
+    return out
+
+
 def cropped(slices: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Slices inside their case's box, cut to it; z stays, x and y count from the corner."""
+    """Slices inside their case's box, cut to it; x and y count from the corner, and so does the column ``affine``, if there is one.
+
+    z stays the scan's own number, so that results name the slices of the scan.
+    """
+    safe = "fault" in slices.columns
     volumes = tuple(f.name for f in slices.schema.fields if f.dataType.simpleString() == "binary")
     rows = slices.join(boxes.select("case_no", "x0", "x1", "y0", "y1", "z0", "z1"), "case_no").where("z >= z0 AND z < z1 AND x1 > x0 AND y1 > y0")
     kinds, columns = {f.name: f.dataType.simpleString() for f in slices.schema.fields}, slices.columns
 
     def cut(row):
-        own = {c: packed(plane(getattr(row, c), row)[row.x0 : row.x1, row.y0 : row.y1]) for c in volumes} | {"nx": row.x1 - row.x0, "ny": row.y1 - row.y0}
-        yield tuple(own.get(c, getattr(row, c)) for c in columns)
+        own = {"nx": row.x1 - row.x0, "ny": row.y1 - row.y0}
+        try:
+            own |= {c: packed(plane(getattr(row, c), row)[row.x0 : row.x1, row.y0 : row.y1]) for c in volumes if not (safe and row.fault is not None)}
+        except Exception as e:
+            if not safe:
+                raise
+            own |= {"fault": fault_of(e)} | dict.fromkeys(volumes)
+        if "affine" in columns:
+            own["affine"] = shifted(row.affine, row.x0, row.y0, 0)
+        yield tuple(own[c] if c in own else getattr(row, c) for c in columns)
 
     return mapped(rows, cut, ", ".join(f"{c} {kinds[c]}" for c in columns))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import BOXES, METHODS, SPINE_A, SPINE_B, BoxParams, LevelParams, TissueParams
 from ..operators import cases, frame, grid, hist, levels, morph, slices, voxel
 from ..sources.synthetic import MIN_VOXELS, SHAPE, SPACING, voxels
+from ..stages import Stages
 from . import methods
 
 P = LevelParams(min_voxels=MIN_VOXELS)
@@ -211,7 +212,9 @@ def fill_holes(s, d):
 
 def trunk_restrict(s, d):
     rows = _slices(s, d, "tissue", "trunk")
-    whole = rows.drop("trunk").join(methods.trunk_of(rows.drop("tissue")).select("case_no", "z", "trunk"), ["case_no", "z"])
+    stages = Stages(s, "trunk")
+    rows = stages.cut(rows, "slices")
+    whole = rows.drop("trunk").join(methods.trunk_of(rows.drop("tissue"), stages).select("case_no", "z", "trunk"), ["case_no", "z"])
     return slices.unstacked(whole, ("tissue", "trunk")).select(*KEY, F.when(F.col("trunk") > 0, F.col("tissue")).otherwise(0).alias("tissue"))
 
 
@@ -245,10 +248,10 @@ def skip_completed(s, d):
 
 
 def case_funnel(s, d):
-    c = _customers(s, d)
-    named = cases.matching(c.withColumn("path", F.concat(F.lit("scans/"), F.col("case_id").cast("string"), F.lit(".nii.gz"))), "path", "[12]").select("case_id")
-    have = cases.with_required(named, _listing(s, d), NEEDED[:1])
-    return cases.funnel({"all": c, "matching": named, "inputs": have, "open": cases.not_completed(have, _listing(s, d), NEEDED)})
+    path = cases.path_of("scans/{case}.nii.gz", F.col("case_id").cast("string"))
+    c = _customers(s, d).join(cases.have(_listing(s, d), {"inputs": NEEDED[:1], "done": NEEDED}), "case_id", "left")
+    steps = {"all": F.lit(True), "matching": cases.named_like(path, "[12]"), "inputs": F.col("inputs"), "open": ~F.coalesce("done", F.lit(False))}
+    return cases.counted(c, steps)
 
 
 def metadata_left_join(s, d):
