@@ -13,6 +13,7 @@ from ..functions.labels import BOXES, IMAT, METHODS, PSOAS, PSOAS_SOURCE, SACRUM
 from ..operators import cases, frame, grid, hist, levels, morph, slices
 from ..operators.slices import plane, with_planes
 from ..sources import files
+from ..sources.results import Results
 from ..stages import Stages
 
 #: Volumes that a method reads besides hu, tissue and vert.
@@ -141,7 +142,7 @@ def run(rows: DataFrame, method: str = "lumbar_quick", min_voxels: int | None =
     return out
 
 
-def run_files(spark: SparkSession, image: str, labels: dict[str, str], method: str = "lumbar_quick", metadata: str | None = None, stages: Stages | None = None, **how) -> dict[str, DataFrame]:
+def run_files(spark: SparkSession, image: str | list[str], labels: dict[str, str | list[str]], method: str = "lumbar_quick", metadata: str | None = None, stages: Stages | None = None, **how) -> dict[str, DataFrame]:
     """``run`` over files: ``image`` and, for every other volume that the method needs, a folder or pattern of NIfTI files.
 
     A case is a file name up to its first dot; files of one case must lie on one
@@ -164,7 +165,7 @@ def run_files(spark: SparkSession, image: str, labels: dict[str, str], method: s
     errors = unread[0]
     for e in (*unread[1:], *bad):
         errors = errors.unionByName(e)
-    rows = good["hu"].select(F.col("case_id").alias("case_no"), "z", "nx", "ny", *[F.col("spacing")[i].cast("double").alias(c) for i, c in enumerate(("sx", "sy", "sz"))], F.col("data").alias("hu"))
+    rows = files.as_slices(good["hu"], "hu").drop("affine")
     for n in wanted[1:]:
         rows = rows.join(good[n].select(F.col("case_id").alias("case_no"), "z", F.col("data").alias(n)), ["case_no", "z"])
     errors = stages.cut(errors, "errors")
@@ -179,6 +180,28 @@ def run_files(spark: SparkSession, image: str, labels: dict[str, str], method: s
     return found | {"errors": errors}
 
 
+def run_open(spark: SparkSession, image: str, labels: dict[str, str], results: Results, workspace: str, method: str = "lumbar_quick", again: bool = False, **how) -> str | None:
+    """``run_files`` for the cases of the folder ``image`` that ``results`` has not done (``again``: for all), and their commit; the run's name, None if none was open.
+
+    Only files of open cases are read.  A run that fails leaves nothing that is
+    seen; one that is repeated adds no row twice.
+    """
+    listed = files.directory(spark, image).select("path", F.col("case_id").alias("case_no"))
+    todo = listed if again else results.remaining(listed, workspace)
+    paths = {r["case_no"]: r["path"] for r in todo.toLocalIterator()}  # names of files, as Spark lists them anyway
+    if not paths:
+        return None
+    own = {n: [r["path"] for r in files.directory(spark, place).toLocalIterator() if r["case_id"] in paths] for n, place in labels.items()}
+    with Stages(spark, method) as stages:
+        if not all(own.values()):
+            missing = [n for n, found in own.items() if not found]
+            lost = spark.createDataFrame([(c, f"{n}: no volume") for c in paths for n in missing], "case_no string, error string")
+            return results.commit({}, lost, workspace, lost)
+        out = run_files(spark, list(paths.values()), own, method, stages=stages, **how)
+        errors = out.pop("errors")
+        return results.commit(out, todo, workspace, errors)
+
+
 def modelled(rows: DataFrame, predict, made: str) -> DataFrame:
     """A pluggable model: ``predict`` gets a slice (x, y) of intensities and returns its labels, the volume ``made``.  ``models`` has those in three dimensions."""
     return with_planes(rows, lambda row: {made: predict(plane(row.hu, row))}, (made,))

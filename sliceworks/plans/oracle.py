@@ -185,6 +185,7 @@ SELECT v.case_no, x, y, z - z0 AS z, hu FROM voxels v JOIN b ON b.case_no = v.ca
         "bbox_spine": f"""{BASE}, e AS (SELECT case_no, greatest(0, least(20, min(z) FILTER (vert > 0) + 4)) AS lo, greatest(0, least(20, max(z) FILTER (vert > 0) - 4)) AS hi, min(z) FILTER (vert > 0) AS hit FROM voxels GROUP BY 1)
 SELECT case_no, 0 AS x0, 5 AS x1, 0 AS y0, 10 AS y1, CASE WHEN hit IS NULL THEN 0 ELSE lo END AS z0, CASE WHEN hit IS NULL THEN 20 ELSE hi END AS z1,
  CASE WHEN hit IS NOT NULL AND hi <= lo THEN 'the box holds no voxel' END AS error FROM e""",
+        **dict.fromkeys(("model_slabs", "model_scores"), f"{BASE} SELECT {KEY}, CASE WHEN sum(hu) OVER (PARTITION BY case_no, x, y ORDER BY z RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING) > -300 THEN 1 ELSE 0 END AS label FROM voxels"),
         "method_lumbar_quick": _method("vert", False, l3=True),
         "method_whole_trunk": _method("vert", True),
         "method_muscle_a": _method("CASE WHEN vert NOT IN (18, 20, 21) AND (vb = 1 OR vert = 19) THEN vert ELSE 0 END", True, "CASE WHEN iliopsoas IN (88, 89) THEN 4 ELSE tissue END"),

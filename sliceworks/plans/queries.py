@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from ..functions.labels import BOXES, METHODS, SPINE_A, SPINE_B, BoxParams, Leve
 from ..operators import cases, frame, grid, hist, levels, morph, slices, voxel
 from ..sources.synthetic import MIN_VOXELS, SHAPE, SPACING, voxels
 from ..stages import Stages
-from . import methods
+from . import methods, models
 
 P = LevelParams(min_voxels=MIN_VOXELS)
 PIXEL = SPACING[0] * SPACING[1]
@@ -218,6 +219,37 @@ def trunk_restrict(s, d):
     return slices.unstacked(whole, ("tissue", "trunk")).select(*KEY, F.when(F.col("trunk") > 0, F.col("tissue")).otherwise(0).alias("tissue"))
 
 
+#: Above this sum of a voxel's intensity and those above and below, the stand-in for a model says 1.
+STANDS_OUT = -300
+
+
+def _stands_out():
+    """A stand-in for a model that looks at the slices above and below."""
+    def sums(hu):
+        wide = np.pad(hu.astype(np.int64), ((0, 0), (0, 0), (1, 1)))
+        return wide[:, :, :-2] + wide[:, :, 1:-1] + wide[:, :, 2:]
+
+    return sums
+
+
+def _load_labels():
+    sums = _stands_out()
+    return lambda hu, spacing: sums(hu) > STANDS_OUT
+
+
+def _load_scores():
+    sums = _stands_out()
+    return lambda hu, spacing: np.stack([np.zeros(hu.shape), sums(hu) - STANDS_OUT])
+
+
+def model_slabs(s, d):
+    return slices.unstacked(models.modelled(_slices(s, d, "hu"), _load_labels, "label", depth=6, halo=2), ("label",))
+
+
+def model_scores(s, d):
+    return slices.unstacked(models.scored(_slices(s, d, "hu"), _load_scores, "label", depth=6, halo=3, margin=1), ("label",))
+
+
 # --- cases
 def _pages(s, d):
     return s.read.parquet(f"{d}/pages.parquet").select("page_id", "url")
@@ -315,7 +347,7 @@ level_names combine export_with_metadata subset_l3 subset_all subset_lumbar aggr
 aggregate_by_center aggregate_by_centroid aggregate_tag aggregate_case bbox_create bbox_apply bbox_affine reorient size_filter_2d
 size_filter_3d keep_largest fill_holes trunk_restrict case_filter require_inputs skip_completed case_funnel metadata_left_join
 metadata_pivot metadata_merge patient_id_parse date_reformat dicom_select bbox_spine method_lumbar_quick method_whole_trunk
-method_muscle_a method_muscle_a_quick method_muscle_b""".split()
+method_muscle_a method_muscle_a_quick method_muscle_b model_slabs model_scores""".split()
 
 
 def queries() -> dict:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cases import base_name, case_id
+from ..operators.slices import shifted
 from . import nifti
 
 SLICES = "case_id string, volume string, z int, nx int, ny int, nz int, spacing array<float>, affine array<double>, data binary, error string"
@@ -122,7 +123,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ROW)], schema=ROW)
 
 
-def volumes(spark: SparkSession, path: str, volume: str = "image") -> DataFrame:
+def volumes(spark: SparkSession, path: str | list[str], volume: str = "image") -> DataFrame:
     """One row per slice, to the right, anterior, superior, 16-bit little-endian.
 
     A file that cannot be read gives a row with its error; one that ends early
@@ -191,7 +192,8 @@ def reused(rows: DataFrame, path: str, volume: str, make: Callable[[DataFrame],
     """
     spark = rows.sparkSession
     there = stored(spark, path, volume).where("error IS NULL").select("case_id").distinct()
-    made = make(rows.join(there, "case_id", "left_anti"))
+    # rows that ``make`` gives for a stored case would overwrite it
+    made = make(rows.join(there, "case_id", "left_anti")).join(there, "case_id", "left_anti")
     write_slices(made.withColumn("volume", F.lit(volume)), path)
     return stored(spark, path, volume).join(rows.select("case_id").distinct(), "case_id", "left_semi")
 
@@ -227,16 +229,45 @@ def write_volumes(packed: DataFrame, path: str) -> None:
                 os.replace(temporary, f"{folder}/{volume}/{case}.nii.gz")  # a task that runs twice leaves one whole file
             yield batch[["case_id"]]
 
-    packed.select("case_id", "volume", "content").mapInPandas(put, "case_id string").count()
+    packed.where("content IS NOT NULL").select("case_id", "volume", "content").mapInPandas(put, "case_id string").count()
 
 
 def packed_volumes(slices: DataFrame) -> DataFrame:
-    """case_id, volume, content: each case's slices as one packed file."""
+    """case_id, volume, content, error: each case's slices as one packed file, in its place in space.
+
+    The affine belongs to the scan's first slice; where the slices begin further up
+    (a cropped volume) it is moved there.  Slices that are missing, broken or of
+    several sizes are the case's error.
+    """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("z")
-        f = pdf.iloc[0]
-        data = np.stack([np.frombuffer(d, "<i2").reshape(f["nx"], f["ny"]) for d in pdf["data"]], axis=2)
-        out = io.BytesIO(encode(data, np.array(f["affine"]).reshape(4, 4), tuple(f["spacing"])))
-        return pd.DataFrame([(f["case_id"], f["volume"], out.getvalue())], columns=["case_id", "volume", "content"])
+        f, content, error = pdf.iloc[0], None, None
+        try:
+            if (np.diff(pdf["z"]) != 1).any():
+                raise ValueError("slices are missing")
+            data = np.stack([np.frombuffer(d, "<i2").reshape(nx, ny) for d, nx, ny in zip(pdf["data"], pdf["nx"], pdf["ny"])], axis=2)
+            affine = np.array(shifted(f["affine"], 0, 0, int(f["z"]))).reshape(4, 4)
+            content = encode(data, affine, tuple(f["spacing"]))
+        except ValueError as e:
+            error = str(e)
+        return pd.DataFrame([(f["case_id"], f["volume"], content, error)], columns=["case_id", "volume", "content", "error"])
+
+    return slices.where("error IS NULL").groupBy("case_id", "volume").applyInPandas(run, "case_id string, volume string, content binary, error string")
+
+
+def as_slices(volumes: DataFrame, column: str) -> DataFrame:
+    """Rows of a volume as slice rows: case_no, z, nx, ny, sx, sy, sz, affine and the volume as ``column``."""
+    spacing = [F.col("spacing")[i].cast("double").alias(c) for i, c in enumerate(("sx", "sy", "sz"))]
+    return volumes.where("error IS NULL").select(F.col("case_id").alias("case_no"), "z", "nx", "ny", *spacing, "affine", F.col("data").alias(column))
+
+
+def as_volume(slices: DataFrame, column: str, volume: str) -> DataFrame:
+    """The other way round, of slice rows with ``affine``: what ``packed_volumes`` and ``write_slices`` take; faulty slices become errors."""
+    fault = F.col("fault") if "fault" in slices.columns else F.lit(None).cast("string")
+    spacing = F.array("sx", "sy", "sz").cast("array<float>").alias("spacing")
+    return slices.select(F.col("case_no").cast("string").alias("case_id"), F.lit(volume).alias("volume"), "z", "nx", "ny", F.lit(None).cast("int").alias("nz"), spacing, "affine", F.col(column).alias("data"), fault.alias("error"))
+
 
-    return slices.where("error IS NULL").groupBy("case_id", "volume").applyInPandas(run, "case_id string, volume string, content binary")
+def write_errors(errors: DataFrame, path: str) -> None:
+    """``case,error`` as CSV, in one table for all cases; a later run adds its own."""
+    errors.select(F.col(errors.columns[0]).alias("case"), "error").write.mode("append").option("header", True).csv(path)
