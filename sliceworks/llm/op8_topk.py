@@ -6,8 +6,10 @@ one norm bucket: with its longest vector the threshold becomes a cosine.  Querie
 are grouped by the length they need, threshold over norm, so that a table of
 groups and blocks tells which of them meet at all before any vector is copied.
 A query whose cosine exceeds 1 skips the block; else the block is pruned by
-length where the cosine is low, or by the query's largest coordinate where it is
-high, and what is left is verified by products.
+length, where the cosine is high also by the query's largest coordinate, and then
+by its largest coordinates together: their part of the product and the lengths of
+what is left of both vectors bound the whole.  So it prunes where all norms are
+alike, too.  What is left is verified by products.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ PROBE = 2048
 FEW = 1 << 20
 #: Queries and candidates of a cell, about.
 QUERIES, CANDIDATES = 2048, 4096
-#: From this cosine on a block is pruned by a coordinate rather than by length.
+#: From this cosine on a block is pruned by one coordinate, too.
 COORDINATE = 0.6
+#: One in so many coordinates, the query's largest, make the partial product.
+FOCUS = 2
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -93,14 +97,18 @@ def pruned(q: np.ndarray, q_norm: float, theta: float, c: np.ndarray, norms: np.
         return np.zeros(0, np.int64)
     cosine = min(theta / (q_norm * top), 1.0) * (1 - 1e-9)
     by_length = int(np.searchsorted(-norms, -(theta * (1 - 1e-9) / q_norm), side="right"))
-    if cosine < COORDINATE:
-        return np.arange(by_length)
-    f = int(np.argmax(np.abs(q)))
-    # the angles to the coordinate's axis differ by no more than the angle between the vectors
-    own, most = np.arccos(np.clip(q[f] / q_norm, -1, 1)), np.arccos(cosine)
-    low, high = np.cos(min(np.pi, own + most)) - 1e-9, np.cos(max(0.0, own - most)) + 1e-9
-    u = units[:by_length, f]
-    return np.flatnonzero((u >= low) & (u <= high))
+    at = np.arange(by_length)
+    order = np.argsort(-np.abs(q))
+    if cosine >= COORDINATE and len(q):
+        # the angles to the coordinate's axis differ by no more than the angle between the vectors
+        own, most = np.arccos(np.clip(q[order[0]] / q_norm, -1, 1)), np.arccos(cosine)
+        low, high = np.cos(min(np.pi, own + most)) - 1e-9, np.cos(max(0.0, own - most)) + 1e-9
+        u = units[:by_length, order[0]]
+        at = np.flatnonzero((u >= low) & (u <= high))
+    f = order[: -(-len(q) // FOCUS)]
+    part, q_part = units[np.ix_(at, f)], q[f] / q_norm
+    rest = np.sqrt(max(0.0, 1 - q_part @ q_part) * np.clip(1 - (part * part).sum(axis=1), 0, None))
+    return at[(part @ q_part + rest + 1e-9) * norms[at] >= theta / q_norm]
 
 
 def _cells(k: int):

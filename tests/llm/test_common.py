@@ -87,3 +87,25 @@ def test_sets_of_one_name_are_told_apart(spark):
     drawn = iter([0, 5, 7, 9])
     _, sets, classes, _, key = op7_jaccard.prepared(docs(spark, rows), "doc_id", "text", 75, 100, drawn)
     assert key == 7 and classes.count() == 2 and len({r["name"] for r in sets.collect()}) == 2
+
+
+def test_blocks_of_equal_norms_are_pruned():
+    """Random directions of one length: most are passed over before their products, none that reaches the threshold."""
+    from sliceworks.llm.op8_topk import pruned
+
+    rng = np.random.default_rng(8)
+    c = np.rint(64 * rng.normal(size=(3000, 64)) / 8)
+    norms = np.linalg.norm(c, axis=1)
+    order = np.argsort(-norms)
+    c, norms = c[order], norms[order]
+    units, left = c / norms[:, None], []
+    for i in range(0, 3000, 60):
+        s = c @ c[i]
+        s[i] = -np.inf
+        theta = np.sort(s)[-20]
+        at = pruned(c[i], norms[i], theta, c, norms, units)
+        assert set(np.flatnonzero(s >= theta)) <= set(at.tolist())
+        left.append(len(at) / 3000)
+    assert np.mean(left) < 0.4
+    for odd in (np.zeros(64), -c[0], c[0] * 1e6):
+        assert len(pruned(odd, float(np.linalg.norm(odd)), -1.0, c, norms, units)) == 3000
