@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import re
-import tempfile
 import threading
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,28 +12,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..stages import shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``.  Only in local mode, where
-    driver and executors are one process, a folder of our own may take its place;
-    elsewhere a missing folder is an error, as executors do not see each other's disks.
-    """
-    sc = spark.sparkContext
-    conf = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if conf:
-        return conf
-    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sliceworks-"))
-    return sc.getCheckpointDir()
-
-
 class _Made(threading.local):
     """Paths written since each open ``scratch`` of this thread began, the innermost last."""
 
@@ -105,8 +88,8 @@ def fold(doc_id, n: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
-def bounded_sample(rows: DataFrame, by: str, bound: int, strata: str | None = None) -> DataFrame:
-    """About ``bound`` rows (of each value of ``strata``), chosen by a hash of ``by``.
+def bounded_sample(rows: DataFrame, by: str, bound: int, strata: str | None = None, most: int = 1 << 16) -> DataFrame:
+    """About ``bound`` rows (of each of the ``most`` frequent values of ``strata``), chosen by a hash of ``by``.
 
     All rows are counted; a row is in if its hash lies under bound / count.  The
     choice depends on the rows alone, not on partitions or order.
@@ -115,11 +98,11 @@ def bounded_sample(rows: DataFrame, by: str, bound: int, strata: str | None = No
     if strata is None:
         n = max(rows.count(), 1)
         return rows if n <= bound else rows.where(share < bound / n)
-    counts = {r[0]: r[1] for r in rows.groupBy(strata).count().collect()}
+    found = rows.where(F.col(strata).isNotNull()).groupBy(strata).count().orderBy(F.desc("count"), strata).limit(most)
+    counts = {r[0]: r[1] for r in found.collect()}
     keep = F.lit(False)
     for value, n in counts.items():
-        if value is not None:
-            keep = keep | ((F.col(strata) == F.lit(value)) & (share < bound / n))
+        keep = keep | ((F.col(strata) == F.lit(value)) & (share < bound / n))
     return rows.where(keep)
 
 

@@ -90,6 +90,10 @@ class Ids:
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32, copy=False)
 
 
+    def count(self, text: str) -> int:
+        return len(self.encode(text)) if text else 0
+
+
 @lru_cache(2)
 def ids_of(path: str) -> Ids:
     return Ids(path)

@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 
 from .common import scratch, small_batches, table, tidy, written
 from .ftrl import Settings, fit, sampled, scorer
+from .op10_pack import ids_of, tokenizer_path
 
 DOMAINS = ("good", "poor", "good_toxic", "poor_toxic")
 TARGETS = {"good": 0.90, "poor": 0.07, "good_toxic": 0.02, "poor_toxic": 0.01}
 #: Pull of every rate towards 1.
-PULL = 1e-3
+PULL = 3e-4
 #: Largest residual of a domain, relative to its target, at which the slopes stand still.
 STILL = 1e-6
 #: Passes after which the solve fails; it takes about 2 to 25.
@@ -38,6 +39,8 @@ PASSES = 200
 MISS = 0.05
 #: Least share of a domain that weights and residuals count with.
 RARE = 1e-4
+#: Least budget that is taken where none is given, of all tokens: a rare main domain does not throw the corpus away.
+LEAST = 0.25
 
 
 @dataclass
@@ -72,12 +75,15 @@ def posteriors(score, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([good * (1 - toxic), (1 - good) * (1 - toxic), good * toxic, (1 - good) * toxic], axis=1), n
 
 
-def _memberships(models, counted: bool):
+def _memberships(models, counted: bool, tokenizer: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(models.value)
         for batch in batches:
             p, n = posteriors(score, batch.column(1))
-            n = batch.column(2).fill_null(0).to_numpy() if counted else n
+            if counted:
+                n = batch.column(2).fill_null(0).to_numpy()
+            elif tokenizer:
+                n = np.array([ids_of(tokenizer).count(t) for t in batch.column(1).to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *map(pa.array, p.T)], names=["doc_id", "n_tokens", *DOMAINS])
 
     return run
@@ -125,7 +131,7 @@ def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None
 
     ``targets``: shares of the domains.  ``budget``: their sum as a multiple of
     all tokens; None takes that with which the domain with the largest share is
-    used once, whole.
+    used once, whole, and no less than ``LEAST``.
     ``most``: an upper bound of the rates.
     Where targets are out of reach the least squares still exist; ``achieved``
     tells how near they come.  A solve that does not end raises.
@@ -140,7 +146,7 @@ def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None
         return mix
     natural = first[2 : 2 + k] / tokens
     main = int(weights.argmax())
-    scale = budget if budget is not None else float(natural[main] / weights[main])
+    scale = budget if budget is not None else max(LEAST, float(natural[main] / weights[main]))
     mix.targets = weights * scale
     # a rare domain's total counts as much as a frequent one's
     pull = PULL * np.maximum(natural, RARE)
@@ -170,10 +176,12 @@ def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None
             part /= 2
 
 
-def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None) -> tuple[DataFrame, list]:
+def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, tokenizer: str | None = None) -> tuple[DataFrame, list]:
     """(doc_id, n_tokens, one column per domain) for every document, and the classifiers.
 
-    ``tokens``: a column of ``docs`` with each document's tokens; None counts words.
+    ``tokens``: a column of ``docs`` with each document's tokens.  ``tokenizer``:
+    the file whose ids are counted, in the same pass over the texts.  Without
+    either, words are.
     """
     s = settings or Settings()
     with scratch(docs.sparkSession):
@@ -183,7 +191,7 @@ def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = N
         count = F.col(tokens).cast("long") if tokens else F.lit(None).cast("long")
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), count.alias("n_tokens"))
         schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS)
-        members = written(small_batches(rows).mapInArrow(tidy(_memberships(shared, tokens is not None)), schema), "members", stays=True)
+        members = written(small_batches(rows).mapInArrow(tidy(_memberships(shared, tokens is not None, tokenizer)), schema), "members", stays=True)
         shared.destroy()
     return members, models
 
@@ -198,15 +206,15 @@ def _rated(mix, first: int):
     return run
 
 
-def source_mix(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, **how) -> DataFrame:
-    """doc_id, n_tokens (of the column ``tokens``, or words), a posterior per domain, the likeliest domain and the rate, for every document.
+def source_mix(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, tokenizer: str | None = None, **how) -> DataFrame:
+    """doc_id, n_tokens (as ``members_of`` counts them), a posterior per domain, the likeliest domain and the rate, for every document.
 
     Null and empty texts have no tokens and the posterior of a text without
     features.  Documents with equal posteriors have equal rates, so repeated rows
     repeat.  Without labels all posteriors are alike; an empty table gives no
     rows.  Other columns are not read.
     """
-    members, models = members_of(docs, labels, settings, tokens)
+    members, models = members_of(docs, labels, settings, tokens, tokenizer)
     mix = docs.sparkSession.sparkContext.broadcast(fit_rates(members, models, **how))
     schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS) + ", domain string, rate double"
     return small_batches(members).mapInArrow(tidy(_rated(mix, 2)), schema)
@@ -224,14 +232,14 @@ def _drawn(mix, at: int, doc: int):
     return run
 
 
-def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, **how) -> DataFrame:
+def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, tokenizer: str | None = None, **how) -> DataFrame:
     """The documents that stay when each is kept with its rate (at most 1) as its chance, by a hash of its id.
 
     All columns stay, whatever their names.  The rates are told anew from each
     text, so nothing is joined.  Where nothing could be learned all stay.
     """
     with scratch(docs.sparkSession):
-        members, models = members_of(docs, labels, settings, tokens)
+        members, models = members_of(docs, labels, settings, tokens, tokenizer)
         if not any(len(at) for at, _, _ in models):
             log.warning("no labels to learn from: mixing keeps all documents")
             return docs
@@ -247,4 +255,5 @@ def drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None,
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    """Tokens are those of the tokenizer that packs."""
+    return source_mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), tokenizer=tokenizer_path())

@@ -27,6 +27,8 @@ BITS = 16
 SIZES = (1, 2, 3)
 #: Labelled documents per language of which the frequencies are learned, about.
 LEARN = 1500
+#: Languages that a model tells apart, at most.
+LANGUAGES = 128
 ROUNDS = 12
 #: Nats per further language, times the logarithm of the number of n-grams.
 PENALTY = 4.0
@@ -120,11 +122,15 @@ def em(c: np.ndarray, p: np.ndarray, total: float, start: np.ndarray | None = No
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", bound: int = LEARN, bits: int = BITS) -> Model | None:
-    """A model of about ``bound`` documents of each language, whole texts; None without any."""
+    """A model of about ``bound`` documents of each language, whole texts; None without any.
+
+    The ``LANGUAGES`` with the most documents are learned, which bounds what is
+    collected and broadcast: 2**bits numbers for each.
+    """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
-    rows = bounded_sample(rows, "doc_id", bound, "lang").select("lang", "text")
+    rows = bounded_sample(rows, "doc_id", bound, "lang", LANGUAGES).select("lang", "text")
     sums = small_batches(rows).mapInArrow(tidy(_gather(bits)), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    counts = sums.toPandas()  # at most 2**bits rows a language
+    counts = sums.toPandas()  # at most 2**bits rows a language, of LANGUAGES
     return Model.of(counts, bits) if len(counts) else None
 
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sliceworks.llm import components, ftrl, op2_mixing, op7_jaccard, op9_language
+from sliceworks.llm import components, ftrl, op2_mixing, op7_jaccard, op9_language, op10_pack
 from sliceworks.llm.common import table
 
 from .helpers import DOCS, docs
@@ -211,7 +211,7 @@ def test_op2_equals_plain_projected_gradient(spark):
     mix = op2_mixing.fit_rates(df, [], {"good": 0.5, "poor": 0.3, "good_toxic": 0.15, "poor_toxic": 0.05}, most=1.0)
     share, natural = n / n.sum(), (n @ p) / n.sum()
     r = np.ones(150)
-    for _ in range(60_000):
+    for _ in range(250_000):  # the weaker the pull, the slower the plain steps
         r = np.clip(r - 0.15 * (p @ (((share * r) @ p - mix.targets) / natural) + op2_mixing.PULL * (r - 1)), 0, 1)
     assert np.abs((share * r) @ p - mix.totals).max() < 1e-5 and np.abs(r - mix.rates(p)).max() < 1e-3
 
@@ -302,6 +302,47 @@ def test_pipeline_stages(spark, middle):
     mixed = {r["doc_id"] for r in found["source mixing"].collect()}
     assert mixed <= want and len(mixed) > 0.4 * len(want)
     assert {r["doc_id"] for r in found["packing"].select("doc_id").collect()} == mixed
+    # the draw, from the rates of the stage's input, and best fit over the lengths of what it leaves
+    before, labels = found["near duplicates"], table(spark, middle, "labels")
+    rates = {r["doc_id"]: r for r in op2_mixing.source_mix(before, labels, tokenizer=op10_pack.tokenizer_path(), most=1.0).collect()}
+    chance = F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    assert mixed == {r["doc_id"] for r in before.select("doc_id", chance.alias("c")).collect() if r["c"] < rates[r["doc_id"]]["rate"]}
+    ids = op10_pack.ids_of(op10_pack.tokenizer_path())
+    assert all(rates[d]["n_tokens"] == len(ids.encode(exact[d])) for d in want)
+    packed = found["packing"].collect()
+    free, used = [], 0
+    for n in sorted((r["length"] for r in packed), reverse=True):
+        fits = [x for x in free if x >= n]
+        if fits:
+            free.remove(min(fits))
+            free.append(min(fits) - n)
+        else:
+            used += 1
+            free.append(op10_pack.CAPACITY - n)
+    assert len({r["sequence_id"] for r in packed}) == used
+    places = {}
+    for r in packed:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in places.values():
+        end = 0
+        for at, n in sorted(own):
+            assert at == end
+            end += n
+        assert end <= op10_pack.CAPACITY
+
+
+def test_op2_rare_main_domain(spark):
+    """Where hardly any document is of the main domain, the budget has a floor."""
+    rows = [(i, 10, 1e-6, 0.4, 0.3, 0.3 - 1e-6) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in op2_mixing.DOMAINS))
+    mix = op2_mixing.fit_rates(df, [], most=1.0)
+    assert mix.targets.sum() == pytest.approx(op2_mixing.LEAST) and mix.totals.sum() > 0.02
+
+
+def test_op9_learns_the_frequent_languages(spark, monkeypatch):
+    monkeypatch.setattr(op9_language, "LANGUAGES", 2)
+    rows = [(i, "the quick brown fox and the dog", "en") for i in range(9)] + [(20 + i, "der schnelle braune fuchs und", "de") for i in range(5)] + [(40, "le renard brun et le chien", "fr")]
+    assert op9_language.learn(docs(spark, rows)).langs == ["de", "en"]
 
 
 def test_pipeline_edges(spark, tmp_path):
