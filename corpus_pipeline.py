@@ -63,7 +63,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     by the rate of a text without features.  Without labels all rates are alike.
     Extra columns stay whatever their names; an empty table gives none.
     """
-    return op2_mixing.drawn(docs, table(spark, sf_dir, "labels"))
+    return op2_mixing.drawn(docs, table(spark, sf_dir, "labels"), tokenizer=op10_pack.tokenizer_path())
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
