@@ -117,7 +117,12 @@ def numbered(frame: DataFrame) -> DataFrame:
     return frame.withColumn("rn", F.row_number().over(Window.partitionBy("case_no").orderBy(F.desc("slice"))))
 
 
-def ordered(frame: DataFrame, ref: str) -> DataFrame:
-    """By case, then by the ref's place from head to foot, names that are no vertebra first."""
+def place(ref: str) -> Column:
+    """The place from head to foot of a vertebra's name; names that are none come first."""
     places = F.create_map(*[F.lit(x) for k, v in VERTEBRAE.items() for x in (v, k)])
-    return frame.orderBy("case_no", F.coalesce(F.element_at(places, F.col(ref)), F.lit(0)), ref)
+    return F.coalesce(F.element_at(places, F.col(ref)), F.lit(0))
+
+
+def ordered(frame: DataFrame, ref: str) -> DataFrame:
+    """By case, then by the ref's place, then by its name."""
+    return frame.orderBy("case_no", place(ref), ref)

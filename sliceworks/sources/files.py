@@ -7,12 +7,12 @@ import io
 import json
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cases import base_name, case_id
@@ -174,13 +174,14 @@ def write_slices(slices: DataFrame, path: str) -> None:
     writer.partitionBy("volume", "case_id").parquet(path)
 
 
-def stored(spark: SparkSession, path: str, volume: str) -> DataFrame:
-    """The slice rows of a volume below ``path``, none if nothing is there."""
+def stored(spark: SparkSession, path: str, volume: str | Sequence[str]) -> DataFrame:
+    """The slice rows of a volume, or of several by a list of names, below ``path``, none if nothing is there; folders of other volumes are not read."""
+    wanted = [volume] if isinstance(volume, str) else list(volume)
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     names = [c.split()[0] for c in SLICES.split(", ")]
     if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
         return spark.createDataFrame([], SLICES)
-    return spark.read.schema(SLICES).parquet(path).where(F.col("volume") == volume).select(*names)
+    return spark.read.schema(SLICES).parquet(path).where(F.col("volume").isin(wanted)).select(*names)
 
 
 def reused(rows: DataFrame, path: str, volume: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -198,11 +199,14 @@ def reused(rows: DataFrame, path: str, volume: str, make: Callable[[DataFrame],
     return stored(spark, path, volume).join(rows.select("case_id").distinct(), "case_id", "left_semi")
 
 
-def write_frame(frame: DataFrame, path: str, key: str = "case_no") -> None:
+def write_frame(frame: DataFrame, path: str, key: str = "case_no", order: Sequence[str | Column] = ()) -> None:
     """CSV with a header, a folder for each case: cases written again replace their rows, others stay.
 
-    Rejects are written alike: case, error.
+    With ``order`` (``frame.place(ref)`` and ``ref``, or ``slice``) a case is one
+    file, its rows in that order.  Rejects are written alike: case, error.
     """
+    if order:
+        frame = frame.repartition(key).sortWithinPartitions(key, *order)
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy(key).csv(path)
 
 

@@ -152,3 +152,20 @@ def test_a_batch_is_done_once(spark, tmp_path):
     (tmp_path / "vert" / "c.nii.gz").write_bytes((tmp_path / "vert" / "a.nii.gz").read_bytes())
     assert go() and out.read("raw").count() == n // 2 * 3 and out.read("errors").count() == 0
     assert go() is None and go(again=True) and out.read("raw").count() == n // 2 * 3
+
+
+def test_ordered_files_and_lists_of_volumes(spark, tmp_path):
+    from sliceworks.operators import frame
+
+    rows = [(c, level, i) for c in ("a", "b") for i, level in enumerate(("L3", "T12", "0", "SACRUM", "L1"))]
+    df = spark.createDataFrame(rows, "case_no string, level string, v int").repartition(4)
+    files.write_frame(df, str(tmp_path / "out"), order=(frame.place("level"), "level"))
+    for case in "ab":
+        parts = list((tmp_path / "out" / f"case_no={case}").glob("*.csv"))
+        assert len(parts) == 1 and [x.split(",")[0] for x in parts[0].read_text().split()] == ["level", "0", "T12", "L1", "L3", "SACRUM"]
+    assert [r["level"] for r in frame.ordered(df, "level").collect()] == ["0", "T12", "L1", "L3", "SACRUM"] * 2
+    for name in ("x", "y", "z"):
+        (tmp_path / f"{name}.nii").write_bytes(files.encode(np.zeros((2, 2, 2), "<i2"), np.eye(4), (1.0, 1.0, 1.0)))
+        files.write_slices(files.volumes(spark, str(tmp_path / f"{name}.nii"), f"v{name}"), str(tmp_path / "slices"))
+    assert {r["volume"] for r in files.stored(spark, str(tmp_path / "slices"), ["vx", "vz", "none"]).collect()} == {"vx", "vz"}
+    assert files.stored(spark, str(tmp_path / "slices"), "vy").count() == 2
