@@ -127,9 +127,14 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
 
     def tidied(batches: Iterator) -> Iterator:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
-        if trim:
-            trim(0)
+        given_back()
 
     return tidied
+
+
+def given_back() -> None:
+    """What this worker has freed goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)

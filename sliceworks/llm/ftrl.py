@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, small_batches, tidy, written
+from .common import bounded_sample, given_back, small_batches, tidy, written
 from .hashing import ALNUM, buffers, chunks, mix, words
 
 BITS = 18
@@ -94,7 +94,11 @@ def _updates(states, settings: Settings):
 def _whole(part: pa.Table) -> pa.Table:
     """A part as one row: its labels and features in the order of the updates."""
     rows = sorted(part.drop_columns("part").to_pylist(), key=lambda r: (r["turn"], r["features"]))
-    return pa.table({c: pa.array([[r[c] for r in rows]], t) for c, t in (*((y, pa.list_(pa.float64())) for y in part.column_names[2:-1]), ("features", pa.list_(pa.binary())))})
+    kinds = {y: pa.list_(pa.float64()) for y in part.column_names[2:-1]} | {"features": pa.list_(pa.binary())}
+    made = pa.table({c: pa.array([[r[c] for r in rows]], t) for c, t in kinds.items()})
+    del rows
+    given_back()
+    return made
 
 
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

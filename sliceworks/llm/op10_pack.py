@@ -122,6 +122,7 @@ def _pieces(path: str, capacity: int, end: int, keep_ids: bool):
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"] + ["ids"] * keep_ids)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
+        ids_of.cache_clear()  # the worker goes on to other stages
 
     return run
 

@@ -85,6 +85,7 @@ def _memberships(models, counted: bool, tokenizer: str | None):
             elif tokenizer:
                 n = np.array([ids_of(tokenizer).count(t) for t in batch.column(1).to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *map(pa.array, p.T)], names=["doc_id", "n_tokens", *DOMAINS])
+        ids_of.cache_clear()  # the worker goes on to other stages
 
     return run
 
