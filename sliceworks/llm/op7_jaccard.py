@@ -7,9 +7,9 @@ largest counts.  All pairs that are ever compared come out of such trees.
 
 The corpus does not fit one tree, so trees are built over lists.  Two sets that
 link share one of their first shingles, whatever the order of shingles, if each
-gives a quarter of its set and one; the order puts shingles that a sample finds
-in many documents last, so that lists stay short.  Any order gives the same
-result.  Documents with equal sets are one class.
+gives a quarter of its set and one; the order puts shingles of many documents
+last, by counters over the whole corpus, so that lists stay short.  Any order
+gives the same result.  Documents with equal sets are one class.
 
 Components need no pair inside a component that is known already, so the trees
 are asked three times.  First each class goes to one of its lists, drawn by a
@@ -29,16 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, scratch, slots, small_batches, table, tidy, written
+from .common import scratch, slots, small_batches, table, tidy, written
 from .components import components, renamed
 from .hashing import SPACED, buffers, chunks, mix, words
 
 WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Documents whose shingles give the order, about; and the most shingles that it ranks.
-ORDER_DOCS = 12_000
-ORDER_SHINGLES = 1 << 17
+#: Counters that give the order, a power of two; and how many travel in one row.
+COUNTERS = 1 << 22
+IN_ROW = 1 << 12
+#: Shingles after which a task passes its counters on, each as 255 at most.
+COUNT_FLUSH = 1 << 25
 #: Entries that a task gathers before it passes them on.
 FLUSH = 250_000
 #: In the first trees a list is dealt out to parts of about this many documents; a tree takes so many bytes of sets.
@@ -138,41 +140,74 @@ class CountTree:
 
 
 # --- the order of shingles
-def _seen(key: int):
+def _counted(counters: int, key: int):
+    """A task's counters, in rows of neighbours; each shingle of a document adds one to the counter of its last bits."""
+    schema = pa.schema([("row", pa.int32()), ("counts", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = []
+        def out() -> pa.RecordBatch:
+            rows = np.minimum(counts, 255).astype(np.uint8).reshape(-1, min(IN_ROW, counters))
+            at = np.flatnonzero(rows.any(axis=1))
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([rows[i].tobytes() for i in at], pa.binary())], schema=schema)
+
+        counts, held = np.zeros(counters, np.int32), 0
         for batch in batches:
-            every += shingle_sets(*buffers(batch.column(0)), key)
-        if every:
-            keys, n = np.unique(np.concatenate(every), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+            for s in shingle_sets(*buffers(batch.column(0)), key):
+                np.add.at(counts, _counter(s, counters), np.int32(1))
+                held += len(s)
+            if held > COUNT_FLUSH:
+                yield out()
+                counts[:], held = 0, 0
+        if held:
+            yield out()
 
     return run
 
 
-def common_shingles(docs: DataFrame, bound: int = ORDER_DOCS, key: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of about ``bound`` documents hold, sorted, and in how many; it shapes lists, not results."""
-    some = bounded_sample(docs.where(F.col("doc_id").isNotNull()), "doc_id", bound).select("text")
-    sums = small_batches(some).mapInArrow(tidy(_seen(key)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
-    got = sums.orderBy(F.desc("n"), "key").limit(ORDER_SHINGLES).toPandas()
-    keys = got["key"].to_numpy(np.int64).view(np.uint64)
-    at = np.argsort(keys)
-    return keys[at], got["n"].to_numpy(np.int64)[at]
+def _counter(s: np.ndarray, counters: int) -> np.ndarray:
+    return (s & np.uint64(counters - 1)).astype(np.int64)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the rows of one number, which come one after the other."""
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["row", "counts"])
 
+    now, total = None, None
+    for batch in batches:
+        for row, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+            own = np.frombuffer(counts.as_buffer(), np.uint8)
+            if row != now:
+                if total is not None:
+                    yield out()
+                now, total = row, np.zeros(len(own), np.int64)
+            total += own
+    if total is not None:
+        yield out()
 
-def first_ones(s: np.ndarray, common: tuple[np.ndarray, np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """The shingles of which a linking set shares one."""
+
+def shingle_order(docs: DataFrame, counters: int = COUNTERS, key: int = 0) -> np.ndarray:
+    """The rank of each counter, low where few documents of the corpus have its shingles; it shapes lists, not results.
+
+    The number of counters is fixed, so what a task holds, the driver gets and the
+    workers are sent has one size whatever the corpus.
+    """
+    own = small_batches(docs.where(F.col("doc_id").isNotNull()).select("text")).mapInArrow(tidy(_counted(counters, key)), "row int, counts binary")
+    by_row = own.repartition(slots(docs.sparkSession), "row").sortWithinPartitions("row")
+    counts = np.zeros((-(-counters // IN_ROW), min(IN_ROW, counters)), np.int64)
+    for row, sums in by_row.mapInArrow(_summed, "row int, counts binary").collect():
+        counts[row] = np.frombuffer(sums, np.int64)
+    values = np.unique(counts)
+    rank = np.searchsorted(values, counts.ravel())
+    most = np.iinfo(np.uint16).max
+    return (rank * most // max(len(values) - 1, most)).astype(np.uint16)
+
+
+def first_ones(s: np.ndarray, order: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The shingles of which a linking set shares one: the first by rank, those of one rank by their hash."""
     n = len(s) - (percent * len(s) + 99) // 100 + 1
-    keys, counts = common
-    if not len(keys):
-        return s[:n]
-    place = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-    is_common = keys[place] == s
-    rare = s[~is_common]
-    if len(rare) >= n:
-        return rare[:n]
-    rest, count = s[is_common], counts[place[is_common]]
-    return np.concatenate([rare, rest[np.lexsort((rest, count))][: n - len(rare)]])
+    return s[np.argsort(order[_counter(s, len(order))], kind="stable")[:n]]
 
 
 def names_of(sets: list[np.ndarray]) -> np.ndarray:
@@ -214,7 +249,7 @@ def _entries(shared, n_buckets: int, percent: int, key: int, second: int):
         yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(ks, pa.binary()), pa.array(ds, pa.binary()), none, none, none, none, pa.nulls(len(b), pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = shared.value
+        order = shared.value
         keys, names, held, met = [], [], 0, set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -226,7 +261,7 @@ def _entries(shared, n_buckets: int, percent: int, key: int, second: int):
                 points.append(point(s).tobytes() if len(s) > 1 else None)
                 if len(s) > 1 and doc is not None and name not in met:
                     met.add(name)
-                    own = first_ones(s, common, percent)
+                    own = first_ones(s, order, percent)
                     keys.append(own), names.append(np.full(len(own), name, np.int64))
                     held += len(own)
             void, n = pa.nulls(len(ids), pa.binary()), [len(s) for s in sets]
@@ -489,7 +524,7 @@ def candidates(dealt: DataFrame, points: DataFrame, percent: int, forest: bool)
     return written(by_cell.mapInArrow(tidy(_trees(percent, forest)), f"a long, b long, {CELL_TYPES}"), "near")
 
 
-def prepared(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs: int, keys: Iterator[int] | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
+def prepared(docs: DataFrame, doc_id: str, text: str, percent: int, counters: int, keys: Iterator[int] | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
     """Written tables of one pass over the texts, and the key of the hashes: the rows, sets (doc_id, n, name, point), classes (name, rep, n) and lists (key, name) with several classes.
 
     Words are hashed under a key drawn for the call, so no text can be made to
@@ -501,15 +536,15 @@ def prepared(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs:
     keys = keys or iter(lambda: secrets.randbits(63) | 1, None)
     key, second = next(keys), next(keys)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    common = spark.sparkContext.broadcast(common_shingles(rows, order_docs, key))  # at most ORDER_SHINGLES of them
+    order = spark.sparkContext.broadcast(shingle_order(rows, counters, key))  # two bytes a counter
     parts = slots(spark)
-    made = written(small_batches(rows).mapInArrow(tidy(_entries(common, 8 * parts, percent, key, second)), ENTRIES), "entries")
-    common.destroy()
+    made = written(small_batches(rows).mapInArrow(tidy(_entries(order, 8 * parts, percent, key, second)), ENTRIES), "entries")
+    order.destroy()
     sets = made.where("bucket = -2").select("doc_id", "n", "name", "point")
     alike = made.where("bucket = -2 AND n > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("proof").alias("p"), F.max("proof").alias("q"))
     classes = written(alike, "classes")
     if classes.where("p <> q").limit(1).count():
-        return prepared(docs, doc_id, text, percent, order_docs, keys)
+        return prepared(docs, doc_id, text, percent, counters, keys)
     classes = classes.select("name", "rep", "n")
     local = made.where("bucket = -1").select("keys", "sets").mapInArrow(tidy(_unpacked), "key long, name long")
     across = made.where("bucket >= 0").select("bucket", "keys", "sets").repartition(2 * parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_met), "key long, name long")
@@ -523,14 +558,14 @@ def points_of(names: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFram
     return written(sets.where("point IS NOT NULL").join(F.broadcast(some) if few else some, ["name", "doc_id"]).select("name", "n", "point"), "points")
 
 
-def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, order_docs: int = ORDER_DOCS, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
+def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, counters: int = COUNTERS, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
     """The join itself: all links (a, b) between class representatives, a > b, and the membership (doc_id, n_shingles, class_id).
 
     A family of m near copies has up to m * m / 2 links, and all are compared and
     returned; ``jaccard_join`` gives components without that.  Texts, sets and
     rows count as there.
     """
-    rows, sets, classes, lists, key = prepared(docs, doc_id, text, percent, order_docs)
+    rows, sets, classes, lists, key = prepared(docs, doc_id, text, percent, counters)
     everything = open_lists(lists, classes, None)
     near = candidates(cells(everything, cell), points_of(everything, sets, classes), percent, forest=False)
     links = verified(near.select("a", "b").distinct(), classes, rows, percent, key)
@@ -542,7 +577,7 @@ def jaccard_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     return named, members.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"))
 
 
-def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, order_docs: int = ORDER_DOCS, cell: int = CELL, part: int = PART) -> DataFrame:
+def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, counters: int = COUNTERS, cell: int = CELL, part: int = PART) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id for every document.
 
     Components only: pairs of one component are compared no further than joins
@@ -559,11 +594,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     columns are not read.
     """
     with scratch(docs.sparkSession):
-        return written(_components(docs, doc_id, text, percent, order_docs, cell, part), "components", stays=True)
+        return written(_components(docs, doc_id, text, percent, counters, cell, part), "components", stays=True)
 
 
-def _components(docs: DataFrame, doc_id: str, text: str, percent: int, order_docs: int, cell: int, part: int) -> DataFrame:
-    rows, sets, classes, lists, key = prepared(docs, doc_id, text, percent, order_docs)
+def _components(docs: DataFrame, doc_id: str, text: str, percent: int, counters: int, cell: int, part: int) -> DataFrame:
+    rows, sets, classes, lists, key = prepared(docs, doc_id, text, percent, counters)
     first = first_joined(lists, classes, rows, percent, key, part)
 
     def with_links(known: DataFrame, links: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def families(seed, n_families=6, members=25, length=40):
     return rows
 
 
-@pytest.mark.parametrize("how", [{}, {"cell": 4, "part": 3}, {"order_docs": 20, "part": 5}])
+@pytest.mark.parametrize("how", [{}, {"cell": 4, "part": 3}, {"counters": 16, "part": 5}])
 def test_op7_about_the_threshold(spark, how):
     rows = families(len(how))
     assert_components(docs(spark, rows).repartition(5).withColumn("component_id", F.lit(1)), rows, **how)
