@@ -14,12 +14,16 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEY = ("case_no", "z")
 META = ("nx", "ny", "sx", "sy", "sz")
 TYPE = "<i2"
+#: Voxels that are worked on together, and bytes that leave a task together: many small slices at once, large ones one at a time.
+VOXELS = 1 << 18
+BYTES = 1 << 22
 
 
 def plane(data: bytes, row) -> np.ndarray:
@@ -57,6 +61,102 @@ def mapped(slices: DataFrame, run: Callable[..., Iterable[tuple]], schema: str)
     return slices.mapInPandas(each, schema)
 
 
+def frames(rows: Iterable[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows as frames of about ``BYTES``, so that a small slice costs no frame of its own."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 64 + sum(len(v) for v in row if isinstance(v, bytes))
+        if size >= BYTES:
+            yield pd.DataFrame(held, columns=names)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=names)
+
+
+def by_groups(rows: DataFrame, key: tuple[str, ...], order: tuple[str, ...], run: Callable[[pd.DataFrame, list[int]], Iterable[pd.DataFrame]], schema: str) -> DataFrame:
+    """Frames that ``run`` makes of whole groups of ``key``, each group in ``order``: many small ones come in one frame, with the places where they begin.
+
+    The groups come as a stream over the sorted rows of one shuffle, so a task holds
+    one batch and what is left of a group before it.
+    """
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            part = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if not len(part):
+                continue
+            starts = _starts(part, key)
+            if len(starts) > 1:
+                yield from run(part.iloc[: starts[-1]], starts[:-1])
+            rest = part.iloc[starts[-1] :].reset_index(drop=True)
+        if rest is not None:
+            yield from run(rest, [0])
+
+    return spread(rows, *key).sortWithinPartitions(*key, *order).mapInPandas(each, schema)
+
+
+def _starts(part: pd.DataFrame, key: tuple[str, ...]) -> list[int]:
+    new = np.zeros(len(part), bool)
+    new[0] = True
+    for c in key:
+        values = part[c].to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new).tolist()
+
+
+def lists_of(part: pd.DataFrame, starts: list[int]) -> Iterator[list]:
+    """The groups of a frame, each a list of named tuples."""
+    rows = list(part.itertuples(index=False))
+    for a, b in zip(starts, [*starts[1:], len(rows)]):
+        yield rows[a:b]
+
+
+def stacks(rows: list) -> Iterator[tuple[int, int]]:
+    """Runs (from, to) of rows of one shape and of at most ``VOXELS`` voxels, or of one row."""
+    at = 0
+    for i in range(1, len(rows) + 1):
+        if i == len(rows) or (rows[i].nx, rows[i].ny) != (rows[at].nx, rows[at].ny) or (i + 1 - at) * rows[at].nx * rows[at].ny > VOXELS:
+            yield at, i
+            at = i
+
+
+def with_stacks(slices: DataFrame, run: Callable[[list], dict[str, np.ndarray]], made: tuple[str, ...]) -> DataFrame:
+    """As ``with_planes``; ``run`` gets several slices of one shape at once, and makes (slice, x, y) of them."""
+    kept = [c for c in slices.columns if c not in made]
+    kinds = {f.name: f.dataType.simpleString() for f in slices.schema.fields}
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in kept), *(f"{c} binary" for c in made)])
+    safe = "fault" in kept
+
+    def several(rows: list) -> Iterator[tuple]:
+        try:
+            new = run(rows)
+            out = [(*(getattr(row, c) for c in kept), *(packed(new[c][i]) for c in made)) for i, row in enumerate(rows)]
+        except Exception as e:
+            if not safe:
+                raise
+            if len(rows) > 1:  # which of them it was
+                out = [r for row in rows for r in several([row])]
+            else:
+                out = [(*(fault_of(e) if c == "fault" else getattr(rows[0], c) for c in kept), *(None,) * len(made))]
+        yield from out
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = list(batch.itertuples(index=False))
+            yield from frames(every(rows), [*kept, *made])
+
+    def every(rows: list) -> Iterator[tuple]:
+        for row in rows:
+            if safe and row.fault is not None:
+                yield (*(getattr(row, c) for c in kept), *(None,) * len(made))
+        good = [row for row in rows if not safe or row.fault is None]
+        for a, b in stacks(good):
+            yield from several(good[a:b])
+
+    return slices.mapInPandas(each, schema)
+
+
 def with_planes(slices: DataFrame, run: Callable[..., dict[str, np.ndarray]], made: tuple[str, ...]) -> DataFrame:
     """``slices`` with the volumes ``made`` that ``run`` makes of each slice, new or in place of old ones."""
     kept = [c for c in slices.columns if c not in made]
@@ -93,17 +193,47 @@ def stacked(voxels: DataFrame, columns: tuple[str, ...], shape: tuple[int, int,
     else:
         rows = rows.join(volumes.select("case_no", *[F.col(c).cast("int" if c[0] == "n" else "double").alias(c) for c in META]), "case_no")
 
-    def one(row):
-        at = np.asarray(row.x, np.int64) * row.ny + np.asarray(row.y, np.int64)
-        out = []
-        for values in (*(getattr(row, c) for c in columns), np.ones(len(at), np.int64)):
-            flat = np.zeros(row.nx * row.ny, TYPE)
-            flat[at] = np.asarray(values)
-            out.append(flat.tobytes())
-        yield (row.case_no, row.z, *(getattr(row, c) for c in META), *out)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column("nx").to_numpy().astype(np.int64) * batch.column("ny").to_numpy()
+            after = np.cumsum(size)
+            for lo, hi in _runs(size):
+                yield _filled(batch.slice(lo, hi - lo), size[lo:hi], after[lo:hi] - (after[lo - 1] if lo else 0), columns)
 
     schema = f"case_no {kind}, z int, nx int, ny int, sx double, sy double, sz double, " + ", ".join(f"{c} binary" for c in (*columns, "has"))
-    return mapped(rows, one, schema)
+    return rows.mapInArrow(each, schema)
+
+
+def _runs(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows of at most ``VOXELS`` voxels, or of one row."""
+    at, n = 0, 0
+    for i, k in enumerate(size.tolist()):
+        if i > at and n + k > VOXELS:
+            yield at, i
+            at, n = i, 0
+        n += k
+    if at < len(size):
+        yield at, len(size)
+
+
+def _filled(batch: pa.RecordBatch, size: np.ndarray, after: np.ndarray, columns: tuple[str, ...]) -> pa.RecordBatch:
+    """Slices of voxels that come as lists."""
+    lists = {c: batch.column(c) for c in ("x", "y", *columns)}
+    n = np.diff(lists["x"].offsets.to_numpy())
+    flat = {c: v.flatten().to_numpy() for c, v in lists.items()}
+    if any((np.diff(v.offsets.to_numpy()) != n).any() for v in lists.values()):
+        raise ValueError("voxels without a value")
+    within = flat["x"].astype(np.int64) * np.repeat(batch.column("ny").to_numpy(), n) + flat["y"]
+    if ((within < 0) | (within >= np.repeat(size, n))).any():
+        raise ValueError("voxels outside their slice")
+    at, total = within + np.repeat(after - size, n), int(size.sum())
+    places = pa.array(np.append(0, after) * np.dtype(TYPE).itemsize, pa.int32()).buffers()[1]
+    out = []
+    for values in (*(flat[c] for c in columns), 1):
+        whole = np.zeros(total, TYPE)
+        whole[at] = values
+        out.append(pa.Array.from_buffers(pa.binary(), len(size), [None, places, pa.py_buffer(whole)]))
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEY, *META)), *out], names=[*KEY, *META, *columns, "has"])
 
 
 def unstacked(slices: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -111,12 +241,22 @@ def unstacked(slices: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     kind = slices.schema["case_no"].dataType.simpleString()
     has = "has" in slices.columns
 
+    def several(rows: pd.DataFrame, size: np.ndarray) -> pd.DataFrame:
+        flat = {}
+        for c in (*columns, *(["has"] if has else [])):
+            if any(len(v) != 2 * n for v, n in zip(rows[c], size.tolist())):
+                raise ValueError(f"{c} does not fill its slice")
+            flat[c] = np.frombuffer(b"".join(rows[c]), TYPE)
+        at = np.flatnonzero(flat["has"]) if has else np.arange(size.sum())
+        of = np.repeat(np.arange(len(rows)), size)[at]
+        x, y = np.divmod(at - (np.cumsum(size) - size)[of], rows["ny"].to_numpy()[of])
+        return pd.DataFrame({"case_no": rows["case_no"].to_numpy()[of], "x": x, "y": y, "z": rows["z"].to_numpy()[of]} | {c: flat[c][at] for c in columns})
+
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                at = np.flatnonzero(np.frombuffer(row.has, TYPE)) if has else np.arange(row.nx * row.ny)
-                x, y = np.divmod(at, row.ny)
-                yield pd.DataFrame({"case_no": row.case_no, "x": x, "y": y, "z": row.z} | {c: np.frombuffer(getattr(row, c), TYPE)[at] for c in columns})
+            size = batch["nx"].to_numpy().astype(np.int64) * batch["ny"].to_numpy()
+            for lo, hi in _runs(size):
+                yield several(batch.iloc[lo:hi], size[lo:hi])
 
     wanted = slices.select(*KEY, "nx", "ny", *columns, *(["has"] if has else []))
     return wanted.mapInPandas(each, f"case_no {kind}, x int, y int, z int, " + ", ".join(f"{c} int" for c in columns))
