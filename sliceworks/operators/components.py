@@ -8,12 +8,15 @@ least halves each time and no task holds more than its share of rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..stages import Stages
+from .slices import by_groups
 
 #: Edges of a case up to which one task joins it: about 100 bytes each.
 EDGES = 500_000
@@ -32,11 +35,17 @@ def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         up = low
 
 
-def _in_memory(edges: pd.DataFrame) -> pd.DataFrame:
-    nodes, at = np.unique(np.concatenate([edges["a"], edges["b"]]), return_inverse=True)
-    root = joined(len(nodes), at[: len(edges)], at[len(edges) :])
-    moved = np.flatnonzero(root != np.arange(len(nodes)))
-    return pd.DataFrame({"case_no": edges["case_no"].iloc[0], "node": nodes[moved], "root": nodes[root[moved]]})
+def _in_memory(edges: pd.DataFrame, starts: list[int]) -> Iterator[pd.DataFrame]:
+    """Of several cases at once: their graphs do not meet."""
+    case = np.repeat(np.arange(len(starts)), np.diff([*starts, len(edges)]))
+    ends = pd.DataFrame({"case": np.append(case, case), "node": np.concatenate([edges["a"], edges["b"]])})
+    at = ends.groupby(["case", "node"]).ngroup().to_numpy()  # in order
+    n = int(at.max()) + 1
+    node, of = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    node[at], of[at] = ends["node"], ends["case"]
+    root = joined(n, at[: len(edges)], at[len(edges) :])
+    moved = np.flatnonzero(root != np.arange(n))
+    yield pd.DataFrame({"case_no": edges["case_no"].to_numpy()[np.asarray(starts)][of[moved]], "node": node[moved], "root": node[root[moved]]})
 
 
 def _stars(parents: DataFrame, stages: Stages) -> DataFrame:
@@ -76,6 +85,6 @@ def roots(edges: DataFrame, stages: Stages, most: int = EDGES) -> DataFrame:
     large = stages.cut(edges.groupBy("case_no").agg(F.count("*").alias("n")).where(F.col("n") > most).select("case_no"), "large")
     few, schema = edges, f"case_no {kind}, node long, root long"
     if not large.limit(1).count():
-        return few.groupBy("case_no").applyInPandas(_in_memory, schema)
-    few = edges.join(large, "case_no", "left_anti").groupBy("case_no").applyInPandas(_in_memory, schema)
+        return by_groups(few, ("case_no",), (), _in_memory, schema)
+    few = by_groups(edges.join(large, "case_no", "left_anti"), ("case_no",), (), _in_memory, schema)
     return few.unionByName(by_tables(edges.join(large, "case_no", "left_semi"), stages))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import LevelParams
+from ..stages import Stages
 from .hist import dominant
+from .slices import by_groups
 
 
 def spans(levels: DataFrame) -> DataFrame:
@@ -38,36 +42,40 @@ class Windows:
 
 def _by_case(hist: DataFrame, levels: DataFrame, run) -> DataFrame:
     """``run`` gets a case's histogram, a few labels a slice, and its levels in order; it returns the new levels and where they are."""
-    def one(both: pd.DataFrame) -> pd.DataFrame:
-        is_own = both["label"].isna().to_numpy()
-        h, own = both[~is_own].astype({"label": "int64", "n": "int64"}), both[is_own].astype({"level": "int64"}).sort_values("z")
-        z, level = run(h, own["z"].to_numpy(), own["level"].to_numpy())
-        return pd.DataFrame({"case_no": both["case_no"].iloc[0], "z": z, "level": level})
+    def some(both: pd.DataFrame, starts: list[int]) -> Iterator[pd.DataFrame]:
+        is_own = both["own"].to_numpy(bool)
+        columns = {c: both[c].fillna(0).to_numpy(np.int64) for c in ("z", "label", "n", "level")}
+        found = []
+        for a, b in zip(starts, [*starts[1:], len(both)]):
+            mid = a + int(np.searchsorted(is_own[a:b], True))  # the histogram, then the levels in order
+            found.append(run({c: columns[c][a:mid] for c in ("z", "label", "n")}, columns["z"][mid:b], columns["level"][mid:b]))
+        case = np.repeat(both["case_no"].to_numpy()[np.asarray(starts)], [len(z) for z, _ in found])
+        yield pd.DataFrame({"case_no": case, "z": np.concatenate([z for z, _ in found]), "level": np.concatenate([level for _, level in found])})
 
     kind = levels.schema["case_no"].dataType.simpleString()
-    rows = hist.select("case_no", "z", "label", "n", F.lit(None).cast("int").alias("level"))
-    own = levels.select("case_no", "z", F.lit(None).cast("int").alias("label"), F.lit(None).cast("long").alias("n"), "level")
-    return rows.unionByName(own).groupBy("case_no").applyInPandas(one, f"case_no {kind}, z int, level int")
+    rows = hist.select("case_no", "z", "label", "n", F.lit(None).cast("int").alias("level"), F.lit(False).alias("own"))
+    own = levels.select("case_no", "z", F.lit(None).cast("int").alias("label"), F.lit(None).cast("long").alias("n"), "level", F.lit(True).alias("own"))
+    return by_groups(rows.unionByName(own), ("case_no",), ("own", "z"), some, f"case_no {kind}, z int, level int")
 
 
-def _span_filled(h: pd.DataFrame, z: np.ndarray, level: np.ndarray, p: LevelParams) -> tuple[np.ndarray, np.ndarray]:
+def _span_filled(h: dict[str, np.ndarray], z: np.ndarray, level: np.ndarray, p: LevelParams) -> tuple[np.ndarray, np.ndarray]:
     if not level.any():
         return z[:0], level[:0]
     z0, z1 = int(z[level != 0].min()), int(z[level != 0].max())
     z, level = z[(z >= z0) & (z <= z1)], level[(z >= z0) & (z <= z1)].copy()
     gaps, w = np.flatnonzero(level == 0), 1
     if p.fill and len(gaps):
-        windows = Windows(h["z"].to_numpy(), h["label"].to_numpy(), h["n"].to_numpy(), z0, z1, p)
+        windows = Windows(h["z"], h["label"], h["n"], z0, z1, p)
         while len(gaps) and w <= z1 - z0:
             level[gaps] = windows.dominant(z[gaps], w)
             gaps, w = gaps[level[gaps] == 0], w + 1
     return z, level
 
 
-def _monotonic(h: pd.DataFrame, z: np.ndarray, level: np.ndarray, p: LevelParams) -> tuple[np.ndarray, np.ndarray]:
+def _monotonic(h: dict[str, np.ndarray], z: np.ndarray, level: np.ndarray, p: LevelParams) -> tuple[np.ndarray, np.ndarray]:
     level = level.copy()
     if len(level) > 1:
-        windows = Windows(h["z"].to_numpy(), h["label"].to_numpy(), h["n"].to_numpy(), int(z[0]), int(z[-1]), p)
+        windows = Windows(h["z"], h["label"], h["n"], int(z[0]), int(z[-1]), p)
         for w in range(1, p.window + 1):
             flags = np.append(0, np.cumsum(np.append(False, level[1:] > level[:-1])))
             at = np.arange(len(level))
@@ -102,7 +110,7 @@ def monotonic(hist: DataFrame, levels: DataFrame, p: LevelParams) -> DataFrame:
 
 def settled(hist: DataFrame, levels: DataFrame, p: LevelParams) -> DataFrame:
     """``filled``, then ``monotonic``, in one pass over a case."""
-    def run(h: pd.DataFrame, z: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def run(h: dict[str, np.ndarray], z: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         z, level = _span_filled(h, z, level, p)
         return _monotonic(h, z, level, p) if p.monotonic else (z, level)
 
@@ -123,13 +131,15 @@ def centroid_slices(hist: DataFrame, levels: DataFrame) -> DataFrame:
     return mean.join(levels, ["case_no", "z"]).where("level = label").select("case_no", "z", F.col("label").alias("centroid"))
 
 
-def level_table(hist: DataFrame, p: LevelParams) -> DataFrame:
+def level_table(hist: DataFrame, p: LevelParams, stages: Stages | None = None) -> DataFrame:
     """case_no, z, level, center, centroid for every slice of the histogram; 0 where undefined.
 
     A case without any level has rows of zeros here; ``without_levels`` names such cases.
+    ``stages``: the levels become a table first, as they are read three times.
     """
     base = dominant(hist, p)
     whole = base.select("case_no", "z").join(settled(hist, base, p), ["case_no", "z"], "left").select("case_no", "z", F.coalesce("level", F.lit(0)).alias("level"))
+    whole = stages.cut(whole, "levels") if stages else whole
     with_c = whole.join(center_slices(hist, whole), ["case_no", "z"], "left").join(centroid_slices(hist, whole), ["case_no", "z"], "left")
     return with_c.select("case_no", "z", "level", F.coalesce("center", F.lit(0)).alias("center"), F.coalesce("centroid", F.lit(0)).alias("centroid"))
 

@@ -10,6 +10,7 @@ component comes from sums by tables.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,16 +19,16 @@ from pyspark.sql import functions as F
 
 from ..stages import Stages
 from .components import joined, roots
-from .slices import KEY, plane, spread, with_planes
+from .slices import KEY, by_groups, plane, spread, stacks, with_planes, with_stacks
 
 
 def _steps(rank: int, corners: bool) -> list[tuple[int, ...]]:
     near = itertools.product((-1, 0, 1), repeat=rank)
-    return [s for s in near if any(s) and (corners or sum(map(abs, s)) == 1)]
+    return [s for s in near if s > (0,) * rank and (corners or sum(map(abs, s)) == 1)]  # one way: an edge needs no second
 
 
-def labelled(mask: np.ndarray, corners: bool) -> np.ndarray:
-    """Components of a mask, each named by its first place in C order; -1 outside."""
+def labelled(mask: np.ndarray, corners: bool, apart: int = 0) -> np.ndarray:
+    """Components of a mask, each named by its first place in C order; -1 outside.  Nothing connects along the first ``apart`` axes."""
     at = np.argwhere(mask)
     out = np.full(mask.shape, -1, np.int64)
     if not len(at):
@@ -35,8 +36,8 @@ def labelled(mask: np.ndarray, corners: bool) -> np.ndarray:
     place = np.full(mask.shape, -1, np.int64)
     place[mask] = np.arange(len(at))
     a, b = [], []
-    for s in _steps(mask.ndim, corners):
-        to = at + s
+    for s in _steps(mask.ndim - apart, corners):
+        to = at + ((0,) * apart + s)
         ok = ((to >= 0) & (to < mask.shape)).all(axis=1)
         j = place[tuple(to[ok].T)]
         a.append(np.flatnonzero(ok)[j >= 0]), b.append(j[j >= 0])
@@ -56,22 +57,26 @@ def large_ones(mask: np.ndarray, least: float) -> np.ndarray:
 SLAB = 16
 
 
-def _cut(on: np.ndarray, corners: bool) -> np.ndarray:
-    """The number of each voxel's piece in its slice, by first place; -1 outside."""
-    comp = labelled(on, corners)
-    return np.where(on, np.searchsorted(np.unique(comp[on]), comp), -1)
+def _cuts(on: np.ndarray, corners: bool) -> np.ndarray:
+    """The number of each voxel's piece in its slice, by first place, of several slices (slice, x, y); -1 outside."""
+    comp = labelled(on, corners, 1)
+    names = np.unique(comp[on])
+    before = np.searchsorted(names, np.arange(len(on)) * on[:1].size)
+    out = np.full(on.shape, -1, np.int64)
+    out[on] = np.searchsorted(names, comp[on]) - before[np.nonzero(on)[0]]
+    return out
 
 
-def _meet(one: np.ndarray, two: np.ndarray, corners: bool) -> np.ndarray:
-    """Pairs of the pieces of two neighbouring slices that touch."""
-    found = [np.zeros((0, 2), np.int64)]
-    (nx, ny), near = one.shape, (-1, 0, 1) if corners else (0,)
+def _meet(one: np.ndarray, two: np.ndarray, corners: bool, n: int) -> np.ndarray:
+    """Pairs of the nodes, under ``n``, of neighbouring slices (slice, x, y) that touch."""
+    found = [np.zeros(0, np.int64)]
+    (nx, ny), near = one.shape[1:], (-1, 0, 1) if corners else (0,)
     for dx, dy in itertools.product(near, repeat=2):
-        a = one[max(0, dx) : nx + min(0, dx), max(0, dy) : ny + min(0, dy)]
-        b = two[max(0, -dx) : nx + min(0, -dx), max(0, -dy) : ny + min(0, -dy)]
+        a = one[:, max(0, dx) : nx + min(0, dx), max(0, dy) : ny + min(0, dy)]
+        b = two[:, max(0, -dx) : nx + min(0, -dx), max(0, -dy) : ny + min(0, -dy)]
         ok = (a >= 0) & (b >= 0)
-        found.append(np.stack([a[ok], b[ok]], axis=1))
-    return np.unique(np.concatenate(found), axis=0)
+        found.append(a[ok] * n + b[ok])
+    return np.stack(np.divmod(np.unique(np.concatenate(found)), max(n, 1)), axis=1)
 
 
 def pieces(slices: DataFrame, mask: str, corners: bool, inverted: bool = False) -> DataFrame:
@@ -87,34 +92,48 @@ def pieces(slices: DataFrame, mask: str, corners: bool, inverted: bool = False)
     slab = F.floor(F.col("z") / SLAB)
     copies = F.when(F.col("z") % SLAB == 0, F.array(slab, slab - 1)).otherwise(F.array(slab))
     rows = slices.where(F.col(mask).isNotNull()).select(*KEY, "nx", "ny", F.col(mask).alias("mask"), F.explode(copies).alias("slab"))
-    names = ["case_no", "z", "piece", "node", "seam", "n", "first", "border"]
+    def some(part: pd.DataFrame, starts: list[int]) -> Iterator[pd.DataFrame]:
+        rows, group = list(part.itertuples(index=False)), np.searchsorted(starts, np.arange(len(part)), "right") - 1
+        slab, z = part["slab"].to_numpy(), part["z"].to_numpy()
+        seam = z // SLAB != slab  # the next slab tells of this slice
+        tied = np.append(False, (group[1:] == group[:-1]) & (z[1:] == z[:-1] + 1))
+        parts, stops = [], list(stacks(rows))
+        for a, b in stops:
+            parts.append(_cuts(np.stack([plane(r.mask, r) > 0 for r in rows[a:b]]) != inverted, corners))
+        n_pieces = np.concatenate([c.reshape(len(c), -1).max(axis=1) + 1 for c in parts])
+        offset = np.cumsum(n_pieces) - n_pieces
+        n_nodes, edges, own, last = int(n_pieces.sum()), [np.zeros((0, 2), np.int64)], [], None
+        for (a, b), comp in zip(stops, parts):
+            node = np.where(comp >= 0, comp + offset[a:b, None, None], -1)
+            ids = node[node >= 0] - offset[a]
+            n, first = np.bincount(ids, minlength=n_pieces[a:b].sum()), np.zeros(n_pieces[a:b].sum(), np.int64)
+            places = np.broadcast_to(np.arange(node[0].size).reshape(node[0].shape), node.shape)[node >= 0]
+            first[ids[::-1]] = places[::-1]  # of equal ids the last counts, which is the first place
+            rim = np.zeros(len(n) + 1, bool)
+            for side in (node[:, 0], node[:, -1], node[:, :, 0], node[:, :, -1]):
+                rim[side[side >= 0] - offset[a]] = True
+            of = np.repeat(np.arange(a, b), n_pieces[a:b])
+            own.append(pd.DataFrame({"row": of, "piece": np.arange(len(n)) + offset[a] - offset[of], "n": n, "first": first, "border": rim[:-1]}))
+            if last is not None and tied[a] and last.shape == node[0].shape:
+                edges.append(_meet(last[None], node[:1], corners, n_nodes))
+            joins = np.flatnonzero(tied[a + 1 : b])
+            if len(joins):
+                edges.append(_meet(node[joins], node[joins + 1], corners, n_nodes))
+            last = node[-1]
+        pieces = pd.concat(own, ignore_index=True)
+        of, pairs = pieces["row"].to_numpy(), np.concatenate(edges)
+        over = seam[of[pairs[:, 1]]] if len(pairs) else np.zeros(0, bool)
+        inner = pairs[~over]
+        base = offset[np.asarray(starts)][group[of]]  # nodes are numbered in their slab
+        node = joined(n_nodes, inner[:, 0], inner[:, 1]) - base + (slab[of] << 32)
+        case = part["case_no"].to_numpy()
+        told = pieces.assign(case_no=case[of], z=z[of], node=node, seam=False)[~seam[of]]
+        yield told[names]
+        a, b = pairs[over].T
+        yield pd.DataFrame({"case_no": case[of[b]], "z": z[of[b]], "piece": pieces["piece"].to_numpy()[b], "node": node[a], "seam": True, "n": 0, "first": 0, "border": False})[names]
 
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        case, slab = part["case_no"].iloc[0], int(part["slab"].iloc[0])
-        own, tied, seams, last, n_nodes = [], [], np.zeros((0, 2), np.int64), None, 0
-        for row in part.sort_values("z").itertuples(index=False):
-            comp = _cut((plane(row.mask, row) > 0) != inverted, corners)
-            touch = _meet(last[1], comp, corners) if last is not None and last[0] + 1 == row.z else np.zeros((0, 2), np.int64)
-            if row.z // SLAB != slab:  # the next slab tells of this slice
-                seams = touch + (last[2], 0) if len(touch) else touch
-                seam_z = row.z
-                break
-            found, first, n = np.unique(comp, return_index=True, return_counts=True)
-            first, n = first[found >= 0], n[found >= 0]
-            rim = np.isin(np.arange(len(n)), np.concatenate([comp[0], comp[-1], comp[:, 0], comp[:, -1]]))
-            own.append(pd.DataFrame({"z": row.z, "piece": np.arange(len(n)), "n": n, "first": first, "border": rim}))
-            if len(touch):
-                tied.append(touch + (last[2], n_nodes))
-            last = row.z, comp, n_nodes
-            n_nodes += len(n)
-        edges = np.concatenate(tied) if tied else np.zeros((0, 2), np.int64)
-        node = joined(n_nodes, edges[:, 0], edges[:, 1]) + (slab << 32)
-        out = [pd.concat(own, ignore_index=True).assign(node=node, seam=False)] if own else []
-        if len(seams):
-            out.append(pd.DataFrame({"z": seam_z, "piece": seams[:, 1], "node": node[seams[:, 0]], "seam": True, "n": 0, "first": 0, "border": False}))
-        return pd.concat(out, ignore_index=True).assign(case_no=case)[names] if out else pd.DataFrame(columns=names)
-
-    return spread(rows, "case_no", "slab").groupBy("case_no", "slab").applyInPandas(one, f"case_no {kind}, z int, piece int, node long, seam boolean, n long, first long, border boolean")
+    names = ["case_no", "z", "piece", "node", "seam", "n", "first", "border"]
+    return by_groups(rows, ("case_no", "slab"), ("z",), some, f"case_no {kind}, z int, piece int, node long, seam boolean, n long, first long, border boolean")
 
 
 def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool = False, stages: Stages | None = None, cut: bool = True) -> DataFrame:
@@ -140,12 +159,16 @@ def _chosen(slices: DataFrame, mask: str, corners: bool, choose, inverted: bool
     taken = choose(comps, cases.withColumn("depth", F.col("top") - F.col("bottom") + 1))
     per = named.join(taken.select("case_no", "root"), ["case_no", "root"], "left_semi").groupBy(*KEY).agg(F.collect_list("piece").alias("kept_pieces"))
 
-    def paint(row):
-        comp = _cut((plane(getattr(row, mask), row) > 0) != inverted, corners)
-        return {mask: np.isin(comp, row.kept_pieces if row.kept_pieces is not None else []) != inverted}
+    def paint(some: list) -> dict[str, np.ndarray]:
+        comp = _cuts(np.stack([plane(getattr(row, mask), row) > 0 for row in some]) != inverted, corners)
+        kept = np.zeros((len(some), comp.max() + 2), bool)  # the last is for -1
+        for i, row in enumerate(some):
+            if row.kept_pieces is not None:
+                kept[i, np.asarray(row.kept_pieces, np.int64)] = True
+        return {mask: kept[np.arange(len(some))[:, None, None], comp] != inverted}
 
     # the slices are cut once more: cheaper than to carry every voxel's piece through a join
-    return with_planes(spread(rows, *KEY).join(per, [*KEY], "left"), paint, (mask,)).select(*slices.columns)
+    return with_stacks(spread(rows, *KEY).join(per, [*KEY], "left"), paint, (mask,)).select(*slices.columns)
 
 
 def _first_largest(comps: DataFrame, cases: DataFrame) -> DataFrame:

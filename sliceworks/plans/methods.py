@@ -135,7 +135,7 @@ def run(rows: DataFrame, method: str = "lumbar_quick", min_voxels: int | None =
     none = levels.without_levels(counted, p)
     errors += [none, faulty]
     pixels = whole.groupBy("case_no").agg(F.first("sx").alias("sx"), F.first("sy").alias("sy"))
-    raw = frame.combined(levels.level_table(counted, p), hist.areas(whole.where("volume = 'tissue'"), pixels)).join(none, "case_no", "left_anti")
+    raw = frame.combined(levels.level_table(counted, p, stages), hist.areas(whole.where("volume = 'tissue'"), pixels)).join(none, "case_no", "left_anti")
     out = {"raw": raw, "errors": functools.reduce(DataFrame.unionByName, errors)}
     if m.l3_mean:
         out["l3_mean"] = frame.aggregated(frame.subset(raw, "level", "L3"), "mean", "level")

@@ -1,11 +1,13 @@
 """Stage tables, components by tables, faults within a case, counters."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from sliceworks.operators import cases, components, frame, morph, slices
 from sliceworks.plans import methods
+from sliceworks.plans.queries import queries
 from sliceworks.sources import files, synthetic
 from sliceworks.stages import Stages
 
@@ -128,3 +130,41 @@ def test_metadata_and_thickness(spark, tmp_path):
     assert df.select(cases.path_of("{case}_{method}/{timestamp}.csv", F.col("c"), method="m", timestamp=F.lit("t"))).first()[0] == "c1_m/t.csv"
     with pytest.raises(ValueError):
         cases.path_of("{other}", F.col("c"))
+
+
+def test_small_groups_come_together(spark):
+    rows = spark.createDataFrame([(f"c{i % 70}", i // 70, i) for i in range(1400)], "case_no string, z int, n int")
+
+    def sums(part, starts):
+        ends = [*starts[1:], len(part)]
+        yield pd.DataFrame([(part["case_no"].iloc[a], part["z"].iloc[a:b].tolist(), int(part["n"].iloc[a:b].sum()), len(starts)) for a, b in zip(starts, ends)], columns=["case_no", "zs", "n", "together"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    found = {}
+    try:
+        for most in (3, 10000):
+            spark.conf.set(name, most)
+            found[most] = slices.by_groups(rows, ("case_no",), ("z",), sums, "case_no string, zs array<int>, n int, together int").collect()
+    finally:
+        spark.conf.set(name, was)
+    for got in found.values():
+        assert sorted((r["case_no"], list(r["zs"]), r["n"]) for r in got) == sorted((f"c{k}", list(range(20)), sum(range(k, 1400, 70))) for k in range(70))
+    assert max(r["together"] for r in found[10000]) > 1
+
+
+@pytest.mark.parametrize("name", ["model_scores", "method_whole_trunk", "method_muscle_a", "method_muscle_b", "trunk_restrict"])
+def test_no_small_group_is_a_python_call_of_its_own(spark, small, name, capsys):
+    queries()[name](spark, small).explain()
+    assert "FlatMapGroupsInPandas" not in capsys.readouterr().out
+
+
+def test_voxels_leave_by_the_batch_and_stay_in_their_slice(spark):
+    from pyspark.errors import PythonException
+
+    voxels = spark.createDataFrame([(1, x, y, z, 10 * z + x) for z in range(300) for x in range(2) for y in range(3)], "case_no int, x int, y int, z int, v int").coalesce(1)
+    rows = slices.stacked(voxels, ("v",), (2, 3, 300), (1.0, 1.0, 1.0))
+    back = slices.unstacked(rows.coalesce(1), ("v",))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, voxels.collect()))
+    with pytest.raises(PythonException, match="outside their slice"):
+        slices.stacked(voxels, ("v",), (2, 2, 300), (1.0, 1.0, 1.0)).collect()
