@@ -75,7 +75,7 @@ def posteriors(score, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([good * (1 - toxic), (1 - good) * (1 - toxic), good * toxic, (1 - good) * toxic], axis=1), n
 
 
-def _memberships(models, counted: bool, tokenizer: str | None):
+def _memberships(models, counted: bool, tokenizer: str | None, keep: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(models.value)
         for batch in batches:
@@ -85,7 +85,8 @@ def _memberships(models, counted: bool, tokenizer: str | None):
             elif tokenizer:
                 n = np.array([ids_of(tokenizer).count(t) for t in batch.column(1).to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *map(pa.array, p.T)], names=["doc_id", "n_tokens", *DOMAINS])
-        ids_of.cache_clear()  # the worker goes on to other stages
+        if not keep:
+            ids_of.cache_clear()  # the worker goes on to other stages
 
     return run
 
@@ -177,12 +178,12 @@ def fit_rates(members: DataFrame, models: list, targets: dict[str, float] | None
             part /= 2
 
 
-def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, tokenizer: str | None = None) -> tuple[DataFrame, list]:
+def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, tokens: str | None = None, tokenizer: str | None = None, keep: bool = False) -> tuple[DataFrame, list]:
     """(doc_id, n_tokens, one column per domain) for every document, and the classifiers.
 
     ``tokens``: a column of ``docs`` with each document's tokens.  ``tokenizer``:
     the file whose ids are counted, in the same pass over the texts.  Without
-    either, words are.
+    either, words are.  ``keep``: workers keep the tokenizer for their next task.
     """
     s = settings or Settings()
     with scratch(docs.sparkSession):
@@ -192,7 +193,7 @@ def members_of(docs: DataFrame, labels: DataFrame, settings: Settings | None = N
         count = F.col(tokens).cast("long") if tokens else F.lit(None).cast("long")
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), count.alias("n_tokens"))
         schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS)
-        members = written(small_batches(rows).mapInArrow(tidy(_memberships(shared, tokens is not None, tokenizer)), schema), "members", stays=True)
+        members = written(small_batches(rows).mapInArrow(tidy(_memberships(shared, tokens is not None, tokenizer, keep)), schema), "members", stays=True)
         shared.destroy()
     return members, models
 
@@ -215,7 +216,7 @@ def source_mix(docs: DataFrame, labels: DataFrame, settings: Settings | None = N
     repeat.  Without labels all posteriors are alike; an empty table gives no
     rows.  Other columns are not read.
     """
-    members, models = members_of(docs, labels, settings, tokens, tokenizer)
+    members, models = members_of(docs, labels, settings, tokens, tokenizer, keep=True)
     mix = docs.sparkSession.sparkContext.broadcast(fit_rates(members, models, **how))
     schema = "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS) + ", domain string, rate double"
     return small_batches(members).mapInArrow(tidy(_rated(mix, 2)), schema)
