@@ -6,10 +6,12 @@ their counts, and of a document and a tree node at most that with the node's
 largest counts.  All pairs that are ever compared come out of such trees.
 
 The corpus does not fit one tree, so trees are built over lists.  Two sets that
-link share one of their first shingles, whatever the order of shingles, if each
-gives a quarter of its set and one; the order puts shingles of many documents
+link share k of their first shingles, whatever the order of shingles, if each
+gives a quarter of its set and k; the order puts shingles of many documents
 last, by counters over the whole corpus, so that lists stay short.  Any order
-gives the same result.  Documents with equal sets are one class.
+gives the same result.  Documents with equal sets are one class.  Of lists with
+the same members one stays, and who is in fewer than k lists links with nothing
+and leaves them, before lists become rows that are joined.
 
 Components need no pair inside a component that is known already, so the trees
 are asked three times.  First each class goes to one of its lists, drawn by a
@@ -39,6 +41,8 @@ PERCENT = 75
 #: Counters that give the order, a power of two; and how many travel in one row.
 COUNTERS = 1 << 22
 IN_ROW = 1 << 12
+#: Sets that link share one list, and one more for each of so many shingles.
+EACH = 48
 #: Shingles after which a task passes its counters on, each as 255 at most.
 COUNT_FLUSH = 1 << 25
 #: Entries that a task gathers before it passes them on.
@@ -204,9 +208,19 @@ def shingle_order(docs: DataFrame, counters: int = COUNTERS, key: int = 0) -> np
     return (rank * most // max(len(values) - 1, most)).astype(np.uint16)
 
 
+def shared_lists(n: int) -> int:
+    """Lists that a set of n gives beyond those that it may share with no linking set; n or less."""
+    return 1 + n // EACH
+
+
 def first_ones(s: np.ndarray, order: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The shingles of which a linking set shares one: the first by rank, those of one rank by their hash."""
-    n = len(s) - (percent * len(s) + 99) // 100 + 1
+    """The shingles of which a linking set shares some: the first by rank, those of one rank by their hash.
+
+    Of o common shingles the first k have a place up to n - o + k in either set,
+    and o is ``percent`` of n at least.  So linking sets share as many of these as
+    the smaller one's ``shared_lists``, which is no less than that of ``percent`` of n.
+    """
+    n = len(s) - (percent * len(s) + 99) // 100 + shared_lists(len(s))
     return s[np.argsort(order[_counter(s, len(order))], kind="stable")[:n]]
 
 
@@ -231,19 +245,15 @@ def _entries(shared, n_buckets: int, percent: int, key: int, second: int):
     schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sets", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("name", pa.int64()), ("proof", pa.int64()), ("point", pa.binary())])
 
     def packed(keys: list, names: list) -> Iterator[pa.RecordBatch]:
-        """Lists with several members here go out whole (bucket -1); each list's smallest member goes to its bucket."""
+        """Keys and members, by the bucket of the key."""
         if not keys:
             return
         k, d = np.concatenate(keys), np.concatenate(names)
-        order = np.lexsort((d, k))
+        order = np.argsort(k)
         k, d = k[order], d[order]
-        begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-        several = np.repeat(np.diff(np.append(begin, len(k))) > 1, np.diff(np.append(begin, len(k))))
-        rows = [(-1, k[several].tobytes(), d[several].tobytes())] if several.any() else []
-        k, d = k[begin], d[begin]
         bucket = ((k >> np.uint64(40)) * np.uint64(n_buckets) >> np.uint64(24)).astype(np.int64)
         cut = np.searchsorted(bucket, np.arange(n_buckets + 1))
-        rows += [(b, k[x:y].tobytes(), d[x:y].tobytes()) for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+        rows = [(b, k[x:y].tobytes(), d[x:y].tobytes()) for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
         b, ks, ds = zip(*rows)
         none = pa.nulls(len(b), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(ks, pa.binary()), pa.array(ds, pa.binary()), none, none, none, none, pa.nulls(len(b), pa.binary())], schema=schema)
@@ -274,18 +284,8 @@ def _entries(shared, n_buckets: int, percent: int, key: int, second: int):
     return run
 
 
-def _pairs_out(k: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(d)], names=["key", "name"])
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k, d in zip(batch.column(0), batch.column(1)):
-            yield _pairs_out(np.frombuffer(k.as_buffer(), np.uint64), np.frombuffer(d.as_buffer(), np.int64))
-
-
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each bucket of keys the lists with several members; a list of one task alone has gone out whole."""
+    """Of each bucket of keys the lists with several members, a row each; members are in order."""
 
     def several() -> pa.RecordBatch:
         k, d = np.concatenate(keys), np.concatenate(names)
@@ -295,7 +295,10 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, d = k[new], d[new]
         again = k[1:] == k[:-1]
         shared = np.append(again, False) | np.append(False, again)
-        return _pairs_out(k[shared], d[shared])
+        k, d = k[shared], d[shared]
+        begin = np.flatnonzero(np.append(k[:1] == k[:1], k[1:] != k[:-1]))
+        members = pa.ListArray.from_arrays(pa.array(np.append(begin, len(k)), pa.int32()), pa.array(d))
+        return pa.RecordBatch.from_arrays([pa.array(k[begin].view(np.int64)), members], names=["key", "names"])
 
     keys, names, now = [], [], None
     for batch in batches:
@@ -546,9 +549,21 @@ def prepared(docs: DataFrame, doc_id: str, text: str, percent: int, counters: in
     if classes.where("p <> q").limit(1).count():
         return prepared(docs, doc_id, text, percent, counters, keys)
     classes = classes.select("name", "rep", "n")
-    local = made.where("bucket = -1").select("keys", "sets").mapInArrow(tidy(_unpacked), "key long, name long")
-    across = made.where("bucket >= 0").select("bucket", "keys", "sets").repartition(2 * parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_met), "key long, name long")
-    return rows, sets, classes, written(local.unionByName(across).distinct(), "lists"), key
+    by_bucket = made.where("bucket >= 0").select("bucket", "keys", "sets").repartition(2 * parts, "bucket").sortWithinPartitions("bucket")
+    return rows, sets, classes, lists_of(by_bucket.mapInArrow(tidy(_met), "key long, names array<long>"), classes, percent), key
+
+
+def lists_of(met: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(key, name) of lists (key, names), as a written table: one of those with the same members, less those who are in too few to link.
+
+    The key that stays has the smallest hash, so the list that a class draws is the same as among all.
+    """
+    once = met.groupBy("names").agg(F.min_by("key", F.xxhash64(F.lit(31), "key")).alias("key"), F.count("*").alias("alike"))
+    each = written(once.select("key", "alike", F.explode("names").alias("name")), "alike")
+    in_lists = each.groupBy("name").agg(F.sum("alike").alias("lists")).join(classes.select("name", "n"), "name")
+    partner = F.ceil(F.col("n") * percent / 100)  # the smallest set that links
+    enough = in_lists.where(F.col("lists") > F.floor(partner / EACH)).select("name")
+    return written(each.select("key", "name").join(enough, "name", "left_semi"), "lists")
 
 
 def points_of(names: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:

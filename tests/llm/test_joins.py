@@ -106,6 +106,28 @@ def test_op7_sets_of_many_sizes(spark):
     assert_components(docs(spark, rows).repartition(4), rows)
 
 
+@given(st.integers(2, 700), st.integers(0, 200), st.integers(0, 200), st.integers(0, 1 << 30))
+@settings(max_examples=80, deadline=None)
+def test_op7_linking_sets_share_lists(n, more, fewer, seed):
+    rnd = np.random.default_rng(seed)
+    order = rnd.integers(0, 9, 64).astype(np.uint16)
+    drawn = np.unique(rnd.integers(0, 1 << 63, n + more, dtype=np.uint64))
+    a, b = np.sort(rnd.permutation(drawn)[:n]), np.sort(rnd.permutation(drawn)[: max(2, len(drawn) - fewer)])
+    if op7_jaccard.linked(a, b):
+        both = len(np.intersect1d(op7_jaccard.first_ones(a, order), op7_jaccard.first_ones(b, order)))
+        assert both >= max(op7_jaccard.shared_lists(-(-75 * len(s) // 100)) for s in (a, b))
+
+
+def test_op7_lists_are_few(spark):
+    """Two near copies share one list, however many shingles they share; a passage in common is none."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(base)), (2, " ".join(["x", *base[1:]])), (3, " ".join([*base[:6], *(f"v{i}" for i in range(300))]))]
+    _, _, classes, lists, _ = op7_jaccard.prepared(docs(spark, rows).repartition(3), "doc_id", "text", 75, 1 << 16)
+    rep = {r["name"]: r["rep"] for r in classes.collect()}
+    assert sorted(rep[r["name"]] for r in lists.collect()) == [1, 2]
+    assert_components(docs(spark, rows), rows)
+
+
 def test_op7_links_equal_brute_force(spark):
     rows = families(5, n_families=3, members=12)
     class_of = {}
