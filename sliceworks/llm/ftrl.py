@@ -25,6 +25,8 @@ BITS = 18
 BIAS = 1 << BITS
 #: Steps of the fixed point in which changes are averaged.
 FINE = float(1 << 40)
+#: Neighbouring coordinates whose changes travel in one row.
+BLOCK = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -73,7 +75,7 @@ def one_pass(rows: list[tuple[float, np.ndarray]], z: np.ndarray, n: np.ndarray,
 
 
 def _updates(states, settings: Settings):
-    """What a part changes, per label (by its place), coordinate and epoch."""
+    """What a part changes, in fixed point: a row per label (by its place) and block of coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,11 +88,39 @@ def _updates(states, settings: Settings):
                     was_z, was_n = z.copy(), n.copy()
                     one_pass([(y, i) for y, i in zip(ys[k].as_py(), own) if y is not None], z, n, settings)
                     at = np.flatnonzero(n != was_n)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at), pa.array(z[at] - was_z[at]), pa.array(n[at] - was_n[at])], names=["k", "i", "dz", "dn"])
+                    # whole numbers add up alike in any order
+                    dz, dn = (np.rint((x[at] - was[at]) * FINE).astype(np.int64) for x, was in ((z, was_z), (n, was_n)))
+                    cut = np.searchsorted(at, np.arange(0, BIAS + 1 + BLOCK, BLOCK))
+                    met = [(b, x, y) for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+                    packed = [pa.array([c[x:y].tobytes() for _, x, y in met], pa.binary()) for c in ((at % BLOCK).astype(np.uint16), dz, dn)]
+                    yield pa.RecordBatch.from_arrays([pa.array([k] * len(met), pa.int32()), pa.array([b for b, _, _ in met], pa.int32()), *packed], names=["k", "block", "i", "dz", "dn"])
 
     return run
 
 
+def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean change of each coordinate over the parts that met it; rows of a label and block come one after the other."""
+
+    def out() -> pa.RecordBatch:
+        at = np.flatnonzero(count)
+        packed = [(at + now[1] * BLOCK).astype(np.int64), *(c[at] / count[at] / FINE for c in (dz, dn))]
+        return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in packed)], names=["k", "i", "dz", "dn"])
+
+    now = None
+    for batch in batches:
+        for k, block, i, *changes in zip(*(c.to_pylist() for c in batch.columns)):
+            if (k, block) != now:
+                if now:
+                    yield out()
+                now, (dz, dn, count) = (k, block), np.zeros((3, BLOCK), np.int64)
+            at = np.frombuffer(i, np.uint16)
+            count[at] += 1
+            for total, own in zip((dz, dn), changes):
+                total[at] += np.frombuffer(own, np.int64)
+    if now:
+        yield out()
+
+
 def _whole(part: pa.Table) -> pa.Table:
     """A part as one row: its labels and features in the order of the updates."""
     rows = sorted(part.drop_columns("part").to_pylist(), key=lambda r: (r["turn"], r["features"]))
@@ -138,18 +168,17 @@ def fit(labelled: DataFrame, labels: tuple[str, ...], text: str = "text", doc_id
     states = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0)) for _ in labels]
     for _ in range(s.epochs):
         shared = spark.sparkContext.broadcast(states)
-        changed = sample.mapInArrow(tidy(_updates(shared, s)), "k int, i long, dz double, dn double")
-        # whole numbers add up alike in any order
-        mean = [(F.sum(F.rint(F.col(c) * FINE).cast("long")) / F.count("*") / FINE).alias(c) for c in ("dz", "dn")]
-        got = changed.groupBy("k", "i").agg(*mean).toArrow()  # at most 2**BITS + 1 rows a label
+        changed = sample.mapInArrow(tidy(_updates(shared, s)), "k int, block int, i binary, dz binary, dn binary")
+        by_block = changed.repartition("k", "block").sortWithinPartitions("k", "block")
+        got = by_block.mapInArrow(tidy(_means), "k int, i binary, dz binary, dn binary").collect()  # at most 2**BITS + 1 coordinates a label
         shared.destroy()
-        own, i, dz, dn = (got[c].to_numpy() for c in ("k", "i", "dz", "dn"))
         for k, (at, z, n) in enumerate(states):
             full_z, full_n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
             full_z[at], full_n[at] = z, n
-            mine = own == k
-            full_z[i[mine]] += dz[mine]
-            full_n[i[mine]] += dn[mine]
+            for _, i, dz, dn in (row for row in got if row["k"] == k):
+                i = np.frombuffer(i, np.int64)
+                full_z[i] += np.frombuffer(dz)
+                full_n[i] += np.frombuffer(dn)
             at = np.flatnonzero(full_n)
             states[k] = (at, full_z[at], full_n[at])
     found = []

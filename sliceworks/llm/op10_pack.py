@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -216,8 +217,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, **how) -> DataFrame:
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     earlier = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
-    schema = "length long, rank_lo long, rank_hi long, seq_lo long, offset long"
-    slots = spark.createDataFrame(pd.DataFrame(plan(histogram, capacity), columns=[c.split()[0] for c in schema.split(", ")]), schema)
+    columns = ["length", "rank_lo", "rank_hi", "seq_lo", "offset"]
+    # as Arrow: rows of Python objects would take workers of their own on every executor
+    slots = spark.createDataFrame(pa.table(dict(zip(columns, np.array(plan(histogram, capacity), np.int64).reshape(-1, 5).T))))
     ranked = cut.join(earlier, ["task", "length"]).withColumn("rank", F.col("earlier") + F.col("nth"))
     # the plan has a few intervals per length, whatever the corpus holds
     placed = ranked.join(F.broadcast(slots), (ranked["length"] == slots["length"]) & (ranked["rank"] >= slots["rank_lo"]) & (ranked["rank"] < slots["rank_hi"])).drop(slots["length"])

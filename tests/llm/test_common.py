@@ -109,3 +109,27 @@ def test_blocks_of_equal_norms_are_pruned():
     assert np.mean(left) < 0.4
     for odd in (np.zeros(64), -c[0], c[0] * 1e6):
         assert len(pruned(odd, float(np.linalg.norm(odd)), -1.0, c, norms, units)) == 3000
+
+
+def test_fit_passes_on_few_rows():
+    """Changes travel in a row per label and block of coordinates; their means are over the parts that met a coordinate."""
+    from types import SimpleNamespace
+
+    none = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+    rnd, made = np.random.default_rng(3), []
+    for _ in range(2):
+        texts = [np.unique(rnd.integers(0, ftrl.BIAS, 900)).astype(np.int32) for _ in range(20)]
+        part = pa.RecordBatch.from_arrays([pa.array([[float(i % 2) for i in range(20)]]), pa.array([[t.tobytes() for t in texts]], pa.list_(pa.binary()))], names=["y0", "features"])
+        made += list(ftrl._updates(SimpleNamespace(value=[none]), ftrl.Settings())(iter([part])))
+    assert all(b.num_rows <= ftrl.BIAS // ftrl.BLOCK + 1 for b in made)
+    want, met = np.zeros(ftrl.BIAS + 1), np.zeros(ftrl.BIAS + 1)
+    for b in made:
+        for row in b.to_pylist():
+            at = row["block"] * ftrl.BLOCK + np.frombuffer(row["i"], np.uint16).astype(int)
+            want[at] += np.frombuffer(row["dz"], np.int64) / ftrl.FINE
+            met[at] += 1
+    got = np.zeros(ftrl.BIAS + 1)
+    for b in ftrl._means(iter([pa.Table.from_batches(made).sort_by([("k", "ascending"), ("block", "ascending")]).combine_chunks().to_batches()[0]])):
+        for row in b.to_pylist():
+            got[np.frombuffer(row["i"], np.int64)] = np.frombuffer(row["dz"])
+    assert met.max() == 2 and np.allclose(got, want / np.maximum(met, 1), rtol=0, atol=1e-11)
