@@ -5,20 +5,23 @@ each epoch every part, a group of its own, runs the online updates from the comm
 state in one order, and what the parts changed is averaged, coordinate by
 coordinate, over those parts that met it, in fixed point.  So the result depends on
 the rows alone, not on files, partitions or cores.  Several labels are learned in the same passes.  The state has at most 2**BITS
-coordinates a label, whatever the corpus holds.
+coordinates a label, whatever the corpus holds.  It goes from epoch to epoch as a
+table; the driver gets the weights that L1 leaves in the end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, given_back, small_batches, tidy, written
+from .common import bounded_sample, given_back, removed, small_batches, tidy, written
 from .hashing import ALNUM, buffers, chunks, mix, words
 
 BITS = 18
@@ -62,9 +65,10 @@ def features(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 def one_pass(rows: list[tuple[float, np.ndarray]], z: np.ndarray, n: np.ndarray, s: Settings) -> None:
     """The online updates of (label, features) rows, in place; the last coordinate is the bias."""
     for y, i in rows:
-        zi, ni = z[i], n[i]
+        zi, ni = z.take(i), n.take(i)
         root = np.sqrt(ni)
-        w = np.where(np.abs(zi) > s.l1, (np.sign(zi) * s.l1 - zi) / ((s.beta + root) / s.alpha + s.l2), 0.0)
+        # 0 where |z| is at most l1, as ``weights`` has it
+        w = (np.minimum(np.maximum(zi, -s.l1), s.l1) - zi) / ((s.beta + root) / s.alpha + s.l2)
         bias = -z[BIAS] / ((s.beta + n[BIAS] ** 0.5) / s.alpha)
         g = (1 / (1 + np.exp(-min(max(w.sum() + bias, -35), 35))) - y) * (s.ones if y else 1.0)
         ni = ni + g * g
@@ -75,16 +79,21 @@ def one_pass(rows: list[tuple[float, np.ndarray]], z: np.ndarray, n: np.ndarray,
 
 
 def _updates(states, settings: Settings):
-    """What a part changes, in fixed point: a row per label (by its place) and block of coordinates."""
+    """What a part changes, in fixed point: a row per label (by its place) and block of coordinates.
+
+    The ``value`` of ``states`` has each label's coordinates, z and n; None for one that is not asked.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(batch.num_rows):
                 *ys, rows = (c[part] for c in batch.columns)
                 own = [np.frombuffer(x.as_buffer(), np.int32) for x in rows.values]
-                for k, (at, z0, n0) in enumerate(states.value):
+                for k, state in enumerate(states.value):
+                    if state is None:
+                        continue
                     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-                    z[at], n[at] = z0, n0
+                    at, z[at], n[at] = state[0], *state[1:]
                     was_z, was_n = z.copy(), n.copy()
                     one_pass([(y, i) for y, i in zip(ys[k].as_py(), own) if y is not None], z, n, settings)
                     at = np.flatnonzero(n != was_n)
@@ -98,6 +107,26 @@ def _updates(states, settings: Settings):
     return run
 
 
+def _numbers(i: bytes, *columns: bytes) -> tuple[np.ndarray, ...]:
+    """Coordinates and what belongs to them, as the tables of a state hold them."""
+    return np.frombuffer(i, np.int64), *map(np.frombuffer, columns)
+
+
+def _epoch(labels: int, settings: Settings):
+    """``_updates`` of rows of a part and the state of one label: k, i, z, n, then what the part holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                k, *state = (c[0].as_py() for c in row.columns[:4])
+                states = [_numbers(*state) if j == k else None for j in range(labels)]
+                part = pa.RecordBatch.from_arrays(row.columns[4:], names=row.schema.names[4:])
+                yield from _updates(SimpleNamespace(value=states), settings)(iter([part]))
+
+    return run
+
+
 def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The mean change of each coordinate over the parts that met it; rows of a label and block come one after the other."""
 
@@ -121,6 +150,51 @@ def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _moved(labels: int):
+    """The next state, a row per label: that of the rows without a block, and the mean changes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = np.zeros((labels, 2, BIAS + 1))
+
+        def add(k: int, *row: bytes) -> None:
+            at, z, n = _numbers(*row)
+            state[k, 0, at] += z
+            state[k, 1, at] += n
+
+        def changes() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                before = batch.column(1).is_null()
+                for k, _, *row in zip(*(c.to_pylist() for c in batch.filter(before).columns)):
+                    add(k, *row)
+                yield batch.filter(pc.invert(before))
+
+        for means in _means(changes()):
+            for row in zip(*(c.to_pylist() for c in means.columns)):
+                add(*row)
+        for k, (z, n) in enumerate(state):
+            at = np.flatnonzero(n)
+            packed = [pa.array([c.tobytes()], pa.binary()) for c in (at.astype(np.int64), z[at], n[at])]
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *packed], names=["k", "i", "z", "n"])
+
+    return run
+
+
+def _left(settings: Settings):
+    """Of a label's state the bias and the weights that L1 leaves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                at, z, n = _numbers(*row)
+                bias = at == BIAS
+                b = float((-z[bias] / ((settings.beta + np.sqrt(n[bias])) / settings.alpha)).sum())
+                w = np.where(bias, 0.0, weights(z, n, settings))
+                packed = [pa.array([c[w != 0].tobytes()], pa.binary()) for c in (at, w)]
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *packed, pa.array([b])], names=["k", "i", "w", "bias"])
+
+    return run
+
+
 def _whole(part: pa.Table) -> pa.Table:
     """A part as one row: its labels and features in the order of the updates."""
     rows = sorted(part.drop_columns("part").to_pylist(), key=lambda r: (r["turn"], r["features"]))
@@ -165,29 +239,21 @@ def fit(labelled: DataFrame, labels: tuple[str, ...], text: str = "text", doc_id
     dealt = small_batches(rows.select("part", "turn", *names, "text"))
     found = dealt.mapInArrow(tidy(_prepared), "part int, turn long, " + ", ".join(f"{c} double" for c in names) + ", features binary")
     sample = written(found.groupBy("part").applyInArrow(_whole, ", ".join(f"{c} array<double>" for c in names) + ", features array<binary>"), what)
-    states = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0)) for _ in labels]
+    # the state, at most 2**BITS + 1 coordinates a label, is a row per label; every part meets it without a shuffle or the driver
+    none, paths = F.expr("X''"), []
+    state = spark.range(0, len(labels), 1, 1).select(F.col("id").cast("int").alias("k"), none.alias("i"), none.alias("z"), none.alias("n"))
     for _ in range(s.epochs):
-        shared = spark.sparkContext.broadcast(states)
-        changed = sample.mapInArrow(tidy(_updates(shared, s)), "k int, block int, i binary, dz binary, dn binary")
-        by_block = changed.repartition("k", "block").sortWithinPartitions("k", "block")
-        got = by_block.mapInArrow(tidy(_means), "k int, i binary, dz binary, dn binary").collect()  # at most 2**BITS + 1 coordinates a label
-        shared.destroy()
-        for k, (at, z, n) in enumerate(states):
-            full_z, full_n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-            full_z[at], full_n[at] = z, n
-            for _, i, dz, dn in (row for row in got if row["k"] == k):
-                i = np.frombuffer(i, np.int64)
-                full_z[i] += np.frombuffer(dz)
-                full_n[i] += np.frombuffer(dn)
-            at = np.flatnonzero(full_n)
-            states[k] = (at, full_z[at], full_n[at])
-    found = []
-    for at, z, n in states:
-        bias = at == BIAS
-        b = float((-z[bias] / ((s.beta + np.sqrt(n[bias])) / s.alpha)).sum())
-        w = np.where(bias, 0.0, weights(z, n, s))
-        found.append((at[w != 0], w[w != 0], b))
-    return found
+        met = state.coalesce(1).hint("shuffle_replicate_nl").crossJoin(sample)
+        changed = met.mapInArrow(tidy(_epoch(len(labels), s)), "k int, block int, i binary, dz binary, dn binary")
+        # one task adds up: 2**BITS + 1 coordinates of each label and part at most, whatever the corpus
+        before = state.select("k", F.lit(None).cast("int").alias("block"), "i", F.col("z").alias("dz"), F.col("n").alias("dn"))
+        rows = changed.repartition(1).unionByName(before).coalesce(1).sortWithinPartitions("k", "block")
+        state = written(rows.mapInArrow(tidy(_moved(len(labels))), "k int, i binary, z binary, n binary"), "state", paths=paths)
+        for path in paths[:-1]:
+            removed(spark, path)
+        del paths[:-1]
+    found = {k: (np.frombuffer(i, np.int64), np.frombuffer(w), b) for k, i, w, b in state.mapInArrow(tidy(_left(s)), "k int, i binary, w binary, bias double").collect()}
+    return [found[k] for k in range(len(labels))]
 
 
 def scorer(models: list[tuple[np.ndarray, np.ndarray, float]]):

@@ -173,10 +173,11 @@ def _counter(s: np.ndarray, counters: int) -> np.ndarray:
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the rows of one number, which come one after the other."""
+    """Sums of the rows of one number, which come one after the other, with as many bytes a counter as the row's largest takes."""
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["row", "counts"])
+        sums = total.astype(np.min_scalar_type(total.max()))
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([sums.tobytes()], pa.binary())], names=["row", "counts"])
 
     now, total = None, None
     for batch in batches:
@@ -200,8 +201,8 @@ def shingle_order(docs: DataFrame, counters: int = COUNTERS, key: int = 0) -> np
     own = small_batches(docs.where(F.col("doc_id").isNotNull()).select("text")).mapInArrow(tidy(_counted(counters, key)), "row int, counts binary")
     by_row = own.repartition(slots(docs.sparkSession), "row").sortWithinPartitions("row")
     counts = np.zeros((-(-counters // IN_ROW), min(IN_ROW, counters)), np.int64)
-    for row, sums in by_row.mapInArrow(_summed, "row int, counts binary").collect():
-        counts[row] = np.frombuffer(sums, np.int64)
+    for row, sums in by_row.mapInArrow(_summed, "row int, counts binary").collect():  # most rows have a byte or two a counter
+        counts[row] = np.frombuffer(sums, f"u{len(sums) // counts.shape[1]}")
     values = np.unique(counts)
     rank = np.searchsorted(values, counts.ravel())
     most = np.iinfo(np.uint16).max

@@ -133,3 +133,31 @@ def test_fit_passes_on_few_rows():
         for row in b.to_pylist():
             got[np.frombuffer(row["i"], np.int64)] = np.frombuffer(row["dz"])
     assert met.max() == 2 and np.allclose(got, want / np.maximum(met, 1), rtol=0, atol=1e-11)
+
+
+def test_fit_leaves_its_state_to_the_tables(spark, small, monkeypatch):
+    """Nothing is broadcast, and the driver gets the weights that L1 leaves, no matter how many coordinates there are."""
+    from pyspark import SparkContext
+
+    d = table(spark, small, "documents").join(table(spark, small, "labels"), "doc_id").select("doc_id", "text", "toxic", "quality")
+    sent, got, collect = [], [], type(d).collect
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(value))
+    monkeypatch.setattr(type(d), "collect", lambda self: got.append(collect(self)) or got[-1])
+    with scratch(spark):
+        models = ftrl.fit(d, ("toxic", "quality"), settings=ftrl.Settings(epochs=2))
+    held = sum(len(v) for rows in got for r in rows for v in r if isinstance(v, (bytes, bytearray)))
+    assert not sent and any(len(at) for at, _, _ in models) and held == 16 * sum(len(at) for at, _, _ in models)
+
+
+def test_counters_travel_in_few_bytes():
+    """Sums of counters take a byte each where all are small, more where they must."""
+    made = []
+    for row, times in ((0, 1), (1, 2), (2, 300)):
+        counts = np.zeros(op7_jaccard.IN_ROW, np.uint8)
+        counts[[3, 9]] = 255, 7
+        made += [(row, counts.tobytes())] * times
+    batch = pa.RecordBatch.from_arrays([pa.array([r for r, _ in made], pa.int32()), pa.array([c for _, c in made], pa.binary())], names=["row", "counts"])
+    got = [r for b in op7_jaccard._summed(iter([batch])) for r in b.to_pylist()]
+    for r, times, width in zip(got, (1, 2, 300), (1, 2, 4)):
+        sums = np.frombuffer(r["counts"], f"u{width}")
+        assert len(sums) == op7_jaccard.IN_ROW and sums[3] == 255 * times and sums[9] == 7 * times and sums.sum() == 262 * times
